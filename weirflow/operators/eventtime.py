@@ -25,20 +25,34 @@ def _less(ts: Column, seconds: float) -> Column:
     return ts - F.make_dt_interval(secs=F.lit(seconds))
 
 
-def bounded_watermark(df: DataFrame, ts: str, arrival: Sequence[str], delay_seconds: float = 0) -> DataFrame:
-    """Largest event time so far minus a fixed delay."""
+def _at_least(value: Column, start: Column | None) -> Column:
+    return value if start is None else F.greatest(value, start)
+
+
+def bounded_watermark(
+    df: DataFrame, ts: str, arrival: Sequence[str], delay_seconds: float = 0, seen: Column | None = None
+) -> DataFrame:
+    """Largest event time so far minus a fixed delay; ``seen`` is what came before the first row."""
     f = ordered(df, [], arrival).scan(_wf_b=running_max(ts, inclusive=False), _wf_a=running_max(ts))
     return f.frame.withColumns(
-        {"wm": _less(F.col("_wf_b"), delay_seconds), "wm_after": _less(F.col("_wf_a"), delay_seconds)}
+        {"wm": _less(_at_least(F.col("_wf_b"), seen), delay_seconds), "wm_after": _less(_at_least(F.col("_wf_a"), seen), delay_seconds)}
     ).drop("_wf_b", "_wf_a")
 
 
-def punctuated_watermark(df: DataFrame, ts: str, arrival: Sequence[str], marker: Column, delay_seconds: float) -> DataFrame:
-    """Only marker rows move the watermark: to the largest event time seen so far minus the delay."""
+def punctuated_watermark(
+    df: DataFrame, ts: str, arrival: Sequence[str], marker: Column, delay_seconds: float, seen: Column | None = None, wm: Column | None = None
+) -> DataFrame:
+    """Only marker rows move the watermark: to the largest event time seen so far minus the delay.
+
+    ``seen`` and ``wm`` continue an earlier part of the stream.
+    """
     f = ordered(df, [], arrival).scan(_wf_m=running_max(ts))
-    f = f.map(lambda d: d.withColumn("_wf_p", F.when(marker, _less(F.col("_wf_m"), delay_seconds))))
-    f = f.scan(wm=running_max("_wf_p", inclusive=False), wm_after=running_max("_wf_p"))
-    return f.frame.drop("_wf_m", "_wf_p")
+    moved = _less(_at_least(F.col("_wf_m"), seen), delay_seconds)
+    f = f.map(lambda d: d.withColumn("_wf_p", F.when(marker, moved)))
+    f = f.scan(_wf_b=running_max("_wf_p", inclusive=False), _wf_a=running_max("_wf_p"))
+    return f.frame.withColumns({"wm": _at_least(F.col("_wf_b"), wm), "wm_after": _at_least(F.col("_wf_a"), wm)}).drop(
+        "_wf_m", "_wf_p", "_wf_b", "_wf_a"
+    )
 
 
 def per_partition_watermark(

@@ -171,7 +171,7 @@ def create_table(spark: SparkSession, table: str, path: str) -> None:
 
 def truncate_table(spark: SparkSession, table: str) -> None:
     """Empty the table; its definition stays."""
-    spark.table(table).limit(0).write.mode("overwrite").insertInto(table, overwrite=True)
+    spark.createDataFrame([], spark.table(table).schema).write.insertInto(table, overwrite=True)
 
 
 def drop_table(spark: SparkSession, table: str) -> None:

@@ -27,14 +27,15 @@ def message_envelope(
     )
 
 
-def message_sink_kafka(envelope: DataFrame, servers: str, checkpoint: str | None = None, batch_messages: int = 32) -> StreamingQuery | None:
+def message_sink_kafka(envelope: DataFrame, servers: str, checkpoint: str | None = None, producer_options: dict[str, str] | None = None) -> StreamingQuery | None:
     """To Kafka (needs the connector package).  Delivery is at least once: a retried task may send again.
 
-    The tag goes into the header ``tag``.
+    The tag goes into the header ``tag``.  Sends are batched by the producer and
+    flushed before a task ends; tune with ``producer_options`` (``kafka.linger.ms`` ...).
     """
     headers = F.array(F.struct(F.lit("tag").alias("key"), F.encode("tag", "UTF-8").alias("value")))
     rows = envelope.select("topic", "key", "value", headers.alias("headers"))
-    options = {"kafka.bootstrap.servers": servers, "includeHeaders": "true", "kafka.batch.size": str(batch_messages * 1024)}
+    options = {"kafka.bootstrap.servers": servers, "includeHeaders": "true", **(producer_options or {})}
     if not envelope.isStreaming:
         rows.write.format("kafka").options(**options).save()
         return None

@@ -54,11 +54,21 @@ def stream_socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
     return spark.readStream.format("socket").option("host", host).option("port", port).load()
 
 
-def stream_parquet(spark: SparkSession, folder: str, schema, files_per_batch: int | None = None) -> DataFrame:
+def stream_parquet(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
+    """Stream of a parquet table: the files of a folder, or the one file ``path`` names.
+
+    ``files_per_batch`` bounds a micro-batch, and with it what a stateful key can
+    get at once.
+    """
     reader = spark.readStream.schema(schema).format("parquet")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(folder)
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(jvm_path) and fs.getFileStatus(jvm_path).isFile():
+        reader = reader.option("pathGlobFilter", jvm_path.getName())
+        path = jvm_path.getParent().toString()
+    return reader.load(path)
 
 
 class FileFollower:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from weirflow.operators import eventtime
 from weirflow.operators.enrich import NOT_FOUND, NOT_FOUND_CITY, lookup_static
 from weirflow.operators.windows import time_window
 from weirflow.session import ROCKSDB_PROVIDER, scratch_path
@@ -62,6 +63,50 @@ def allowed_lateness_stream(stream: DataFrame, ts: str, delay_seconds: int, late
     return event_time_counts(stream, ts, f"{delay_seconds + lateness_seconds} seconds", size, keys)
 
 
+class LateRouter:
+    """Tags every row ``on_time``, ``refire`` or ``too_late`` with a watermark that moves row by row.
+
+    Spark's own watermark moves per micro-batch and the rows it drops cannot be
+    read back.  Here every micro-batch is traced with the batch operators (block
+    scans, so it runs on many tasks) starting from two stored values: the largest
+    event time seen and the watermark.  Rows and values of a batch go to folders of
+    its id, so a replay changes nothing.  With ``marker`` only marked rows move the
+    watermark.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, ts: str, order: Sequence[str], size: str, delay_seconds: float, lateness_seconds: float = 0, marker: Column | None = None
+    ):
+        self.spark, self.path, self.ts, self.order, self.size = spark, path.rstrip("/"), ts, list(order), size
+        self.delay, self.lateness, self.marker = delay_seconds, lateness_seconds, marker
+
+    def _start(self, batch_id: int) -> tuple[Column | None, Column | None]:
+        if batch_id == 0:
+            return None, None
+        stored = self.spark.read.parquet(f"{self.path}/state/batch={batch_id - 1}").first()
+        return F.lit(stored["seen"]), F.lit(stored["wm"])
+
+    def handle(self, batch: DataFrame, batch_id: int) -> None:
+        seen, wm = self._start(batch_id)
+        if self.marker is None:
+            traced = eventtime.bounded_watermark(batch, self.ts, self.order, self.delay, seen)
+        else:
+            traced = eventtime.punctuated_watermark(batch, self.ts, self.order, self.marker, self.delay, seen, wm)
+        tagged = eventtime.classify(eventtime.assign_window(traced, self.ts, self.size), self.lateness)
+        rows = f"{self.path}/rows/batch={batch_id}"
+        tagged.write.mode("overwrite").parquet(rows)
+        after = self.spark.read.parquet(rows).agg(F.max(self.ts).alias("seen"), F.max("wm_after").alias("wm"))
+        kept = after.select(*[F.greatest(c, v) if v is not None else F.col(c) for c, v in (("seen", seen), ("wm", wm))])
+        kept.toDF("seen", "wm").write.mode("overwrite").parquet(f"{self.path}/state/batch={batch_id}")
+
+    def attach(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
+        return for_each_batch(stream, self.handle, checkpoint)
+
+    def rows(self) -> DataFrame:
+        base = f"{self.path}/rows"
+        return self.spark.read.option("basePath", base).parquet(f"{base}/batch=*").drop("batch")
+
+
 def per_source_watermark(streams: Sequence[DataFrame], ts: str, delay: str) -> DataFrame:
     """One watermark per input, the smallest counts (``spark.sql.streaming.multipleWatermarkPolicy=min``)."""
     marked = [s.withWatermark(ts, delay) for s in streams]

@@ -166,38 +166,6 @@ def dup_count_stream(stream: DataFrame, keys: Sequence[str], us: str, seq: str,
     return keyed_step(stream, keys, [seq, us], [us, seq], step, "at bigint, n bigint", f"`{seq}` bigint, cnt bigint, first boolean")
 
 
-def late_router_stream(
-    stream: DataFrame, queue: str, us: str, seq: str, size_us: int, delay_us: int, lateness_us: int = 0, marker: str | None = None
-) -> DataFrame:
-    """Tag every row ``on_time``, ``refire`` or ``too_late`` with a watermark kept per queue, row by row.
-
-    Spark's own watermark moves per micro-batch and its late rows cannot be read
-    back, so this one is state.  With ``marker`` (a boolean column) only marked rows
-    move it.  Keyed by queue: parallelism is the number of queues.
-    """
-
-    def step(state, row):
-        seq_v, at, marked = row
-        seen, wm = state if state else (None, None)
-        end = at - at % size_us + size_us
-        if wm is not None and end + lateness_us <= wm:
-            cls = "too_late"
-        elif wm is not None and end <= wm:
-            cls = "refire"
-        else:
-            cls = "on_time"
-        seen = at if seen is None or at > seen else seen
-        if marked:
-            wm = seen - delay_us
-        return (seen, wm), [(seq_v, end - size_us, end, cls)]
-
-    flagged = stream.withColumn("_wf_mark", F.col(marker) if marker else F.lit(True))
-    return keyed_step(
-        flagged, [queue], [seq, us, "_wf_mark"], [seq], step, "seen bigint, wm bigint",
-        f"`{seq}` bigint, start_us bigint, end_us bigint, cls string",
-    )
-
-
 class _TimerAlert(StatefulProcessor):
     def __init__(self, value: str, ts_ms: str, limit: float, delay_ms: int, clock: bool):
         self.value, self.ts_ms, self.limit, self.delay_ms, self.clock = value, ts_ms, limit, delay_ms, clock
