@@ -126,6 +126,6 @@ def session_window(
 
 def session_window_stream(df: DataFrame, ts: str, gap: str, aggs: dict[str, Column], keys: Sequence[str] = ()) -> DataFrame:
     """Streaming form.  Spark needs a key, so the un-keyed form groups on a constant as well."""
-    by = list(keys) or [F.lit(1).alias("_wf_all")]
-    out = df.groupBy(*by, F.session_window(ts, gap).alias("w")).agg(*[c.alias(n) for n, c in aggs.items()])
+    by = list(keys) or ["_wf_all"]
+    out = df.withColumn("_wf_all", F.lit(1)).groupBy(*by, F.session_window(ts, gap).alias("w")).agg(*[c.alias(n) for n, c in aggs.items()])
     return out.select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *aggs)

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from weirflow.operators import windows as ops
 from weirflow.plans.aggregates import event_stream
 from weirflow.plans.registry import bucket_sql, events, query, row_count
-from weirflow.session import load
-from weirflow.streaming.pipelines import event_time_counts, run_to_keys
+from weirflow.session import load, scratch_path
+from weirflow.sources.files import stream_parquet
+from weirflow.streaming.pipelines import event_time_counts, run_to_keys, run_to_table
 
 HOUR = 3600
 CENTS_SQL = "CAST(round(value * 100) AS BIGINT)"
@@ -155,20 +156,15 @@ def session_window_keyed(spark, sf_dir):
 
 @query("session_window_all_stream", _session_sql("", 10))
 def session_window_all_stream(spark, sf_dir):
-    from weirflow.streaming.pipelines import run_to_table
-
-    stream = event_stream(spark, sf_dir).select("ts", "event_id").withWatermark("ts", "0 seconds")
-    # a last row far in the future closes the open session; it is dropped from the result
-    closing = _closing_stream(spark, sf_dir)
-    out = run_to_table(ops.session_window_stream(stream.unionByName(closing), "ts", "10 minutes", session_aggs()))
+    # a last row a day later closes the open session; its own session stays open and is not emitted
+    rows = event_stream(spark, sf_dir).select("ts", "event_id").unionByName(_closing_stream(spark, sf_dir))
+    sessions = ops.session_window_stream(rows.withWatermark("ts", "0 seconds"), "ts", "10 minutes", session_aggs())
+    out = run_to_table(sessions)
     ntz = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
-    return out.where("first_id >= 0").withColumns(ntz)
+    return out.withColumns(ntz)
 
 
 def _closing_stream(spark, sf_dir):
-    from weirflow.session import scratch_path
-    from weirflow.sources.files import stream_parquet
-
     path = scratch_path(spark, "closing-row")
     last = load(spark, sf_dir, "events").agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).cast("timestamp").alias("ts"))
     last.withColumn("event_id", F.lit(-1).cast("bigint")).write.parquet(path)

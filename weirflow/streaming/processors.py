@@ -25,12 +25,12 @@ Step = Callable[[tuple | None, tuple], tuple[tuple | None, list[tuple]]]
 class KeyedStep(StatefulProcessor):
     """Runs ``step`` over the rows of a key in order, with one value state."""
 
-    def __init__(self, step: Step, state_schema: str, columns: Sequence[str], out: Sequence[str], seq: Sequence[str], ttl_ms: int | None = None):
+    def __init__(self, step: Step, state_schema: T.StructType, columns: Sequence[str], out: Sequence[str], seq: Sequence[str], ttl_ms: int | None = None):
         self.step, self.state_schema, self.columns = step, state_schema, list(columns)
         self.out, self.seq, self.ttl_ms = list(out), list(seq), ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("s", T._parse_datatype_string(self.state_schema), self.ttl_ms)
+        self.state = handle.getValueState("s", self.state_schema, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # bounded by one micro-batch (maxFilesPerTrigger / maxOffsetsPerTrigger)
@@ -57,8 +57,8 @@ def keyed_step(
     use_rocksdb(stream)
     slim = stream.select(*dict.fromkeys([*keys, *columns, *seq]))
     key_schema = ", ".join(f"`{k}` {stream.schema[k].dataType.simpleString()}" for k in keys)
-    schema = T._parse_datatype_string(f"{key_schema}, {out_schema}")
-    processor = KeyedStep(step, state_schema, columns, schema.names, seq, ttl_ms)
+    schema = T.StructType.fromDDL(f"{key_schema}, {out_schema}")
+    processor = KeyedStep(step, T.StructType.fromDDL(state_schema), columns, schema.names, seq, ttl_ms)
     mode = "ProcessingTime" if ttl_ms else "None"
     return slim.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode=mode
@@ -198,7 +198,7 @@ def overspeed_timer_stream(stream: DataFrame, key: str, value: str, ts: str, lim
     slim = stream.select(key, value, ts, F.unix_millis(ts).alias("_wf_ms"))
     return slim.groupBy(key).transformWithStateInPandas(
         statefulProcessor=_TimerAlert(value, "_wf_ms", limit, delay_ms, clock),
-        outputStructType=T._parse_datatype_string(f"key {kind}, fire_ms bigint"),
+        outputStructType=T.StructType.fromDDL(f"key {kind}, fire_ms bigint"),
         outputMode="Append",
         timeMode="ProcessingTime" if clock else "EventTime",
     )
