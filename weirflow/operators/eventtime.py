@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.operators.ordering import ordered, running_count, running_max
+from weirflow.session import checkpointed
 
 
 def _less(ts: Column, seconds: float) -> Column:
@@ -98,35 +99,44 @@ def classify(df: DataFrame, lateness_seconds: float = 0) -> DataFrame:
     )
 
 
-def final_watermark(df: DataFrame) -> Column:
-    """Watermark after the last row, as a one-row scalar subquery."""
+def final_watermark(df: DataFrame, ts: str | None = None, delay_seconds: float = 0) -> Column:
+    """Watermark after the last row, as a one-row scalar subquery.
+
+    With ``ts`` it is read off the raw rows (largest event time minus the delay),
+    which spares computing the trace ``df`` would need.
+    """
+    if ts is not None:
+        return df.select(_less(F.max(ts), delay_seconds)).scalar()
     return df.select(F.max("wm_after")).scalar()
 
 
-def fired_window_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def fired_window_counts(df: DataFrame, keys: Sequence[str], final: Column | None = None) -> DataFrame:
     """On-time count of every window the watermark has passed; open windows are not emitted.
 
-    ``df`` has ``wm``, ``wm_after`` and window columns.
+    ``df`` has ``wm``, ``wm_after`` and window columns; ``final`` is the watermark
+    after the last row when it is known more cheaply.
     """
-    fired = classify(df).where("cls = 'on_time'").where(F.col("window_end") <= final_watermark(df))
+    closed = F.col("window_end") <= (final_watermark(df) if final is None else final)
+    fired = classify(df).where("cls = 'on_time'").where(closed)
     return fired.groupBy(*keys, "window_start", "window_end").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def allowed_lateness_refire(df: DataFrame, keys: Sequence[str], arrival: Sequence[str], lateness_seconds: float) -> DataFrame:
+def allowed_lateness_refire(
+    df: DataFrame, keys: Sequence[str], arrival: Sequence[str], lateness_seconds: float, final: Column | None = None
+) -> DataFrame:
     """Window results in versions.
 
     ``version`` 0 is the first firing with all on-time rows; every accepted late
     row emits the window again with the count so far.
     """
     by = [*keys, "window_start", "window_end"]
-    accepted = classify(df, lateness_seconds).where("cls <> 'too_late'")
-    fired = accepted.where(F.col("window_end") <= final_watermark(df))
-    on_time = F.when(F.col("cls") == "on_time", 1).otherwise(0).cast("long")
-    numbered = ordered(fired.withColumn("_wf_on", on_time), by, arrival).scan(cnt=running_count()).frame
-    first = (
-        numbered.where("_wf_on = 1").groupBy(*by).agg(F.max("cnt").alias("cnt")).withColumn("cls", F.lit("on_time"))
-    )
-    again = numbered.where("_wf_on = 0").select(*by, "cnt", "cls")
+    closed = F.col("window_end") <= (final_watermark(df) if final is None else final)
+    accepted = classify(df, lateness_seconds).where("cls <> 'too_late'").where(closed)
+    # the trace is needed for counting the groups and twice below: write it once, few columns wide
+    slim = checkpointed(accepted.select(*dict.fromkeys([*by, *arrival, "cls"])))
+    first = slim.where("cls = 'on_time'").groupBy(*by).agg(F.count(F.lit(1)).alias("cnt")).withColumn("cls", F.lit("on_time"))
+    numbered = ordered(slim, by, arrival).scan(cnt=running_count()).frame
+    again = numbered.where("cls = 'refire'").select(*by, "cnt", "cls")
     return first.unionByName(again)
 
 

@@ -72,11 +72,17 @@ def _folder(spark: SparkSession, partition: str, value) -> str:
     return f"{partition}={escaped}"
 
 
-def _overwrite(spark: SparkSession, table: str, rows: DataFrame, order: Sequence[str], partition: str) -> None:
-    """Replace exactly the partitions present in ``rows``, via staging because ``rows`` may read the table."""
+def _overwrite(spark: SparkSession, table: str, rows: DataFrame, order: Sequence[str], partition: str) -> set:
+    """Replace exactly the partitions present in ``rows`` and tell which those are.
+
+    Goes through a staging folder, because ``rows`` usually reads the table.
+    """
     stage = scratch_path(spark, "stage")
     rows.write.parquet(stage)
     staged = spark.read.schema(rows.schema).parquet(stage).select(*spark.table(table).columns)
+    written = {r[0] for r in staged.select(partition).distinct().collect()}  # one value per folder
+    if not written:
+        return written
     before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
@@ -84,6 +90,7 @@ def _overwrite(spark: SparkSession, table: str, rows: DataFrame, order: Sequence
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
     spark.catalog.refreshTable(table)
+    return written
 
 
 def compact(
@@ -92,16 +99,16 @@ def compact(
     """Rewrite one partition (or all) into few sorted files; ``merge`` applies a merge rule on the way."""
     rows = spark.table(table)
     rows = rows if value is None else rows.where(F.col(partition) == F.lit(value))
-    gone = []
-    if merge:
-        merged = merge(rows)
-        # a merge can empty a partition, which an overwrite by content would leave untouched
-        left = {r[0] for r in merged.select(partition).distinct().collect()}
-        gone = [r[0] for r in rows.select(partition).distinct().collect() if r[0] not in left]
-        rows = merged
-    _overwrite(spark, table, rows, order, partition)
-    for v in gone:
-        drop_partition(spark, table, partition, v)
+    before = [r[0] for r in rows.select(partition).distinct().collect()]
+    written = _overwrite(spark, table, merge(rows) if merge else rows, order, partition)
+    _drop_emptied(spark, table, partition, before, written)
+
+
+def _drop_emptied(spark: SparkSession, table: str, partition: str, before: list, written: set) -> None:
+    """Partitions that lost their last row: an overwrite by content leaves them untouched."""
+    for v in before:
+        if v not in written:
+            drop_partition(spark, table, partition, v)
 
 
 def detach_partition(spark: SparkSession, table: str, partition: str, value) -> None:
@@ -166,12 +173,8 @@ def mutate_delete(spark: SparkSession, table: str, partition: str, order: Sequen
     if not values:
         return
     rows = deleted(spark.table(table).where(F.col(partition).isin(values)), condition)
-    left = {r[0] for r in rows.select(partition).distinct().collect()}
-    if left:
-        _overwrite(spark, table, rows, order, partition)
-    for v in values:
-        if v not in left:
-            drop_partition(spark, table, partition, v)
+    written = _overwrite(spark, table, rows, order, partition)
+    _drop_emptied(spark, table, partition, values, written)
 
 
 def add_column(spark: SparkSession, table: str, name: str, kind: str, default: str | None = None) -> None:

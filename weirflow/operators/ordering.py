@@ -133,7 +133,8 @@ class Ordered:
         local = df.withColumns({f"_wf_l_{n}": _local(r, window, False) for n, r in columns.items()})
 
         at = F.struct(*[F.col(c) for c in self._order])
-        split = df.where(F.col(_BLOCK) > 0)
+        # unfiltered without keys, so that a further scan can reuse the exchange of this one
+        split = df.where(F.col(_BLOCK) > 0) if keys else df
         summary = split.groupBy(*keys, _BLOCK).agg(
             *[_summary(r, at).alias(f"_wf_s_{n}") for n, r in columns.items()]
         )
@@ -169,7 +170,8 @@ def ordered(
     if not keys:
         rows = df.count()
         cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = min(MAX_PARTS, max(cores, -(-rows // limit)))
+        # a few blocks per core even out hash collisions
+        parts = min(MAX_PARTS, max(4 * cores, -(-rows // limit)))
         tagged = _with_bucket(df, order[0], _cut_points(df, order[0], parts), _BLOCK)
         return Ordered(tagged, keys, order, parts)
 

@@ -5,10 +5,11 @@ Each function has a stateful streaming twin in :mod:`weirflow.streaming.processo
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -101,8 +102,7 @@ def dedup_first_seen_ttl(
     """First row per key, then the first row at least ``ttl`` after the last *emitted* one, and so on.
 
     The state is written only on first sight, so each emission depends on the one
-    before.  Keys of ordinary size jump through their sorted rows in one grouped
-    call.  Keys above ``group_rows`` go through one aggregation per ttl-long
+    before.  Keys of ordinary size jump through their sorted rows.  Keys above ``group_rows`` go through one aggregation per ttl-long
     slice of time, all such keys together: a slice can emit at most one row per
     key, and that row is a minimum, which combines before the shuffle.
     """
@@ -126,22 +126,49 @@ def dedup_first_seen_ttl(
 
 
 def _first_seen_by_group(df: DataFrame, keys: Sequence[str], ts: str, seq: Sequence[str], ttl_seconds: float) -> DataFrame:
+    """Rows arrive sorted by key and time; each batch jumps from emitted row to emitted row.
+
+    Only the key and time of the last emission are kept, so memory does not grow
+    with a key.
+    """
     ttl = int(ttl_seconds * 1_000_000)
-    # only key, time and order columns travel to Python; the rows are joined back by the emitted order
-    slim = df.select(*keys, as_number(df, ts).alias("_wf_us"), *[c for c in seq if c not in keys])
-
-    def jump(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["_wf_us", *seq], kind="stable")
-        at = group["_wf_us"].to_numpy()
-        picks, i = [], 0
-        while i < len(at):
-            picks.append(i)
-            i = int(np.searchsorted(at, at[i] + ttl, side="left"))
-        return group.iloc[picks]
-
-    chosen = slim.groupBy(*keys).applyInPandas(jump, slim.schema)
-    ids = [*keys, *[c for c in seq if c not in keys]]
-    return df.join(chosen.select(*ids), ids, "left_semi")
+    sorted_rows = (
+        df.withColumn("_wf_us", as_number(df, ts)).repartition(*keys).sortWithinPartitions(*keys, "_wf_us", *seq)
+    )
+
+    def jump(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_key, last = None, 0
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
+                continue
+            at = batch.column("_wf_us").to_numpy()
+            key_columns = [batch.column(k) for k in keys]
+            starts = _key_starts(key_columns, n)
+            picks: list[int] = []
+            for a, b in zip(starts, [*starts[1:], n]):
+                key = tuple(c[a].as_py() for c in key_columns)
+                i = int(np.searchsorted(at[a:b], last + ttl)) + a if key == open_key else a
+                while i < b:
+                    picks.append(i)
+                    last = int(at[i])
+                    i = int(np.searchsorted(at[a:b], last + ttl)) + a
+                open_key = key
+            yield batch.take(pa.array(picks, pa.int64())).drop_columns(["_wf_us"])
+
+    return sorted_rows.mapInArrow(jump, df.schema)
+
+
+def _key_starts(columns: Sequence[pa.Array], n: int) -> list[int]:
+    """Positions where the key differs from the row before."""
+    changed = np.zeros(n, dtype=bool)
+    changed[0] = True
+    for c in columns:
+        before, here = c.slice(0, n - 1), c.slice(1)
+        differs = pc.fill_null(pc.not_equal(before, here), False)
+        one_null = pc.xor(pc.is_null(before), pc.is_null(here))
+        changed[1:] |= pc.or_(differs, one_null).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(changed).tolist()
 
 
 def _first_seen_by_slices(df: DataFrame, keys: Sequence[str], ts: str, seq: Sequence[str], ttl_seconds: float) -> DataFrame:

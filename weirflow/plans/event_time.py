@@ -47,14 +47,18 @@ def _bounded_trace(spark, sf_dir, delay):
     return ops.assign_window(ops.bounded_watermark(arrived(spark, sf_dir), "ts", ORDER, delay), "ts", "1 hour")
 
 
+def _final(spark, sf_dir, delay):
+    return ops.final_watermark(events(spark, sf_dir, "ts"), "ts", delay)
+
+
 @query("event_time_window_count", f"WITH {_bounded(0)} {FIRED_SQL}")
 def event_time_window_count(spark, sf_dir):
-    return ops.fired_window_counts(_bounded_trace(spark, sf_dir, 0), ["event_type"])
+    return ops.fired_window_counts(_bounded_trace(spark, sf_dir, 0), ["event_type"], _final(spark, sf_dir, 0))
 
 
 @query("bounded_out_of_order_window", f"WITH {_bounded(DELAY_S)} {FIRED_SQL}")
 def bounded_out_of_order_window(spark, sf_dir):
-    return ops.fired_window_counts(_bounded_trace(spark, sf_dir, DELAY_S), ["event_type"])
+    return ops.fired_window_counts(_bounded_trace(spark, sf_dir, DELAY_S), ["event_type"], _final(spark, sf_dir, DELAY_S))
 
 
 PUNCT = _trace_sql(
@@ -119,7 +123,7 @@ def time_lag_watermark(spark, sf_dir):
     SELECT event_type, window_start, window_end, CAST(max(cnt) AS BIGINT) AS cnt, 'on_time' AS cls FROM n WHERE cls = 'on_time' GROUP BY 1, 2, 3
     UNION ALL SELECT event_type, window_start, window_end, CAST(cnt AS BIGINT), cls FROM n WHERE cls = 'refire'""")
 def allowed_lateness_refire(spark, sf_dir):
-    return ops.allowed_lateness_refire(_bounded_trace(spark, sf_dir, DELAY_S), ["event_type"], ORDER, LATE_S)
+    return ops.allowed_lateness_refire(_bounded_trace(spark, sf_dir, DELAY_S), ["event_type"], ORDER, LATE_S, _final(spark, sf_dir, DELAY_S))
 
 
 LATE_SQL = f"WITH {_bounded(DELAY_S)} SELECT event_id, window_start FROM t WHERE {_cls_sql(LATE_S)} = 'too_late'"
