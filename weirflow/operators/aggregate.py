@@ -146,7 +146,9 @@ def agg_state_merge(partial: DataFrame, keys: Sequence[str], aggs: dict[str, tup
 def bitmap_build(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     """Integer set as bitmap rows ``(keys, bucket, bits)``; values are non-negative longs.
 
-    One row covers 32768 neighbouring values, so a set never sits in one row.
+    One row covers 32768 neighbouring values, so a set never sits in one row.  Made
+    for dense ids; for ids scattered over a wide range a table of distinct values
+    (:func:`bitmap_rank_select` starts from one) is smaller.
     """
     v = F.col(value).cast("long")
     return df.groupBy(*keys, F.bitmap_bucket_number(v).alias("bucket")).agg(

@@ -10,7 +10,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.operators.ordering import (
@@ -102,42 +102,45 @@ def dedup_first_seen_ttl(
     """First row per key, then the first row at least ``ttl`` after the last *emitted* one, and so on.
 
     The state is written only on first sight, so each emission depends on the one
-    before.  Keys of ordinary size jump through their sorted rows.  Keys above ``group_rows`` go through one aggregation per ttl-long
-    slice of time, all such keys together: a slice can emit at most one row per
-    key, and that row is a minimum, which combines before the shuffle.
+    before.  Keys of ordinary size jump through their sorted rows.  Keys above
+    ``group_rows`` are taken slice of time by slice of time, all such keys together,
+    carrying one number per key.  A slice as long as ``ttl`` can emit at most one
+    row per key, and that row is a minimum, which combines before the shuffle.
     """
     limit = group_rows or min(GROUP_ROWS, split_rows_of(df, None))
     keys = list(keys)
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_wf_n"))
     total, biggest = per_key.agg(F.sum("_wf_n"), F.max("_wf_n")).first()
+    timed = df.withColumn("_wf_us", as_number(df, ts))
     if not total or biggest <= limit:
-        return _first_seen_by_group(df, keys, ts, seq, ttl_seconds)
+        return _emitted(timed, keys, seq, ttl_seconds).select(*df.columns)
     limit = max(limit, -(-total // MAX_PARTS))
     # fewer than MAX_PARTS keys can hold more than 1/MAX_PARTS of the rows each
     hot = per_key.where(F.col("_wf_n") > limit).select(*[F.col(k).alias(f"_wf_h_{k}") for k in keys])
+    cold = timed.join(F.broadcast(hot), _on_hot(keys), "left_anti")
+    big = timed.join(F.broadcast(hot), _on_hot(keys), "left_semi")
+    return _emitted(cold, keys, seq, ttl_seconds).unionByName(_emitted_by_slices(big, keys, seq, ttl_seconds)).select(*df.columns)
+
+
+def _on_hot(keys: Sequence[str]) -> Column:
     on = F.lit(True)
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"_wf_h_{k}"))
-    cold = df.join(F.broadcast(hot), on, "left_anti")
-    big = df.join(F.broadcast(hot), on, "left_semi")
-    return _first_seen_by_group(cold, keys, ts, seq, ttl_seconds).unionByName(
-        _first_seen_by_slices(big, keys, ts, seq, ttl_seconds)
-    )
+    return on
 
 
-def _first_seen_by_group(df: DataFrame, keys: Sequence[str], ts: str, seq: Sequence[str], ttl_seconds: float) -> DataFrame:
+def _emitted(timed: DataFrame, keys: Sequence[str], seq: Sequence[str], ttl_seconds: float) -> DataFrame:
     """Rows arrive sorted by key and time; each batch jumps from emitted row to emitted row.
 
     Only the key and time of the last emission are kept, so memory does not grow
-    with a key.
+    with a key.  A column ``_wf_last`` gives the last emission before these rows.
     """
     ttl = int(ttl_seconds * 1_000_000)
-    sorted_rows = (
-        df.withColumn("_wf_us", as_number(df, ts)).repartition(*keys).sortWithinPartitions(*keys, "_wf_us", *seq)
-    )
+    carried = "_wf_last" in timed.columns
+    sorted_rows = timed.repartition(*keys).sortWithinPartitions(*keys, "_wf_us", *seq)
 
     def jump(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_key, last = None, 0
+        open_key, last = None, None
         for batch in batches:
             n = batch.num_rows
             if n == 0:
@@ -148,15 +151,17 @@ def _first_seen_by_group(df: DataFrame, keys: Sequence[str], ts: str, seq: Seque
             picks: list[int] = []
             for a, b in zip(starts, [*starts[1:], n]):
                 key = tuple(c[a].as_py() for c in key_columns)
-                i = int(np.searchsorted(at[a:b], last + ttl)) + a if key == open_key else a
+                if key != open_key:
+                    last = batch.column("_wf_last")[a].as_py() if carried else None
+                i = a if last is None else int(np.searchsorted(at[a:b], last + ttl)) + a
                 while i < b:
                     picks.append(i)
                     last = int(at[i])
                     i = int(np.searchsorted(at[a:b], last + ttl)) + a
                 open_key = key
-            yield batch.take(pa.array(picks, pa.int64())).drop_columns(["_wf_us"])
+            yield batch.take(pa.array(picks, pa.int64()))
 
-    return sorted_rows.mapInArrow(jump, df.schema)
+    return sorted_rows.mapInArrow(jump, timed.schema)
 
 
 def _key_starts(columns: Sequence[pa.Array], n: int) -> list[int]:
@@ -171,34 +176,37 @@ def _key_starts(columns: Sequence[pa.Array], n: int) -> list[int]:
     return np.flatnonzero(changed).tolist()
 
 
-def _first_seen_by_slices(df: DataFrame, keys: Sequence[str], ts: str, seq: Sequence[str], ttl_seconds: float) -> DataFrame:
-    spark = df.sparkSession
+def _emitted_by_slices(timed: DataFrame, keys: Sequence[str], seq: Sequence[str], ttl_seconds: float) -> DataFrame:
+    """One job per slice; slices are ``ttl`` long, or longer where that would make more than MAX_PARTS of them."""
+    spark = timed.sparkSession
     ttl = int(ttl_seconds * 1_000_000)
-    us = as_number(df, ts)
     stored, out = scratch_path(spark, "first-seen-rows"), scratch_path(spark, "first-seen-out")
-    sliced = df.withColumn("_wf_us", us).withColumn("_wf_slice", F.floor(F.col("_wf_us") / ttl))
-    sliced.write.partitionBy("_wf_slice").parquet(stored)
-    rows = spark.read.parquet(stored)
+    low, high = timed.agg(F.min("_wf_us"), F.max("_wf_us")).first()
+    length = max(ttl, -(-(high - low + 1) // MAX_PARTS))
+    timed.withColumn("_wf_slice", F.floor(F.col("_wf_us") / length)).write.partitionBy("_wf_slice").parquet(stored)
+    rows = spark.read.schema(f"{_ddl(timed)}, _wf_slice bigint").parquet(stored)
     slices = sorted(r[0] for r in rows.select("_wf_slice").distinct().collect())
     named = [F.col(k).alias(f"_wf_h_{k}") for k in keys]
-    schema = df.select(*named, F.lit(0).cast("long").alias("_wf_last")).schema
-    known: dict[tuple, int] = {}
+    schema = timed.select(*named, F.col("_wf_us").alias("_wf_last")).schema
+    known: dict[tuple, int] = {}  # one number per hot key, fewer than MAX_PARTS
     for s in slices:
-        part = rows.where(F.col("_wf_slice") == s).drop("_wf_slice")
-        if known:
-            last = spark.createDataFrame([(*k, v) for k, v in known.items()], schema)
-            on = F.lit(True)
-            for k in keys:
-                on = on & F.col(k).eqNullSafe(F.col(f"_wf_h_{k}"))
-            joined = part.join(F.broadcast(last), on, "left")
-            open_rows = joined.where(F.col("_wf_last").isNull() | (F.col("_wf_us") >= F.col("_wf_last") + ttl))
-            part = open_rows.select(*part.columns)
-        best = part.groupBy(*keys).agg(F.min_by(F.struct(*part.columns), F.struct("_wf_us", *seq)).alias("r"))
-        best.select("r.*").write.mode("append").parquet(f"{out}/slice={s}")
-        # one row per hot key, fewer than MAX_PARTS
-        for r in spark.read.parquet(f"{out}/slice={s}").select(*keys, "_wf_us").collect():
-            known[tuple(r)[:-1]] = r["_wf_us"]
-    return spark.read.parquet(out).select(*df.columns)
+        last = spark.createDataFrame([(*k, v) for k, v in known.items()], schema)
+        part = rows.where(F.col("_wf_slice") == s).join(F.broadcast(last), _on_hot(keys), "left")
+        part = part.select(*timed.columns, "_wf_last")
+        if length == ttl:
+            open_rows = part.where(F.col("_wf_last").isNull() | (F.col("_wf_us") >= F.col("_wf_last") + ttl))
+            first = F.min_by(F.struct(*part.columns), F.struct("_wf_us", *seq))
+            found = open_rows.groupBy(*keys).agg(first.alias("r")).select("r.*")
+        else:
+            found = _emitted(part, keys, seq, ttl_seconds)
+        found.drop("_wf_last").write.parquet(f"{out}/slice={s}")
+        newest = spark.read.schema(timed.schema).parquet(f"{out}/slice={s}").groupBy(*keys).agg(F.max("_wf_us"))
+        known.update({tuple(r)[:-1]: r[len(keys)] for r in newest.collect()})
+    return spark.read.schema(timed.schema).parquet(*[f"{out}/slice={s}" for s in slices])
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
 
 def trade_totals(df: DataFrame, message_key: str, seq: Sequence[str], user: str, qty: str, cent: str) -> DataFrame:

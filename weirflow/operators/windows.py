@@ -20,8 +20,8 @@ def time_window(
     moves one row per task and window.
     """
     w = F.window(ts, size, slide or size, offset) if offset else F.window(ts, size, slide or size)
-    out = df.groupBy(*keys, w.alias("w")).agg(*[c.alias(n) for n, c in aggs.items()])
-    return out.select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *aggs)
+    out = df.groupBy(*keys, w.alias("_wf_w")).agg(*[c.alias(n) for n, c in aggs.items()])
+    return out.select(*keys, F.col("_wf_w.start").alias("window_start"), F.col("_wf_w.end").alias("window_end"), *aggs)
 
 
 def first_word_and_total(df: DataFrame, ts: str, size: str, word: str, seq: str, amount: Column | None = None) -> DataFrame:
@@ -40,10 +40,10 @@ def sliding_by_panes(
     30 min / 10 s that is 180 copies per pane instead of per row.  ``slide`` must
     divide ``size``.
     """
-    panes = df.groupBy(*keys, F.window(ts, slide).alias("p")).agg(*[c.alias(n) for n, c in partial.items()])
-    panes = panes.withColumn("_wf_pane", F.col("p.start")).drop("p")
-    out = panes.groupBy(*keys, F.window("_wf_pane", size, slide).alias("w")).agg(*[c.alias(n) for n, c in final.items()])
-    return out.select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *final)
+    panes = df.groupBy(*keys, F.window(ts, slide).alias("_wf_p")).agg(*[c.alias(n) for n, c in partial.items()])
+    panes = panes.withColumn("_wf_pane", F.col("_wf_p.start")).drop("_wf_p")
+    out = panes.groupBy(*keys, F.window("_wf_pane", size, slide).alias("_wf_w")).agg(*[c.alias(n) for n, c in final.items()])
+    return out.select(*keys, F.col("_wf_w.start").alias("window_start"), F.col("_wf_w.end").alias("window_end"), *final)
 
 
 def sliding_avg(df: DataFrame, ts: str, value: str, size: str, slide: str, keys: Sequence[str]) -> DataFrame:
@@ -127,5 +127,5 @@ def session_window(
 def session_window_stream(df: DataFrame, ts: str, gap: str, aggs: dict[str, Column], keys: Sequence[str] = ()) -> DataFrame:
     """Streaming form.  Spark needs a key, so the un-keyed form groups on a constant as well."""
     by = list(keys) or ["_wf_all"]
-    out = df.withColumn("_wf_all", F.lit(1)).groupBy(*by, F.session_window(ts, gap).alias("w")).agg(*[c.alias(n) for n, c in aggs.items()])
-    return out.select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *aggs)
+    out = df.withColumn("_wf_all", F.lit(1)).groupBy(*by, F.session_window(ts, gap).alias("_wf_w")).agg(*[c.alias(n) for n, c in aggs.items()])
+    return out.select(*keys, F.col("_wf_w.start").alias("window_start"), F.col("_wf_w.end").alias("window_end"), *aggs)

@@ -38,6 +38,19 @@ def stream_text_lines(spark, sf_dir):
     return run_to_keys(count_changes(flat_map_split(lines, "value"), ["word"]), ["word"])
 
 
+@query("stream_follow_file", """
+    SELECT conv_id, CAST(count(*) * (2 - conv_id % 2) AS BIGINT) AS times FROM conversations GROUP BY conv_id""")
+def stream_follow_file(spark, sf_dir):
+    """A folder that changes once: its whole content comes again, so the first lines are seen twice."""
+    path, seen = scratch_path(spark, "followed"), scratch_path(spark, "followed-out")
+    ids = load(spark, sf_dir, "conversations").select("conv_id")
+    follower = files.FileFollower(spark, path)
+    for rest in (0, 1):
+        ids.where(F.col("conv_id") % 2 == rest).select(F.col("conv_id").cast("string")).write.mode("append").text(path)
+        follower.poll().write.mode("append").parquet(seen)
+    return spark.read.parquet(seen).groupBy(F.col("value").cast("bigint").alias("conv_id")).agg(F.count(F.lit(1)).alias("times"))
+
+
 @query("read_csv_typed", "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 5000")
 def read_csv_typed(spark, sf_dir):
     path = scratch_path(spark, "customer-csv")

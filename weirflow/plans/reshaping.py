@@ -159,7 +159,7 @@ def parse_delimited_record(spark, sf_dir):
     return ops.parse_delimited_record(lines, "line").select("event_id", "record")
 
 
-@query("fn_case_split_words", """
+@query("flat_map_split_whitespace", """
     WITH t AS (SELECT conv_id, turn, regexp_replace(text, '[ \\t\\n\\x0b\\f\\r]+$', '') AS r, text FROM conversations)
     SELECT conv_id, turn, unnest(regexp_split_to_array(r, '[ \\t\\n\\x0b\\f\\r]')) AS word FROM t WHERE NOT (r = '' AND text <> '')""")
 def split_on_whitespace(spark, sf_dir):

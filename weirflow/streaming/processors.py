@@ -3,7 +3,9 @@
 All of them share one processor that keeps a small tuple of state per key and
 calls a step function per row in ``seq`` order of the micro-batch.  Use built-in
 streaming aggregates where one row per key and trigger is enough; these are for
-results on every row.
+results on every row.  Rows of one key are handled by one task per micro-batch:
+bound the micro-batch (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) where a
+key may be hot.
 """
 
 from __future__ import annotations
@@ -34,7 +36,11 @@ class KeyedStep(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # bounded by one micro-batch (maxFilesPerTrigger / maxOffsetsPerTrigger)
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(self.seq, kind="stable")
+        frames = [b for b in rows if not b.empty]
+        if not frames:
+            yield pd.DataFrame()
+            return
+        batch = pd.concat(frames, ignore_index=True).sort_values(self.seq, kind="stable")
         state = tuple(self.state.get()) if self.state.exists() else None
         changed, results = False, []
         for row in batch[self.columns].itertuples(index=False, name=None):
@@ -55,12 +61,16 @@ def keyed_step(
 ) -> DataFrame:
     """Apply a step function per key.  Output columns are the keys followed by ``out_schema``."""
     use_rocksdb(stream)
-    slim = stream.select(*dict.fromkeys([*keys, *columns, *seq]))
+    # plain names inside: Spark renames columns that start with an underscore on the way to Python
+    inner = {c: f"c{i}" for i, c in enumerate(dict.fromkeys([*keys, *columns, *seq]))}
+    slim = stream.select(*[F.col(c).alias(n) for c, n in inner.items()])
     key_schema = ", ".join(f"`{k}` {stream.schema[k].dataType.simpleString()}" for k in keys)
     schema = T.StructType.fromDDL(f"{key_schema}, {out_schema}")
-    processor = KeyedStep(step, T.StructType.fromDDL(state_schema), columns, schema.names, seq, ttl_ms)
+    processor = KeyedStep(
+        step, T.StructType.fromDDL(state_schema), [inner[c] for c in columns], schema.names, [inner[c] for c in seq], ttl_ms
+    )
     mode = "ProcessingTime" if ttl_ms else "None"
-    return slim.groupBy(*keys).transformWithStateInPandas(
+    return slim.groupBy(*[inner[k] for k in keys]).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode=mode
     )
 
@@ -176,6 +186,8 @@ class _TimerAlert(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         now = timerValues.getCurrentProcessingTimeInMs() if self.clock else None
         for batch in rows:
+            if batch.empty:  # a timer is due but the key has no new rows
+                continue
             fast = batch[batch[self.value] > self.limit]
             for at in fast[self.ts_ms].tolist():
                 self.handle.registerTimer((now if self.clock else at) + self.delay_ms)
@@ -195,9 +207,9 @@ def overspeed_timer_stream(stream: DataFrame, key: str, value: str, ts: str, lim
     """
     use_rocksdb(stream)
     kind = stream.schema[key].dataType.simpleString()
-    slim = stream.select(key, value, ts, F.unix_millis(ts).alias("_wf_ms"))
-    return slim.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=_TimerAlert(value, "_wf_ms", limit, delay_ms, clock),
+    slim = stream.select(F.col(key).alias("k"), F.col(value).alias("v"), F.col(ts).alias("at"), F.unix_millis(ts).alias("ms"))
+    return slim.groupBy("k").transformWithStateInPandas(
+        statefulProcessor=_TimerAlert("v", "ms", limit, delay_ms, clock),
         outputStructType=T.StructType.fromDDL(f"key {kind}, fire_ms bigint"),
         outputMode="Append",
         timeMode="ProcessingTime" if clock else "EventTime",
