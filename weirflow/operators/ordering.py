@@ -29,6 +29,7 @@ DEFAULT_SPLIT_ROWS = 4_000_000
 # MAX_PARTS keys are split) and into at most MAX_PARTS blocks.
 MAX_PARTS = 10_000
 BROADCAST_ROWS = 1_000_000
+SAMPLE_PER_PART = 1_000
 _BLOCK = "_wf_block"
 
 
@@ -84,22 +85,30 @@ def as_number(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
-def _cut_points(df: DataFrame, order: str, parts: int) -> list[float]:
-    """Values that cut ``df`` into about ``parts`` equal pieces (at most ``parts`` numbers)."""
+def _cut_points(df: DataFrame, order: str, parts: int, rows: int) -> list[float]:
+    """Values that cut ``df`` into about ``parts`` equal pieces (at most ``parts`` numbers).
+
+    They only decide where blocks begin, so like a range partitioner they are read
+    off a sample; any values give the same result.
+    """
     if parts < 2:
         return []
     probs = [i / parts for i in range(1, parts)]
-    found = df.select(
+    wanted = SAMPLE_PER_PART * parts
+    seen = df.sample(wanted / rows, seed=1) if rows > 4 * wanted else df
+    found = seen.select(
         F.percentile_approx(as_number(df, order), probs, max(10_000, 10 * parts)).alias("p")
     ).first()["p"]
     return sorted({float(x) for x in found or []})
 
 
-def _with_bucket(df: DataFrame, order: str, cuts: list[float], name: str) -> DataFrame:
+def _with_bucket(df: DataFrame, order: str, cuts: list[float], name: str, of: Column | None = None) -> DataFrame:
+    """Block number from 1; rows where ``of`` is not true get none."""
     if not cuts:
         return df.withColumn(name, F.lit(1))
     splits = [float("-inf"), *cuts, float("inf")]
-    numbered = df.withColumn("_wf_order", as_number(df, order).cast("double"))
+    number = as_number(df, order).cast("double")
+    numbered = df.withColumn("_wf_order", number if of is None else F.when(of, number))
     bucketed = Bucketizer(
         splits=splits, inputCol="_wf_order", outputCol="_wf_bucket", handleInvalid="keep"
     ).transform(numbered)
@@ -163,7 +172,8 @@ def ordered(
     """Prepare ``df`` for scans per ``keys`` in ``order``.
 
     ``order[0]`` must be a number or a point in time and is what blocks are cut
-    on; further columns break ties.  Runs one counting job over the key columns.
+    on; further columns break ties; none may be null.  Runs a counting job over the
+    key columns, and a few more small ones when there is something to split.
     """
     limit = split_rows_of(df, split_rows)
     keys, order = list(keys), list(order)
@@ -172,7 +182,7 @@ def ordered(
         cores = df.sparkSession.sparkContext.defaultParallelism
         # a few blocks per core even out hash collisions
         parts = min(MAX_PARTS, max(4 * cores, -(-rows // limit)))
-        tagged = _with_bucket(df, order[0], _cut_points(df, order[0], parts), _BLOCK)
+        tagged = _with_bucket(df, order[0], _cut_points(df, order[0], parts, max(rows, 1)), _BLOCK)
         return Ordered(tagged, keys, order, parts)
 
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_wf_n"))
@@ -180,23 +190,25 @@ def ordered(
     if not total or biggest <= limit:
         return Ordered(df, keys, order, 0)
     limit = max(limit, -(-total // MAX_PARTS))
-    # more than total/MAX_PARTS rows each, so fewer than MAX_PARTS keys
-    named = [F.col(k).alias(f"_wf_h_{i}") for i, k in enumerate(keys)]
-    hot = per_key.where(F.col("_wf_n") > limit).select(*named, F.lit(True).alias("_wf_hot"))
-    n_hot = hot.count()
-    if n_hot == 0:
+    # more than total/MAX_PARTS rows each, so fewer than MAX_PARTS keys come to the driver
+    found = per_key.where(F.col("_wf_n") > limit).collect()
+    if not found:
         return Ordered(df, keys, order, 0)
+    hot_rows = sum(r["_wf_n"] for r in found)
+    named = [F.col(k).alias(f"_wf_h_{i}") for i, k in enumerate(keys)]
+    hot = df.sparkSession.createDataFrame([tuple(r)[:-1] for r in found], df.select(*named).schema)
+    hot = hot.withColumn("_wf_hot", F.lit(True))
     on = F.lit(True)
     for i, k in enumerate(keys):
         on = on & F.col(k).eqNullSafe(F.col(f"_wf_h_{i}"))
-    parts = min(MAX_PARTS, -(-total // limit))
-    cuts = _cut_points(df, order[0], parts)
     flagged = df.join(F.broadcast(hot), on, "left").drop(*[f"_wf_h_{i}" for i in range(len(keys))])
-    cut = _with_bucket(flagged, order[0], cuts, "_wf_cut")
+    parts = min(MAX_PARTS, max(2, -(-hot_rows // limit)))
+    cuts = _cut_points(flagged.where("_wf_hot"), order[0], parts, hot_rows)
+    cut = _with_bucket(flagged, order[0], cuts, "_wf_cut", F.col("_wf_hot"))
     tagged = cut.withColumn(
         _BLOCK, F.when(F.col("_wf_hot"), F.col("_wf_cut")).otherwise(F.lit(0))
     ).drop("_wf_hot", "_wf_cut")
-    return Ordered(tagged, keys, order, max(1, n_hot) * (len(cuts) + 1))
+    return Ordered(tagged, keys, order, len(found) * (len(cuts) + 1))
 
 
 def _frame(window: Window, inclusive: bool):
