@@ -106,8 +106,8 @@ def timed(spark, lines):
 # each line is one arrival: all its words share the line number as order
 @pytest.mark.parametrize("lines, delay, want", [
     (["10000 hello 1", "11000 hello haha", "12000 hello xixi"], 0, {"hello": 2, "1": 1, "haha": 1}),
-    (["10000 hello", "11000 gin", "11000 hello", "12000 hello", "15000 hello"], 3, {"hello": 2, "gin": 1}),
-    (["10000 hello gin", "11000 hello soul", "12000 hello soul", "10000 hello gin", "15000 hello soul"], 3, {"hello": 3, "gin": 2, "soul": 1}),
+    (["10000 hello", "11000 tea", "11000 hello", "12000 hello", "15000 hello"], 3, {"hello": 2, "tea": 1}),
+    (["10000 hello tea", "11000 hello soul", "12000 hello soul", "10000 hello tea", "15000 hello soul"], 3, {"hello": 3, "tea": 2, "soul": 1}),
 ])
 def test_event_time_windows(spark, lines, delay, want):
     trace = eventtime.assign_window(eventtime.bounded_watermark(timed(spark, lines), "ts", ["line"], delay), "ts", "3 seconds")
@@ -123,7 +123,7 @@ def test_punctuated_watermark(spark):
 
 
 def test_allowed_lateness(spark):
-    lines = ["10000 hello gin", "11000 hello soul", "12000 hello soul", "10000 hello gin", "15000 hello soul", "11500 hello", "18000 x", "11600 hello"]
+    lines = ["10000 hello tea", "11000 hello soul", "12000 hello soul", "10000 hello tea", "15000 hello soul", "11500 hello", "18000 x", "11600 hello"]
     trace = eventtime.assign_window(eventtime.bounded_watermark(timed(spark, lines), "ts", ["line"], 3), "ts", "3 seconds")
     out = eventtime.allowed_lateness_refire(trace, ["word"], ["line"], 3).where("word = 'hello' AND unix_millis(window_start) = 9000")
     assert sorted((r["cnt"], r["cls"]) for r in out.collect()) == [(3, "on_time"), (4, "refire")]
@@ -310,3 +310,15 @@ def test_prefix_as_range(spark):
     assert rowkey.prefix_stop("ab") == "ac"
     df = spark.createDataFrame([("ab",), ("abz",), ("ac",), ("aa",)], "rowkey string")
     assert sorted(r[0] for r in df.where(rowkey.prefix_predicate("ab")).collect()) == ["ab", "abz"]
+
+
+@pytest.mark.parametrize("size, slide", [(6, 4), (3, 5), (8, 2), (4, 4)])
+def test_sliding_count_windows(spark, rows_of, size, slide):
+    values = [(i * 7) % 11 for i in range(30)]
+    df = spark.createDataFrame(list(enumerate(values)), "seq bigint, v bigint")
+    want = sorted((m, sum(values[max(0, m * slide - size):m * slide])) for m in range(1, len(values) // slide + 1))
+    by_row = windows.count_window(df, ["seq"], size, {"s": F.sum("v")}, slide=slide)
+    by_pane = windows.count_window_by_panes(df, ["seq"], size, slide, {"p": F.sum("v")}, {"s": F.sum("p")})
+    assert sorted(map(tuple, by_pane.select("block", "s").collect())) == want
+    if size != slide:
+        assert sorted(map(tuple, by_row.select("block", "s").collect())) == want

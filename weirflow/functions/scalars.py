@@ -172,6 +172,11 @@ def case_match(cases: list[tuple[Column, Column | str]], default: Column | str |
     return out if default is None else out.otherwise(lift(default))
 
 
+# The texts of the matched cases.
+IS_EXACT, IS_FALSE, IS_BIG, IS_INT = " ...is 88", "false...is false", "...is int, > 50", "...is int"
+UNKNOWN_TYPE = "I don't know what type it is"
+
+
 def match_variant(col: Column | str) -> Column:
     """Value, type and guard matching on a variant column.
 
@@ -185,10 +190,10 @@ def match_variant(col: Column | str) -> Column:
     text = n.cast("string")
     return case_match(
         [
-            (is_int & (n == 88), F.concat(text, F.lit(" ...is 88"))),
-            ((kind == "BOOLEAN") & ~F.try_variant_get(v, "$", "boolean"), "false...is false"),
-            (is_int & (n > 50), F.concat(text, F.lit("...is int, > 50"))),
-            (is_int, F.concat(text, F.lit("..."), text, F.lit("...is int"))),
+            (is_int & (n == 88), F.concat(text, F.lit(IS_EXACT))),
+            ((kind == "BOOLEAN") & ~F.try_variant_get(v, "$", "boolean"), IS_FALSE),
+            (is_int & (n > 50), F.concat(text, F.lit(IS_BIG))),
+            (is_int, F.concat(text, F.lit("..."), text, F.lit(IS_INT))),
         ],
-        "I don't know what type it is",
+        UNKNOWN_TYPE,
     )

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from weirflow.operators.ordering import latest, ordered
 
+# The texts answers carry.
 NOT_FOUND = "not found"
 NOT_FOUND_CITY = "not found city"
 LOADED = "加载完毕..."

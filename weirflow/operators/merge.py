@@ -110,7 +110,7 @@ def versioned_collapsing(
     keys = list(dict.fromkeys([*partition, *order, version]))
     counts = df.groupBy(*keys).agg(F.sum(F.col(sign).cast("long")).alias("_wf_net"), F.count_if(F.col(sign) == 1).alias("_wf_p"))
     left = counts.where("_wf_net <> 0").select(*[F.col(k).alias(f"_wf_{k}") for k in keys], "_wf_net", "_wf_p")
-    on = F.signum(F.col("_wf_net").cast("double")) == F.col(sign)
+    on = F.when(F.col("_wf_net") > 0, 1).otherwise(-1) == F.col(sign)
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"_wf_{k}"))
     major = df.join(left, on).drop(*[f"_wf_{k}" for k in keys])

@@ -27,9 +27,11 @@ from weirflow.operators.ordering import (
 from weirflow.session import scratch_path
 
 GROUP_ROWS = 1_000_000
+# A jump is more than JUMP above the value before; a value over SPEED_LIMIT warns DELAY_SECONDS later.
+JUMP, SPEED_LIMIT, DELAY_SECONDS = 30, 100, 2
 
 
-def speed_jump_alert(df: DataFrame, key: str, value: str, seq: Sequence[str], jump: float = 30) -> DataFrame:
+def speed_jump_alert(df: DataFrame, key: str, value: str, seq: Sequence[str], jump: float = JUMP) -> DataFrame:
     """``<key> over speed: <v>`` when the value rose by more than ``jump`` since the row before, else ``<key>``."""
     f = ordered(df, [key], seq).scan(_wf_prev=previous(value)).frame
     jumped = F.col(value) - F.col("_wf_prev") > jump
@@ -58,7 +60,7 @@ def running_sum_state(df: DataFrame, keys: Sequence[str], value: str, seq: Seque
     return ordered(df, keys, seq).scan(**{name: running_sum(value)}).frame
 
 
-def overspeed_timer_alert(df: DataFrame, key: str, value: str, ts: str, limit: float = 100, delay_seconds: float = 2) -> DataFrame:
+def overspeed_timer_alert(df: DataFrame, key: str, value: str, ts: str, limit: float = SPEED_LIMIT, delay_seconds: float = DELAY_SECONDS) -> DataFrame:
     """One warning per (key, fire time); timers for the same key and time are one timer."""
     fire = (F.col(ts) + F.make_dt_interval(secs=F.lit(delay_seconds))).alias("fire_ts")
     return df.where(F.col(value) > limit).select(key, fire).distinct()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -101,6 +102,25 @@ def count_window(
     return out.where(F.col("_wf_last") == F.col("block") * slide).drop("_wf_last")
 
 
+def count_window_by_panes(
+    df: DataFrame, seq: Sequence[str], size: int, slide: int, partial: dict[str, Column], final: dict[str, Column], keys: Sequence[str] = ()
+) -> DataFrame:
+    """Sliding count window for large overlaps.
+
+    Rows are aggregated to panes of gcd(size, slide) neighbouring rows first and
+    panes, not rows, are copied to the firings they take part in.
+    """
+    pane = math.gcd(size, slide)
+    indexed = row_index(df, keys, seq, "_wf_n").withColumn("_wf_pane", F.floor((F.col("_wf_n") - 1) / pane))
+    panes = indexed.groupBy(*keys, "_wf_pane").agg(F.max("_wf_n").alias("_wf_n"), *[c.alias(n) for n, c in partial.items()])
+    # pane p holds rows up to (p + 1) * pane and takes part in firing m if m*slide - size < that <= m*slide
+    upto = (F.col("_wf_pane") + 1) * pane
+    first, last = F.ceil(upto / slide), F.floor((upto + size - 1) / slide)
+    spread = panes.where(first <= last).withColumn("block", F.explode(F.sequence(first, last)))
+    out = spread.groupBy(*keys, "block").agg(F.max("_wf_n").alias("_wf_last"), *[c.alias(n) for n, c in final.items()])
+    return out.where(F.col("_wf_last") == F.col("block") * slide).drop("_wf_last")
+
+
 def session_ids(df: DataFrame, ts: str, seq: Sequence[str], gap_seconds: float, keys: Sequence[str] = ()) -> DataFrame:
     """Each row with ``session_start``; a new session begins when the distance to the row before exceeds the gap."""
     gap = F.make_dt_interval(secs=F.lit(gap_seconds))

@@ -111,7 +111,6 @@ def mutate_delete(spark, sf_dir):
 def evolve_columns(spark, sf_dir):
     name = _table(spark, _rows(spark, sf_dir))
     ops.add_column(spark, name, "loc", "string", "'none'")
-    spark.table(name).select("loc").limit(1).collect()
     shown = spark.table(name).select("user_id", "loc", "_seq")
     copied = scratch_path(spark, "with-default")
     shown.write.parquet(copied)

@@ -116,8 +116,9 @@ def count_window_sliding(spark, sf_dir):
       FROM events WINDOW r AS (ORDER BY event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))
     SELECT CAST(n // 4 AS BIGINT) AS block, CAST(cnt AS BIGINT) AS cnt, first_id FROM x WHERE n % 4 = 0""")
 def count_window_sliding_all(spark, sf_dir):
-    aggs = {"cnt": row_count(), "first_id": F.min("event_id")}
-    return ops.count_window(events(spark, sf_dir, "event_id"), ["event_id"], 10, aggs, slide=4)
+    partial = {"_n": row_count(), "_first": F.min("event_id")}
+    final = {"cnt": F.sum("_n"), "first_id": F.min("_first")}
+    return ops.count_window_by_panes(events(spark, sf_dir, "event_id"), ["event_id"], 10, 4, partial, final)
 
 
 def _session_sql(key: str, gap_minutes: int, members: bool = False) -> str:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from weirflow.operators.state import DELAY_SECONDS, JUMP, SPEED_LIMIT
 from weirflow.session import ROCKSDB_PROVIDER
 
 # (state or None, row) -> (new state or None to leave it, output tuples)
@@ -109,7 +110,7 @@ def changelog_stream(stream: DataFrame, keys: Sequence[str], seq: str) -> DataFr
     return keyed_step(stream, keys, [seq], [seq], step, "n bigint", f"`{seq}` bigint, op boolean, value bigint")
 
 
-def speed_jump_stream(stream: DataFrame, key: str, value: str, seq: str, jump: float = 30) -> DataFrame:
+def speed_jump_stream(stream: DataFrame, key: str, value: str, seq: str, jump: float = JUMP) -> DataFrame:
     """Compare every value with the one before; ``jumped`` tells which message applies."""
 
     def step(state, row):
@@ -200,7 +201,7 @@ class _TimerAlert(StatefulProcessor):
         pass
 
 
-def overspeed_timer_stream(stream: DataFrame, key: str, value: str, ts: str, limit: float = 100, delay_ms: int = 2000, clock: bool = False) -> DataFrame:
+def overspeed_timer_stream(stream: DataFrame, key: str, value: str, ts: str, limit: float = SPEED_LIMIT, delay_ms: int = 1000 * DELAY_SECONDS, clock: bool = False) -> DataFrame:
     """Register a timer for fast rows and emit ``(key, fire_ms)`` when it expires.
 
     ``clock`` uses processing time; otherwise event time, which needs a watermark on ``ts``.
