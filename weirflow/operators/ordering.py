@@ -118,8 +118,12 @@ def _with_bucket(df: DataFrame, order: str, cuts: list[float], name: str, of: Co
 class Ordered:
     """A frame with a key and an order; ``scan`` adds ordered values, ``map`` rewrites rows."""
 
-    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], blocks: int):
+    def __init__(
+        self, df: DataFrame, keys: Sequence[str], order: Sequence[str], blocks: int, place: Callable[[DataFrame], DataFrame] | None = None
+    ):
         self._df, self._keys, self._order, self._blocks = df, list(keys), list(order), blocks
+        # how to lay rows out before the first scan; later scans find them in place
+        self._place = place
 
     @property
     def frame(self) -> DataFrame:
@@ -127,21 +131,25 @@ class Ordered:
 
     def map(self, step: Callable[[DataFrame], DataFrame]) -> "Ordered":
         """Row-wise change (``withColumn``, ``filter``); key and order columns must stay."""
-        return Ordered(step(self._df), self._keys, self._order, self._blocks)
+        return Ordered(step(self._df), self._keys, self._order, self._blocks, self._place)
 
     def scan(self, **columns: Running) -> "Ordered":
         if self._blocks == 0:
             window = Window.partitionBy(*self._keys).orderBy(*self._order)
-            out = self._df.withColumns({n: _local(r, window, True) for n, r in columns.items()})
+            out = self._placed().withColumns({n: _local(r, window, True) for n, r in columns.items()})
             return Ordered(out, self._keys, self._order, 0)
         return Ordered(self._block_scan(columns), self._keys, self._order, self._blocks)
 
+    def _placed(self) -> DataFrame:
+        return self._place(self._df) if self._place else self._df
+
     def _block_scan(self, columns: dict[str, Running]) -> DataFrame:
         df, keys = self._df, self._keys
         window = Window.partitionBy(*keys, _BLOCK).orderBy(*self._order)
-        local = df.withColumns({f"_wf_l_{n}": _local(r, window, False) for n, r in columns.items()})
+        local = self._placed().withColumns({f"_wf_l_{n}": _local(r, window, False) for n, r in columns.items()})
 
         at = F.struct(*[F.col(c) for c in self._order])
+        # taken from rows not laid out yet, where it combines before its own small shuffle;
         # unfiltered without keys, so that a further scan can reuse the exchange of this one
         split = df.where(F.col(_BLOCK) > 0) if keys else df
         summary = split.groupBy(*keys, _BLOCK).agg(
@@ -180,20 +188,22 @@ def ordered(
     if not keys:
         rows = df.count()
         cores = df.sparkSession.sparkContext.defaultParallelism
-        # a few blocks per core even out hash collisions
-        parts = min(MAX_PARTS, max(4 * cores, -(-rows // limit)))
-        tagged = _with_bucket(df, order[0], _cut_points(df, order[0], parts, max(rows, 1)), _BLOCK)
-        return Ordered(tagged, keys, order, parts)
+        parts = min(MAX_PARTS, max(cores, -(-rows // limit)))
+        cuts = _cut_points(df, order[0], parts, max(rows, 1))
+        tagged = _with_bucket(df, order[0], cuts, _BLOCK)
+        blocks = len(cuts) + 1
+        # one block per task, whatever the session's number of shuffle partitions
+        return Ordered(tagged, keys, order, blocks, lambda d: d.repartitionById(blocks, F.col(_BLOCK) - 1))
 
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_wf_n"))
     total, biggest = per_key.agg(F.sum("_wf_n"), F.max("_wf_n")).first()
     if not total or biggest <= limit:
-        return Ordered(df, keys, order, 0)
+        return Ordered(df, keys, order, 0, _enough_tasks(df, total or 0, limit, keys))
     limit = max(limit, -(-total // MAX_PARTS))
     # more than total/MAX_PARTS rows each, so fewer than MAX_PARTS keys come to the driver
     found = per_key.where(F.col("_wf_n") > limit).collect()
     if not found:
-        return Ordered(df, keys, order, 0)
+        return Ordered(df, keys, order, 0, _enough_tasks(df, total, limit, keys))
     hot_rows = sum(r["_wf_n"] for r in found)
     named = [F.col(k).alias(f"_wf_h_{i}") for i, k in enumerate(keys)]
     hot = df.sparkSession.createDataFrame([tuple(r)[:-1] for r in found], df.select(*named).schema)
@@ -208,7 +218,16 @@ def ordered(
     tagged = cut.withColumn(
         _BLOCK, F.when(F.col("_wf_hot"), F.col("_wf_cut")).otherwise(F.lit(0))
     ).drop("_wf_hot", "_wf_cut")
-    return Ordered(tagged, keys, order, len(found) * (len(cuts) + 1))
+    blocks = len(found) * (len(cuts) + 1)
+    return Ordered(tagged, keys, order, blocks, _enough_tasks(df, total, limit, [*keys, _BLOCK]))
+
+
+def _enough_tasks(df: DataFrame, rows: int, limit: int, by: Sequence[str]) -> Callable[[DataFrame], DataFrame] | None:
+    """Ask for about one task per ``limit`` rows where the session's setting would give fewer."""
+    wanted = min(MAX_PARTS, -(-rows // limit))
+    if wanted <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return None
+    return lambda d: d.repartition(wanted, *by)
 
 
 def _frame(window: Window, inclusive: bool):
