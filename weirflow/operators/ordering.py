@@ -190,10 +190,11 @@ def ordered(
         cores = df.sparkSession.sparkContext.defaultParallelism
         parts = min(MAX_PARTS, max(cores, -(-rows // limit)))
         cuts = _cut_points(df, order[0], parts, max(rows, 1))
-        tagged = _with_bucket(df, order[0], cuts, _BLOCK)
+        # numbered from 0: the block is the partition number, which windows over it recognize
+        tagged = _with_bucket(df, order[0], cuts, _BLOCK).withColumn(_BLOCK, F.col(_BLOCK) - 1)
         blocks = len(cuts) + 1
         # one block per task, whatever the session's number of shuffle partitions
-        return Ordered(tagged, keys, order, blocks, lambda d: d.repartitionById(blocks, F.col(_BLOCK) - 1))
+        return Ordered(tagged, keys, order, blocks, lambda d: d.repartitionById(blocks, F.col(_BLOCK)))
 
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_wf_n"))
     total, biggest = per_key.agg(F.sum("_wf_n"), F.max("_wf_n")).first()
