@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import quality
+from weirflow.llm import langid, quality
 from weirflow.llm.common import held_out
 from weirflow.session import load
 
@@ -30,3 +30,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.classify(docs, load(spark, sf_dir, "labels"))
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+@query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
