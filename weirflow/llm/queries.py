@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import langid, quality
+from weirflow.llm import langid, pieces, quality
 from weirflow.llm.common import held_out
 from weirflow.session import load
 
@@ -37,3 +38,15 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def piece_model() -> pieces.ModelFile:
+    return pieces.ModelFile.read(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op10_sentencepiece")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ids_text is the decoded text's SHA-256; exact says whether it equals the input."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.round_trip(docs, piece_model())
+    return coded.select("doc_id", "n_pieces", F.xxhash64("ids").alias("ids_hash"), F.sha2("decoded", 256).alias("decoded_sha256"), "exact")
