@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import langid, pieces, quality
+from weirflow.llm import decontam, langid, pieces, quality
 from weirflow.llm.common import held_out
 from weirflow.session import load
 
@@ -50,3 +50,31 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     coded = pieces.round_trip(docs, piece_model())
     return coded.select("doc_id", "n_pieces", F.xxhash64("ids").alias("ids_hash"), F.sha2("decoded", 256).alias("decoded_sha256"), "exact")
+
+
+OP8_SQL = r"""
+WITH iw AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark),
+items AS (SELECT item_id, w, len(w) AS n, least(len(w), 10) AS m FROM iw WHERE len(w) > 0),
+win AS (SELECT item_id, m, array_to_string(list_slice(w, s + 1, s + m), ' ') AS span
+        FROM (SELECT item_id, w, m, unnest(range(0, n - m + 1)) AS s FROM items)),
+dw AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+       FROM documents),
+places AS (SELECT doc_id, w, len(w) AS n, unnest(range(0, len(w))) AS s FROM dw),
+hits AS (SELECT p.doc_id, p.s, l.m, array_to_string(list_slice(p.w, p.s + 1, p.s + l.m), ' ') AS span
+         FROM places p, (SELECT DISTINCT m FROM win) l WHERE p.s + l.m <= p.n),
+found AS (SELECT h.doc_id, h.s, h.m, w.item_id FROM hits h JOIN win w USING (span) WHERE h.m = w.m),
+cover AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + m)) AS pos FROM found) GROUP BY doc_id),
+ids AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN cover USING (doc_id) LEFT JOIN ids USING (doc_id)
+"""
+
+
+@query("op8_decontamination", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.contamination(docs, load(spark, sf_dir, "benchmark")).drop("text")
