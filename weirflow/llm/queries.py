@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import decontam, langid, pieces, quality
+from weirflow.llm import decontam, langid, outliers, pieces, quality
 from weirflow.llm.common import held_out
 from weirflow.session import load
 
@@ -78,3 +78,9 @@ FROM dw LEFT JOIN cover USING (doc_id) LEFT JOIN ids USING (doc_id)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     return decontam.contamination(docs, load(spark, sf_dir, "benchmark")).drop("text")
+
+
+@query("op9_quality_rules")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return outliers.judge(docs).drop("lang", "source")
