@@ -2,7 +2,7 @@
 
 A batch's new words are sorted by length and words of one length advance together through a Viterbi search in numpy: at every end
 position the hashes of all substrings ending there probe the sorted piece keys, and the maximum over them gives score and
-backpointer. The path's pieces are compared with the text afterwards, so that a hash collision cannot change a result.
+backpointer. A second hash is compared along the path, so that a piece counts only where 128 bits agree.
 """
 
 from __future__ import annotations
@@ -22,8 +22,10 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0  # fixed value: the library's penalty below the worst piece
 UNKNOWN_TEXT = " ⁇ "  # fixed value: what the library shows for an unknown piece
 LONG_WORD = 96
-CACHED_WORDS = 300_000
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+CACHED_WORDS = 150_000
+_BASE, _CHECK = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_SIZE, _MASK = 0xBF58476D1CE4E5B9, (1 << 64) - 1
+_SPREAD = np.uint64(0x94D049BB133111EB)
 
 
 @dataclass(frozen=True)
@@ -71,12 +73,31 @@ class Vocabulary:
         self.lowest = min(self.scores.values()) - UNKNOWN_PENALTY
         self.longest = max(map(len, self.ids))
         names = list(self.ids)
-        keys = np.array([_key(p) for p in names], dtype=np.uint64)
+        keys = np.array([_key(p, _BASE) for p in names], dtype=np.uint64)
         order = np.argsort(keys)
         self.keys = keys[order]
+        self.checks = np.array([_key(names[k], _CHECK) for k in order], dtype=np.uint64)
         self.key_scores = np.array([self.scores[names[k]] for k in order])
         self.key_ids = np.array([self.ids[names[k]] for k in order], dtype=np.int32)
-        self.key_pieces = [names[k] for k in order]
+        # most substrings are no pieces: a small table by the key's spread bits turns them away before the search
+        bits = 4 + len(names).bit_length()
+        self.seen_shift = np.uint64(64 - bits)
+        self.seen = np.zeros(1 << bits, dtype=bool)
+        self.seen[(self.keys * _SPREAD) >> self.seen_shift] = True
+        # id of an ASCII character without a piece, -1 where it takes none or more than one
+        self.ascii_ids = np.array([self.byte_ids.get(c, self.unknown) if self.byte_ids else self.unknown for c in range(128)], dtype=np.int32)
+
+    def spelt(self, path: list[int]) -> bytes:
+        """Ids as little-endian 32-bit integers; a negative id is a character without a piece and becomes its bytes."""
+        full: list[int] = []
+        for i in path:
+            if i >= 0:
+                full.append(i)
+            elif self.byte_ids:
+                full += [self.byte_ids.get(b, self.unknown) for b in chr(-i - 1).encode("utf-8", "replace")]
+            else:
+                full.append(self.unknown)
+        return np.array(full, dtype="<i4").tobytes()
 
 
 def _codes(words: list[str]) -> np.ndarray:
@@ -84,31 +105,31 @@ def _codes(words: list[str]) -> np.ndarray:
     return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(len(words), -1)
 
 
-def _prefixes(codes: np.ndarray) -> np.ndarray:
+def _prefixes(codes: np.ndarray, base: np.uint64) -> np.ndarray:
     out = np.zeros((codes.shape[0], codes.shape[1] + 1), dtype=np.uint64)
     for j in range(codes.shape[1]):
-        out[:, j + 1] = out[:, j] * _BASE + codes[:, j] + np.uint64(1)
+        out[:, j + 1] = out[:, j] * base + codes[:, j] + np.uint64(1)
     return out
 
 
-def _finish(raw: np.ndarray, length) -> np.ndarray:
-    raw = (raw ^ (raw >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return raw ^ (raw >> np.uint64(29)) ^ np.asarray(length, dtype=np.uint64)
+def _key(piece: str, base: np.uint64) -> int:
+    raw = int(_prefixes(_codes([piece]), base)[0, -1])
+    return raw ^ (len(piece) * _SIZE & _MASK)
 
 
-def _key(piece: str) -> int:
-    return int(_finish(_prefixes(_codes([piece]))[:, -1], len(piece))[0])
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    return np.array([pow(int(base), k, 1 << 64) for k in range(n + 1)], dtype=np.uint64)
 
 
-def viterbi(words: list[str], v: Vocabulary) -> list[list[int]]:
-    """Ids of words of one length, before unknown characters are spelt as bytes (-1).
+def viterbi(words: list[str], v: Vocabulary) -> list[bytes]:
+    """Ids, as little-endian 32-bit integers, of words of one length.
 
     Of equal sums, the path whose last piece is longest wins, at every position.
     """
     codes = _codes(words)
     rows, length = codes.shape
-    prefix = _prefixes(codes)
-    powers = np.array([pow(int(_BASE), k, 1 << 64) for k in range(v.longest + 1)], dtype=np.uint64)
+    prefix, other = _prefixes(codes, _BASE), _prefixes(codes, _CHECK)
+    powers, other_powers = _powers(_BASE, v.longest), _powers(_CHECK, v.longest)
     best = np.full((rows, length + 1), -np.inf)
     best[:, 0] = 0
     back = np.zeros((rows, length + 1), dtype=np.int32)
@@ -116,30 +137,40 @@ def viterbi(words: list[str], v: Vocabulary) -> list[list[int]]:
     each = np.arange(rows)
     for j in range(1, length + 1):
         sizes = np.arange(min(j, v.longest), 0, -1)
-        hashes = _finish(prefix[:, j, None] - prefix[:, j - sizes] * powers[sizes], sizes)
-        at = np.searchsorted(v.keys, hashes)
-        at[at == len(v.keys)] = 0
-        hit = v.keys[at] == hashes
-        value = np.where(hit, v.key_scores[at], -np.inf)
-        lone = ~hit[:, -1]
-        value[lone, -1] = v.lowest
+        hashes = (prefix[:, j, None] - prefix[:, j - sizes] * powers[sizes]) ^ (sizes.astype(np.uint64) * np.uint64(_SIZE))
+        likely = np.flatnonzero(v.seen[(hashes * _SPREAD) >> v.seen_shift])
+        asked = hashes.ravel()[likely]
+        at = np.minimum(np.searchsorted(v.keys, asked), len(v.keys) - 1)
+        true = v.keys[at] == asked
+        found = np.full(hashes.size, -1, dtype=np.int32)
+        found[likely[true]] = at[true]
+        value = np.full(hashes.size, -np.inf)
+        value[likely[true]] = v.key_scores[at[true]]
+        found, value = found.reshape(hashes.shape), value.reshape(hashes.shape)
+        value[found[:, -1] < 0, -1] = v.lowest
         value += best[:, j - sizes]
         pick = value.argmax(axis=1)
-        best[:, j] = value[each, pick]
-        back[:, j] = sizes[pick]
-        entry[:, j] = np.where(hit[each, pick], at[each, pick], -1)
-    out: list[list[int]] = [[] for _ in range(rows)]
-    for row, word in enumerate(words):
-        j, path, steps, entries = length, out[row], back[row].tolist(), entry[row].tolist()
-        while j:
-            n, k = steps[j], entries[j]
-            if k >= 0 and v.key_pieces[k] != word[j - n : j]:
-                out[row] = scalar(word, v)
-                break
-            path.append(int(v.key_ids[k]) if k >= 0 else -ord(word[j - 1]) - 1)
-            j -= n
-        else:
-            path.reverse()
+        best[:, j], back[:, j], entry[:, j] = value[each, pick], sizes[pick], found[each, pick]
+    ids = np.zeros((rows, length), dtype="<i4")
+    used = np.zeros(rows, dtype=np.int64)
+    place, active, odd = np.full(rows, length), each, np.zeros(rows, dtype=bool)
+    while len(active):
+        end = place[active]
+        step, k = back[active, end], entry[active, end]
+        begin = end - step
+        check = (other[active, end] - other[active, begin] * other_powers[step]) ^ (step.astype(np.uint64) * np.uint64(_SIZE))
+        char = codes[active, end - 1]
+        lone = np.where(char < 128, v.ascii_ids[char & np.uint32(127)], -1)
+        odd[active] |= np.where(k >= 0, v.checks[k] != check, lone < 0)
+        used[active] += 1
+        ids[active, length - used[active]] = np.where(k >= 0, v.key_ids[k], lone)
+        place[active] = begin
+        active = active[begin > 0]
+    flat = ids[np.arange(length) >= length - used[:, None]].tobytes()
+    ends = (np.cumsum(used) * 4).tolist()
+    out = [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+    for row in np.flatnonzero(odd).tolist():
+        out[row] = v.spelt(scalar(words[row], v))
     return out
 
 
@@ -163,44 +194,37 @@ def scalar(word: str, v: Vocabulary) -> list[int]:
 
 
 class Codec:
+    """Encodes and decodes texts; remembers the words of late, in two generations, so that frequent ones stay."""
+
     def __init__(self, model: ModelFile):
         self.v = Vocabulary(model)
-        self.known: dict[str, bytes] = {}
-
-    def _spelt(self, path: list[int]) -> bytes:
-        if any(i < 0 for i in path):
-            full: list[int] = []
-            for i in path:
-                if i >= 0:
-                    full.append(i)
-                else:
-                    raw = chr(-i - 1).encode("utf-8", "replace")
-                    full += [self.v.byte_ids.get(b, self.v.unknown) for b in raw] if self.v.byte_ids else [self.v.unknown]
-            path = full
-        return np.array(path, dtype="<i4").tobytes()
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def learn(self, words: set[str]) -> None:
         by_length: dict[int, list[str]] = {}
         for w in words:
-            by_length.setdefault(len(w), []).append(w)
+            known = self.old.get(w)
+            if known is None:
+                by_length.setdefault(len(w), []).append(w)
+            else:
+                self.young[w] = known
         for length, group in by_length.items():
             if length > LONG_WORD:
-                found = [scalar(w, self.v) for w in group]
-            else:
-                step = max(1, 400_000 // (length * self.v.longest))
-                found = [p for a in range(0, len(group), step) for p in viterbi(group[a : a + step], self.v)]
-            for w, path in zip(group, found, strict=True):
-                self.known[w] = self._spelt(path)
+                self.young.update((w, self.v.spelt(scalar(w, self.v))) for w in group)
+                continue
+            step = max(1, 400_000 // (length * self.v.longest))
+            for a in range(0, len(group), step):
+                part = group[a : a + step]
+                self.young.update(zip(part, viterbi(part, self.v), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
+        if len(self.young) > CACHED_WORDS:
+            self.old, self.young = self.young, {}
         split = [_words(t) for t in texts]
-        new = set().union(*split) - self.known.keys() if split else set()
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known = {}
-            new = set().union(*split)
-        self.learn(new)
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        self.learn(set().union(*split) - self.young.keys())
+        return [b"".join(map(self.young.__getitem__, words)) for words in split]
 
     def decode(self, ids: Iterable[int]) -> str:
         raw = b"".join(map(self.v.surface.__getitem__, ids)).decode("utf-8", "replace")
@@ -245,7 +269,7 @@ def encode(docs: DataFrame, model: ModelFile, ids: str = "ids") -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shipped.value)
-        for part, texts in text_slices(batches):
+        for part, texts in text_slices(batches, 4 << 20):
             coded = codec.encode(texts)
             offsets = np.zeros(len(coded) + 1, dtype=np.int32)
             np.cumsum([len(c) // 4 for c in coded], out=offsets[1:])
