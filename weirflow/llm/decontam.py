@@ -2,7 +2,7 @@
 
 A window is ``length`` consecutive words of a benchmark item; an item with fewer words is one window of its own length. Both sides
 keep, for every window, the smallest hash of the k-grams inside it (k = GRAM or fewer). Equal windows have equal minima, so the join
-of the minima finds every shared window; each hit is then extended to the whole window by comparing its words.
+of the minima finds every shared window; each hit is then extended to the whole window, word by word (64 bits of hash per word).
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import row_key
+from weirflow.llm.common import row_key, stored
 
 GRAM = 5
 BROADCAST_WINDOWS = 500_000
@@ -24,26 +24,27 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(plain, " "), "")
 
 
-def _minimum(hashes: str, at: str, length: int) -> str:
-    """SQL of the smallest k-gram hash of the window of ``length`` words that starts at position ``at`` (from 0)."""
-    k = min(GRAM, length)
-    grams = [f"xxhash64({', '.join(f'try_element_at({hashes}, {at} + {i + j + 1})' for j in range(k))})" for i in range(length - k + 1)]
-    return f"least({', '.join(grams)})" if len(grams) > 1 else grams[0]
+def _hashed(frame: DataFrame) -> DataFrame:
+    """Adds n, the word hashes h and the hashes g of the GRAM words from each place of words ``w``."""
+    sized = frame.withColumn("n", F.size("w")).withColumn("h", F.transform("w", lambda x: F.xxhash64(x)))
+    gram = f"xxhash64({', '.join(f'get(h, i + {j})' for j in range(GRAM))})"
+    return sized.withColumn("g", F.expr(f"CASE WHEN n = 0 THEN array() ELSE transform(sequence(0, n - 1), i -> {gram}) END"))
 
 
-def _windows(frame: DataFrame, lengths: list[int]) -> Column:
-    """Structs (length, mark) of the windows that start at column ``at`` of word hashes ``h``, out of ``n`` words."""
-    each = [F.expr(f"CASE WHEN at + {m} <= n THEN struct({m} AS length, {_minimum('h', 'at', m)} AS mark) END") for m in lengths]
-    return F.array_compact(F.array(*each))
+def _minimum(length: int) -> str:
+    """SQL of the smallest k-gram hash of the window of ``length`` words that starts at place ``at``."""
+    if length < GRAM:
+        return f"xxhash64({', '.join(f'get(h, at + {j})' for j in range(length))})"
+    grams = [f"get(g, at + {i})" for i in range(length - GRAM + 1)]
+    return f"least({', '.join(grams)})" if len(grams) > 1 else grams[0]
 
 
 def item_windows(items: DataFrame, length: int = 10, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """One row per different window: length, mark (smallest k-gram hash), words, item_ids that hold it. Items without words have none."""
+    """Rows of different windows and items: length, mark (smallest k-gram hash), hashes of the words, item. Items without words have none."""
     tokens = items.select(F.col(item_id).alias("item"), words(F.col(text)).alias("w")).where("size(w) > 0")
-    sized = tokens.select("item", "w", F.transform("w", lambda x: F.xxhash64(x)).alias("h"), F.size("w").alias("n"))
-    starts = sized.withColumn("m", F.least("n", F.lit(length))).withColumn("at", F.explode(F.expr("sequence(0, n - m)")))
-    mark = F.expr("CASE m " + " ".join(f"WHEN {m} THEN {_minimum('h', 'at', m)}" for m in range(1, length + 1)) + " END")
-    return starts.select(F.col("m").alias("length"), mark.alias("mark"), F.expr("concat_ws(' ', slice(w, at + 1, m))").alias("window"), "item").distinct()
+    starts = _hashed(tokens).withColumn("m", F.least("n", F.lit(length))).withColumn("at", F.explode(F.expr("sequence(0, n - m)")))
+    mark = F.expr("CASE m " + " ".join(f"WHEN {m} THEN {_minimum(m)}" for m in range(1, length + 1)) + " END")
+    return starts.select(F.col("m").alias("length"), mark.alias("mark"), F.expr("slice(h, at + 1, m)").alias("window"), "item").distinct()
 
 
 def contamination(docs: DataFrame, items: DataFrame, length: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -61,25 +62,21 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = 10, doc_id: s
         small = windows.select("length", "mark", "window").distinct().limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
     finally:
         windows.unpersist()
-    counted = kept.withColumn("_w", words(F.col(text)))
     if not sizes:
         none = [F.lit(0).cast("bigint").alias("n_hit"), F.lit(0).cast("bigint").alias("n_items"), F.sha2(F.lit(""), 256).alias("items_sha256")]
-        return counted.select(*kept.columns, F.size("_w").cast("bigint").alias("n_words"), *none, F.lit(False).alias("contaminated"))
+        return kept.select("*", F.size(words(F.col(text))).cast("bigint").alias("n_words"), *none, F.lit(False).alias("contaminated"))
     marks = windows.select("length", "mark", "window").distinct()
     marks = F.broadcast(marks) if small else marks
     # one row more than there are words carries the number of words, so that one reading of the texts gives both
-    places = (
-        kept.select(row_key(doc_id, text).alias("k"), words(F.col(text)).alias("w"))
-        .withColumn("n", F.size("w"))
-        .withColumn("h", F.transform("w", lambda x: F.xxhash64(x)))
-        .select("k", "n", "w", "h", F.explode(F.expr("sequence(0, n)")).alias("at"))
-    )
-    starts = places.withColumn("win", F.explode_outer(F.when(F.col("at") < F.col("n"), _windows(places, sizes))))
-    found = starts.select("k", "n", "w", "at", F.col("win.length").alias("length"), F.col("win.mark").alias("mark"))
-    joined = found.join(marks, ["length", "mark"], "left")
-    same = F.expr("concat_ws(' ', slice(w, at + 1, length)) = window")
-    hits = joined.where((F.col("at") == F.col("n")) | same).select("k", "n", "at", "length", "window")
-    return _summed(kept, hits, windows, doc_id, text)
+    tokens = _hashed(kept.select(row_key(doc_id, text).alias("k"), words(F.col(text)).alias("w"))).drop("w")
+    places = tokens.withColumn("at", F.explode(F.expr("sequence(0, n)")))
+    each = ", ".join(f"named_struct('length', {m}, 'mark', CASE WHEN at + {m} <= n THEN {_minimum(m)} END)" for m in sizes)
+    last = "array(named_struct('length', 0, 'mark', CAST(NULL AS BIGINT)))"
+    starts = places.withColumn("win", F.explode(F.expr(f"CASE WHEN at = n THEN {last} ELSE array({each}) END")))
+    found = starts.select("k", "n", "h", "at", F.col("win.length").alias("length"), F.col("win.mark").alias("mark"))
+    joined = found.where("at = n OR mark IS NOT NULL").join(marks, ["length", "mark"], "left")
+    hits = joined.where("at = n OR (window IS NOT NULL AND slice(h, at + 1, length) = window)").select("k", "n", "at", "length", "window")
+    return _summed(kept, stored(hits, "hits"), windows, doc_id, text)
 
 
 def _summed(kept: DataFrame, hits: DataFrame, windows: DataFrame, doc_id: str, text: str) -> DataFrame:
