@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import decontam, langid, outliers, pieces, quality, windowdedup
+from weirflow.llm import decontam, langid, outliers, pieces, quality, simhash, windowdedup
 from weirflow.llm.common import held_out
 from weirflow.session import load
 
@@ -104,3 +104,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     out = windowdedup.deduplicate(docs)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op5_simhash_near_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(load(spark, sf_dir, "documents").select("doc_id", "text"))
