@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import decontam, langid, outliers, pieces, quality, simhash, windowdedup
+from weirflow.llm import decontam, langid, outliers, pieces, quality, sharding, simhash, windowdedup
 from weirflow.llm.common import held_out
 from weirflow.session import load
 
@@ -109,3 +109,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_simhash_near_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(load(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op7_hilbert_sharding")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return sharding.shards(docs).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "curve")
