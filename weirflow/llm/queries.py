@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import decontam, langid, outliers, pieces, quality, sharding, simhash, windowdedup
+from weirflow.llm import decontam, langid, outliers, pieces, quality, records, sharding, simhash, windowdedup
 from weirflow.llm.common import held_out
-from weirflow.session import load
+from weirflow.session import load, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -115,3 +115,15 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return sharding.shards(docs).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "curve")
+
+
+def byte_tokenizer() -> str:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        return f.read()
+
+
+@query("op2_token_records")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    files = records.write(load(spark, sf_dir, "documents").select("doc_id", "text"), path, byte_tokenizer())
+    return records.read(spark, path, files)
