@@ -68,22 +68,38 @@ class Words:
         return owner, at - first[owner], k1[at], k2[at]
 
 
-def words_of(texts: list[bytes]) -> Words:
+def _blocks(buffer: np.ndarray, blank: np.ndarray, size: int):
+    """Ranges of about ``size`` bytes that end after a blank, so that no word is cut."""
+    start = 0
+    while start < len(buffer):
+        end = min(start + size, len(buffer))
+        while end < len(buffer) and not blank[end - 1]:
+            step = np.flatnonzero(blank[end : end + size])
+            end = min(end + (int(step[0]) + 1 if len(step) else size), len(buffer))
+        yield start, end
+        start = end
+
+
+def words_of(texts: list[bytes], block: int = 1 << 20) -> Words:
+    """Words of ``texts`` with their hashes, worked out block by block so that memory stays a small multiple of the texts."""
     buffer = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
     blank = _BLANK[buffer]
-    before = np.concatenate([[True], blank[:-1]])
-    starts = np.flatnonzero(before & ~blank)
+    hashes: list[list[np.ndarray]] = [[], []]
+    places = []
+    for a, b in _blocks(buffer, blank, block):
+        gap = blank[a:b]
+        starts = np.flatnonzero(np.concatenate([[True], gap[:-1]]) & ~gap)
+        if not len(starts):
+            continue
+        body = buffer[a + starts[0] : b]
+        sizes = np.diff(np.append(starts, b - a))
+        place = np.arange(len(body), dtype=np.int64) - np.repeat(starts - starts[0], sizes)
+        for out, table, base in zip(hashes, _TABLES, _BASES, strict=True):
+            out.append(mix(np.add.reduceat(table[body] * _powers(base, int(sizes.max()))[place], starts - starts[0])))
+        places.append(starts + a)
+    starts = np.concatenate([np.zeros(0, dtype=np.int64), *places])
     ends = np.cumsum(np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1)
-    text = np.searchsorted(ends, starts, side="right")
+    text = np.searchsorted(ends, starts, side="right").astype(np.int32)
     counts = np.bincount(text, minlength=len(texts)).astype(np.int64)
-    if not len(starts):
-        none = np.zeros(0, dtype=np.uint64)
-        return Words(text, counts, none, none)
-    gaps = np.diff(np.append(starts, len(buffer)))
-    place = np.arange(starts[0], len(buffer)) - np.repeat(starts, gaps)
-    body = buffer[starts[0] :]
-    hashes = []
-    for table, base in zip(_TABLES, _BASES, strict=True):
-        scaled = table[body] * _powers(base, int(gaps.max()))[place]
-        hashes.append(mix(np.add.reduceat(scaled, starts - starts[0])))
-    return Words(text, counts, *hashes)
+    none = np.zeros(0, dtype=np.uint64)
+    return Words(text, counts, np.concatenate([none, *hashes[0]]), np.concatenate([none, *hashes[1]]))

@@ -1,8 +1,8 @@
 """Substring de-duplication over word windows with a count-min prefilter.
 
-First pass: every task counts the hashes of its windows in a sketch of fixed size (``rows`` rows of ``cells`` counters that stop at 2)
-and the sketches are added up slice by slice. A counter is never less than the true count, so no repeated window is lost. Second pass:
-only windows whose counters all say "twice" are grouped exactly, by 128 bits of hash, to find the smallest document that has them.
+First pass: every task counts the hashes of its windows in a sketch of fixed size and the sketches are added up slice by slice. A
+counter is never less than the true count, so no repeated window is lost. Second pass: only windows whose counters all say "twice" are
+grouped exactly, by 128 bits of hash, to find the smallest document that has them.
 A task settles what it can among its own texts first, so a window sends one row per chunk of text however often it occurs.
 """
 
@@ -13,108 +13,30 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirflow.llm.common import text_slices, wider
-from weirflow.llm.hashing import mix, words_of
-
-CHUNK_BYTES = 4 << 20
+from weirflow.llm.countmin import CHUNK_BYTES, Shape, Sieve, Sketch, sketch
+from weirflow.llm.hashing import words_of
 
 
 @dataclass(frozen=True)
 class Settings:
-    """width: words of a window. cells, rows, slices: shape of the sketch, powers of two; its size does not grow with the data.
-
-    With far more windows than cells the sketch passes more windows on to the exact grouping; results stay the same.
-    """
+    """width: words of a window; shape: of the sketch. With a sketch too small for the data results stay the same, at more shuffle."""
 
     width: int = 20
-    cells: int = 1 << 28
-    rows: int = 2
-    slices: int = 128
-
-
-def _cell(k1: np.ndarray, k2: np.ndarray, row: int, cells: int) -> np.ndarray:
-    return (mix(k1 + np.uint64(row + 1) * k2) & np.uint64(cells - 1)).astype(np.uint32)
-
+    shape: Shape = Shape()
 
-def _pack(sorted_cells: np.ndarray) -> bytes:
-    return zstandard.compress(np.diff(sorted_cells, prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
 
-
-def _unpack(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(blob), dtype=np.uint8).reshape(4, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4")[:, 0], dtype=np.uint32)
-
-
-def _sketch(batches: Iterable[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
-    """Cells of this task's windows, row by row and slice by slice; ``twice``: those already counted twice here."""
-    names = ["row", "slice", "once", "twice"]
-    width = s.cells // s.slices
-    for _, texts in text_slices(batches, limit=4 * CHUNK_BYTES):
-        _, _, k1, k2 = words_of([t.encode("utf-8", "replace") for t in texts]).windows(s.width)
-        if not len(k1):
-            continue
-        for row in range(s.rows):
-            cells, counts = np.unique(_cell(k1, k2, row, s.cells), return_counts=True)
-            edges = np.searchsorted(cells, np.arange(s.slices + 1, dtype=np.int64) * width)
-            parts = [(k, cells[a:b] - np.uint32(k * width), counts[a:b]) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row] * len(parts), pa.int32()), pa.array([k for k, _, _ in parts], pa.int32()),
-                 pa.array([_pack(c) for _, c, _ in parts], pa.binary()), pa.array([_pack(c[n > 1]) for _, c, n in parts], pa.binary())], names=names,
-            )
+def _keys(width: int):
+    return lambda texts: words_of(texts).windows(width)[2:]
 
 
-def _added(batches: Iterable[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
-    """Sum of the slices that came to this task: a bit per cell, set if the cell counted at least twice."""
-    size = s.cells // s.slices
-    once: dict[tuple[int, int], np.ndarray] = {}
-    twice: dict[tuple[int, int], np.ndarray] = {}
-    for batch in batches:
-        for row, part, a, b in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            key = row, part
-            if key not in once:
-                once[key], twice[key] = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
-            cells = _unpack(a)
-            twice[key][cells[once[key][cells]]] = True
-            once[key][cells] = True
-            twice[key][_unpack(b)] = True
-    for (row, part), bits in twice.items():
-        blob = zstandard.compress(np.packbits(bits).tobytes(), 1)
-        yield pa.RecordBatch.from_arrays([pa.array([row], pa.int32()), pa.array([part], pa.int32()), pa.array([blob], pa.binary())], names=["row", "slice", "bits"])
-
-
-def sketch(docs: DataFrame, s: Settings) -> list[tuple[int, int, bytes]]:
-    """The merged sketch as compressed bit slices: at most rows * cells / 8 bytes, whatever the size of ``docs``."""
-    parts = docs.select("text").mapInArrow(lambda b: _sketch(b, s), "row int, slice int, once binary, twice binary")
-    merged = parts.repartition("row", "slice").mapInArrow(lambda b: _added(b, s), "row int, slice int, bits binary")
-    return [(r.row, r.slice, bytes(r.bits)) for r in merged.collect()]
-
-
-class _Filter:
-    def __init__(self, parts: list[tuple[int, int, bytes]], s: Settings):
-        self.s = s
-        size = s.cells // s.slices // 8
-        self.bits = [np.zeros(s.cells // 8, dtype=np.uint8) for _ in range(s.rows)]
-        for row, part, blob in parts:
-            self.bits[row][part * size : (part + 1) * size] = np.frombuffer(zstandard.decompress(blob), dtype=np.uint8)
-
-    def repeated(self, k1: np.ndarray, k2: np.ndarray) -> np.ndarray:
-        found = np.arange(len(k1))
-        for row in range(self.s.rows):
-            cell = _cell(k1[found], k2[found], row, self.s.cells)
-            found = found[(self.bits[row][cell >> np.uint32(3)] >> (np.uint8(7) - (cell & np.uint32(7)).astype(np.uint8))) & 1 > 0]
-        return found
-
-
-
-
-def _candidates(batches: Iterable[pa.RecordBatch], parts: list[tuple[int, int, bytes]], s: Settings) -> Iterator[pa.RecordBatch]:
-    sieve = _Filter(parts, s)
+def _candidates(batches: Iterable[pa.RecordBatch], parts: Sketch, s: Settings) -> Iterator[pa.RecordBatch]:
+    sieve = Sieve(parts, s.shape)
     names = ["k1", "k2", "id", "h", "at", "settled"]
-    for part, texts in text_slices(batches, limit=4 * CHUNK_BYTES):
+    for part, texts in text_slices(batches, limit=CHUNK_BYTES):
         owner, at, k1, k2 = words_of([t.encode("utf-8", "replace") for t in texts]).windows(s.width)
         found = sieve.repeated(k1, k2)
         if not len(found):
@@ -152,7 +74,7 @@ def _candidates(batches: Iterable[pa.RecordBatch], parts: list[tuple[int, int, b
 
 def repeated_windows(docs: DataFrame, s: Settings) -> DataFrame:
     """id, h (key of the row) and the first words ``ats``, ``settled`` of its windows that start earlier elsewhere."""
-    parts = sketch(docs, s)
+    parts = sketch(docs, _keys(s.width), s.shape)
     shipped = docs.sparkSession.sparkContext.broadcast(parts)
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("id"), F.xxhash64("text").alias("h"), "text")
     rows = keyed.mapInArrow(lambda b: _candidates(b, shipped.value, s), "k1 bigint, k2 bigint, id bigint, h bigint, at int, settled binary")
