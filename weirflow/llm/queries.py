@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import decontam, langid, outliers, pieces, quality, records, sharding, simhash, windowdedup
+from weirflow.llm import decontam, langid, outliers, pieces, quality, records, sharding, simhash, suffixdedup, windowdedup
 from weirflow.llm.common import held_out
 from weirflow.session import load, scratch_path
 
@@ -127,3 +127,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     files = records.write(load(spark, sf_dir, "documents").select("doc_id", "text"), path, byte_tokenizer())
     return records.read(spark, path, files)
+
+
+@query("op4_suffix_array_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixdedup.deduplicate(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

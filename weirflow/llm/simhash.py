@@ -122,3 +122,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     lowest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     named = placed.join(lowest, "root").select("fp", "component_id")
     return marked.join(named, "fp").select(*rest, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """One row of each component, with all columns: the smallest doc_id (null last), then the smallest text hash; equal rows become one."""
+    last = (1 << 63) - 1
+    named = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(last))).withColumn("_h", F.xxhash64("text"))
+    found = near_duplicates(named.select(F.col("_id").alias("doc_id"), "_h", "text"))
+    first = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "_h")).alias("row")).select(F.col("row.doc_id").alias("_id"), F.col("row._h").alias("_h"))
+    return named.join(first, ["_id", "_h"]).dropDuplicates(["_id", "_h"]).select(*docs.columns)
