@@ -2,7 +2,7 @@
 
 First pass: every task counts the hashes of its windows in a sketch of fixed size and the sketches are added up slice by slice. A
 counter is never less than the true count, so no repeated window is lost. Second pass: only windows whose counters all say "twice" are
-grouped exactly, by 128 bits of hash, to find the smallest document that has them.
+grouped exactly, by 96 bits of hash, to find the smallest document that has them.
 A task settles what it can among its own texts first, so a window sends one row per chunk of text however often it occurs.
 """
 
@@ -13,7 +13,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.llm.common import text_slices, wider
@@ -33,18 +34,61 @@ def _keys(width: int):
     return lambda texts: words_of(texts).windows(width)[2:]
 
 
-def _candidates(batches: Iterable[pa.RecordBatch], parts: Sketch, s: Settings) -> Iterator[pa.RecordBatch]:
+def _planes(values: np.ndarray) -> bytes:
+    """Bytes of equal weight together, which compresses better."""
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _unplanes(data: memoryview, dtype: str, n: int) -> tuple[np.ndarray, memoryview]:
+    size = np.dtype(dtype).itemsize * n
+    return np.ascontiguousarray(np.frombuffer(data[:size], dtype=np.uint8).reshape(-1, n).T).view(dtype)[:, 0], data[size:]
+
+
+def _pack(k1: np.ndarray, k2: np.ndarray, owner: np.ndarray, at: np.ndarray, ids: np.ndarray, hashes: np.ndarray) -> bytes:
+    """Windows sorted by ``k1`` and the rows that own them, in one compressed block; 96 bits of each key are kept."""
+    who, row = np.unique(owner, return_inverse=True)
+    head = np.array([len(k1), len(who)], dtype="<u8").tobytes()
+    body = [np.diff(k1, prepend=np.uint64(0)), k2.astype(np.uint32), row.astype(np.uint32), at.astype(np.uint32)]
+    table = [np.diff(ids[who], prepend=np.int64(0)), hashes[who]]
+    return zstandard.compress(head + b"".join(map(_planes, body + table)), 1)
+
+
+def _unpack(blob: bytes) -> tuple[np.ndarray, ...]:
+    data = memoryview(zstandard.decompress(blob))
+    n, rows = np.frombuffer(data[:16], dtype="<u8").tolist()
+    data = data[16:]
+    out = []
+    for dtype, count in (("<u8", n), ("<u4", n), ("<u4", n), ("<u4", n), ("<i8", rows), ("<i8", rows)):
+        values, data = _unplanes(data, dtype, count)
+        out.append(values)
+    k1, k2, row, at, ids, hashes = out
+    return np.cumsum(k1, dtype=np.uint64), k2, np.cumsum(ids, dtype=np.int64)[row], hashes[row], at
+
+
+_SENT = ["bucket", "block", "id", "h", "ats"]
+
+
+def _by_row(ids: np.ndarray, hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Different (id, hash) and the first words of their windows, packed."""
+    order = np.lexsort((at, hashes, ids))
+    ids, hashes, at = ids[order], hashes[order], at[order].astype("<i4")
+    new = np.ones(len(ids), dtype=bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (hashes[1:] != hashes[:-1])
+    cuts = np.flatnonzero(new)
+    return ids[cuts], hashes[cuts], [x.tobytes() for x in np.split(at, cuts[1:])] if len(cuts) else []
+
+
+def _candidates(batches: Iterable[pa.RecordBatch], parts: Sketch, s: Settings, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Blocks of windows to group exactly, by bucket of their key, and windows that this chunk settles by itself."""
     sieve = Sieve(parts, s.shape)
-    names = ["k1", "k2", "id", "h", "at", "settled"]
     for part, texts in text_slices(batches, limit=CHUNK_BYTES):
         owner, at, k1, k2 = words_of([t.encode("utf-8", "replace") for t in texts]).windows(s.width)
         found = sieve.repeated(k1, k2)
         if not len(found):
             continue
         owner, at, k1, k2 = owner[found], at[found], k1[found], k2[found]
-        ids = part.column("id").to_numpy()
-        hashes = part.column("h").to_numpy()
-        # by key, then id, then row and place: the first row of a key is the only one that another task may still remove
+        ids, hashes = part.column("id").to_numpy(), part.column("h").to_numpy()
+        # by key, then id, then row and place: the first row of a key is the only one that another chunk may still remove
         order = np.lexsort((at, owner, ids[owner], k2, k1))
         owner, at, k1, k2 = owner[order], at[order], k1[order], k2[order]
         new_key = np.ones(len(order), dtype=bool)
@@ -53,43 +97,74 @@ def _candidates(batches: Iterable[pa.RecordBatch], parts: Sketch, s: Settings) -
         new_row = new_key.copy()
         new_row[1:] |= owner[1:] != owner[:-1]
         gone = (ids[owner] > least) | ~new_row
-        keep = ~gone
+        keep = np.flatnonzero(~gone)
+        bucket = (k1[keep] % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        keep, bucket = keep[order], bucket[order]
+        edges = np.searchsorted(bucket, np.arange(buckets + 1))
+        sent = [(k, keep[a:b]) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
+        blocks = [_pack(k1[x], k2[x], owner[x], at[x], ids, hashes) for _, x in sent]
+        n = len(sent)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(k1[keep].view(np.int64)), pa.array(k2[keep].view(np.int64)), pa.array(ids[owner[keep]]), pa.array(hashes[owner[keep]]),
-             pa.array(at[keep].astype(np.int32)), pa.nulls(int(keep.sum()), pa.binary())], names=names,
+            [pa.array([k for k, _ in sent], pa.int32()), pa.array(blocks, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], names=_SENT
         )
-        if gone.any():
-            rows, places = owner[gone], at[gone]
-            order = np.lexsort((places, rows))
-            rows, places = rows[order], places[order]
-            cuts = np.flatnonzero(np.diff(rows, prepend=-1))
-            who = rows[cuts]
-            blobs = [x.astype("<i4").tobytes() for x in np.split(places, cuts[1:])]
-            n = len(who)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes[who]), pa.array(ids[who]), pa.array(ids[who]), pa.array(hashes[who]), pa.array(np.full(n, -1, dtype=np.int32)), pa.array(blobs, pa.binary())],
-                names=names,
-            )
+        i, h, ats = _by_row(ids[owner[gone]], hashes[owner[gone]], at[gone])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array((h % buckets).astype(np.int32)), pa.nulls(len(i), pa.binary()), pa.array(i), pa.array(h), pa.array(ats, pa.binary())], names=_SENT
+        )
+
+
+def _grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows that a smaller id has too. Rows come sorted by bucket; one bucket at a time is held."""
+    names = ["id", "h", "ats"]
+
+    def late(blocks: list[bytes]) -> pa.RecordBatch:
+        k1, k2, ids, hashes, at = (np.concatenate(c) for c in zip(*map(_unpack, blocks), strict=True))
+        order = np.lexsort((ids, k2, k1))
+        k1, k2, ids, hashes, at = k1[order], k2[order], ids[order], hashes[order], at[order]
+        new = np.ones(len(k1), dtype=bool)
+        new[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
+        gone = ids > ids[np.flatnonzero(new)][np.cumsum(new) - 1]
+        i, h, ats = _by_row(ids[gone], hashes[gone], at[gone])
+        return pa.RecordBatch.from_arrays([pa.array(i), pa.array(h), pa.array(ats, pa.binary())], names=names)
+
+    current, blocks = None, []
+    for batch in batches:
+        settled = batch.filter(batch.column("block").is_null())
+        if settled.num_rows:
+            yield settled.select(names)
+        sent = batch.filter(batch.column("block").is_valid())
+        for bucket, block in zip(sent.column("bucket").to_pylist(), sent.column("block").to_pylist(), strict=True):
+            if bucket != current and blocks:
+                yield late(blocks)
+                blocks = []
+            current = bucket
+            blocks.append(block)
+    if blocks:
+        yield late(blocks)
+
+
+_FIRST_ID = -(1 << 63)
 
 
 def repeated_windows(docs: DataFrame, s: Settings) -> DataFrame:
-    """id, h (key of the row) and the first words ``ats``, ``settled`` of its windows that start earlier elsewhere."""
+    """id, h (key of a row) and ``ats``, packed first words of its windows that start earlier elsewhere."""
+    spark = docs.sparkSession
     parts = sketch(docs, _keys(s.width), s.shape)
-    shipped = docs.sparkSession.sparkContext.broadcast(parts)
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("id"), F.xxhash64("text").alias("h"), "text")
-    rows = keyed.mapInArrow(lambda b: _candidates(b, shipped.value, s), "k1 bigint, k2 bigint, id bigint, h bigint, at int, settled binary")
-    least = F.min("id").over(Window.partitionBy("k1", "k2"))
-    late = rows.withColumn("least", least).where("settled IS NOT NULL OR id > least")
-    return late.groupBy("id", "h").agg(F.collect_list(F.when(F.col("settled").isNull(), F.col("at"))).alias("ats"), F.collect_list("settled").alias("settled"))
+    shipped = spark.sparkContext.broadcast(parts)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_FIRST_ID)).alias("id"), F.xxhash64("text").alias("h"), "text")
+    rows = keyed.mapInArrow(lambda b: _candidates(b, shipped.value, s, buckets), "bucket int, block binary, id bigint, h bigint, ats binary")
+    late = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_grouped, "id bigint, h bigint, ats binary")
+    return late.groupBy("id", "h").agg(F.collect_list("ats").alias("ats"))
 
 
-def _removed(n: int, ats: list[int] | None, settled: list[bytes] | None, width: int) -> np.ndarray:
+def _removed(n: int, ats: list[bytes], width: int) -> np.ndarray:
     """Which of ``n`` words a removed window covers."""
     change = np.zeros(n + 1, dtype=np.int64)
-    starts = np.concatenate([np.array(ats or [], dtype=np.int64), *(np.frombuffer(b, dtype="<i4") for b in settled or [])]).astype(np.int64)
-    starts = np.unique(starts)
+    starts = np.unique(np.concatenate([np.frombuffer(b, dtype="<i4") for b in ats]).astype(np.int64))
     change[starts] += 1
-    np.subtract.at(change, starts + width, 1)
+    change[starts + width] -= 1
     return np.cumsum(change[:-1]) > 0
 
 
@@ -105,16 +180,16 @@ def deduplicate(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     rest = [c for c in docs.columns if c not in added]
     docs = docs.select(*rest)
     late = repeated_windows(docs.select("doc_id", "text"), s)
-    key = [F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("_id"), F.xxhash64("text").alias("_h")]
-    joined = docs.select("*", *key).join(late, (F.col("_id") == F.col("id")) & (F.col("_h") == F.col("h")), "left").select(*rest, F.col("ats").alias("_ats"), F.col("settled").alias("_settled"))
+    key = [F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_FIRST_ID)).alias("_id"), F.xxhash64("text").alias("_h")]
+    joined = docs.select("*", *key).join(late, (F.col("_id") == F.col("id")) & (F.col("_h") == F.col("h")), "left").select(*rest, F.col("ats").alias("_ats"))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches):
             totals, removed, kept = [], [], []
-            for text, ats, settled in zip(texts, part.column("_ats").to_pylist(), part.column("_settled").to_pylist(), strict=True):
+            for text, ats in zip(texts, part.column("_ats").to_pylist(), strict=True):
                 words = text.encode("utf-8", "replace").split()
-                if ats or settled:
-                    gone = _removed(len(words), ats, settled, s.width)
+                if ats:
+                    gone = _removed(len(words), ats, s.width)
                     words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
                     removed.append(int(gone.sum()))
                 else:
