@@ -94,4 +94,4 @@ def _summed(kept: DataFrame, hits: DataFrame, windows: DataFrame, doc_id: str, t
         F.sha2(F.concat_ws(",", F.coalesce("ids", F.array().cast("array<string>"))), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
-    return kept.withColumn("k", row_key(doc_id, text)).join(both, "k").drop("k")
+    return kept.withColumn("_wf_k", row_key(doc_id, text)).join(both.withColumnRenamed("k", "_wf_k"), "_wf_k").drop("_wf_k")

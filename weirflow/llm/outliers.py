@@ -21,6 +21,7 @@ _BLANK = "\t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 SCALE = 256
 DIMS = ("v0", "v1", "v2", "v3")
+STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 _ROW_BITS = 30
 
 
@@ -41,8 +42,7 @@ def words(text: Column) -> Column:
 
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed of the whole text (null: empty)."""
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
-    rest = [c for c in docs.columns if c not in names]
+    rest = [c for c in docs.columns if c not in STATISTICS]
     t = F.coalesce(F.col(text), F.lit(""))
     visible = F.length(F.translate(t, " " + _BLANK, ""))
     lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.translate(x, " " + _BLANK, "")) > 0)
@@ -69,7 +69,7 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     repeat = F.expr(f"CASE WHEN size(_p) = 0 THEN 0L WHEN size(_p) = 1 THEN 3L ELSE 3L + aggregate({steps}, 0L, (s, x) -> s + x) END")
     out = fifth.withColumn("n_repeat_words", repeat)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return out.select(*rest, *names[:5], failed.alias("base_failed"))
+    return out.select(*rest, *STATISTICS[:5], failed.alias("base_failed"))
 
 
 def vector(frame: DataFrame) -> DataFrame:
@@ -162,8 +162,9 @@ def judge(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     form groups of their own, a null text has no words and fails, repeated rows count as often as they come, an empty table stays empty.
     """
     s = settings or Settings()
-    slim = statistics(docs).drop("text")
-    table = stored(vector(slim), "statistics")
+    own = [c for c in docs.columns if c not in ("text", *STATISTICS, "d2", "kept")]
+    packed = docs.select(F.struct(*own).alias("_wf_row"), "text", "lang", "source")
+    table = stored(vector(statistics(packed).drop("text")), "statistics")
     grouped = _grouped(table, s.smallest_group)
     usable = grouped.where(~F.col("base_failed")).select("a", "b", *DIMS)
     sizes = usable.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_size"))
@@ -171,4 +172,4 @@ def judge(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     placed = _distance(grouped.join(found, ["a", "b"], "left"))
     d2 = F.when(~F.col("base_failed") & (F.col("_size") >= s.smallest_group), F.col("d2"))
     out = placed.withColumn("d2", d2).withColumn("kept", ~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= s.cut))
-    return out.select(*slim.columns, "d2", "kept")
+    return out.select("_wf_row.*", *STATISTICS, "d2", "kept")

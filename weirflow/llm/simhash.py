@@ -127,7 +127,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def representatives(docs: DataFrame) -> DataFrame:
     """One row of each component, with all columns: the smallest doc_id (null last), then the smallest text hash; equal rows become one."""
     last = (1 << 63) - 1
-    named = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(last))).withColumn("_h", F.xxhash64("text"))
-    found = near_duplicates(named.select(F.col("_id").alias("doc_id"), "_h", "text"))
-    first = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "_h")).alias("row")).select(F.col("row.doc_id").alias("_id"), F.col("row._h").alias("_h"))
-    return named.join(first, ["_id", "_h"]).dropDuplicates(["_id", "_h"]).select(*docs.columns)
+    named = docs.withColumn("_wf_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(last))).withColumn("_wf_h", F.xxhash64("text"))
+    found = near_duplicates(named.select(F.col("_wf_id").alias("doc_id"), "_wf_h", "text"))
+    first = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "_wf_h")).alias("row")).select(F.col("row.doc_id").alias("_wf_id"), F.col("row._wf_h").alias("_wf_h"))
+    return named.join(first, ["_wf_id", "_wf_h"]).dropDuplicates(["_wf_id", "_wf_h"]).select(*docs.columns)

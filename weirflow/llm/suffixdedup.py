@@ -423,14 +423,15 @@ def deduplicate(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     docs = docs.select(*rest)
     spans = repeated_spans(docs.select("doc_id", "text"), s)
     # a text of n bytes has at most n spans, so a list per row stays within a multiple of its text
-    spans = spans.groupBy("id", "h").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("_spans"))
-    key = [F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_FIRST_ID)).alias("_id"), F.xxhash64("text").alias("_h")]
-    joined = docs.select("*", *key).join(spans, (F.col("_id") == F.col("id")) & (F.col("_h") == F.col("h")), "left").select(*rest, "_spans")
+    spans = spans.groupBy("id", "h").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("_wf_spans"))
+    key = [F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_FIRST_ID)).alias("_wf_id"), F.xxhash64("text").alias("_wf_h")]
+    found = spans.select(F.col("id").alias("_wf_id"), F.col("h").alias("_wf_h"), "_wf_spans")
+    joined = docs.select("*", *key).join(found, ["_wf_id", "_wf_h"], "left").select(*rest, "_wf_spans")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches):
             raw = [t.encode("utf-8", "replace") for t in texts]
-            lists = [[(x["first"], x["last"]) for x in v or ()] for v in part.column("_spans").to_pylist()]
+            lists = [[(x["first"], x["last"]) for x in v or ()] for v in part.column("_wf_spans").to_pylist()]
             cut = [_cut(t, v) for t, v in zip(raw, lists, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*(part.column(c) for c in rest), pa.array(list(map(len, raw)), pa.int64()), pa.array([c[1] for c in cut], pa.int64()),

@@ -180,13 +180,14 @@ def deduplicate(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     rest = [c for c in docs.columns if c not in added]
     docs = docs.select(*rest)
     late = repeated_windows(docs.select("doc_id", "text"), s)
-    key = [F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_FIRST_ID)).alias("_id"), F.xxhash64("text").alias("_h")]
-    joined = docs.select("*", *key).join(late, (F.col("_id") == F.col("id")) & (F.col("_h") == F.col("h")), "left").select(*rest, F.col("ats").alias("_ats"))
+    key = [F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_FIRST_ID)).alias("_wf_id"), F.xxhash64("text").alias("_wf_h")]
+    found = late.select(F.col("id").alias("_wf_id"), F.col("h").alias("_wf_h"), F.col("ats").alias("_wf_ats"))
+    joined = docs.select("*", *key).join(found, ["_wf_id", "_wf_h"], "left").select(*rest, "_wf_ats")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches):
             totals, removed, kept = [], [], []
-            for text, ats in zip(texts, part.column("_ats").to_pylist(), strict=True):
+            for text, ats in zip(texts, part.column("_wf_ats").to_pylist(), strict=True):
                 words = text.encode("utf-8", "replace").split()
                 if ats:
                     gone = _removed(len(words), ats, s.width)
