@@ -81,11 +81,10 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = 10, doc_id: s
 
 def _summed(kept: DataFrame, hits: DataFrame, windows: DataFrame, doc_id: str, text: str) -> DataFrame:
     spans = hits.groupBy("k", "at").agg(F.max("n").alias("n"), F.max("length").alias("length"))
+    places = spans.select("k", "n", F.explode(F.expr("CASE WHEN at = n THEN array(-1) ELSE sequence(at, at + length - 1) END")).alias("at"))
     covered = (
-        spans.withColumn("at", F.explode(F.expr("CASE WHEN at = n THEN array(-1) ELSE sequence(at, at + length - 1) END")))
-        .distinct()
-        .groupBy("k")
-        .agg(F.max("n").cast("bigint").alias("n_words"), F.count(F.when(F.col("at") >= 0, 1)).alias("n_hit"))
+        places.groupBy("k", "at").agg(F.max("n").alias("n"))
+        .groupBy("k").agg(F.max("n").cast("bigint").alias("n_words"), F.count(F.when(F.col("at") >= 0, 1)).alias("n_hit"))
     )
     named = hits.where("window IS NOT NULL").select("k", "window").distinct().join(windows.select("window", "item").distinct(), "window")
     ids = named.select("k", F.col("item").cast("string").alias("item")).distinct().groupBy("k").agg(F.sort_array(F.collect_list("item")).alias("ids"))
