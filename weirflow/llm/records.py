@@ -29,10 +29,12 @@ from tokenizers import Tokenizer
 from weirflow.llm.common import text_slices
 
 END = 0
+BLANK = "Ġ"  # fixed value: how byte-level vocabularies write a blank
 MASK_DELTA = 0xA282EAD8  # fixed value of the masked checksum format
 ENTRY = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("width", "u1"), ("offset", "<u8"), ("tokens", "<u4")])
 READ_BYTES = 8 << 20
-CACHED_WORDS = 150_000
+CACHED_WORDS = 200_000
+JOINED_WORDS = 500
 _HEAD = struct.Struct("<QI")
 _CHECK = struct.Struct("<I")
 
@@ -63,53 +65,91 @@ def unframe(data: memoryview, at: int = 0) -> tuple[memoryview, int]:
     return payload, end + 4
 
 
+class _Recent:
+    """Ids by word, in two generations, so that frequent words stay; None for a word that cannot be encoded on its own."""
+
+    def __init__(self, encode, limit: int):
+        self.encode, self.limit = encode, limit
+        self.young: dict[str, bytes | None] = {}
+        self.old: dict[str, bytes | None] = {}
+
+    def learn(self, words: set[str]) -> dict[str, bytes | None]:
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
+        new = []
+        for w in words - self.young.keys():
+            if w in self.old:
+                self.young[w] = self.old[w]
+            elif w and _visible(w[0]) and _visible(w[-1]):
+                new.append(w)
+            else:
+                self.young[w] = None
+        self.young.update(zip(new, self.encode(new), strict=True))
+        return self.young
+
+
+def _visible(char: str) -> bool:
+    return char.isalnum() or "!" <= char <= "~"
+
+
 class WordEncoder:
     """The library's ids of whole texts, with the words of late remembered.
 
-    The byte-level pre-tokenizer always starts a token at a single blank between two visible characters, so such parts can be
-    encoded on their own. A text with any other blank is encoded as a whole.
+    Between two visible characters the byte-level pre-tokenizer starts a token at a single blank and makes a single line feed a token,
+    so the parts between them can be encoded on their own. A text with any other white space is encoded as a whole.
     """
 
     def __init__(self, json: str):
         self.library = Tokenizer.from_str(json)
         self.library.encode_special_tokens = True
-        self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
-        self.young: dict[str, bytes | None] = {}
-        self.old: dict[str, bytes | None] = {}
+        vocabulary = self.library.get_vocab()
+        self.width = 2 if len(vocabulary) <= 1 << 16 else 4
+        self.begins = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.begins[[i for t, i in vocabulary.items() if t.startswith(BLANK)]] = True
+        self.feed = self._ids(["\n"])[0]
+        self.after_blank = _Recent(self._after_blank, CACHED_WORDS)
+        self.bare = _Recent(self._bare, CACHED_WORDS // 4)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        coded = self.library.encode_batch(texts, add_special_tokens=False)
+        coded = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=f"<u{self.width}").tobytes() for e in coded]
 
-    @staticmethod
-    def _visible(char: str) -> bool:
-        return char.isalnum() or "!" <= char <= "~"
+    def _joined(self, words: list[str], between: str) -> list[tuple[bytes, np.ndarray]]:
+        """Ids of many words as a few texts: one call costs less than one a word."""
+        texts = [between.join(words[a : a + JOINED_WORDS]) for a in range(0, len(words), JOINED_WORDS)]
+        return [(raw, np.frombuffer(raw, dtype=f"<u{self.width}")) for raw in self._ids([(between + t if between == " " else t) for t in texts])]
+
+    def _after_blank(self, words: list[str]) -> list[bytes]:
+        """Ids of words with a blank before each: a token that begins with a blank begins a word."""
+        out: list[bytes] = []
+        for raw, ids in self._joined(words, " "):
+            edges = (np.flatnonzero(self.begins[ids]) * self.width).tolist()
+            out += [raw[a:b] for a, b in zip(edges, [*edges[1:], len(raw)], strict=True)]
+        return out
 
-    def _learn(self, words: set[str]) -> None:
-        new = []
-        for w in words:
-            if w in self.old:
-                self.young[w] = self.old[w]
-            elif w and self._visible(w[0]) and self._visible(w[-1]):
-                new.append(w)
-            else:
-                self.young[w] = None
-        self.young.update(zip(new, self._ids([" " + w for w in new]), strict=True))
+    def _bare(self, words: list[str]) -> list[bytes]:
+        """Ids of words on lines of their own: a line feed's token stands between two of them."""
+        out: list[bytes] = []
+        feed = np.frombuffer(self.feed, dtype=f"<u{self.width}")[0]
+        for raw, ids in self._joined(words, "\n"):
+            ends = (np.flatnonzero(ids == feed) * self.width).tolist()
+            out += [raw[a:b] for a, b in zip([0, *[e + self.width for e in ends]], [*ends, len(raw)], strict=True)]
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.young) > CACHED_WORDS:
-            self.old, self.young = self.young, {}
-        split = [t.split(" ") for t in texts]
-        heads = [p.pop(0) for p in split]
-        self._learn(set().union(*split) - self.young.keys())
-        whole = {k for k, (h, p) in enumerate(zip(heads, split, strict=True)) if p and not (h and self._visible(h[-1]))}
-        out: list[bytes] = self._ids([t if k in whole else h for k, (t, h) in enumerate(zip(texts, heads, strict=True))])
-        for k, parts in enumerate(split):
-            if k not in whole and parts:
-                try:
-                    out[k] += b"".join(map(self.young.__getitem__, parts))
-                except TypeError:  # a part without an encoding of its own
-                    out[k] = self._ids([texts[k]])[0]
+        lines = [[line.split(" ") for line in t.split("\n")] for t in texts]
+        heads = [[parts.pop(0) for parts in text] for text in lines]
+        first = self.bare.learn(set().union(*heads))
+        rest = self.after_blank.learn(set().union(*(parts for text in lines for parts in text)))
+        out, whole = [], []
+        for k, (own, text) in enumerate(zip(heads, lines, strict=True)):
+            try:
+                out.append(self.feed.join([first[h] + b"".join(map(rest.__getitem__, parts)) for h, parts in zip(own, text, strict=True)]))
+            except TypeError:  # a part that has no encoding of its own
+                out.append(b"")
+                whole.append(k)
+        for k, ids in zip(whole, self._ids([texts[k] for k in whole]), strict=True):
+            out[k] = ids
         return out
 
 
