@@ -25,7 +25,7 @@ from weirflow.llm.components import components
 SHINGLE = 4
 RADIUS = 4
 SEED = 42
-CROWD = 100
+CROWD = 256
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -97,9 +97,11 @@ def links(fps: DataFrame) -> DataFrame:
     sizes = near.groupBy("side", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = stored(near.join(sizes, ["side", "v"]).select("side", "v", "fp", "n"), "variants")
     few = shared.where(F.col("n") <= CROWD)
-    groups = few.groupBy("side", "v").agg(F.array_sort(F.collect_list("fp")).alias("all")).select("all", F.posexplode("all").alias("i", "a"))
-    pairs = groups.select("a", F.explode(F.expr("slice(all, i + 2, size(all))")).alias("b"))
-    close = pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS).distinct()
+    groups = few.groupBy("side", "v").agg(F.array_sort(F.collect_list("fp")).alias("all")).select("side", "v", "all", F.posexplode("all").alias("i", "a"))
+    # a pair meets at up to 33 variants: it counts at the smaller of its two midpoints, or at the half itself if that is equal
+    half_of = "IF(side = 0, shiftrightunsigned({0}, 32), {0} & 4294967295L)".format
+    here = f"({half_of('a')} ^ {half_of('b')} ^ v) >= v AND ({half_of('a')} <> {half_of('b')} OR v = {half_of('a')})"
+    close = groups.select("a", F.explode(F.expr(f"filter(slice(all, i + 2, size(all)), b -> bit_count(a ^ b) <= {RADIUS} AND {here})")).alias("b")).distinct()
     many = shared.where(F.col("n") > CROWD).select("fp").distinct()
     ball = _ball(many)
     least = ball.groupBy("v").agg(F.min("fp").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
