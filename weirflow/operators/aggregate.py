@@ -68,15 +68,16 @@ def keyed_fold(
 
 def keyed_basic_aggs(df: DataFrame, keys: Sequence[str], value: str, row: Sequence[str], seq: str) -> DataFrame:
     """sum, min, max of ``value`` and the ``row`` columns where it is smallest / largest (first such row)."""
-    first_low = F.struct(F.col(value), F.col(seq))
-    first_high = F.struct(F.col(value), -F.col(seq))
+    unknown = F.col(value).isNull()
+    first_low = F.struct(unknown, F.col(value), F.col(seq))
+    first_high = F.struct(unknown, -F.col(value), F.col(seq))
     whole = F.struct(*row)
     out = df.groupBy(*keys).agg(
         F.sum(value).alias("sum"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
         F.min_by(whole, first_low).alias("lo"),
-        F.max_by(whole, first_high).alias("hi"),
+        F.min_by(whole, first_high).alias("hi"),
     )
     return out.select(
         *keys, "sum", "min", "max",
@@ -101,14 +102,14 @@ def table_group_agg(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column])
 def retract_changelog(df: DataFrame, keys: Sequence[str], seq: Sequence[str], value: Column | None = None, name: str = "value") -> DataFrame:
     """Per input row: ``(false, old total)`` unless it is the first of its key, then ``(true, new total)``.
 
-    ``value`` is summed; rows are counted when it is left out.
+    ``value`` is summed, a null adds nothing; rows are counted when it is left out.
     """
     add = F.lit(1).cast("long") if value is None else value
     run = ordered(df.withColumn("_wf_add", add), keys, seq).scan(
-        _wf_n=running_count(), _wf_new=running_sum("_wf_add")
+        _wf_n=running_count(), _wf_new=running_sum("_wf_add"), _wf_old=running_sum("_wf_add", inclusive=False)
     ).frame
     new = F.struct(F.lit(True).alias("op"), F.col("_wf_new").alias(name))
-    old = F.struct(F.lit(False).alias("op"), (F.col("_wf_new") - F.col("_wf_add")).alias(name))
+    old = F.struct(F.lit(False).alias("op"), F.col("_wf_old").alias(name))
     pair = F.when(F.col("_wf_n") == 1, F.array(new)).otherwise(F.array(old, new))
     keep = list(dict.fromkeys([*keys, *seq]))
     return run.select(*keep, F.explode(pair).alias("c")).select(*keep, "c.op", f"c.{name}")

@@ -20,9 +20,15 @@ NOT_FOUND_CITY = "not found city"
 LOADED = "加载完毕..."
 
 
-def lookup_static(facts: DataFrame, dim: DataFrame, on: str, dim_key: str, value: str, default: str = NOT_FOUND, name: str = "label") -> DataFrame:
-    """Left join with a default; keys are compared as given (cast both sides to int for ids like ``001``)."""
-    d = dim.select(F.col(dim_key).alias("_wf_k"), F.col(value).alias("_wf_v"))
+def lookup_static(
+    facts: DataFrame, dim: DataFrame, on: str, dim_key: str, value: str, default: str = NOT_FOUND, name: str = "label", dim_seq: str | None = None
+) -> DataFrame:
+    """Left join with a default; keys are compared as given (cast both sides to int for ids like ``001``).
+
+    A key that the dimension has twice gives its last value by ``dim_seq``, or the greatest one without it, never two rows.
+    """
+    last = F.max(value) if dim_seq is None else F.max_by(value, dim_seq)
+    d = dim.groupBy(F.col(dim_key).alias("_wf_k")).agg(last.alias("_wf_v"))
     out = facts.join(d, facts[on] == F.col("_wf_k"), "left")
     return out.withColumn(name, F.coalesce(F.col("_wf_v"), F.lit(default))).drop("_wf_k", "_wf_v")
 

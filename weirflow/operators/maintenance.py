@@ -7,6 +7,7 @@ partition overwrite.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,7 +58,12 @@ def _location(spark: SparkSession, table: str) -> str:
     return rows[0]["data_type"].rstrip("/")
 
 
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # fixed value: folder of the rows without a partition value
+
+
 def _spec(partition: str, value) -> str:
+    if value is None:
+        return f"{partition}=null"
     quoted = str(value).replace("'", "\\'")
     return f"{partition}='{quoted}'"
 
@@ -68,6 +74,8 @@ def _fs(spark: SparkSession, path: str):
 
 
 def _folder(spark: SparkSession, partition: str, value) -> str:
+    if value is None:
+        return f"{partition}={NULL_FOLDER}"
     escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(value))
     return f"{partition}={escaped}"
 
@@ -90,9 +98,17 @@ def _overwrite(spark: SparkSession, table: str, rows: DataFrame, order: Sequence
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
     spark.catalog.refreshTable(table)
+    fs, folder = _fs(spark, stage)
+    fs.delete(folder, True)
     return written
 
 
+def _in(partition: str, values: list) -> Column:
+    """Rows of these partition values, the null partition included."""
+    known = F.col(partition).isin([v for v in values if v is not None])
+    return known | F.col(partition).isNull() if None in values else known
+
+
 def compact(
     spark: SparkSession, table: str, partition: str, order: Sequence[str], value=None, merge: Callable[[DataFrame], DataFrame] | None = None
 ) -> None:
@@ -126,7 +142,19 @@ def detach_partition(spark: SparkSession, table: str, partition: str, value) ->
 def attach_partition(spark: SparkSession, table: str, partition: str, value) -> None:
     base, folder = _location(spark, table), _folder(spark, partition, value)
     fs, aside = _fs(spark, f"{base}/{DETACHED}/{folder}")
-    if not fs.rename(aside, _fs(spark, f"{base}/{folder}")[1]):
+    _, target = _fs(spark, f"{base}/{folder}")
+    if not fs.exists(aside):
+        raise OSError(f"nothing detached as {folder} of {table}")
+    if fs.exists(target):  # rows came in meanwhile: their files stay and the detached ones join them
+        mark = uuid.uuid4().hex
+        for status in fs.listStatus(aside):
+            name = status.getPath().getName()
+            if name.startswith(("_", ".")):
+                continue
+            if not fs.rename(status.getPath(), _fs(spark, f"{base}/{folder}/attached-{mark}-{name}")[1]):
+                raise OSError(f"cannot attach {name} of {table}")
+        fs.delete(aside, True)
+    elif not fs.rename(aside, target):
         raise OSError(f"cannot attach {folder} of {table}")
     spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({_spec(partition, value)})")
     spark.catalog.refreshTable(table)
@@ -162,9 +190,12 @@ def _touched(spark: SparkSession, table: str, partition: str, condition: Column)
 
 
 def mutate_update(spark: SparkSession, table: str, partition: str, order: Sequence[str], assignments: dict[str, Column], condition: Column) -> None:
+    """Update in place; the partition column itself cannot be assigned, since rows would have to change folders."""
+    if partition in assignments:
+        raise ValueError(f"{partition} is the partition column of {table} and cannot be updated")
     values = _touched(spark, table, partition, condition)
     if values:
-        rows = spark.table(table).where(F.col(partition).isin(values))
+        rows = spark.table(table).where(_in(partition, values))
         _overwrite(spark, table, updated(rows, assignments, condition), order, partition)
 
 
@@ -172,7 +203,7 @@ def mutate_delete(spark: SparkSession, table: str, partition: str, order: Sequen
     values = _touched(spark, table, partition, condition)
     if not values:
         return
-    rows = deleted(spark.table(table).where(F.col(partition).isin(values)), condition)
+    rows = deleted(spark.table(table).where(_in(partition, values)), condition)
     written = _overwrite(spark, table, rows, order, partition)
     _drop_emptied(spark, table, partition, values, written)
 
@@ -183,14 +214,30 @@ def add_column(spark: SparkSession, table: str, name: str, kind: str, default: s
     spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({name} {kind}{clause})")
 
 
-def drop_column(spark: SparkSession, table: str, name: str, partition: str) -> None:
-    """Metadata only: the table is declared again over the same files without the column."""
+def _declared(field) -> str:
+    """Column of a CREATE TABLE with its default and comment."""
+    default = field.metadata.get("CURRENT_DEFAULT")
+    comment = field.metadata.get("comment", "").replace("\\", "\\\\").replace("'", "\\'")
+    return f"`{field.name}` {field.dataType.simpleString()}" + (f" DEFAULT {default}" if default else "") + (f" COMMENT '{comment}'" if comment else "")
+
+
+def drop_column(spark: SparkSession, table: str, name: str, partition: str, order: Sequence[str] = ()) -> None:
+    """Remove a column and its data; defaults and comments of the others stay.
+
+    The rows are staged as they read now, the table is declared again without the column, and its partitions are written from the
+    stage, so that a column added later under the same name starts empty.
+    """
     base = _location(spark, table)
     fields = [f for f in spark.table(table).schema if f.name != name]
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    stage = scratch_path(spark, "stage")
+    spark.table(table).drop(name).write.parquet(stage)
+    rows = spark.read.schema(spark.table(table).drop(name).schema).parquet(stage)
     spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"CREATE TABLE {table} ({cols}) USING parquet PARTITIONED BY ({partition}) LOCATION '{base}'")
+    spark.sql(f"CREATE TABLE {table} ({', '.join(map(_declared, fields))}) USING parquet PARTITIONED BY ({partition}) LOCATION '{base}'")
     spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    _overwrite(spark, table, rows.select(*spark.table(table).columns), order or [fields[0].name], partition)
+    fs, folder = _fs(spark, stage)
+    fs.delete(folder, True)
 
 
 def comment_column(spark: SparkSession, table: str, name: str, comment: str) -> None:

@@ -124,13 +124,14 @@ def versioned_collapsing(
 def union_tables_regex(spark: SparkSession, pattern: str, database: str | None = None, source: str | None = None) -> DataFrame:
     """All catalog tables and views whose whole name matches ``pattern``, as one read-only frame."""
     listed = spark.catalog.listTables(database) if database else spark.catalog.listTables()
-    rows = spark.createDataFrame([(t.name,) for t in listed] or [("",)], "name string")
+    full = {t.name: t.name if t.isTemporary else ".".join(f"`{x}`" for x in [*(t.namespace or []), t.name]) for t in listed}
+    rows = spark.createDataFrame([(n,) for n in full] or [("",)], "name string")
     names = sorted(r[0] for r in rows.where(F.col("name").rlike(f"^(?:{pattern})$")).collect() if r[0])
     if not names:
         raise ValueError(f"no table matches {pattern!r}")
     out = None
     for n in names:
-        df = spark.table(n)
+        df = spark.table(full[n])
         df = df.withColumn(source, F.lit(n)) if source else df
         out = df if out is None else out.unionByName(df)
     return out

@@ -106,7 +106,10 @@ def register_split_udtf(spark: SparkSession, name: str = "my_split", sep: str =
     @F.udtf(returnType="word string, cnt int")
     class Split:
         def eval(self, line: str):
-            for word in (line or "").split(sep):
+            words = (line or "").split(sep)
+            while len(words) > 0 and words[-1] == "" and line:
+                words.pop()
+            for word in words if line is not None else ():
                 yield word, 1
 
     spark.udtf.register(name, Split)
@@ -144,12 +147,12 @@ def iterate_until(
 ) -> DataFrame:
     """Apply ``step`` to every row until ``keep_going`` is false on the new values, then emit it.
 
-    The body always runs once.  ``unroll`` steps go into one Spark stage; rows not
+    The body always runs once; a condition that is unknown (null) ends the loop.  ``unroll`` steps go into one Spark stage; rows not
     finished after them form the (smaller) input of the next round, which starts
     from a reliable checkpoint.  No limit on the number of rounds.
     """
     as_col = lambda c: F.expr(c) if isinstance(c, str) else c
-    go = as_col(keep_going)
+    go = F.coalesce(as_col(keep_going), F.lit(False))
     stepped = {n: as_col(c) for n, c in step.items()}
     active = df.withColumns({"_wf_go": F.lit(True), rounds: F.lit(0).cast("long")})
     done = None

@@ -120,20 +120,25 @@ def reverse_time_bounds(key: str, from_ms: int, to_ms: int) -> tuple[str, str]:
     return f"{key}-{LONG_MAX - to_ms:019d}", f"{key}-{LONG_MAX - from_ms:019d}"
 
 
+VALUE_MARK = "="
+CSV_AS_IS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "escape": '"', "maxCharsPerColumn": "-1"}
+
+
 def pack_record(df: DataFrame, keys: Sequence[str], columns: Sequence[str], name: str = "packed") -> DataFrame:
     """Many columns in one binary column, values only: smaller to store, but not filterable.
 
     Fields are length-free CSV in column order, so names are not repeated per row.
+    A value has a mark before it and null has none, so blanks, empty texts and nulls all come back as they were.
     """
-    fields = F.struct(*[F.col(c).cast("string").alias(c) for c in columns])
-    return df.select(*keys, F.encode(F.to_csv(fields), "UTF-8").alias(name))
+    fields = F.struct(*[F.concat(F.lit(VALUE_MARK), F.col(c).cast("string")).alias(c) for c in columns])
+    return df.select(*keys, F.encode(F.to_csv(fields, CSV_AS_IS), "UTF-8").alias(name))
 
 
 def unpack_record(df: DataFrame, columns: Sequence[str], name: str = "packed") -> DataFrame:
     schema = ", ".join(f"`{c}` string" for c in columns)
     keys = [c for c in df.columns if c != name]
-    out = df.select(*keys, F.from_csv(F.decode(name, "UTF-8"), schema).alias("r"))
-    return out.select(*keys, "r.*")
+    out = df.select(*keys, F.from_csv(F.decode(name, "UTF-8"), schema, CSV_AS_IS).alias("r"))
+    return out.select(*keys, *[F.expr(f"substring(r.`{c}`, 2)").alias(c) for c in columns])
 
 
 def table_copy(source: DataFrame, target: str) -> None:
@@ -175,7 +180,14 @@ def truncate_table(spark: SparkSession, table: str) -> None:
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    """Drop the table and its files, also where it was created over a given path."""
+    if not spark.catalog.tableExists(table):
+        return
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").collect()
+    spark.sql(f"DROP TABLE {table}")
+    for r in rows:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(r["data_type"])
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:

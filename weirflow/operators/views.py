@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from weirflow.functions import states
 from weirflow.operators.aggregate import agg_state_merge, agg_state_partial
+from weirflow.session import scratch_path
 
 
 def plain_view(spark: SparkSession, name: str, query: str) -> DataFrame:
@@ -19,9 +20,12 @@ def plain_view(spark: SparkSession, name: str, query: str) -> DataFrame:
 
 
 def temp_table(df: DataFrame, name: str) -> DataFrame:
-    """Session-scoped table."""
-    df.createOrReplaceTempView(name)
-    return df.sparkSession.table(name)
+    """Session-scoped table: holds the rows of now, whatever happens to their source later."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "temp-table")
+    df.write.parquet(path)
+    spark.read.schema(df.schema).parquet(path).createOrReplaceTempView(name)
+    return spark.table(name)
 
 
 Aggs = dict[str, tuple[str, str]]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,10 +40,11 @@ def sliding_by_panes(
 
     Rows are aggregated to panes first (``partial``), only panes are copied into
     the size/slide windows they belong to, then ``final`` combines them.  With
-    30 min / 10 s that is 180 copies per pane instead of per row.  ``slide`` must
-    divide ``size``.
+    30 min / 10 s that is 180 copies per pane instead of per row.  Where ``slide``
+    does not divide ``size``, panes are as long as their greatest common divisor.
     """
-    panes = df.groupBy(*keys, F.window(ts, slide).alias("_wf_p")).agg(*[c.alias(n) for n, c in partial.items()])
+    pane = math.gcd(*(pd.Timedelta(x).value // 1000 for x in (size, slide)))
+    panes = df.groupBy(*keys, F.window(ts, f"{pane} microseconds").alias("_wf_p")).agg(*[c.alias(n) for n, c in partial.items()])
     panes = panes.withColumn("_wf_pane", F.col("_wf_p.start")).drop("_wf_p")
     out = panes.groupBy(*keys, F.window("_wf_pane", size, slide).alias("_wf_w")).agg(*[c.alias(n) for n, c in final.items()])
     return out.select(*keys, F.col("_wf_w.start").alias("window_start"), F.col("_wf_w.end").alias("window_end"), *final)
@@ -69,8 +72,9 @@ def sliding_top_bottom(df: DataFrame, ts: str, key: str, value: str, seq: str, s
         {"v": F.max_by("_l.v", "_l.s")},
         [key],
     )
-    top = F.max_by(F.struct(key, "v"), F.struct(F.col("v"), -F.col(key)))
-    low = F.min_by(F.struct(key, "v"), F.struct(F.col("v"), F.col(key)))
+    unknown = F.col("v").isNull()
+    top = F.min_by(F.struct(key, "v"), F.struct(unknown, -F.col("v"), F.col(key)))
+    low = F.min_by(F.struct(key, "v"), F.struct(unknown, F.col("v"), F.col(key)))
     out = last.groupBy("window_start", "window_end").agg(top.alias("t"), low.alias("b"))
     return out.select(
         "window_start", "window_end",

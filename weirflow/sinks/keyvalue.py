@@ -9,12 +9,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
+SEQ = "_wf_seq"
+
+
+def _as_long(rows: DataFrame, seq: str):
+    """Order value as a number that keeps its order: microseconds for a point in time."""
+    kind = rows.schema[seq].dataType.typeName()
+    return F.unix_micros(F.col(seq).cast("timestamp")) if kind in ("timestamp", "timestamp_ntz", "date") else F.col(seq).cast("long")
+
+
 class KeyValueTable:
     """Upsert table kept as one folder per batch.
 
     A put reduces the batch to one row per key and writes it to its own folder,
-    overwriting it when the batch is replayed (idempotent).  Reads take the newest
-    batch per key; ``compact`` folds all batches into one.
+    overwriting it when the batch is replayed (idempotent).  Reads take, per key,
+    the row with the greatest ``seq`` over all batches, of the newest batch where
+    that is equal or puts give none; ``compact`` folds all batches into one.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str]):
@@ -22,19 +32,28 @@ class KeyValueTable:
 
     def put(self, rows: DataFrame, batch_id: int, seq: str | None = None) -> None:
         """``seq`` orders rows of the same key inside a batch; without it keys must be unique in the batch."""
-        last_row_per_key(rows, self.keys, seq).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        kept = last_row_per_key(rows, self.keys, seq)
+        kept = kept.withColumn(SEQ, F.lit(None).cast("long") if seq is None else _as_long(kept, seq))
+        kept.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
 
     def current(self) -> DataFrame:
         stored = self.spark.read.option("basePath", self.path).parquet(f"{self.path}/batch=*")
-        rest = [c for c in stored.columns if c not in (*self.keys, "batch")]
-        newest = stored.groupBy(*self.keys).agg(F.max_by(F.struct(*rest), F.col("batch").cast("long")).alias("r"))
+        rest = [c for c in stored.columns if c not in (*self.keys, "batch", SEQ)]
+        newest = self._newest(stored, rest)
         return newest.select(*self.keys, *[F.col(f"r.{c}").alias(c) for c in rest])
 
+    def _newest(self, stored: DataFrame, rest: list[str]) -> DataFrame:
+        age = F.struct(F.coalesce(F.col(SEQ), F.lit(-(1 << 63))), F.col("batch").cast("long"))
+        return stored.groupBy(*self.keys).agg(F.max_by(F.struct(*rest, SEQ), age).alias("r"))
+
     def get(self, condition) -> DataFrame:
         return self.current().where(condition)
 
     def compact(self, target: str) -> "KeyValueTable":
-        self.current().write.parquet(f"{target.rstrip('/')}/batch=-1")
+        stored = self.spark.read.option("basePath", self.path).parquet(f"{self.path}/batch=*")
+        rest = [c for c in stored.columns if c not in (*self.keys, "batch", SEQ)]
+        newest = self._newest(stored, rest)
+        newest.select(*self.keys, *[F.col(f"r.{c}").alias(c) for c in [*rest, SEQ]]).write.parquet(f"{target.rstrip('/')}/batch=-1")
         return KeyValueTable(self.spark, target, self.keys)
 
     def attach(self, stream: DataFrame, checkpoint: str, seq: str | None = None, mode: str = "update", available_now: bool = True) -> StreamingQuery:
