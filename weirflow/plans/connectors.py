@@ -51,26 +51,32 @@ def stream_follow_file(spark, sf_dir):
     return spark.read.parquet(seen).groupBy(F.col("value").cast("bigint").alias("conv_id")).agg(F.count(F.lit(1)).alias("times"))
 
 
-@query("read_csv_typed", "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 5000")
+@query("read_csv_typed", "SELECT c_custkey, c_name, c_acctbal, c_acctbal > 5000 AS rich FROM customer")
 def read_csv_typed(spark, sf_dir):
     path = scratch_path(spark, "customer-csv")
     load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal").write.csv(path)
     files.read_csv_typed(spark, path, "c_custkey bigint, c_name string, c_acctbal double", view="wf_csv_customer")
-    return spark.sql("SELECT * FROM wf_csv_customer WHERE c_acctbal > 5000")
+    return spark.sql("SELECT *, c_acctbal > 5000 AS rich FROM wf_csv_customer")
 
 
 @query("read_csv_glob", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
 def read_csv_glob(spark, sf_dir):
     path = scratch_path(spark, "orders-csv")
-    file_sinks.export_csv(load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus").repartition(4), path, ",")
+    file_sinks.export_csv(load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), path, ",")
     return files.read_csv_glob(spark, f"{path}/*.csv", "o_orderkey bigint, o_custkey bigint, o_orderstatus string")
 
 
 @query("from_values", """
-    SELECT unnest(generate_series((SELECT min(o_custkey) FROM orders), (SELECT max(o_custkey) FROM orders))) AS value""")
+    SELECT o.o_orderkey, o.o_custkey, v.priority FROM orders o JOIN (VALUES ('F', 1), ('O', 2), ('P', 3)) v(status, priority) ON o.o_orderstatus = v.status
+    UNION ALL SELECT NULL, g.value, NULL FROM (SELECT unnest(generate_series((SELECT min(o_custkey) FROM orders), (SELECT max(o_custkey) FROM orders))) AS value) g""")
 def from_values(spark, sf_dir):
-    low, high = load(spark, sf_dir, "orders").agg(F.min("o_custkey"), F.max("o_custkey")).first()
-    return files.generate_sequence(spark, low, high)
+    """Literal rows joined to the orders, and a sequence over their range of customers."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    ranks = files.from_values(spark, [("F", 1), ("O", 2), ("P", 3)], "status string, priority int")
+    ranked = orders.join(ranks, F.col("o_orderstatus") == F.col("status")).select("o_orderkey", "o_custkey", "priority")
+    low, high = orders.agg(F.min("o_custkey"), F.max("o_custkey")).first()
+    numbers = files.generate_sequence(spark, low, high).select(F.col("value").alias("o_custkey"))
+    return ranked.unionByName(numbers, allowMissingColumns=True)
 
 
 def _envelope(spark, sf_dir):

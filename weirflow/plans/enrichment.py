@@ -11,20 +11,20 @@ from weirflow.session import load, scratch_path
 from weirflow.streaming.pipelines import lookup_refreshing
 
 
-def _partial_nations(spark, sf_dir):
-    """Nations without every fifth key, so that some lookups find nothing."""
-    return load(spark, sf_dir, "nation").where("n_nationkey % 5 <> 0")
+def _asked(key):
+    """Every seventh row asks for a nation that is not there, so that some lookups find nothing."""
+    return F.when(F.col(key) % 7 == 0, -1).otherwise(F.col(key) % 25)
 
 
 LOOKUP_SQL = """
     SELECT c.c_custkey, coalesce(n.n_name, 'not found') AS label
-    FROM customer c LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 5 <> 0) n ON c.c_nationkey = n.n_nationkey"""
+    FROM customer c LEFT JOIN nation n ON CASE WHEN c.c_custkey % 7 = 0 THEN -1 ELSE c.c_custkey % 25 END = n.n_nationkey"""
 
 
 @query("lookup_static", LOOKUP_SQL)
 def lookup_static(spark, sf_dir):
-    facts = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    out = ops.lookup_static(facts, _partial_nations(spark, sf_dir), "c_nationkey", "n_nationkey", "n_name")
+    facts = load(spark, sf_dir, "customer").select("c_custkey", _asked("c_custkey").alias("c_nationkey"))
+    out = ops.lookup_static(facts, load(spark, sf_dir, "nation"), "c_nationkey", "n_nationkey", "n_name")
     return out.drop("c_nationkey")
 
 
@@ -33,19 +33,19 @@ def lookup_static_text(spark, sf_dir):
     """The dimension as a shipped text file with zero-padded ids."""
     path = scratch_path(spark, "nations")
     line = F.concat(F.lpad(F.col("n_nationkey").cast("string"), 3, "0"), F.lit(" "), "n_name")
-    _partial_nations(spark, sf_dir).select(line.alias("value")).write.text(path)
-    facts = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    load(spark, sf_dir, "nation").select(line.alias("value")).write.text(path)
+    facts = load(spark, sf_dir, "customer").select("c_custkey", _asked("c_custkey").alias("c_nationkey"))
     return ops.lookup_static(facts, ops.read_dimension(spark, path), "c_nationkey", "id", "label").drop("c_nationkey")
 
 
 @query("lookup_refreshing", """
     SELECT e.event_id, coalesce(n.n_name, 'not found') AS label
-    FROM events e LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 5 <> 0) n ON e.user_id % 25 = n.n_nationkey""")
+    FROM events e LEFT JOIN nation n ON CASE WHEN e.user_id % 7 = 0 THEN -1 ELSE e.user_id % 25 END = n.n_nationkey""")
 def refreshing(spark, sf_dir):
-    stream = event_stream(spark, sf_dir).select("event_id", (F.col("user_id") % 25).alias("nation"))
+    stream = event_stream(spark, sf_dir).select("event_id", _asked("user_id").alias("nation"))
     target = scratch_path(spark, "looked-up")
     lookup_refreshing(
-        stream, lambda: _partial_nations(spark, sf_dir), "nation", "n_nationkey", "n_name", target, scratch_path(spark, "lookup-checkpoint")
+        stream, lambda: load(spark, sf_dir, "nation"), "nation", "n_nationkey", "n_name", target, scratch_path(spark, "lookup-checkpoint")
     ).awaitTermination()
     return spark.read.option("basePath", target).parquet(f"{target}/batch=*").select("event_id", "label")
 

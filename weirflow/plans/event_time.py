@@ -79,7 +79,7 @@ def punctuated_watermark_stream(spark, sf_dir):
 
 
 def _routed(spark, sf_dir, lateness_s, marker=None):
-    stream = event_stream(spark, sf_dir).withColumn("arrival", arrival())
+    stream = event_stream(spark, sf_dir, ORDER)
     router = LateRouter(spark, scratch_path(spark, "routed"), "ts", ORDER, "1 hour", DELAY_S, lateness_s, marker)
     router.attach(stream, scratch_path(spark, "routed-checkpoint")).awaitTermination()
     return router.rows()

@@ -131,7 +131,7 @@ def trade_totals_stream(spark, sf_dir):
     SELECT event_type, window_start, CAST(count(*) AS BIGINT) AS cnt FROM b, m
     WHERE window_start + INTERVAL 1 DAY <= last GROUP BY 1, 2""")
 def checkpointed(spark, sf_dir):
-    stream = event_stream(spark, sf_dir).select("ts", "event_type")
+    stream = event_stream(spark, sf_dir, ["ts", "event_id"]).select("ts", "event_type")
     counts = event_time_counts(stream, "ts", "0 seconds", "1 day", ["event_type"])
     target, checkpoint = scratch_path(spark, "counts"), scratch_path(spark, "counts-checkpoint")
     for _ in range(2):  # stop and start again from the same checkpoint: nothing is repeated

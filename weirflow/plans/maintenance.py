@@ -111,17 +111,13 @@ def mutate_delete(spark, sf_dir):
 def evolve_columns(spark, sf_dir):
     name = _table(spark, _rows(spark, sf_dir))
     ops.add_column(spark, name, "loc", "string", "'none'")
-    shown = spark.table(name).select("user_id", "loc", "_seq")
-    copied = scratch_path(spark, "with-default")
-    shown.write.parquet(copied)
+    ops.add_column(spark, name, "spare", "string", "'x'")
     ops.drop_column(spark, name, "k", "event_type")
-    ops.drop_column(spark, name, "loc", "event_type")
+    ops.drop_column(spark, name, "spare", "event_type")
     ops.comment_column(spark, name, "_seq", "seconds")
     ops.rename_table(spark, name, f"{name}_new")
-    renamed = spark.table(f"{name}_new")
     comment = [c.description for c in spark.catalog.listColumns(f"{name}_new") if c.name == "_seq"][0]
-    return renamed.join(spark.read.parquet(copied), ["user_id", "_seq"]).select(
-        "user_id", "cents", "_seq", "event_type", "loc", F.lit(comment).alias("seq_comment"))
+    return spark.table(f"{name}_new").select("user_id", "cents", "_seq", "event_type", "loc", F.lit(comment).alias("seq_comment"))
 
 
 @query("clear_column_in_partition", f"""

@@ -73,10 +73,10 @@ def connect_comap(spark, sf_dir):
 
 @query("union_all", """
     SELECT user_id, event_type FROM events WHERE event_type = 'click'
-    UNION ALL SELECT user_id, event_type FROM events WHERE event_type <> 'view'""")
+    UNION ALL SELECT user_id, event_type FROM events""")
 def union_all(spark, sf_dir):
     df = events(spark, sf_dir, "user_id", "event_type")
-    return ops.union_all(df.where("event_type = 'click'"), df.where("event_type <> 'view'"))
+    return ops.union_all(df.where("event_type = 'click'"), df)
 
 
 @query("udtf_split", """
@@ -88,7 +88,8 @@ def udtf_split(spark, sf_dir):
 
 
 @query("udtf_split_sql", """
-    WITH w AS (SELECT unnest(string_split(text, ' ')) AS word FROM conversations)
+    WITH t AS (SELECT text, rtrim(text, ' ') AS r FROM conversations),
+    w AS (SELECT unnest(string_split(r, ' ')) AS word FROM t WHERE NOT (r = '' AND text <> ''))
     SELECT word, CAST(count(*) AS BIGINT) AS total FROM w GROUP BY word""")
 def udtf_split_sql(spark, sf_dir):
     name = ops.register_split_udtf(spark)

@@ -56,7 +56,7 @@ def mv_populate(spark, sf_dir):
     return ops.view_rows_without_batch(view)
 
 
-@query("temp_table", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F'")
+@query("temp_table", "SELECT o_orderkey, o_custkey FROM orders")
 def temp_table(spark, sf_dir):
-    df = load(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey")
+    df = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return ops.temp_table(df, "wf_temp_orders").select(F.col("o_orderkey"), F.col("o_custkey"))

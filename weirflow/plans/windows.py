@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from weirflow.operators import windows as ops
 from weirflow.plans.aggregates import event_stream
 from weirflow.plans.registry import bucket_sql, events, query, row_count
-from weirflow.session import load, scratch_path
-from weirflow.sources.files import stream_parquet
+from weirflow.session import load
 from weirflow.streaming.pipelines import event_time_counts, run_to_keys, run_to_table
 
 HOUR = 3600
@@ -29,7 +28,7 @@ def tumbling_time_keyed(spark, sf_dir):
 @query("tumbling_time_keyed_stream", f"""
     SELECT event_type, {bucket_sql('ts', HOUR)} AS window_start, CAST(count(*) AS BIGINT) AS cnt FROM events GROUP BY 1, 2""")
 def tumbling_time_keyed_stream(spark, sf_dir):
-    counts = event_time_counts(event_stream(spark, sf_dir), "ts", "1 day", "1 hour", ["event_type"])
+    counts = event_time_counts(event_stream(spark, sf_dir, ["ts", "event_id"]), "ts", "1 day", "1 hour", ["event_type"])
     out = run_to_keys(counts, ["event_type", "window_start", "window_end"])
     return out.select("event_type", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "cnt")
 
@@ -158,15 +157,10 @@ def session_window_keyed(spark, sf_dir):
 @query("session_window_all_stream", _session_sql("", 10))
 def session_window_all_stream(spark, sf_dir):
     # a last row a day later closes the open session; its own session stays open and is not emitted
-    rows = event_stream(spark, sf_dir).select("ts", "event_id").unionByName(_closing_stream(spark, sf_dir))
+    last = load(spark, sf_dir, "events").agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"), F.lit(-1).cast("bigint").alias("event_id"))
+    rows = event_stream(spark, sf_dir, ["ts", "event_id"], last).select("ts", "event_id")
     sessions = ops.session_window_stream(rows.withWatermark("ts", "0 seconds"), "ts", "10 minutes", session_aggs())
     out = run_to_table(sessions)
     ntz = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
     return out.withColumns(ntz)
 
-
-def _closing_stream(spark, sf_dir):
-    path = scratch_path(spark, "closing-row")
-    last = load(spark, sf_dir, "events").agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).cast("timestamp").alias("ts"))
-    last.withColumn("event_id", F.lit(-1).cast("bigint")).write.parquet(path)
-    return stream_parquet(spark, path, "ts timestamp, event_id bigint")
