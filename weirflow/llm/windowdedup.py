@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,17 +66,29 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, ...]:
     return np.cumsum(k1, dtype=np.uint64), k2, np.cumsum(ids, dtype=np.int64)[row], hashes[row], at
 
 
-_SENT = ["bucket", "block", "id", "h", "ats"]
+def _pack_late(ids: np.ndarray, hashes: np.ndarray, at: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Windows to remove, dealt by the row that owns them: one block per bucket of rows."""
+    target = (hashes % buckets).astype(np.int32)
+    order = np.lexsort((at, hashes, ids, target))
+    ids, hashes, at, target = ids[order], hashes[order], at[order].astype(np.int32), target[order]
+    cuts = np.flatnonzero(np.diff(target, prepend=-1))
+    blocks = []
+    for x in np.split(np.arange(len(ids)), cuts[1:]) if len(ids) else []:
+        head = np.array([len(x)], dtype="<u8").tobytes()
+        blocks.append(zstandard.compress(head + _planes(np.diff(ids[x], prepend=np.int64(0))) + _planes(hashes[x]) + _planes(at[x]), 1))
+    return pa.RecordBatch.from_arrays([pa.array(target[cuts]), pa.array([True] * len(cuts), pa.bool_()), pa.array(blocks, pa.binary())], names=_SENT)
 
 
-def _by_row(ids: np.ndarray, hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Different (id, hash) and the first words of their windows, packed."""
-    order = np.lexsort((at, hashes, ids))
-    ids, hashes, at = ids[order], hashes[order], at[order].astype("<i4")
-    new = np.ones(len(ids), dtype=bool)
-    new[1:] = (ids[1:] != ids[:-1]) | (hashes[1:] != hashes[:-1])
-    cuts = np.flatnonzero(new)
-    return ids[cuts], hashes[cuts], [x.tobytes() for x in np.split(at, cuts[1:])] if len(cuts) else []
+def _unpack_late(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    data = memoryview(zstandard.decompress(blob))
+    n = int(np.frombuffer(data[:8], dtype="<u8")[0])
+    ids, data = _unplanes(data[8:], "<i8", n)
+    hashes, data = _unplanes(data, "<i8", n)
+    return np.cumsum(ids, dtype=np.int64), hashes, _unplanes(data, "<i4", n)[0]
+
+
+_SENT = ["bucket", "late", "block"]
+_SENT_SCHEMA = "bucket int, late boolean, block binary"
 
 
 def _candidates(batches: Iterable[pa.RecordBatch], parts: Sketch, s: Settings, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -104,44 +117,47 @@ def _candidates(batches: Iterable[pa.RecordBatch], parts: Sketch, s: Settings, b
         edges = np.searchsorted(bucket, np.arange(buckets + 1))
         sent = [(k, keep[a:b]) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
         blocks = [_pack(k1[x], k2[x], owner[x], at[x], ids, hashes) for _, x in sent]
-        n = len(sent)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k for k, _ in sent], pa.int32()), pa.array(blocks, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], names=_SENT
-        )
-        i, h, ats = _by_row(ids[owner[gone]], hashes[owner[gone]], at[gone])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array((h % buckets).astype(np.int32)), pa.nulls(len(i), pa.binary()), pa.array(i), pa.array(h), pa.array(ats, pa.binary())], names=_SENT
-        )
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in sent], pa.int32()), pa.array([False] * len(sent), pa.bool_()), pa.array(blocks, pa.binary())], names=_SENT)
+        yield _pack_late(ids[owner[gone]], hashes[owner[gone]], at[gone], buckets)
 
 
-def _grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows that a smaller id has too. Rows come sorted by bucket; one bucket at a time is held."""
-    names = ["id", "h", "ats"]
+def _by_bucket(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
+    """Blocks of one bucket after the other; rows come sorted by bucket, and one bucket at a time is held."""
+    current, blocks = None, []
+    for batch in batches:
+        for bucket, block in zip(batch.column("bucket").to_pylist(), batch.column("block").to_pylist(), strict=True):
+            if bucket != current and blocks:
+                yield current, blocks
+                blocks = []
+            current = bucket
+            blocks.append(block)
+    if blocks:
+        yield current, blocks
+
 
-    def late(blocks: list[bytes]) -> pa.RecordBatch:
+def _grouped(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Windows that a smaller id has too, as blocks by the row that owns them."""
+    for _, blocks in _by_bucket(batches):
         k1, k2, ids, hashes, at = (np.concatenate(c) for c in zip(*map(_unpack, blocks), strict=True))
         order = np.lexsort((ids, k2, k1))
         k1, k2, ids, hashes, at = k1[order], k2[order], ids[order], hashes[order], at[order]
         new = np.ones(len(k1), dtype=bool)
         new[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
         gone = ids > ids[np.flatnonzero(new)][np.cumsum(new) - 1]
-        i, h, ats = _by_row(ids[gone], hashes[gone], at[gone])
-        return pa.RecordBatch.from_arrays([pa.array(i), pa.array(h), pa.array(ats, pa.binary())], names=names)
+        yield _pack_late(ids[gone], hashes[gone], at[gone], buckets)
 
-    current, blocks = None, []
-    for batch in batches:
-        settled = batch.filter(batch.column("block").is_null())
-        if settled.num_rows:
-            yield settled.select(names)
-        sent = batch.filter(batch.column("block").is_valid())
-        for bucket, block in zip(sent.column("bucket").to_pylist(), sent.column("block").to_pylist(), strict=True):
-            if bucket != current and blocks:
-                yield late(blocks)
-                blocks = []
-            current = bucket
-            blocks.append(block)
-    if blocks:
-        yield late(blocks)
+
+def _per_row(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for every row of the input that loses windows."""
+    for _, blocks in _by_bucket(batches):
+        ids, hashes, at = (np.concatenate(c) for c in zip(*map(_unpack_late, blocks), strict=True))
+        order = np.lexsort((at, hashes, ids))
+        ids, hashes, at = ids[order], hashes[order], at[order].astype("<i4")
+        new = np.ones(len(ids), dtype=bool)
+        new[1:] = (ids[1:] != ids[:-1]) | (hashes[1:] != hashes[:-1])
+        cuts = np.flatnonzero(new)
+        ats = [x.tobytes() for x in np.split(at, cuts[1:])] if len(cuts) else []
+        yield pa.RecordBatch.from_arrays([pa.array(ids[cuts]), pa.array(hashes[cuts]), pa.array(ats, pa.binary())], names=["id", "h", "ats"])
 
 
 _FIRST_ID = -(1 << 63)
@@ -154,15 +170,33 @@ def repeated_windows(docs: DataFrame, s: Settings) -> DataFrame:
     shipped = spark.sparkContext.broadcast(parts)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_FIRST_ID)).alias("id"), F.xxhash64("text").alias("h"), "text")
-    rows = keyed.mapInArrow(lambda b: _candidates(b, shipped.value, s, buckets), "bucket int, block binary, id bigint, h bigint, ats binary")
-    late = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_grouped, "id bigint, h bigint, ats binary")
-    return late.groupBy("id", "h").agg(F.collect_list("ats").alias("ats"))
-
-
-def _removed(n: int, ats: list[bytes], width: int) -> np.ndarray:
+    sent = keyed.mapInArrow(lambda b: _candidates(b, shipped.value, s, buckets), _SENT_SCHEMA)
+    # windows that a chunk has settled take the same way as the blocks, in buckets of their own
+    apart = sent.withColumn("bucket", F.when(F.col("late"), -1 - F.col("bucket")).otherwise(F.col("bucket")))
+    found = apart.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda b: _windows_or_late(b, buckets), _SENT_SCHEMA)
+    return found.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_per_row, "id bigint, h bigint, ats binary")
+
+
+def _windows_or_late(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    def windows() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            late = batch.filter(batch.column("late"))
+            if late.num_rows:
+                passed.append(late.set_column(0, "bucket", pc.subtract(pc.negate(late.column("bucket")), pa.scalar(1, pa.int32()))))
+            yield batch.filter(pc.invert(batch.column("late")))
+
+    passed: list[pa.RecordBatch] = []
+    for out in _grouped(windows(), buckets):
+        yield from passed
+        passed.clear()
+        yield out
+    yield from passed
+
+
+def _removed(n: int, ats: bytes, width: int) -> np.ndarray:
     """Which of ``n`` words a removed window covers."""
     change = np.zeros(n + 1, dtype=np.int64)
-    starts = np.unique(np.concatenate([np.frombuffer(b, dtype="<i4") for b in ats]).astype(np.int64))
+    starts = np.unique(np.frombuffer(ats, dtype="<i4")).astype(np.int64)
     change[starts] += 1
     change[starts + width] -= 1
     return np.cumsum(change[:-1]) > 0
