@@ -23,6 +23,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_ROWS = 100_000
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked for broadcast where its counted ``rows`` of a few numbers are within the bound; else left to a shuffle join."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def held_out(doc_id: str | Column) -> Column:
     """Rows no model may learn from: crc32 of the id as text leaves 1 modulo 3; a null id is held out too."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

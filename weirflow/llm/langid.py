@@ -99,8 +99,11 @@ def fit(docs: DataFrame, settings: Settings | None = None) -> Model | None:
     if not sizes:
         return None
     names = sorted(r.lang for r in sizes)
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ranked = known.where(F.col("lang").isin(names)).withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= s.train_docs)
+    # first within 64 parts of a language, so that no task gets more than 64 * train_docs rows of a frequent one
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    parts = Window.partitionBy("lang", F.pmod(F.xxhash64("doc_id"), F.lit(64))).orderBy(*order)
+    nearly = known.where(F.col("lang").isin(names)).withColumn("_rank", F.row_number().over(parts)).where(F.col("_rank") <= s.train_docs)
+    ranked = nearly.withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("_rank") <= s.train_docs)
     ids = [(r.doc_id, r.lang) for r in ranked.collect()]
     chosen = docs.sparkSession.createDataFrame(ids, "doc_id bigint, lang string")
     sample = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "text").where("text IS NOT NULL").join(F.broadcast(chosen), ["doc_id", "lang"])

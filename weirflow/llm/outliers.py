@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import stored
+from weirflow.llm.common import small, stored
 
 _BLANK = "\t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -89,7 +89,8 @@ def _grouped(frame: DataFrame, smallest: int) -> DataFrame:
     sizes = sizes.withColumn("b", F.when(F.col("n") >= smallest, F.col("b0")).otherwise("rest"))
     left = sizes.groupBy("a0", "b").agg(F.sum("n").alias("m"))
     names = sizes.join(left, ["a0", "b"]).select("a0", "b0", F.when(F.col("m") >= smallest, F.col("a0")).otherwise("rest").alias("a"), "b")
-    return tagged.join(names, ["a0", "b0"]).drop("a0", "b0")
+    names = stored(names, "groups")
+    return tagged.join(small(names, names.count()), ["a0", "b0"]).drop("a0", "b0")
 
 
 def _medians(usable: DataFrame) -> DataFrame:
@@ -133,13 +134,14 @@ def estimates(usable: DataFrame, s: Settings) -> DataFrame:
         for j in range(i + 1):
             start = start.withColumn(f"l{i}{j}", F.lit(s.floors[i] * SCALE if i == j else 0.0))
     now = stored(start, "mcd")
+    groups = now.count()
     for _ in range(s.steps):
-        placed = _distance(usable.join(now, ["a", "b"])).withColumn("bin", F.floor(64 * F.log2(1 + F.col("d2"))))
+        placed = _distance(usable.join(small(now, groups), ["a", "b"])).withColumn("bin", F.floor(64 * F.log2(1 + F.col("d2"))))
         counts = placed.groupBy("a", "b", "bin").agg(F.count(F.lit(1)).alias("n"))
         w = Window.partitionBy("a", "b")
         upto = counts.withColumn("_upto", F.sum("n").over(w.orderBy("bin"))).withColumn("_all", F.sum("n").over(w))
         edge = upto.where(F.col("_upto") >= s.share * F.col("_all")).groupBy("a", "b").agg(F.min("bin").alias("edge"))
-        nearest = placed.join(edge, ["a", "b"]).where(F.col("bin") <= F.col("edge"))
+        nearest = placed.join(small(edge, groups), ["a", "b"]).where(F.col("bin") <= F.col("edge"))
         pairs = [(i, j) for i in range(size) for j in range(i + 1)]
         sums = nearest.groupBy("a", "b").agg(
             F.count(F.lit(1)).cast("double").alias("n"),
@@ -168,8 +170,8 @@ def judge(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     grouped = _grouped(table, s.smallest_group)
     usable = grouped.where(~F.col("base_failed")).select("a", "b", *DIMS)
     sizes = usable.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_size"))
-    found = estimates(usable, s).join(sizes, ["a", "b"])
-    placed = _distance(grouped.join(found, ["a", "b"], "left"))
+    found = stored(estimates(usable, s).join(sizes, ["a", "b"]), "mcd")
+    placed = _distance(grouped.join(small(found, found.count()), ["a", "b"], "left"))
     d2 = F.when(~F.col("base_failed") & (F.col("_size") >= s.smallest_group), F.col("d2"))
     out = placed.withColumn("d2", d2).withColumn("kept", ~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= s.cut))
     return out.select("_wf_row.*", *STATISTICS, "d2", "kept")
