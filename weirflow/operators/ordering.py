@@ -107,7 +107,8 @@ def _with_bucket(df: DataFrame, order: str, cuts: list[float], name: str, of: Co
     if not cuts:
         return df.withColumn(name, F.lit(1))
     splits = [float("-inf"), *cuts, float("inf")]
-    number = as_number(df, order).cast("double")
+    # nulls come first, as in a window's order
+    number = F.coalesce(as_number(df, order).cast("double"), F.lit(float("-inf")))
     numbered = df.withColumn("_wf_order", number if of is None else F.when(of, number))
     bucketed = Bucketizer(
         splits=splits, inputCol="_wf_order", outputCol="_wf_bucket", handleInvalid="keep"
@@ -180,7 +181,7 @@ def ordered(
     """Prepare ``df`` for scans per ``keys`` in ``order``.
 
     ``order[0]`` must be a number or a point in time and is what blocks are cut
-    on; further columns break ties; none may be null.  Runs a counting job over the
+    on; further columns break ties; nulls come first.  Runs a counting job over the
     key columns, and a few more small ones when there is something to split.
     """
     limit = split_rows_of(df, split_rows)

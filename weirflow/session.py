@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,7 @@ def build_session(app: str = "weirflow", master: str | None = None, cores: int |
     On a cluster leave ``master`` unset; AQE then sizes the shuffles, and
     ``spark.sql.shuffle.partitions`` should come from the submit command.
     """
+    put_on_path()
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
@@ -34,11 +37,37 @@ def build_session(app: str = "weirflow", master: str | None = None, cores: int |
             .config("spark.driver.memory", "12g")
             .config("spark.sql.shuffle.partitions", str(cores or 8))
         )
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def put_on_path() -> None:
+    """Let Python processes that the driver's JVM starts find the package; takes effect for a JVM started after it."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Give the Python workers this package, wherever the driver was started; once per application."""
+    context = spark.sparkContext
+    if not getattr(context, "_weirflow_shipped", False):
+        package = os.path.dirname(os.path.abspath(__file__))
+        archive = os.path.join(tempfile.mkdtemp(prefix="weirflow-"), "weirflow.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for folder, _, names in os.walk(package):
+                for name in names:
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        z.write(path, os.path.relpath(path, os.path.dirname(package)))
+        context.addPyFile(archive)
+        context._weirflow_shipped = True
+    return spark
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the parquet tables; time zone pinned so timestamps mean the same everywhere."""
+    ship_package(spark)
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -133,15 +133,19 @@ def trajectory_stream(stream: DataFrame, key: str, seq: str, step_col: str) -> D
     return keyed_step(stream, [key], [seq, step_col], [seq], step, "n bigint", f"`{seq}` bigint, pos bigint, `{step_col}` string")
 
 
-def ttl_counter_stream(stream: DataFrame, keys: Sequence[str], us: str, seq: str, ttl_us: int) -> DataFrame:
-    """Counter that starts again when the last row is ``ttl_us`` or more ago (event time in microseconds)."""
+def ttl_counter_stream(stream: DataFrame, keys: Sequence[str], us: str, seq: str, ttl_us: int, idle_ms: int | None = None) -> DataFrame:
+    """Counter that starts again when the last row is ``ttl_us`` or more ago (event time in microseconds).
+
+    ``idle_ms`` drops the state of a key that was not written for so long on the clock; it should be well above the ttl
+    and the delay of the input, so that only keys go whose epoch is over anyway.
+    """
 
     def step(state, row):
         seq_v, at = row
         n = state[1] + 1 if state and at - state[0] < ttl_us else 1
         return (at, n), [(seq_v, n)]
 
-    return keyed_step(stream, keys, [seq, us], [us, seq], step, "at bigint, n bigint", f"`{seq}` bigint, cnt bigint")
+    return keyed_step(stream, keys, [seq, us], [us, seq], step, "at bigint, n bigint", f"`{seq}` bigint, cnt bigint", idle_ms)
 
 
 def ttl_counter_clock_stream(stream: DataFrame, keys: Sequence[str], seq: str, ttl_ms: int) -> DataFrame:
@@ -154,8 +158,8 @@ def ttl_counter_clock_stream(stream: DataFrame, keys: Sequence[str], seq: str, t
     return keyed_step(stream, keys, [seq], [seq], step, "n bigint", f"`{seq}` bigint, cnt bigint", ttl_ms)
 
 
-def first_seen_stream(stream: DataFrame, keys: Sequence[str], us: str, seq: str, ttl_us: int) -> DataFrame:
-    """Emit a row when its key was never emitted or was last emitted ``ttl_us`` or more ago."""
+def first_seen_stream(stream: DataFrame, keys: Sequence[str], us: str, seq: str, ttl_us: int, idle_ms: int | None = None) -> DataFrame:
+    """Emit a row when its key was never emitted or was last emitted ``ttl_us`` or more ago; ``idle_ms`` as in the counter."""
 
     def step(state, row):
         seq_v, at = row
@@ -163,18 +167,18 @@ def first_seen_stream(stream: DataFrame, keys: Sequence[str], us: str, seq: str,
             return None, []
         return (at,), [(seq_v, at)]
 
-    return keyed_step(stream, keys, [seq, us], [us, seq], step, "at bigint", f"`{seq}` bigint, `{us}` bigint")
+    return keyed_step(stream, keys, [seq, us], [us, seq], step, "at bigint", f"`{seq}` bigint, `{us}` bigint", idle_ms)
 
 
-def dup_count_stream(stream: DataFrame, keys: Sequence[str], us: str, seq: str, ttl_us: int) -> DataFrame:
-    """Every row with its number in the live epoch; number 1 is the row that passes, the rest are duplicates."""
+def dup_count_stream(stream: DataFrame, keys: Sequence[str], us: str, seq: str, ttl_us: int, idle_ms: int | None = None) -> DataFrame:
+    """Every row with its number in the live epoch; number 1 is the row that passes, the rest are duplicates; ``idle_ms`` as above."""
 
     def step(state, row):
         seq_v, at = row
         n = state[1] + 1 if state and at - state[0] < ttl_us else 1
         return (at, n), [(seq_v, n, n == 1)]
 
-    return keyed_step(stream, keys, [seq, us], [us, seq], step, "at bigint, n bigint", f"`{seq}` bigint, cnt bigint, first boolean")
+    return keyed_step(stream, keys, [seq, us], [us, seq], step, "at bigint, n bigint", f"`{seq}` bigint, cnt bigint, first boolean", idle_ms)
 
 
 class _TimerAlert(StatefulProcessor):
