@@ -183,3 +183,9 @@ print("ROWS", e.queries()["running_count_by_key_stream"](spark, {SF_DIR!r}).coun
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "ROWS 1000" in done.stdout, done.stderr[-2000:]
+
+
+def test_key_filters_reach_the_files(spark):
+    for key in ("row_get", "scan_prefix", "scan_range", "reverse_time_rowkey"):
+        plan = QUERIES[key](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+        assert "PushedFilters: [" in plan and "rowkey" in plan.split("PushedFilters: [")[1].split("]")[0], key

@@ -108,6 +108,11 @@ def row_values_joined(cells: DataFrame, sep: str = "_") -> DataFrame:
     )
 
 
+def values_joined(wide_rows: DataFrame, columns: Sequence[str], sep: str = "_", name: str = "row_values") -> DataFrame:
+    """The wide view with the values of its ``columns`` joined in qualifier order; missing ones are left out."""
+    return wide_rows.withColumn(name, F.concat_ws(sep, *[F.col(c) for c in sorted(columns)]))
+
+
 def reverse_time_rowkey(key: Column | str, ts: Column) -> Column:
     """``key-(max long - epoch ms)``, zero padded to 19 digits: newest row of a key first in byte order."""
     k = F.col(key) if isinstance(key, str) else key
@@ -151,8 +156,8 @@ def laid_out_by_key(cells: DataFrame, splits: int | None = None) -> DataFrame:
     return ranged.sortWithinPartitions("rowkey", "qualifier")
 
 
-def write_splits(cells: DataFrame, path: str, splits: int) -> None:
-    """Store a table as key ranges, one sorted file per split."""
+def write_splits(cells: DataFrame, path: str, splits: int | None = None) -> None:
+    """Store a table as key ranges, one sorted file per split; as many as the size of the table asks for when not given."""
     laid_out_by_key(cells, splits).write.parquet(path)
 
 

@@ -150,5 +150,5 @@ def sample_by_hash(spark, sf_dir):
     SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey >= 1000 AND o_orderkey < 5000""")
 def key_range_read(spark, sf_dir):
     path = scratch_path(spark, "sorted")
-    ops.write_sorted(load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), path, "o_orderkey", 8)
+    ops.write_sorted(load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), path, "o_orderkey")
     return ops.key_range_read(spark, path, "o_orderkey", 1000, 5000)
