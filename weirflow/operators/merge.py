@@ -113,8 +113,8 @@ def versioned_collapsing(
     on = F.when(F.col("_wf_net") > 0, 1).otherwise(-1) == F.col(sign)
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"_wf_{k}"))
-    major = df.join(left, on).drop(*[f"_wf_{k}" for k in keys])
-    ranked = row_index(major, keys, [seq], "_wf_i")
+    # numbered per sign before the join, so that the input is prepared once
+    ranked = row_index(df, [*keys, sign], [seq], "_wf_i").join(left, on).drop(*[f"_wf_{k}" for k in keys])
     stays = F.when(F.col("_wf_net") > 0, F.col("_wf_i") > F.col("_wf_p") - F.col("_wf_net")).otherwise(
         F.col("_wf_i") <= -F.col("_wf_net")
     )

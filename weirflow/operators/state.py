@@ -12,6 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weirflow.operators.ordering import (
     MAX_PARTS,
@@ -27,6 +28,7 @@ from weirflow.operators.ordering import (
 from weirflow.session import scratch_path
 
 GROUP_ROWS = 1_000_000
+FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 # A jump is more than JUMP above the value before; a value over SPEED_LIMIT warns DELAY_SECONDS later.
 JUMP, SPEED_LIMIT, DELAY_SECONDS = 30, 100, 2
 
@@ -94,6 +96,9 @@ def dedup_with_dup_count(df: DataFrame, keys: Sequence[str], ts: str, seq: Seque
 def dedup_first_seen(df: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
     """First row per key, without expiry."""
     keep = [c for c in df.columns if c not in keys]
+    if len(seq) == 1 and all(isinstance(df.schema[c].dataType, FIXED_WIDTH) for c in keep):
+        # values of fixed width stay in a hash aggregate; every column takes its value from the same row
+        return df.groupBy(*keys).agg(*[F.min_by(c, seq[0]).alias(c) for c in keep]).select(*df.columns)
     out = df.groupBy(*keys).agg(F.min_by(F.struct(*keep), F.struct(*seq)).alias("r"))
     return out.select(*keys, *[F.col(f"r.{c}").alias(c) for c in keep]).select(*df.columns)
 
