@@ -172,12 +172,11 @@ def brute_first_seen(rows, ttl):
     return sorted(out)
 
 
-@pytest.mark.parametrize("group_rows, max_slices", [(5, 10_000), (5, 3), (1000, 10_000)])
-def test_first_seen_with_expiry(spark, monkeypatch, group_rows, max_slices):
-    """All keys small, hot keys in slices of the expiry time, and hot keys in longer slices."""
+@pytest.mark.parametrize("group_rows", [5, 1000])
+def test_first_seen_with_expiry(spark, group_rows):
+    """Hot keys by doubled pointers, and all keys small."""
     import random
 
-    monkeypatch.setattr(state, "MAX_PARTS", max_slices)
 
     rng = random.Random(3)
     rows = [("hot" if i % 3 else rng.choice(["a", "b", None]), rng.randrange(0, 500), i) for i in range(200)]

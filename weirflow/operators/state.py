@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from weirflow.operators.ordering import (
     MAX_PARTS,
     as_number,
+    latest,
     ordered,
     previous,
     row_index,
@@ -110,9 +111,7 @@ def dedup_first_seen_ttl(
 
     The state is written only on first sight, so each emission depends on the one
     before.  Keys of ordinary size jump through their sorted rows.  Keys above
-    ``group_rows`` are taken slice of time by slice of time, all such keys together,
-    carrying one number per key.  A slice as long as ``ttl`` can emit at most one
-    row per key, and that row is a minimum, which combines before the shuffle.
+    ``group_rows`` are solved together by doubling pointers from time to time.
     """
     limit = group_rows or min(GROUP_ROWS, split_rows_of(df, None))
     keys = list(keys)
@@ -126,7 +125,7 @@ def dedup_first_seen_ttl(
     hot = per_key.where(F.col("_wf_n") > limit).select(*[F.col(k).alias(f"_wf_h_{k}") for k in keys])
     cold = timed.join(F.broadcast(hot), _on_hot(keys), "left_anti")
     big = timed.join(F.broadcast(hot), _on_hot(keys), "left_semi")
-    return _emitted(cold, keys, seq, ttl_seconds).unionByName(_emitted_by_slices(big, keys, seq, ttl_seconds)).select(*df.columns)
+    return _emitted(cold, keys, seq, ttl_seconds).unionByName(_emitted_by_doubling(big, keys, seq, ttl_seconds)).select(*df.columns)
 
 
 def _on_hot(keys: Sequence[str]) -> Column:
@@ -140,10 +139,9 @@ def _emitted(timed: DataFrame, keys: Sequence[str], seq: Sequence[str], ttl_seco
     """Rows arrive sorted by key and time; each batch jumps from emitted row to emitted row.
 
     Only the key and time of the last emission are kept, so memory does not grow
-    with a key.  A column ``_wf_last`` gives the last emission before these rows.
+    with a key.
     """
     ttl = int(ttl_seconds * 1_000_000)
-    carried = "_wf_last" in timed.columns
     sorted_rows = timed.repartition(*keys).sortWithinPartitions(*keys, "_wf_us", *seq)
 
     def jump(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +157,7 @@ def _emitted(timed: DataFrame, keys: Sequence[str], seq: Sequence[str], ttl_seco
             for a, b in zip(starts, [*starts[1:], n]):
                 key = tuple(c[a].as_py() for c in key_columns)
                 if key != open_key:
-                    last = batch.column("_wf_last")[a].as_py() if carried else None
+                    last = None
                 i = a if last is None else int(np.searchsorted(at[a:b], last + ttl)) + a
                 while i < b:
                     picks.append(i)
@@ -183,37 +181,47 @@ def _key_starts(columns: Sequence[pa.Array], n: int) -> list[int]:
     return np.flatnonzero(changed).tolist()
 
 
-def _emitted_by_slices(timed: DataFrame, keys: Sequence[str], seq: Sequence[str], ttl_seconds: float) -> DataFrame:
-    """One job per slice; slices are ``ttl`` long, or longer where that would make more than MAX_PARTS of them."""
+def _emitted_by_doubling(timed: DataFrame, keys: Sequence[str], seq: Sequence[str], ttl_seconds: float) -> DataFrame:
+    """All keys and times at once: every time points to the first one ``ttl`` later, and pointers are doubled from the first time on.
+
+    After i rounds the first 2^i emissions of every key are known and a pointer jumps over 2^i of them, so the number of rounds is the
+    logarithm of the longest chain, however many rows or keys there are.
+    """
     spark = timed.sparkSession
     ttl = int(ttl_seconds * 1_000_000)
-    stored, out = scratch_path(spark, "first-seen-rows"), scratch_path(spark, "first-seen-out")
-    low, high = timed.agg(F.min("_wf_us"), F.max("_wf_us")).first()
-    length = max(ttl, -(-(high - low + 1) // MAX_PARTS))
-    timed.withColumn("_wf_slice", F.floor(F.col("_wf_us") / length)).write.partitionBy("_wf_slice").parquet(stored)
-    rows = spark.read.schema(f"{_ddl(timed)}, _wf_slice bigint").parquet(stored)
-    slices = sorted(r[0] for r in rows.select("_wf_slice").distinct().collect())
+    times = timed.select(*keys, "_wf_us").distinct()
+    # every time asks for the smallest one at least ttl later: the latest seen, going back in time
+    both = times.select(*keys, (-F.col("_wf_us")).alias("_wf_back"), F.lit(0).alias("_wf_asks"), "_wf_us").unionByName(
+        times.select(*keys, (-F.col("_wf_us") - ttl).alias("_wf_back"), F.lit(1).alias("_wf_asks"), "_wf_us"))
+    there = F.when(F.col("_wf_asks") == 0, F.col("_wf_us"))
+    seen = ordered(both, keys, ["_wf_back", "_wf_asks"]).scan(_wf_next=latest(there)).frame
+    jump = _stored(seen.where("_wf_asks = 1 AND _wf_next IS NOT NULL").select(*keys, "_wf_us", "_wf_next"))
+    reached = _stored(times.groupBy(*keys).agg(F.min("_wf_us").alias("_wf_us")))
+    while True:
+        ahead = _stored(_followed(reached, jump, keys))
+        if ahead.isEmpty():
+            break
+        reached = _stored(reached.unionByName(ahead))
+        onward = jump.select(*keys, F.col("_wf_us").alias("_wf_from"), F.col("_wf_next").alias("_wf_us"))
+        jump = _stored(_followed(onward, jump, keys, "_wf_from").select(*keys, F.col("_wf_from").alias("_wf_us"), F.col("_wf_hit").alias("_wf_next")))
     named = [F.col(k).alias(f"_wf_h_{k}") for k in keys]
-    schema = timed.select(*named, F.col("_wf_us").alias("_wf_last")).schema
-    known: dict[tuple, int] = {}  # one number per hot key, fewer than MAX_PARTS
-    for s in slices:
-        last = spark.createDataFrame([(*k, v) for k, v in known.items()], schema)
-        part = rows.where(F.col("_wf_slice") == s).join(F.broadcast(last), _on_hot(keys), "left")
-        part = part.select(*timed.columns, "_wf_last")
-        if length == ttl:
-            open_rows = part.where(F.col("_wf_last").isNull() | (F.col("_wf_us") >= F.col("_wf_last") + ttl))
-            first = F.min_by(F.struct(*part.columns), F.struct("_wf_us", *seq))
-            found = open_rows.groupBy(*keys).agg(first.alias("r")).select("r.*")
-        else:
-            found = _emitted(part, keys, seq, ttl_seconds)
-        found.drop("_wf_last").write.parquet(f"{out}/slice={s}")
-        newest = spark.read.schema(timed.schema).parquet(f"{out}/slice={s}").groupBy(*keys).agg(F.max("_wf_us"))
-        known.update({tuple(r)[:-1]: r[len(keys)] for r in newest.collect()})
-    return spark.read.schema(timed.schema).parquet(*[f"{out}/slice={s}" for s in slices])
-
-
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    emitted = timed.join(reached.select(*named, F.col("_wf_us").alias("_wf_h")), _on_hot(keys) & (F.col("_wf_us") == F.col("_wf_h")), "left_semi")
+    first = F.min_by(F.struct(*timed.columns), F.struct(*seq))
+    out = emitted.groupBy(*[F.col(k).alias(f"_wf_g_{k}") for k in keys], F.col("_wf_us").alias("_wf_g")).agg(first.alias("r")).select("r.*")
+    return spark.createDataFrame([], timed.schema).unionByName(out)
+
+
+def _followed(rows: DataFrame, jump: DataFrame, keys: Sequence[str], *kept: str) -> DataFrame:
+    """``rows`` moved along the pointer of their time; rows at the end of a chain go."""
+    to = jump.select(*[F.col(k).alias(f"_wf_h_{k}") for k in keys], F.col("_wf_us").alias("_wf_h"), F.col("_wf_next").alias("_wf_hit"))
+    moved = rows.join(to, _on_hot(keys) & (F.col("_wf_us") == F.col("_wf_h")))
+    return moved.select(*keys, *kept, "_wf_hit") if kept else moved.select(*keys, F.col("_wf_hit").alias("_wf_us"))
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    path = scratch_path(df.sparkSession, "first-seen")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def trade_totals(df: DataFrame, message_key: str, seq: Sequence[str], user: str, qty: str, cent: str) -> DataFrame:
