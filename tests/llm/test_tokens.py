@@ -87,7 +87,7 @@ def brute_best(word, v):
     for j in range(1, len(word) + 1):
         options = []
         for i in range(j):
-            s = v.scores.get(word[i:j])
+            s = v.scores[word[i:j]] if word[i:j] in v.place else None
             if s is None and j - i == 1:
                 s = v.lowest
             if s is not None:
@@ -96,8 +96,22 @@ def brute_best(word, v):
     return best[len(word)]
 
 
+def test_ids_are_those_of_sentencepiece():
+    """A model of merges: whole documents, random strings, runs of blanks, long words."""
+    library = sentencepiece.SentencePieceProcessor(model_proto=piece_model().proto)
+    codec = pieces.Codec(piece_model())
+    rng = random.Random(4)
+    texts = [t or "" for t in EDGE] + [t for t in ODD if "▁" not in t] + ["in the " * 60, "aaaa" * 70, "ererer" * 40 + "\n" + " " * 9 + "x"]
+    texts += ["".join(rng.choice("abeth  in.,\n1é漢") for _ in range(80)) for _ in range(400)]
+    texts += ["".join(rng.choice("ersthion") for _ in range(150)) for _ in range(40)]
+    for t, raw in zip(texts, codec.encode(texts), strict=True):
+        assert np.frombuffer(raw, "<i4").tolist() == library.encode(t), repr(t)
+
+
 def test_viterbi_finds_the_best_sum():
+    """Without the rule of merges, as in a unigram model."""
     v = pieces.Vocabulary(piece_model())
+    v.merges = None
     rng = random.Random(5)
     words = ["▁" + "".join(rng.choice("etaoinshrdé\n😀") for _ in range(7)) for _ in range(200)]
     surface = {i: p for p, i in v.ids.items()}

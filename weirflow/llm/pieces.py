@@ -1,8 +1,12 @@
-"""SentencePiece encoding and decoding: the best-scoring segmentation of a text into the pieces of a given model.
+"""SentencePiece encoding and decoding with a given model; the ids are those of the library.
 
 A batch's new words are sorted by length and words of one length advance together through a Viterbi search in numpy: at every end
 position the hashes of all substrings ending there probe the sorted piece keys, and the maximum over them gives score and
 backpointer. A second hash is compared along the path, so that a piece counts only where 128 bits agree.
+
+In a unigram model the best path is the one with the greatest sum of scores. A model of merges (BPE) ranks merges instead: its
+segmentation is the only path whose neighbouring pieces would not be merged otherwise, so there a piece may follow another only if the
+merges of their joined text end in the two, and among such pieces the maximum is taken.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ UNKNOWN_PENALTY = 10.0  # fixed value: the library's penalty below the worst pie
 UNKNOWN_TEXT = " ⁇ "  # fixed value: what the library shows for an unknown piece
 LONG_WORD = 96
 CACHED_WORDS = 150_000
+PAIR_BITS = 20
 _BASE, _CHECK = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _SIZE, _MASK = 0xBF58476D1CE4E5B9, (1 << 64) - 1
 _SPREAD = np.uint64(0x94D049BB133111EB)
@@ -40,6 +45,53 @@ class ModelFile:
             return ModelFile(f.read())
 
 
+class Merges:
+    """Rules of a model of merges: the adjacent pair whose joined piece has the greatest score is merged first, the left one of equals."""
+
+    def __init__(self, scores: dict[str, float]):
+        self.scores = scores
+        self.traces: dict[str, tuple[list[float], list[str], list[str]] | None] = {}
+
+    def trace(self, piece: str) -> tuple[list[float], list[str], list[str]] | None:
+        """Scores of the merges that make ``piece`` from its characters, and its first and last symbol before each and after all.
+
+        None for a piece that its own merges do not give.
+        """
+        if piece not in self.traces:
+            symbols, done, firsts, lasts = list(piece), [], [piece[0]], [piece[-1]]
+            while len(symbols) > 1:
+                joined = [self.scores.get(a + b, -np.inf) for a, b in zip(symbols, symbols[1:], strict=False)]
+                k = int(np.argmax(joined))
+                if joined[k] == -np.inf:
+                    break
+                symbols[k : k + 2] = [symbols[k] + symbols[k + 1]]
+                done.append(joined[k])
+                firsts.append(symbols[0])
+                lasts.append(symbols[-1])
+            self.traces[piece] = (done, firsts, lasts) if len(symbols) == 1 else None
+        return self.traces[piece]
+
+    def whole(self, piece: str) -> bool:
+        return self.trace(piece) is not None
+
+    def apart(self, a: str, b: str) -> bool:
+        """True if the merges of a + b end in exactly a and b, that is if none ever goes over the border."""
+        (left, _, lasts), (right, firsts, _) = self.trace(a), self.trace(b)
+        i = k = 0
+        while True:
+            over = self.scores.get(lasts[i] + firsts[k], -np.inf)
+            mine = left[i] if i < len(left) else -np.inf
+            other = right[k] if k < len(right) else -np.inf
+            if over > mine and over >= other:
+                return False
+            if mine == other == -np.inf:
+                return True
+            if mine >= other:
+                i += 1
+            else:
+                k += 1
+
+
 class Vocabulary:
     """Pieces, their scores and sorted hash keys."""
 
@@ -72,11 +124,17 @@ class Vocabulary:
             raise ValueError("this model normalises its text; only models that keep it are supported")
         self.lowest = min(self.scores.values()) - UNKNOWN_PENALTY
         self.longest = max(map(len, self.ids))
-        names = list(self.ids)
+        # scores of merges are ranks, those of a unigram model logarithms
+        self.merges = Merges(self.scores) if all(x == int(x) for x in self.scores.values()) else None
+        names = [p for p in self.ids if self.merges is None or self.merges.whole(p)]
         keys = np.array([_key(p, _BASE) for p in names], dtype=np.uint64)
         order = np.argsort(keys)
         self.keys = keys[order]
         self.checks = np.array([_key(names[k], _CHECK) for k in order], dtype=np.uint64)
+        self.pieces = [names[k] for k in order]
+        self.place = {p: k for k, p in enumerate(self.pieces)}
+        self.pair_keys = np.full(1 << PAIR_BITS, -1, dtype=np.int64)
+        self.pair_fits = np.zeros(1 << PAIR_BITS, dtype=bool)
         self.key_scores = np.array([self.scores[names[k]] for k in order])
         self.key_ids = np.array([self.ids[names[k]] for k in order], dtype=np.int32)
         # most substrings are no pieces: a small table by the key's spread bits turns them away before the search
@@ -87,6 +145,23 @@ class Vocabulary:
         # id of an ASCII character without a piece, -1 where it takes none or more than one
         self.ascii_ids = np.array([self.byte_ids.get(c, self.unknown) if self.byte_ids else self.unknown for c in range(128)], dtype=np.int32)
 
+    def fits(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """Whether each piece may follow the one before it (-1: the start of a word, or a character without a piece)."""
+        pairs = (before.astype(np.int64) + 1) * (len(self.pieces) + 1) + piece
+        slots = ((pairs.astype(np.uint64) * _SPREAD) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+        new = np.flatnonzero(self.pair_keys[slots] != pairs)
+        out = self.pair_fits[slots]
+        if len(new):
+            asked, where = np.unique(pairs[new], return_inverse=True)
+            known = []
+            for x in asked.tolist():
+                a, b = divmod(x, len(self.pieces) + 1)
+                known.append(a == 0 or self.merges.apart(self.pieces[a - 1], self.pieces[b]))
+            found = np.array(known, dtype=bool)[where]
+            out[new] = found
+            self.pair_keys[slots[new]], self.pair_fits[slots[new]] = pairs[new], found
+        return out
+
     def spelt(self, path: list[int]) -> bytes:
         """Ids as little-endian 32-bit integers; a negative id is a character without a piece and becomes its bytes."""
         full: list[int] = []
@@ -124,7 +199,8 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 def viterbi(words: list[str], v: Vocabulary) -> list[bytes]:
     """Ids, as little-endian 32-bit integers, of words of one length.
 
-    Of equal sums, the path whose last piece is longest wins, at every position.
+    Of equal sums, the path whose last piece is longest wins, at every position. In a model of merges, a position that no path reaches
+    is no end of a piece.
     """
     codes = _codes(words)
     rows, length = codes.shape
@@ -147,6 +223,10 @@ def viterbi(words: list[str], v: Vocabulary) -> list[bytes]:
         value = np.full(hashes.size, -np.inf)
         value[likely[true]] = v.key_scores[at[true]]
         found, value = found.reshape(hashes.shape), value.reshape(hashes.shape)
+        if v.merges is not None:
+            rows_at, size_at = np.nonzero(found >= 0)
+            fit = v.fits(entry[rows_at, j - sizes[size_at]], found[rows_at, size_at])
+            value[rows_at[~fit], size_at[~fit]] = -np.inf
         value[found[:, -1] < 0, -1] = v.lowest
         value += best[:, j - sizes]
         pick = value.argmax(axis=1)
@@ -176,12 +256,16 @@ def viterbi(words: list[str], v: Vocabulary) -> list[bytes]:
 
 def scalar(word: str, v: Vocabulary) -> list[int]:
     """The same search for one word, by dictionary; for very long words. A negative id is a character without a piece."""
-    best, back = [0.0] + [0.0] * len(word), [0] * (len(word) + 1)
+    best, back = [0.0] + [-np.inf] * len(word), [0] * (len(word) + 1)
     for j in range(1, len(word) + 1):
         top, step = -np.inf, 1
         for n in range(min(j, v.longest), 0, -1):
-            s = v.scores.get(word[j - n : j])
-            s = v.lowest if s is None and n == 1 else s
+            piece = word[j - n : j]
+            s = v.scores.get(piece) if piece in v.place else None
+            if s is not None and v.merges is not None and back[j - n]:
+                before = word[j - n - back[j - n] : j - n]
+                s = s if before not in v.place or v.merges.apart(before, piece) else None
+            s = v.lowest if piece not in v.place and n == 1 else s
             if s is not None and best[j - n] + s > top:
                 top, step = best[j - n] + s, n
         best[j], back[j] = top, step
