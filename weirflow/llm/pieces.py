@@ -26,7 +26,7 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0  # fixed value: the library's penalty below the worst piece
 UNKNOWN_TEXT = " ⁇ "  # fixed value: what the library shows for an unknown piece
 LONG_WORD = 96
-CACHED_WORDS = 150_000
+CACHED_WORDS = 100_000
 PAIR_BITS = 20
 _BASE, _CHECK = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _SIZE, _MASK = 0xBF58476D1CE4E5B9, (1 << 64) - 1
@@ -50,15 +50,15 @@ class Merges:
 
     def __init__(self, scores: dict[str, float]):
         self.scores = scores
-        self.traces: dict[str, tuple[list[float], list[str], list[str]] | None] = {}
+        self.traces: dict[str, tuple[tuple[float, ...], bytes, bytes] | None] = {}
 
-    def trace(self, piece: str) -> tuple[list[float], list[str], list[str]] | None:
-        """Scores of the merges that make ``piece`` from its characters, and its first and last symbol before each and after all.
+    def trace(self, piece: str) -> tuple[tuple[float, ...], bytes, bytes] | None:
+        """Scores of the merges that make ``piece`` from its characters, and the lengths of its first and last symbol before each and after all.
 
         None for a piece that its own merges do not give.
         """
         if piece not in self.traces:
-            symbols, done, firsts, lasts = list(piece), [], [piece[0]], [piece[-1]]
+            symbols, done, firsts, lasts = list(piece), [], [1], [1]
             while len(symbols) > 1:
                 joined = [self.scores.get(a + b, -np.inf) for a, b in zip(symbols, symbols[1:], strict=False)]
                 k = int(np.argmax(joined))
@@ -66,9 +66,9 @@ class Merges:
                     break
                 symbols[k : k + 2] = [symbols[k] + symbols[k + 1]]
                 done.append(joined[k])
-                firsts.append(symbols[0])
-                lasts.append(symbols[-1])
-            self.traces[piece] = (done, firsts, lasts) if len(symbols) == 1 else None
+                firsts.append(len(symbols[0]))
+                lasts.append(len(symbols[-1]))
+            self.traces[piece] = (tuple(done), bytes(firsts), bytes(lasts)) if len(symbols) == 1 and len(piece) < 256 else None
         return self.traces[piece]
 
     def whole(self, piece: str) -> bool:
@@ -79,7 +79,7 @@ class Merges:
         (left, _, lasts), (right, firsts, _) = self.trace(a), self.trace(b)
         i = k = 0
         while True:
-            over = self.scores.get(lasts[i] + firsts[k], -np.inf)
+            over = self.scores.get(a[-lasts[i] :] + b[: firsts[k]], -np.inf)
             mine = left[i] if i < len(left) else -np.inf
             other = right[k] if k < len(right) else -np.inf
             if over > mine and over >= other:
@@ -353,7 +353,7 @@ def encode(docs: DataFrame, model: ModelFile, ids: str = "ids") -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shipped.value)
-        for part, texts in text_slices(batches, 4 << 20):
+        for part, texts in text_slices(batches, 2 << 20):
             coded = codec.encode(texts)
             offsets = np.zeros(len(coded) + 1, dtype=np.int32)
             np.cumsum([len(c) // 4 for c in coded], out=offsets[1:])

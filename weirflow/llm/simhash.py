@@ -91,6 +91,8 @@ def _ball(frame: DataFrame) -> DataFrame:
 
 def links(fps: DataFrame) -> DataFrame:
     """Edges a, b between different fingerprints ``fp`` that give the same components as all pairs within RADIUS bits."""
+    # the table is small and grows 66 times from here: more tasks than it has files
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     half = F.array(F.struct(F.lit(0).alias("side"), F.shiftrightunsigned("fp", 32).alias("part")), F.struct(F.lit(1).alias("side"), F.col("fp").bitwiseAND(0xFFFFFFFF).alias("part")))
     sides = fps.select("fp", F.explode(half).alias("s")).select("fp", "s.side", "s.part")
     near = _variants(sides, "part", flips(32, RADIUS // 4))
