@@ -1,5 +1,6 @@
 """Token records and SentencePiece."""
 
+import hashlib
 import random
 import zlib
 
@@ -125,7 +126,8 @@ def test_viterbi_finds_the_best_sum():
 def test_pieces_round_trip(spark):
     texts = EDGE + [t for t in ODD if "▁" not in t] + ["w" * 500 + " end"]
     docs = frame(spark, texts).selectExpr("*", "1 AS ids", "2 AS decoded", "3 AS exact")
-    rows = {r.doc_id: r for r in pieces.round_trip(docs, piece_model()).collect()}
+    rows = {r.doc_id: r for r in pieces.decode(pieces.round_trip(docs, piece_model()), piece_model()).collect()}
+    assert all(rows[i].decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest() for i, t in enumerate(texts))
     assert all(rows[i].exact and rows[i].decoded == (t or "") for i, t in enumerate(texts))
     library = sentencepiece.SentencePieceProcessor(model_proto=piece_model().proto)
     assert all(library.decode(list(rows[i].ids)) == (t or "") for i, t in enumerate(texts))

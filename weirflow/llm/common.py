@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -56,11 +58,24 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
 
 
 def text_slices(batches: Iterable[pa.RecordBatch], limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Small batches with their texts as a list; a null text is the empty text."""
-    for batch in batches:
-        for a, b in slices(batch, limit=limit):
-            part = batch.slice(a, b - a)
-            yield part, ["" if t is None else t for t in part.column("text").to_pylist()]
+    """Small batches with their texts as a list; a null text is the empty text. Gives memory back when the task ends."""
+    try:
+        for batch in batches:
+            for a, b in slices(batch, limit=limit):
+                part = batch.slice(a, b - a)
+                yield part, ["" if t is None else t for t in part.column("text").to_pylist()]
+    finally:
+        batch = part = None
+        free_memory()
+
+
+def free_memory() -> None:
+    """Workers wait for their next task with what the allocators kept of this one; hand that back."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def to_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:

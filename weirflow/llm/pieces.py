@@ -11,6 +11,7 @@ merges of their joined text end in the two, and among such pieces the maximum is
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -18,7 +19,6 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from weirflow.llm.common import text_slices, wider
 
@@ -341,6 +341,17 @@ def _codec(model: ModelFile) -> Codec:
     return _CODECS[key]
 
 
+def _lists(coded: list[bytes]) -> pa.ListArray:
+    offsets = np.zeros(len(coded) + 1, dtype=np.int32)
+    np.cumsum([len(c) // 4 for c in coded], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(coded), dtype="<i4")))
+
+
+def _split(column: pa.ListArray) -> list[np.ndarray]:
+    ends = np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    return np.split(column.flatten().to_numpy(zero_copy_only=False), ends[:-1])
+
+
 def encode(docs: DataFrame, model: ModelFile, ids: str = "ids") -> DataFrame:
     """All columns of ``docs`` and the piece ids of the whole ``text``; a null or empty text has none.
 
@@ -354,10 +365,7 @@ def encode(docs: DataFrame, model: ModelFile, ids: str = "ids") -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shipped.value)
         for part, texts in text_slices(batches, 2 << 20):
-            coded = codec.encode(texts)
-            offsets = np.zeros(len(coded) + 1, dtype=np.int32)
-            np.cumsum([len(c) // 4 for c in coded], out=offsets[1:])
-            column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(coded), dtype="<i4")))
+            column = _lists(codec.encode(texts))
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), column], names=[*rest, ids])
 
     return docs.mapInArrow(run, wider(docs, **{ids: "array<int>"}))
@@ -375,8 +383,7 @@ def decode(docs: DataFrame, model: ModelFile, ids: str = "ids", text: str = "dec
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
                 column = part.column(ids)
-                flat, ends = column.flatten().to_numpy(zero_copy_only=False), np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-                found = [codec.decode(x.tolist()) for x in np.split(flat, ends[:-1])]
+                found = [codec.decode(x.tolist()) for x in _split(column)]
                 valid = column.is_valid().to_pylist()
                 out = pa.array([t if ok else None for t, ok in zip(found, valid, strict=True)], pa.string())
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), out], names=[*rest, text])
@@ -385,6 +392,23 @@ def decode(docs: DataFrame, model: ModelFile, ids: str = "ids", text: str = "dec
 
 
 def round_trip(docs: DataFrame, model: ModelFile) -> DataFrame:
-    """``docs`` with ids, n_pieces and whether decoding the ids gives the text again (a null text counts as empty)."""
-    both = decode(encode(docs, model), model)
-    return both.withColumn("n_pieces", F.size("ids").cast("bigint")).withColumn("exact", F.col("decoded") == F.coalesce("text", F.lit("")))
+    """``docs`` with ids, n_pieces, decoded_sha256 of the text that the ids decode to, and exact, whether that is the input (null: empty).
+
+    Encoding and decoding share one pass over the texts. Columns of these names in ``docs`` are replaced.
+    """
+    added = ("ids", "n_pieces", "decoded_sha256", "exact")
+    rest = [c for c in docs.columns if c not in added]
+    docs = docs.select(*rest)
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(shipped.value)
+        for part, texts in text_slices(batches, 2 << 20):
+            column = _lists(codec.encode(texts))
+            decoded = [codec.decode(ids.tolist()) for ids in _split(column)]
+            digests = [hashlib.sha256(t.encode()).hexdigest() for t in decoded]
+            exact = [a == b for a, b in zip(decoded, texts, strict=True)]
+            counts = column.value_lengths().cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), column, counts, pa.array(digests, pa.string()), pa.array(exact, pa.bool_())], names=[*rest, *added])
+
+    return docs.mapInArrow(run, wider(docs, ids="array<int>", n_pieces="bigint", decoded_sha256="string", exact="boolean"))
