@@ -155,8 +155,8 @@ def test_temporary_table_holds_its_rows(spark):
 
 def test_newest_value_wins_over_later_batch(spark):
     kv = KeyValueTable(spark, scratch_path(spark, "kv"), ["k"])
-    kv.put(spark.createDataFrame([("a", "new", 10)], "k string, v string, ts int"), 0, "ts")
-    kv.put(spark.createDataFrame([("a", "old", 1), ("b", "x", 1)], "k string, v string, ts int"), 1, "ts")
+    kv.put(spark.createDataFrame([("a", "new", 10)], "k string, v string, ts int"), 0, "ts", across=True)
+    kv.put(spark.createDataFrame([("a", "old", 1), ("b", "x", 1)], "k string, v string, ts int"), 1, "ts", across=True)
     assert rows(kv.current().select("k", "v")) == [("a", "new"), ("b", "x")]
     assert rows(kv.compact(scratch_path(spark, "kv")).current().select("k", "v")) == [("a", "new"), ("b", "x")]
 

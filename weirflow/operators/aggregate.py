@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from weirflow.functions import states
 from weirflow.operators.ordering import ordered, running_count, running_sum
@@ -126,6 +130,86 @@ def udaf_average(df: DataFrame, keys: Sequence[str], value: str, name: str = "av
     return acc.select(*keys, "acc_sum", "acc_cnt", (F.col("acc_sum").cast("double") / F.col("acc_cnt")).alias(name))
 
 
+@dataclass(frozen=True)
+class Accumulator:
+    """A user's aggregate: ``create()``, ``add(acc, row)`` for a tuple of the input columns, ``merge(a, b)`` and ``result(acc)``, a tuple."""
+
+    create: Callable[[], object]
+    add: Callable[[object, tuple], object]
+    merge: Callable[[object, object], object]
+    result: Callable[[object], tuple]
+
+
+def udaf(df: DataFrame, keys: Sequence[str], columns: Sequence[str], acc: Accumulator, schema: str) -> DataFrame:
+    """Aggregate ``columns`` per key with a user's accumulator; output is the keys and ``schema``.
+
+    Each task adds its rows up and sends one accumulator per key and batch, so a hot key sends no rows.  Use built-in aggregates where
+    they fit.
+    """
+    named = [F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]
+    inner = df.select(*named, *[F.col(c).alias(f"v{i}") for i, c in enumerate(columns)])
+    ks, vs = [f"k{i}" for i in range(len(keys))], [f"v{i}" for i in range(len(columns))]
+    key_schema = ", ".join(f"{k} {df.schema[c].dataType.simpleString()}" for k, c in zip(ks, keys))
+
+    names = T.StructType.fromDDL(schema).names
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for key, group in batch.groupby(ks, sort=False, dropna=False):
+                state = acc.create()
+                for row in group[vs].itertuples(index=False, name=None):
+                    state = acc.add(state, row)
+                out.append((*key, pickle.dumps(state)))
+            yield pd.DataFrame(out, columns=[*ks, "acc"])
+
+    def finish(group: pd.DataFrame) -> pd.DataFrame:
+        state = acc.create()
+        for blob in group["acc"]:
+            state = acc.merge(state, pickle.loads(blob))
+        return pd.DataFrame([(*group[ks].iloc[0], *acc.result(state))], columns=[*ks, *names])
+
+    parts = inner.mapInPandas(partial, f"{key_schema}, acc binary")
+    out = parts.groupBy(*ks).applyInPandas(finish, f"{key_schema}, {schema}")
+    return out.withColumnsRenamed(dict(zip(ks, keys)))
+
+
+def ordered_fold(df: DataFrame, keys: Sequence[str], seq: Sequence[str], value: str, fold: Callable[[object, object], object], initial, kind: str, name: str = "folded") -> DataFrame:
+    """Fold the values of a key in arrival order: ``fold(old, current)`` from ``initial``; one row per key.
+
+    The function need not be associative, so the rows of a key go through one task, in batches; only the folded value is held.
+    """
+    ks = [f"k{i}" for i in range(len(keys))]
+    inner = df.select(*[F.col(k).alias(n) for n, k in zip(ks, keys)], F.col(value).alias("v"), *[F.col(c).alias(f"s{i}") for i, c in enumerate(seq)])
+    rows = inner.repartition(*ks).sortWithinPartitions(*ks, *[f"s{i}" for i in range(len(seq))]).select(*ks, "v")
+    key_schema = ", ".join(f"{k} {df.schema[c].dataType.simpleString()}" for k, c in zip(ks, keys))
+
+    folded = to_arrow_type(T.StructType.fromDDL(f"x {kind}")[0].dataType)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, state, kinds = None, initial, []
+
+        def done(out: list[tuple]) -> pa.RecordBatch:
+            columns = zip(*out)
+            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], names=[*ks, "folded"])
+
+        for batch in batches:
+            kinds = [*(f.type for f in list(batch.schema)[:-1]), folded]
+            out = []
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[:-1] != key:
+                    if key is not None:
+                        out.append((*key, state))
+                    key, state = row[:-1], initial
+                state = fold(state, row[-1])
+            if out:
+                yield done(out)
+        if key is not None:
+            yield done([(*key, state)])
+
+    return rows.mapInArrow(run, f"{key_schema}, folded {kind}").withColumnsRenamed({**dict(zip(ks, keys)), "folded": name})
+
+
 def agg_state_partial(df: DataFrame, keys: Sequence[str], aggs: dict[str, tuple[str, str]]) -> DataFrame:
     """Stored partial states: output name -> (state kind, column).  Kinds are in :mod:`functions.states`."""
     built = [c for n, (kind, col) in aggs.items() for c in states.build(kind, col, n)]

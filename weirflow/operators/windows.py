@@ -33,6 +33,11 @@ def first_word_and_total(df: DataFrame, ts: str, size: str, word: str, seq: str,
     return time_window(df, ts, size, {"word": F.min_by(word, seq), "total": total})
 
 
+def pane_micros(size: str, slide: str) -> int:
+    """Microseconds of the longest pane that both window lengths are made of."""
+    return math.gcd(*(pd.Timedelta(x).value // 1000 for x in (size, slide)))
+
+
 def sliding_by_panes(
     df: DataFrame, ts: str, size: str, slide: str, partial: dict[str, Column], final: dict[str, Column], keys: Sequence[str] = ()
 ) -> DataFrame:
@@ -43,7 +48,7 @@ def sliding_by_panes(
     30 min / 10 s that is 180 copies per pane instead of per row.  Where ``slide``
     does not divide ``size``, panes are as long as their greatest common divisor.
     """
-    pane = math.gcd(*(pd.Timedelta(x).value // 1000 for x in (size, slide)))
+    pane = pane_micros(size, slide)
     panes = df.groupBy(*keys, F.window(ts, f"{pane} microseconds").alias("_wf_p")).agg(*[c.alias(n) for n, c in partial.items()])
     panes = panes.withColumn("_wf_pane", F.col("_wf_p.start")).drop("_wf_p")
     out = panes.groupBy(*keys, F.window("_wf_pane", size, slide).alias("_wf_w")).agg(*[c.alias(n) for n, c in final.items()])

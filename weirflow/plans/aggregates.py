@@ -123,6 +123,30 @@ def udaf_accumulator(spark, sf_dir):
     return ops.udaf_average(inserts(spark, sf_dir), ["user_id"], "cents")
 
 
+AVERAGE = ops.Accumulator(
+    create=lambda: (0, 0),
+    add=lambda acc, row: acc if row[0] is None else (acc[0] + int(row[0]), acc[1] + 1),
+    merge=lambda a, b: (a[0] + b[0], a[1] + b[1]),
+    result=lambda acc: (acc[0], acc[1], acc[0] / acc[1] if acc[1] else None),
+)
+
+
+@query("udaf_user", f"""
+    WITH {INSERTS_SQL} SELECT user_id, CAST(sum(cents) AS BIGINT) AS acc_sum, CAST(count(cents) AS BIGINT) AS acc_cnt,
+         CAST(sum(cents) AS DOUBLE) / count(cents) AS avg FROM inserts GROUP BY user_id""")
+def udaf_user(spark, sf_dir):
+    """The average again, as a user's accumulator."""
+    return ops.udaf(inserts(spark, sf_dir), ["user_id"], ["cents"], AVERAGE, "acc_sum bigint, acc_cnt bigint, avg double")
+
+
+@query("keyed_fold_ordered", """
+    SELECT user_id, string_agg(event_type, ' > ' ORDER BY event_id) AS folded FROM events GROUP BY user_id""")
+def keyed_fold_ordered(spark, sf_dir):
+    """Not associative: every step puts the old value before the new one."""
+    step = lambda old, cur: cur if old is None else f"{old} > {cur}"
+    return ops.ordered_fold(events(spark, sf_dir, "user_id", "event_id", "event_type"), ["user_id"], ["event_id"], "event_type", step, None, "string")
+
+
 STATES = {"total": ("sum", "cents"), "n": ("count", "cents"), "low": ("min", "cents"), "high": ("max", "cents"), "mean": ("avg", "k")}
 
 

@@ -150,7 +150,7 @@ def table_copy_stream(spark, sf_dir):
     cells(spark, sf_dir).write.parquet(source)
     schema = spark.read.parquet(source).schema
     table = KeyValueTable(spark, scratch_path(spark, "copy"), ops.CELL_KEY)
-    table.attach(stream_parquet(spark, source, schema, 8), scratch_path(spark, "copy-checkpoint"), "ts", "append").awaitTermination()
+    table.attach(stream_parquet(spark, source, schema, 8), scratch_path(spark, "copy-checkpoint"), "ts", "append", across=True).awaitTermination()
     return _slim(table.current())
 
 
@@ -173,7 +173,7 @@ def messages_to_rows_stream(spark, sf_dir):
     key = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
     stream = event_stream(spark, sf_dir).select(key.alias("rowkey"), F.col("props").alias("value"), F.col("event_id").alias("seq"))
     table = KeyValueTable(spark, scratch_path(spark, "by-second"), ["rowkey"])
-    table.attach(stream, scratch_path(spark, "by-second-checkpoint"), "seq", "append").awaitTermination()
+    table.attach(stream, scratch_path(spark, "by-second-checkpoint"), "seq", "append", across=True).awaitTermination()
     return table.current().select("rowkey", "value")
 
 

@@ -8,7 +8,8 @@ from weirflow.operators import windows as ops
 from weirflow.plans.aggregates import event_stream
 from weirflow.plans.registry import bucket_sql, events, query, row_count
 from weirflow.session import load
-from weirflow.streaming.pipelines import event_time_counts, run_to_keys, run_to_table
+from weirflow.streaming import processors
+from weirflow.streaming.pipelines import event_time_counts, run_to_keys, run_to_table, sliding_panes_stream
 
 HOUR = 3600
 CENTS_SQL = "CAST(round(value * 100) AS BIGINT)"
@@ -120,6 +121,41 @@ def count_window_sliding_all(spark, sf_dir):
     return ops.count_window_by_panes(events(spark, sf_dir, "event_id"), ["event_id"], 10, 4, partial, final)
 
 
+def _cents_stream(spark, sf_dir, order):
+    return event_stream(spark, sf_dir, order).withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
+
+
+@query("count_window_keyed_stream", f"""
+    WITH x AS (SELECT *, {CENTS_SQL} AS cents, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events)
+    SELECT user_id, CAST((n - 1) // 3 AS BIGINT) AS block, CAST(count(*) AS BIGINT) AS cnt, CAST(sum(cents) AS BIGINT) AS total,
+           min(event_id) AS first_id FROM x GROUP BY 1, 2 HAVING count(*) = 3""")
+def count_window_keyed_stream(spark, sf_dir):
+    return run_to_table(processors.count_window_stream(_cents_stream(spark, sf_dir, ["event_id"]), ["user_id"], "cents", "event_id", 3))
+
+
+@query("count_window_sliding_stream", f"""
+    WITH x AS (SELECT user_id, event_id, row_number() OVER w AS n,
+        sum({CENTS_SQL}) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS total,
+        count(*) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS cnt,
+        min(event_id) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS first_id
+      FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
+    SELECT user_id, CAST(n // 2 AS BIGINT) AS block, CAST(cnt AS BIGINT) AS cnt, CAST(total AS BIGINT) AS total, first_id
+    FROM x WHERE n % 2 = 0""")
+def count_window_sliding_stream(spark, sf_dir):
+    return run_to_table(processors.count_window_sliding_stream(_cents_stream(spark, sf_dir, ["event_id"]), ["user_id"], "cents", "event_id", 5, 2))
+
+
+@query("sliding_avg_keyed_stream", _sliding_sql(
+    "CAST(sum(cents) AS BIGINT) AS total, CAST(count(*) AS BIGINT) AS cnt", "user_id", 1800, 600))
+def sliding_avg_keyed_stream(spark, sf_dir):
+    """Panes, then windows of panes; a row three days later closes all windows and stays in one that is open."""
+    last = load(spark, sf_dir, "events").agg((F.max("ts") + F.expr("INTERVAL 3 DAYS")).alias("ts"), F.lit(-1).cast("bigint").alias("user_id"))
+    rows = event_stream(spark, sf_dir, ["ts", "event_id"], last).withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
+    out = run_to_table(sliding_panes_stream(
+        rows, "ts", "0 seconds", "30 minutes", "10 minutes", {"_s": F.sum("cents"), "_n": F.count("cents")}, {"total": F.sum("_s"), "cnt": F.sum("_n")}, ["user_id"]))
+    return out.where("user_id >= 0").withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
 def _session_sql(key: str, gap_minutes: int, members: bool = False) -> str:
     by = f"PARTITION BY {key}" if key else ""
     head = f"{key}, " if key else ""

@@ -22,18 +22,21 @@ class KeyValueTable:
     """Upsert table kept as one folder per batch.
 
     A put reduces the batch to one row per key and writes it to its own folder,
-    overwriting it when the batch is replayed (idempotent).  Reads take, per key,
-    the row with the greatest ``seq`` over all batches, of the newest batch where
-    that is equal or puts give none; ``compact`` folds all batches into one.
+    overwriting it when the batch is replayed (idempotent).  Reads take the newest
+    batch per key, or, for puts with ``across``, the row with the greatest ``seq`` over
+    all batches; ``compact`` folds all batches into one.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str]):
         self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
 
-    def put(self, rows: DataFrame, batch_id: int, seq: str | None = None) -> None:
-        """``seq`` orders rows of the same key inside a batch; without it keys must be unique in the batch."""
+    def put(self, rows: DataFrame, batch_id: int, seq: str | None = None, across: bool = False) -> None:
+        """``seq`` orders rows of the same key inside a batch; without it keys must be unique in the batch.
+
+        ``across``: it also orders the batches' rows, so that an older row in a later batch does not win.
+        """
         kept = last_row_per_key(rows, self.keys, seq)
-        kept = kept.withColumn(SEQ, F.lit(None).cast("long") if seq is None else _as_long(kept, seq))
+        kept = kept.withColumn(SEQ, _as_long(kept, seq) if seq and across else F.lit(None).cast("long"))
         kept.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
 
     def current(self) -> DataFrame:
@@ -56,10 +59,10 @@ class KeyValueTable:
         newest.select(*self.keys, *[F.col(f"r.{c}").alias(c) for c in [*rest, SEQ]]).write.parquet(f"{target.rstrip('/')}/batch=-1")
         return KeyValueTable(self.spark, target, self.keys)
 
-    def attach(self, stream: DataFrame, checkpoint: str, seq: str | None = None, mode: str = "update", available_now: bool = True) -> StreamingQuery:
+    def attach(self, stream: DataFrame, checkpoint: str, seq: str | None = None, mode: str = "update", available_now: bool = True, across: bool = False) -> StreamingQuery:
         writer = (
             stream.writeStream.outputMode(mode)
-            .foreachBatch(lambda df, batch_id: self.put(df, batch_id, seq))
+            .foreachBatch(lambda df, batch_id: self.put(df, batch_id, seq, across))
             .option("checkpointLocation", checkpoint)
         )
         return (writer.trigger(availableNow=True) if available_now else writer).start()

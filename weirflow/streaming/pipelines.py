@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from weirflow.operators import eventtime
-from weirflow.operators.enrich import NOT_FOUND, NOT_FOUND_CITY, lookup_static
-from weirflow.operators.windows import time_window
+from weirflow.operators.enrich import LOADED, NOT_FOUND, NOT_FOUND_CITY, lookup_static
+from weirflow.operators.windows import pane_micros, time_window
 from weirflow.session import ROCKSDB_PROVIDER, scratch_path
 from weirflow.sinks.keyvalue import KeyValueTable
 
@@ -46,6 +46,16 @@ def event_time_counts(stream: DataFrame, ts: str, delay: str, size: str, keys: S
     return time_window(stream.withWatermark(ts, delay), ts, size, {"cnt": F.count(F.lit(1))}, keys, slide)
 
 
+def sliding_panes_stream(
+    stream: DataFrame, ts: str, delay: str, size: str, slide: str, partial: dict[str, Column], final: dict[str, Column], keys: Sequence[str] = ()
+) -> DataFrame:
+    """Sliding windows through panes, append mode: rows are reduced to panes, only closed panes are copied into their windows."""
+    pane = f"{pane_micros(size, slide)} microseconds"
+    panes = stream.withWatermark(ts, delay).groupBy(*keys, F.window(ts, pane).alias("_wf_p")).agg(*[c.alias(n) for n, c in partial.items()])
+    out = panes.groupBy(*keys, F.window("_wf_p", size, slide).alias("_wf_w")).agg(*[c.alias(n) for n, c in final.items()])
+    return out.select(*keys, F.col("_wf_w.start").alias("window_start"), F.col("_wf_w.end").alias("window_end"), *final)
+
+
 def allowed_lateness_stream(stream: DataFrame, ts: str, delay_seconds: int, lateness_seconds: int, size: str, keys: Sequence[str]) -> DataFrame:
     """Run in update mode: windows are kept for delay + lateness and emitted again on each accepted late row."""
     return event_time_counts(stream, ts, f"{delay_seconds + lateness_seconds} seconds", size, keys)
@@ -136,21 +146,28 @@ class ConfigLookup:
     """Lookups and configuration arrive in one stream, told apart by ``is_config``.
 
     A micro-batch first stores its configuration rows, then answers its lookups
-    from the stored state.  Change order finer than a micro-batch is what the batch
+    from the stored state; every configuration row is acknowledged.  Change order finer than a micro-batch is what the batch
     form :func:`weirflow.operators.enrich.lookup_config_stream` gives.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str, value: str, seq: str, default: str = NOT_FOUND_CITY):
         self.config = KeyValueTable(spark, f"{path}/config", [key])
-        self.key, self.value, self.seq, self.default, self.out = key, value, seq, default, f"{path}/answers"
+        self.key, self.value, self.seq, self.default = key, value, seq, default
+        self.out, self.acks = f"{path}/answers", f"{path}/acks"
 
     def handle(self, batch: DataFrame, batch_id: int) -> None:
         rows = batch.where("is_config").select(self.key, self.value, self.seq)
-        self.config.put(rows, batch_id, self.seq)
+        self.config.put(rows, batch_id, self.seq, across=True)
+        text = F.concat(F.col(self.key).cast("string"), F.lit(" "), F.col(self.value), F.lit(LOADED))
+        rows.select(self.seq, text.alias("answer")).write.mode("overwrite").parquet(f"{self.acks}/batch={batch_id}")
         dim = self.config.current().select(F.col(self.key).alias("_wf_id"), self.value)
         asked = batch.where("NOT is_config").drop("is_config", self.value)
         lookup_static(asked, dim, self.key, "_wf_id", self.value, self.default).write.mode("overwrite").parquet(f"{self.out}/batch={batch_id}")
 
+    def acknowledgements(self) -> DataFrame:
+        """One text per configuration row that was stored."""
+        return self.config.spark.read.option("basePath", self.acks).parquet(f"{self.acks}/batch=*").drop("batch")
+
     def answers(self) -> DataFrame:
         return self.config.spark.read.option("basePath", self.out).parquet(f"{self.out}/batch=*").drop("batch")
 

@@ -181,6 +181,34 @@ def dup_count_stream(stream: DataFrame, keys: Sequence[str], us: str, seq: str,
     return keyed_step(stream, keys, [seq, us], [us, seq], step, "at bigint, n bigint", f"`{seq}` bigint, cnt bigint, first boolean", idle_ms)
 
 
+def count_window_stream(stream: DataFrame, keys: Sequence[str], value: str, seq: str, size: int) -> DataFrame:
+    """Blocks of ``size`` rows per key: count, total of ``value`` and first ``seq``; state is one row, blocks that are not full stay open."""
+
+    def step(state, row):
+        block, n, total, first = state or (0, 0, 0, row[0])
+        n, total = n + 1, total + row[1]
+        if n < size:
+            return (block, n, total, first if n > 1 else row[0]), []
+        return (block + 1, 0, 0, 0), [(block, n, total, first if n > 1 else row[0])]
+
+    slim = stream.withColumn(value, F.col(value).cast("long"))
+    return keyed_step(slim, keys, [seq, value], [seq], step, "block bigint, n bigint, total bigint, first bigint", "block bigint, cnt bigint, total bigint, first_id bigint")
+
+
+def count_window_sliding_stream(stream: DataFrame, keys: Sequence[str], value: str, seq: str, size: int, slide: int) -> DataFrame:
+    """Every ``slide`` rows of a key, the last ``size`` of them; state holds at most ``size`` rows."""
+
+    def step(state, row):
+        n, rows = (state[0], [tuple(r) for r in state[1]]) if state else (0, [])
+        rows = [*rows, (row[0], row[1])][-size:]
+        n += 1
+        out = [(n // slide, len(rows), sum(v for _, v in rows), rows[0][0])] if n % slide == 0 else []
+        return (n, rows), out
+
+    slim = stream.withColumn(value, F.col(value).cast("long"))
+    return keyed_step(slim, keys, [seq, value], [seq], step, "n bigint, rows array<struct<s: bigint, v: bigint>>", "block bigint, cnt bigint, total bigint, first_id bigint")
+
+
 class _TimerAlert(StatefulProcessor):
     def __init__(self, value: str, ts_ms: str, limit: float, delay_ms: int, clock: bool):
         self.value, self.ts_ms, self.limit, self.delay_ms, self.clock = value, ts_ms, limit, delay_ms, clock
