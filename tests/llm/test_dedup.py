@@ -69,6 +69,42 @@ def test_suffix_array_order_and_prefixes():
             assert shared[b] == n or (n < 32 and shared[b] <= n)
 
 
+def test_prefixes_of_runs_longer_than_the_sorted_depth():
+    """Runs of 64 bytes and more that then differ: ties of the order stay in text order, and no prefix may be taken as equal unseen."""
+    rng = np.random.default_rng(11)
+    for _ in range(60):
+        base = rng.integers(97, 123, 200)
+        parts = []
+        for _ in range(3):
+            copy = base[rng.integers(0, 60) :].copy()
+            copy[rng.integers(0, len(copy), 2)] = rng.integers(65, 91, 2)
+            parts.append(copy)
+        text = np.concatenate(parts).astype(np.uint8)
+        sizes = np.array(list(map(len, parts)))
+        order, group, eight = suffixdedup.suffix_array(text, 40)
+        shared = suffixdedup.common_prefixes(text, order, group, eight, np.cumsum(sizes) - sizes, sizes, 40)
+        raw = text.tobytes()
+        for a, b in zip(order[:-1], order[1:], strict=True):
+            if max(a, b) + 40 <= len(raw):
+                assert (shared[b] >= 40) == (raw[a : a + 40] == raw[b : b + 40])
+
+
+def test_variants_under_one_anchor_with_long_common_runs(spark):
+    """Three variants whose common runs exceed the sorted depth of 256 bytes, some windows of which are unique."""
+    rng = random.Random(23)
+    texts = []
+    for _ in range(40):
+        base = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(700))
+        for _ in range(3):
+            copy = list(base[rng.randrange(150) :])
+            for _ in range(2):
+                copy[rng.randrange(len(copy))] = rng.choice("ABC")
+            texts.append("".join(copy))
+    out = by_id(suffixdedup.deduplicate(frame(spark, texts), suffixdedup.Settings(shape=TINY)), "n_bytes", "n_removed", "n_spans", "kept")
+    for i, want in enumerate(brute_bytes(texts, 200)):
+        assert (*out[i][:3], bytes(out[i][3])) == want, i
+
+
 def test_long_text_is_cut_into_overlapping_pieces(spark):
     rng = random.Random(9)
     block = "".join(rng.choice("abcdefghijklmnop") for _ in range(1000))

@@ -186,8 +186,9 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray,
 def common_prefixes(text: np.ndarray, order: np.ndarray, group: np.ndarray, eight: np.ndarray, starts: np.ndarray, sizes: np.ndarray, most: int) -> np.ndarray:
     """Bytes, up to ``most``, that each suffix shares with the one before it in ``order``; 0 where their ``group`` differs.
 
-    Kasai: a suffix shares at least one byte less than its predecessor in the text did. The segments at ``starts`` advance together,
-    one byte a step, and compare eight bytes at once.
+    Kasai: a suffix shares at least one byte less than its predecessor in the text did. That holds where those two differ within the
+    sorted depth, which is ``most`` or more; beyond it ties are in text order, and the bound counts only for the very next pair of
+    suffixes. The segments at ``starts`` advance together, one byte a step, and compare eight bytes at once.
     """
     n = len(text)
     before = np.full(n, -1, dtype=np.int64)
@@ -199,7 +200,8 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, group: np.ndarray, eigh
         lanes = lanes[sizes[lanes] > step]
         at = starts[lanes] + step
         other = before[at]
-        length = np.where(other >= 0, np.maximum(carry[lanes] - 1, 0), 0)
+        known = (other >= 0) & ((carry[lanes] < most) | (other == before[at - 1] + 1))
+        length = np.where(known, np.maximum(carry[lanes] - 1, 0), 0)
         going = np.flatnonzero((other >= 0) & (length < most))
         while len(going):
             a, b = at[going] + length[going], other[going] + length[going]
