@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import decontam, langid, outliers, pieces, quality, records, sharding, simhash, suffixdedup, windowdedup
+from weirflow.llm import decontam, langid, outliers, pieces, quality, records, sharding, simhash, spelling, suffixdedup, windowdedup
 from weirflow.llm.common import held_out
 from weirflow.session import load, scratch_path
 
@@ -133,3 +133,38 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffixdedup.deduplicate(load(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_PLAIN = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# letters outside ASCII as one byte each: DuckDB's levenshtein counts bytes
+_ONE_BYTE = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789!#$%&()*+,-./:;<=>?@[]^_{|}~"
+OP13_SQL = rf"""
+WITH RECURSIVE step AS (SELECT i, CAST(i AS BIGINT) AS c, 0 AS k FROM range(256) t(i)
+              UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM step WHERE k < 8),
+tab AS MATERIALIZED (SELECT list(c ORDER BY i) AS t FROM step WHERE k = 8),
+runs AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all({_PLAIN.format('text')}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS w FROM documents)
+         GROUP BY doc_id, w),
+bytes AS (SELECT *, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w, ''),
+          lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [CAST(195 AS BIGINT), CAST(unicode(x) - 64 AS BIGINT)] END)) AS b FROM runs),
+sums AS (SELECT w, n, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM bytes, tab),
+said AS (SELECT CASE WHEN h % 199 = 0 THEN left(w, h % length(w)) || substring(w, CAST(h % length(w) + 2 AS BIGINT)) ELSE w END AS word, n FROM sums),
+voc AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n, translate(word, '{"".join(chr(c) for c in range(0xC0, 0x100))}', '{_ONE_BYTE}') AS plain
+        FROM said WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+near AS (SELECT a.word, b.word AS other, b.n AS m FROM voc a JOIN voc b ON length(a.word) BETWEEN length(b.word) - 1 AND length(b.word) + 1
+         AND a.word <> b.word AND levenshtein(a.plain, b.plain) = 1),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-m, other)) AS other, max(m) AS m FROM near GROUP BY word),
+formed AS MATERIALIZED (SELECT word, CASE WHEN m >= 5 * n THEN other END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * n THEN m END AS form_n
+           FROM voc LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS root FROM formed UNION ALL SELECT chain.word, formed.form FROM chain JOIN formed ON chain.root = formed.word WHERE formed.form IS NOT NULL)
+SELECT formed.*, root FROM formed JOIN (SELECT chain.word, chain.root FROM chain JOIN formed ON chain.root = formed.word WHERE formed.form IS NULL) USING (word)
+"""
+
+
+@query("op13_spelling_variants", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run in about 199 loses a character, by a checksum of its document and itself; variants are sought among the results."""
+    found = spelling.runs(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")))
+    at = "CAST(h % length(run) AS INT)"
+    word = F.expr(f"CASE WHEN h % 199 = 0 THEN concat(substring(run, 1, {at}), substring(run, {at} + 2)) ELSE run END")
+    return spelling.variants(spelling.vocabulary(found.withColumn("h", h), word))
