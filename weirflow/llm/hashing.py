@@ -46,13 +46,13 @@ def rolled(values: np.ndarray, width: int, base: int) -> np.ndarray:
     return out[:n]
 
 
-_TABLES = [np.where(_BLANK, np.uint64(0), mix(np.arange(256, dtype=np.uint64) + np.uint64(1 + 1000 * k))) for k in (1, 2)]
+_BYTES = [mix(np.arange(256, dtype=np.uint64) + np.uint64(1 + 1000 * k)) for k in (1, 2)]
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
 @dataclass
 class Words:
-    """Words (runs of bytes other than ASCII white space) of several texts: their text and two hashes each."""
+    """Words (runs of bytes other than ASCII white space, or than the given breaks) of several texts: their text and two hashes each."""
 
     text: np.ndarray
     counts: np.ndarray
@@ -80,10 +80,14 @@ def _blocks(buffer: np.ndarray, blank: np.ndarray, size: int):
         start = end
 
 
-def words_of(texts: list[bytes], block: int = 1 << 20) -> Words:
-    """Words of ``texts`` with their hashes, worked out block by block so that memory stays a small multiple of the texts."""
+def words_of(texts: list[bytes], block: int = 1 << 20, breaks: np.ndarray = _BLANK) -> Words:
+    """Words of ``texts`` with their hashes, worked out block by block so that memory stays a small multiple of the texts.
+
+    ``breaks`` marks the bytes between words, the line feed among them.
+    """
     buffer = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
-    blank = _BLANK[buffer]
+    blank = breaks[buffer]
+    tables = [np.where(breaks, np.uint64(0), t) for t in _BYTES]
     hashes: list[list[np.ndarray]] = [[], []]
     places = []
     for a, b in _blocks(buffer, blank, block):
@@ -94,7 +98,7 @@ def words_of(texts: list[bytes], block: int = 1 << 20) -> Words:
         body = buffer[a + starts[0] : b]
         sizes = np.diff(np.append(starts, b - a))
         place = np.arange(len(body), dtype=np.int64) - np.repeat(starts - starts[0], sizes)
-        for out, table, base in zip(hashes, _TABLES, _BASES, strict=True):
+        for out, table, base in zip(hashes, tables, _BASES, strict=True):
             out.append(mix(np.add.reduceat(table[body] * _powers(base, int(sizes.max()))[place], starts - starts[0])))
         places.append(starts + a)
     starts = np.concatenate([np.zeros(0, dtype=np.int64), *places])

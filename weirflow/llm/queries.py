@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import decontam, langid, outliers, pieces, quality, records, sharding, simhash, spelling, suffixdedup, windowdedup
+from weirflow.llm import decontam, langid, lexical, outliers, pieces, quality, records, sharding, simhash, spelling, suffixdedup, windowdedup
 from weirflow.llm.common import held_out
 from weirflow.session import load, scratch_path
 
@@ -168,3 +168,24 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = "CAST(h % length(run) AS INT)"
     word = F.expr(f"CASE WHEN h % 199 = 0 THEN concat(substring(run, 1, {at}), substring(run, {at} + 2)) ELSE run END")
     return spelling.variants(spelling.vocabulary(found.withColumn("h", h), word))
+
+
+OP12_SQL = rf"""
+WITH t AS (SELECT row_number() OVER () AS d, doc_id, unnest(regexp_extract_all({_PLAIN.format('text')}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+tf AS (SELECT d, doc_id, term, count(*) AS tf FROM t GROUP BY d, doc_id, term),
+n AS (SELECT d, sum(tf) AS n FROM tf GROUP BY d),
+s AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS words FROM n),
+m AS (SELECT d, 10 + (90 * CAST(n AS BIGINT) * docs) // words AS m FROM n, s),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, s GROUP BY term, docs),
+asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_PLAIN.format('text')}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+scored AS (SELECT item_id, d, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+           FROM asked JOIN w USING (term) JOIN tf USING (term) JOIN m USING (d) GROUP BY item_id, d, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+QUALIFY rank <= 10
+"""
+
+
+@query("op12_lexical_search", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical.build(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return lexical.search(index, load(spark, sf_dir, "benchmark").select("item_id", "text"))
