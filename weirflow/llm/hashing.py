@@ -107,3 +107,19 @@ def words_of(texts: list[bytes], block: int = 1 << 20, breaks: np.ndarray = _BLA
     counts = np.bincount(text, minlength=len(texts)).astype(np.int64)
     none = np.zeros(0, dtype=np.uint64)
     return Words(text, counts, np.concatenate([none, *hashes[0]]), np.concatenate([none, *hashes[1]]))
+
+
+def shingles(texts: list[bytes], width: int) -> list[np.ndarray]:
+    """Sorted hashes of the different runs of ``width`` words of each text; a text of fewer words is one run, one without words has none."""
+    found = words_of(texts)
+    owner, _, k1, k2 = found.windows(width)
+    values = mix(k1 ^ (k2 * np.uint64(2 * width + 1)))
+    ends = np.cumsum(np.bincount(owner, minlength=len(texts))) if len(texts) else []
+    out = [np.unique(v) for v in np.split(values, ends[:-1])] if len(texts) else []
+    short = np.flatnonzero((found.counts > 0) & (found.counts < width))
+    first = np.cumsum(found.counts) - found.counts
+    for i in short.tolist():
+        n = int(found.counts[i])
+        h1, h2 = (mix(rolled(h[first[i] : first[i] + n], n, b)) for h, b in zip((found.h1, found.h2), _BASES, strict=True))
+        out[i] = mix(h1 ^ (h2 * np.uint64(2 * n + 1)))
+    return out

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import decontam, langid, lexical, outliers, pieces, quality, records, sharding, simhash, spelling, suffixdedup, windowdedup
+from weirflow.llm import chosenpath, decontam, langid, lexical, outliers, pieces, quality, records, sharding, simhash, spelling, suffixdedup, windowdedup
 from weirflow.llm.common import held_out
 from weirflow.session import load, scratch_path
 
@@ -189,3 +189,21 @@ QUALIFY rank <= 10
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = lexical.build(load(spark, sf_dir, "documents").select("doc_id", "text"))
     return lexical.search(index, load(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+OP11_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all({_PLAIN.format('text')}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+sh AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(list_slice(w, s + 1, s + 5), ' ') AS g
+       FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 4, 1))) AS s FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+link AS MATERIALIZED (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM sh x JOIN sh y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY ALL)
+        JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * i >= 85 * (p.n + q.n - i)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c AS component_id, d.doc_id = c AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY a) USING (doc_id)
+"""
+
+
+@query("op11_minhash_near_dedup", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosenpath.near_duplicates(load(spark, sf_dir, "documents").select("doc_id", "text"))
