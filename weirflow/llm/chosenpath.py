@@ -10,7 +10,7 @@ that is 2.6e-7; on ever deeper paths a tree loses them with 0.031 at most (the l
 with 1e-6. Every link is confirmed on the whole sets.
 
 Only components are asked for. So the records of every node are first compared with one of them, and nodes whose records all are in
-one component are done: a crowd of copies is never paired up.
+one component are done. Within a task links join components too, so that a crowd of copies sends on a tree of links, not all its pairs.
 """
 
 from __future__ import annotations
@@ -40,10 +40,11 @@ _RECORD = "_wf_id bigint, _wf_h bigint, n int, s1 bigint, s2 bigint, least array
 
 @dataclass(frozen=True)
 class Settings:
-    """percent: least similarity of a link, of 100; node: most records that are compared exhaustively in one group."""
+    """percent: least similarity of a link, of 100; node: records of a small node, which are compared exhaustively; group_shingles: of a block of whole sets."""
 
     percent: int = 85
-    node: int = 32
+    node: int = 1024
+    group_shingles: int = 2 << 20
 
 
 def shingle_sets(texts: list[str]) -> list[np.ndarray]:
@@ -110,18 +111,93 @@ def _children(level: int) -> str:
     return f"transform(array({one}, {two}), c -> xxhash64(node, c, least[c]))"
 
 
-def _paired(members: DataFrame, s: Settings) -> DataFrame:
-    """a, b: records of one node that lie in different components and may be near, node by node in blocks of ``node`` records.
-
-    A row goes to every pair of blocks that has its own one, so no task or join key holds more than two blocks.
+def _grouped(batches: Iterable[pa.RecordBatch], work) -> Iterator[pa.RecordBatch]:
+    """``work`` on the rows of one group after the other; rows come sorted by ``g``, and one group at a time is held."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        g = batch.column("g").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(g)) + 1).tolist(), len(g)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if held and held[0].column("g")[0].as_py() != g[a]:
+                yield from work(pa.Table.from_batches(held).combine_chunks())
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield from work(pa.Table.from_batches(held).combine_chunks())
+
+
+def _likely(n: np.ndarray, bits: np.ndarray, root: np.ndarray, i: int, percent: int) -> np.ndarray:
+    """Rows after row ``i`` in another component that may be near it."""
+    both = n[i + 1 :] + n[i]
+    apart = np.bitwise_count(bits[i + 1 :] ^ bits[i]).sum(axis=1, dtype=np.int64)
+    least, most = np.minimum(n[i + 1 :], n[i]), np.maximum(n[i + 1 :], n[i])
+    return i + 1 + np.flatnonzero((root[i + 1 :] != root[i]) & (100 * least >= percent * most) & ((100 + percent) * apart <= (100 - percent) * both))
+
+
+def _columns(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    rec, root, n = (group.column(c).to_numpy() for c in ("rec", "root", "n"))
+    return rec, root.copy(), n.astype(np.int64), np.column_stack([group.column(b).to_numpy() for b in _BITS]).view(np.uint64)
+
+
+def _candidates(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Records of each group with another one of the group that they may be near."""
+
+    def work(group: pa.Table) -> Iterator[pa.RecordBatch]:
+        rec, root, n, bits = _columns(group)
+        some = np.zeros(len(rec), dtype=bool)
+        for i in range(len(rec) - 1):
+            found = _likely(n, bits, root, i, percent)
+            some[found] = True
+            some[i] |= len(found) > 0
+        at = np.flatnonzero(some)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), group.column("g")[0].as_py())), pa.array(rec[at]), pa.array(root[at])], names=["g", "rec", "root"])
+
+    return _grouped(batches, work)
+
+
+def _confirmed(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Links between the records of each group, by their whole sets; what links have joined already is not compared again."""
+
+    def work(group: pa.Table) -> Iterator[pa.RecordBatch]:
+        rec, root, n, bits = _columns(group)
+        flat = group.column("all").combine_chunks()
+        ends, values = flat.offsets.to_numpy(), flat.values.to_numpy()
+        sets = [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        links = []
+        for i in range(len(rec) - 1):
+            for j in _likely(n, bits, root, i, percent).tolist():
+                if root[i] != root[j]:
+                    shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if (100 + percent) * shared >= percent * int(n[i] + n[j]):
+                        links.append((i, j))
+                        root[root == root[j]] = root[i]
+        pick = lambda k: pa.array(rec[[x[k] for x in links]] if links else np.zeros(0, dtype=np.int64))
+        yield pa.RecordBatch.from_arrays([pick(0), pick(1)], names=["a", "b"])
+
+    return _grouped(batches, work)
+
+
+def _dealt(rows: DataFrame, key: list[str], blocks: str) -> DataFrame:
+    """Adds g, the group of a row: one for each ``key``, or for every two blocks of its rows where it has more than one block."""
+    own = rows.withColumn("_blocks", F.expr(f"CAST({blocks} AS INT)")).withColumn("_own", F.expr("CAST(pmod(xxhash64(rec), _blocks) AS INT)"))
+    other = own.withColumn("_other", F.explode(F.expr("CASE WHEN _blocks = 1 THEN array(0) ELSE filter(sequence(0, _blocks - 1), x -> x <> _own) END")))
+    g = F.xxhash64(*key, F.least("_own", "_other"), F.greatest("_own", "_other"))
+    return other.select(g.alias("g"), *[c for c in rows.columns if c not in {"g", *key}])
+
+
+def _compared(members: DataFrame, records: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """a, b: links between records of one node (node, m, rec, root, n, bits) that lie in different components.
+
+    Signatures are compared first; only records that may be near another one are sent on with their whole sets. A task holds one group: two
+    blocks of ``node`` records at most, or of ``group_shingles`` shingles in the second step. It sends on at most one row per record.
     """
-    rows = members.withColumn("blocks", F.ceil(F.col("m") / s.node).cast("int"))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("rec"), F.col("blocks")).cast("int"))
-    dealt = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    p, q = dealt.alias("p"), dealt.alias("q")
-    once = "(p.own <> q.own OR p.i = p.j)"
-    pairs = p.join(q, ["node", "i", "j"]).where(f"p.rec < q.rec AND p.root <> q.root AND {once} AND {_may_be_near('p', 'q', s.percent)}")
-    return pairs.select(F.col("p.rec").alias("a"), F.col("q.rec").alias("b"))
+    groups = _dealt(members, ["node"], f"ceil(m / {s.node})").repartition("g").sortWithinPartitions("g")
+    some = stored(groups.mapInArrow(lambda b: _candidates(b, s.percent), "g bigint, rec bigint, root bigint"), "candidates")
+    full = some.join(records.select("rec", "n", *_BITS), "rec")
+    sizes = full.groupBy("g").agg(F.sum("n").alias("_size"))
+    dealt = _dealt(full.join(sizes, "g").withColumnRenamed("g", "_g"), ["_g"], f"ceil(_size / {s.group_shingles})").drop("_size")
+    whole = dealt.join(sets, "rec").repartition("g").sortWithinPartitions("g")
+    return whole.mapInArrow(lambda b: _confirmed(b, s.percent), "a bigint, b bigint")
 
 
 def _links(records: DataFrame, sets, s: Settings) -> DataFrame:
@@ -146,11 +222,14 @@ def _links(records: DataFrame, sets, s: Settings) -> DataFrame:
         mixed = nodes.where("r0 <> r1").select("node", "m")
         here = stored(placed.join(mixed, "node").join(records.select(*carried, "least"), "rec"), "mixed")
         few = here if level == LEVELS else here.where(F.col("m") <= s.node)
-        found = found.union(stored(_paired(few, s).distinct(), "pairs"))
+        found = found.union(stored(_compared(few.drop("least"), records, whole, s), "links"))
         if level == LEVELS:
             break
-        members = here.where(F.col("m") > s.node).select("rec", F.explode(F.expr(_children(level + 1))).alias("node"))
-    return components(edges.union(_verified(found.distinct(), whole, s.percent)))
+        great = here.where(F.col("m") > s.node)
+        if great.isEmpty():
+            break
+        members = great.select("rec", F.explode(F.expr(_children(level + 1))).alias("node"))
+    return components(edges.union(found))
 
 
 def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
