@@ -5,8 +5,9 @@ import numpy as np
 import pytest
 from fixtures import by_id, frame
 from oracle import connect
-from test_dedup import brute_fingerprint, brute_roots, brute_windows
+from test_dedup import brute_windows
 from test_models import brute_hits
+from test_shingledup import brute_kept
 
 import __spark_entry__
 import corpus_pipeline
@@ -18,7 +19,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_all_are_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(__spark_entry__.queries())
     assert set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
@@ -32,7 +33,7 @@ def test_oracle(spark, key):
     assert sorted(cur.fetchall()) == sorted(tuple(r) for r in df.select(*names).collect())
 
 
-@pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLES)))
+@pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLES)))  # these have a row per document
 def test_one_row_per_document(spark, key):
     rows = QUERIES[key](spark, SF).select("doc_id").collect()
     assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in load(spark, SF, "documents").select("doc_id").collect())
@@ -57,12 +58,8 @@ def test_stages_like_brute_force(spark, tmp_path):
     want = {i for i, r in before.items() if gain(r.text) * model.slope + model.offset >= 0}
     assert set(after) == want
     before, after = tables["near_dedup"]
-    fps = {i: brute_fingerprint(r.text) for i, r in before.items()}
-    roots = brute_roots(set(fps.values()), 4)
-    first = {}
-    for i in sorted(fps):
-        first.setdefault(roots[fps[i]], i)
-    assert set(after) == set(first.values())
+    ids = sorted(before)
+    assert set(after) == {ids[k] for k in brute_kept([before[i].text for i in ids])}
     assert all(after[i] == before[i] for i in after)
     before, after = tables["substring_dedup"]
     ids = sorted(before)

@@ -26,16 +26,15 @@ from pyspark.sql import functions as F
 from weirflow.llm.common import stored, text_slices
 from weirflow.llm.components import components
 from weirflow.llm.hashing import mix, shingles
+from weirflow.llm.setlinks import BITS, WORDS, compared, may_be_near, parities, verified
 
 WIDTH = 5
 TREES, BRANCHES, LEVELS, POOL = 4, 2, 4, 8
 COORDINATES = TREES * BRANCHES + POOL * (LEVELS - 1)
-WORDS = 8
 CHUNK_BYTES = 2 << 20
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _ODD = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64)) | np.uint64(1)
-_BITS = [f"b{k}" for k in range(WORDS)]
-_RECORD = "_wf_id bigint, _wf_h bigint, n int, s1 bigint, s2 bigint, least array<bigint>, " + ", ".join(f"{b} bigint" for b in _BITS)
+_RECORD = "_wf_id bigint, _wf_h bigint, n int, s1 bigint, s2 bigint, least array<bigint>, " + ", ".join(f"{b} bigint" for b in BITS)
 
 
 @dataclass(frozen=True)
@@ -68,14 +67,12 @@ def _records(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names[k, full] = mix(np.add.reduceat(mix(values + np.uint64(k + 1) * _ODD[0]), starts))
             for c in range(COORDINATES):
                 least[full, c] = np.minimum.reduceat(values * _ODD[c], starts)
-            cells = np.repeat(np.arange(len(full)), sizes[full]) * (64 * WORDS) + (values & np.uint64(64 * WORDS - 1)).astype(np.int64)
-            parity = np.bincount(cells, minlength=len(full) * 64 * WORDS).astype(np.uint8) & np.uint8(1)
-            bits[full] = np.packbits(parity.reshape(len(full), -1), axis=1).view(np.int64)
+            bits[full] = parities(values, sizes[full])
         offsets = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * COORDINATES)
         yield pa.RecordBatch.from_arrays(
             [part.column("_wf_id"), part.column("_wf_h"), pa.array(sizes.astype(np.int32)), *(pa.array(x.view(np.int64)) for x in names),
              pa.ListArray.from_arrays(offsets, pa.array(least.reshape(-1).view(np.int64))), *(pa.array(np.ascontiguousarray(bits[:, k])) for k in range(WORDS))],
-            names=["_wf_id", "_wf_h", "n", "s1", "s2", "least", *_BITS],
+            names=["_wf_id", "_wf_h", "n", "s1", "s2", "least", *BITS],
         )
 
 
@@ -86,21 +83,6 @@ def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _may_be_near(a: str, b: str, percent: int) -> str:
-    """No linked pair fails this: the sizes, and the different shingles, of which each changes one parity bit at most."""
-    apart = " + ".join(f"bit_count({a}.{w} ^ {b}.{w})" for w in _BITS)
-    total = f"(CAST({a}.n AS BIGINT) + {b}.n)"
-    return f"100L * {a}.n >= {percent}L * {b}.n AND 100L * {b}.n >= {percent}L * {a}.n AND {100 + percent} * ({apart}) <= {100 - percent} * {total}"
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those pairs a, b whose whole sets are similar enough."""
-    left = sets.select(F.col("rec").alias("a"), F.col("all").alias("x"))
-    right = sets.select(F.col("rec").alias("b"), F.col("all").alias("y"))
-    near = f"{100 + percent} * size(array_intersect(x, y)) >= {percent} * (CAST(size(x) AS BIGINT) + size(y))"
-    return pairs.join(left, "a").join(right, "b").where(near).select("a", "b")
-
-
 def _children(level: int) -> str:
     """Nodes of a record below ``node`` at ``level``: each is named after the node, the function chosen and the minwise shingle."""
     if level == 1:
@@ -111,99 +93,10 @@ def _children(level: int) -> str:
     return f"transform(array({one}, {two}), c -> xxhash64(node, c, least[c]))"
 
 
-def _grouped(batches: Iterable[pa.RecordBatch], work) -> Iterator[pa.RecordBatch]:
-    """``work`` on the rows of one group after the other; rows come sorted by ``g``, and one group at a time is held."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        g = batch.column("g").to_numpy()
-        cuts = [0, *(np.flatnonzero(np.diff(g)) + 1).tolist(), len(g)]
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            if held and held[0].column("g")[0].as_py() != g[a]:
-                yield from work(pa.Table.from_batches(held).combine_chunks())
-                held = []
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield from work(pa.Table.from_batches(held).combine_chunks())
-
-
-def _likely(n: np.ndarray, bits: np.ndarray, root: np.ndarray, i: int, percent: int) -> np.ndarray:
-    """Rows after row ``i`` in another component that may be near it."""
-    both = n[i + 1 :] + n[i]
-    apart = np.bitwise_count(bits[i + 1 :] ^ bits[i]).sum(axis=1, dtype=np.int64)
-    least, most = np.minimum(n[i + 1 :], n[i]), np.maximum(n[i + 1 :], n[i])
-    return i + 1 + np.flatnonzero((root[i + 1 :] != root[i]) & (100 * least >= percent * most) & ((100 + percent) * apart <= (100 - percent) * both))
-
-
-def _columns(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    rec, root, n = (group.column(c).to_numpy() for c in ("rec", "root", "n"))
-    return rec, root.copy(), n.astype(np.int64), np.column_stack([group.column(b).to_numpy() for b in _BITS]).view(np.uint64)
-
-
-def _candidates(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Records of each group with another one of the group that they may be near."""
-
-    def work(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        rec, root, n, bits = _columns(group)
-        some = np.zeros(len(rec), dtype=bool)
-        for i in range(len(rec) - 1):
-            found = _likely(n, bits, root, i, percent)
-            some[found] = True
-            some[i] |= len(found) > 0
-        at = np.flatnonzero(some)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), group.column("g")[0].as_py())), pa.array(rec[at]), pa.array(root[at])], names=["g", "rec", "root"])
-
-    return _grouped(batches, work)
-
-
-def _confirmed(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Links between the records of each group, by their whole sets; what links have joined already is not compared again."""
-
-    def work(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        rec, root, n, bits = _columns(group)
-        flat = group.column("all").combine_chunks()
-        ends, values = flat.offsets.to_numpy(), flat.values.to_numpy()
-        sets = [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
-        links = []
-        for i in range(len(rec) - 1):
-            for j in _likely(n, bits, root, i, percent).tolist():
-                if root[i] != root[j]:
-                    shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                    if (100 + percent) * shared >= percent * int(n[i] + n[j]):
-                        links.append((i, j))
-                        root[root == root[j]] = root[i]
-        pick = lambda k: pa.array(rec[[x[k] for x in links]] if links else np.zeros(0, dtype=np.int64))
-        yield pa.RecordBatch.from_arrays([pick(0), pick(1)], names=["a", "b"])
-
-    return _grouped(batches, work)
-
-
-def _dealt(rows: DataFrame, key: list[str], blocks: str) -> DataFrame:
-    """Adds g, the group of a row: one for each ``key``, or for every two blocks of its rows where it has more than one block."""
-    own = rows.withColumn("_blocks", F.expr(f"CAST({blocks} AS INT)")).withColumn("_own", F.expr("CAST(pmod(xxhash64(rec), _blocks) AS INT)"))
-    other = own.withColumn("_other", F.explode(F.expr("CASE WHEN _blocks = 1 THEN array(0) ELSE filter(sequence(0, _blocks - 1), x -> x <> _own) END")))
-    g = F.xxhash64(*key, F.least("_own", "_other"), F.greatest("_own", "_other"))
-    return other.select(g.alias("g"), *[c for c in rows.columns if c not in {"g", *key}])
-
-
-def _compared(members: DataFrame, records: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """a, b: links between records of one node (node, m, rec, root, n, bits) that lie in different components.
-
-    Signatures are compared first; only records that may be near another one are sent on with their whole sets. A task holds one group: two
-    blocks of ``node`` records at most, or of ``group_shingles`` shingles in the second step. It sends on at most one row per record.
-    """
-    groups = _dealt(members, ["node"], f"ceil(m / {s.node})").repartition("g").sortWithinPartitions("g")
-    some = stored(groups.mapInArrow(lambda b: _candidates(b, s.percent), "g bigint, rec bigint, root bigint"), "candidates")
-    full = some.join(records.select("rec", "n", *_BITS), "rec")
-    sizes = full.groupBy("g").agg(F.sum("n").alias("_size"))
-    dealt = _dealt(full.join(sizes, "g").withColumnRenamed("g", "_g"), ["_g"], f"ceil(_size / {s.group_shingles})").drop("_size")
-    whole = dealt.join(sets, "rec").repartition("g").sortWithinPartitions("g")
-    return whole.mapInArrow(lambda b: _confirmed(b, s.percent), "a bigint, b bigint")
-
-
 def _links(records: DataFrame, sets, s: Settings) -> DataFrame:
     """node, root of all records that are linked. ``sets`` gives the whole sets of the records in its argument."""
     spark = records.sparkSession
-    carried = ["rec", "n", *_BITS]
+    carried = ["rec", "n", *BITS]
     paths = records.select("rec", F.explode(F.expr(_children(1))).alias("node"))
     shared = paths.groupBy("node").agg(F.count(F.lit(1)).alias("m"), F.min("rec").alias("hub")).where("m > 1")
     met = stored(paths.join(shared, "node"), "met")
@@ -211,8 +104,8 @@ def _links(records: DataFrame, sets, s: Settings) -> DataFrame:
     # every record against the first of each of its nodes
     stars = met.where("rec <> hub").select(F.col("hub").alias("a"), F.col("rec").alias("b")).distinct()
     p, q = records.select(F.col("rec").alias("a"), *carried).alias("p"), records.select(F.col("rec").alias("b"), *carried).alias("q")
-    likely = stars.join(p, "a").join(q, "b").where(_may_be_near("p", "q", s.percent)).select("a", "b")
-    edges = stored(_verified(likely, whole, s.percent), "near")
+    likely = stars.join(p, "a").join(q, "b").where(may_be_near("p", "q", s.percent)).select("a", "b")
+    edges = stored(verified(likely, whole, s.percent), "near")
     roots = components(edges).select(F.col("node").alias("rec"), "root")
     members = met.select("node", "rec")
     found = spark.createDataFrame([], "a bigint, b bigint")
@@ -222,7 +115,7 @@ def _links(records: DataFrame, sets, s: Settings) -> DataFrame:
         mixed = nodes.where("r0 <> r1").select("node", "m")
         here = stored(placed.join(mixed, "node").join(records.select(*carried, "least"), "rec"), "mixed")
         few = here if level == LEVELS else here.where(F.col("m") <= s.node)
-        found = found.union(stored(_compared(few.drop("least"), records, whole, s), "links"))
+        found = found.union(stored(compared(few.drop("least"), records, whole, s.percent, s.node, s.group_shingles), "links"))
         if level == LEVELS:
             break
         great = here.where(F.col("m") > s.node)
@@ -246,7 +139,7 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
     keyed = docs.select(*key, "text")
     rows = stored(keyed.mapInArrow(_records, _RECORD), "records")
     first = rows.where("n > 0").groupBy("s1", "s2").agg(
-        F.min(F.struct("_wf_id", "_wf_h")).alias("row"), F.any_value("n").alias("n"), F.any_value("least").alias("least"), *[F.any_value(b).alias(b) for b in _BITS]
+        F.min(F.struct("_wf_id", "_wf_h")).alias("row"), F.any_value("n").alias("n"), F.any_value("least").alias("least"), *[F.any_value(b).alias(b) for b in BITS]
     )
     records = stored(first.withColumn("rec", F.monotonically_increasing_id()), "first")
 

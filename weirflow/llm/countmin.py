@@ -43,10 +43,10 @@ def _unpack(blob: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u4")[:, 0], dtype=np.uint32)
 
 
-def _counted(batches: Iterable[pa.RecordBatch], keys: Keys, s: Shape) -> Iterator[pa.RecordBatch]:
+def _counted(batches: Iterable[pa.RecordBatch], keys: Keys, s: Shape, chunk: int) -> Iterator[pa.RecordBatch]:
     """Cells of this task's keys by row and slice: those counted, and those counted twice."""
     width = s.cells // s.slices
-    for _, texts in text_slices(batches, limit=CHUNK_BYTES):
+    for _, texts in text_slices(batches, limit=chunk):
         k1, k2 = keys([t.encode("utf-8", "replace") for t in texts])
         if not len(k1):
             continue
@@ -83,9 +83,9 @@ def _added(batches: Iterable[pa.RecordBatch], s: Shape) -> Iterator[pa.RecordBat
 Sketch = list[tuple[int, int, bytes]]
 
 
-def sketch(docs: DataFrame, keys: Keys, shape: Shape) -> Sketch:
+def sketch(docs: DataFrame, keys: Keys, shape: Shape, chunk: int = CHUNK_BYTES) -> Sketch:
     """Compressed bit slices of the merged sketch of ``keys`` over every whole ``text``; at most rows * cells / 8 bytes come to the driver."""
-    parts = docs.select("text").mapInArrow(lambda b: _counted(b, keys, shape), "row int, slice int, once binary, twice binary")
+    parts = docs.select("text").mapInArrow(lambda b: _counted(b, keys, shape, chunk), "row int, slice int, once binary, twice binary")
     merged = parts.repartition("row", "slice").mapInArrow(lambda b: _added(b, shape), "row int, slice int, bits binary")
     return [(r.row, r.slice, bytes(r.bits)) for r in merged.collect()]
 
