@@ -57,6 +57,53 @@ def test_languages_on_held_out_rows(spark):
     assert np.mean([r.lang_pred == r.lang for r in rows]) > 0.97
 
 
+def test_every_language_is_learned(spark):
+    """More languages than the sample has room for at full size, one of them with many rows that teach nothing."""
+    rng = random.Random(4)
+    texts, langs = [], []
+    for k in range(300):
+        own = [chr(0x4E00 + 3 * k + j) for j in range(3)]
+        for _ in range(6):
+            texts.append(" ".join("".join(rng.choice(own) for _ in range(4)) for _ in range(12)))
+            langs.append(f"l{k:03}")
+    for k in range(900):
+        texts.append("123 --" if k % 2 else None)
+        langs.append("l007")
+    rows = [(i, t, x, "s", 0) for i, (t, x) in enumerate(zip(texts, langs, strict=True))]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    s = langid.Settings(all_docs=900, all_landmarks=600, least_docs=2)
+    model = langid.fit(docs, s)
+    taught = {x for i, (t, x) in enumerate(zip(texts, langs, strict=True)) if not held(i) and t and t[0] != "1"}
+    assert len(taught) > 295 and set(model.names) == taught
+    got = by_id(langid.predict(docs.where("text LIKE '% %' AND text NOT LIKE '1%'"), model), "lang_pred")
+    assert np.mean([got[i] == (langs[i],) for i in got if langs[i] in taught]) > 0.95
+
+
+def brute_fit(texts, labels, names):
+    """One-versus-rest ridge on the sets' kernel with all training texts as landmarks, through the kernel matrix itself."""
+    grams = [{t.lower()[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)} for t in texts]
+    k = np.array([[len(a & b) / np.sqrt(len(a) * len(b)) for b in grams] for a in grams])
+    y = np.array([[float(x == n) for n in names] for x in labels])
+    share = 1 / y.sum(axis=0)[np.argmax(y, axis=1)]
+    values, vectors = np.linalg.eigh(k)
+    keep = values > 1e-6 * values.max()
+    features = np.column_stack([vectors[:, keep] * np.sqrt(values[keep]), np.ones(len(k))])
+    beta = np.linalg.solve(features.T @ (features * share[:, None]) + 1e-3 * np.eye(features.shape[1]), features.T @ (y * share[:, None]))
+    return features @ beta
+
+
+def test_predictions_like_brute_force(spark):
+    """With every training text a landmark, scores of the training texts are those of the full kernel matrix."""
+    rng = random.Random(12)
+    texts = [" ".join(words_of(rng, 12, ("abcd", "cdef", "efgh")[i % 3], 4)) for i in range(90)]
+    docs = frame(spark, texts).withColumn("lang", F.concat(F.lit("l"), (F.col("doc_id") % 3).cast("string")))
+    own = [i for i in range(90) if not held(i)]
+    want = brute_fit([texts[i] for i in own], [f"l{i % 3}" for i in own], ["l0", "l1", "l2"])
+    got = by_id(langid.predict(docs, langid.fit(docs, langid.Settings(buckets=1 << 18))), "lang_pred", "score")
+    for i, w in zip(own, want, strict=True):
+        assert got[i][0] == f"l{w.argmax()}" and got[i][1] == pytest.approx(np.clip(w.max(), 0, 1), abs=2e-3)
+
+
 def test_presence_kernel_like_sets():
     s = langid.Settings(buckets=1 << 16)
     texts = ["abcabc", "abd", "", "ÄÖ ü", "zzz"]
@@ -100,44 +147,65 @@ def test_statistics_like_brute_force(spark):
     assert out == {i: brute_statistics(t) for i, t in enumerate(texts)}
 
 
-def test_outliers_against_numpy(spark):
-    """The concentration steps redone in numpy, group by group, give the same distances."""
-    rng = random.Random(7)
-    texts, langs = [], []
-    for k in range(240):
-        odd = k % 12 == 0
-        n = rng.randint(60, 300)
-        words = [("#" if odd and rng.random() < 0.5 else "") + "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(n)]
-        texts.append(" ".join(words))
-        langs.append("en" if k % 2 else None)
-    docs = frame(spark, texts)
-    docs = docs.withColumn("lang", F.when(F.col("doc_id") % 2 == 1, "en")).selectExpr("*", "1 AS a", "2 AS n", "3 AS v0", "'x' AS kept")
+def normal_share(x, degrees):
+    """Chi-square distribution by adding up its density."""
+    t = np.linspace(0, x, 200_001)[1:]
+    y = t ** (degrees / 2 - 1) * np.exp(-t / 2)
+    return y.sum() * (t[1] - t[0]) / (2 ** (degrees / 2) * {4: 1, 6: 2}[degrees])
+
+
+def brute_mcd(x, floors, share):
+    """Centre and covariance by full sorts: an estimate of its own, not the operator's binned steps."""
+    quantile = next(q for q in np.arange(5, 6, 0.001) if normal_share(q, 4) >= share)
+    scale = share / normal_share(quantile, 6)
+    centre, factor = np.median(x, axis=0), np.diag(floors)
+    last = None
+    for _ in range(100):
+        d2 = (np.linalg.solve(factor, (x - centre).T) ** 2).sum(axis=0)
+        near = d2 <= np.sort(d2)[int(np.ceil(share * len(x))) - 1]
+        if last is not None and (near == last).all():
+            break
+        last, centre = near, x[near].mean(axis=0)
+        cov = np.cov(x[near].T, bias=True) * scale
+        factor = np.zeros((4, 4))
+        for i in range(4):
+            for j in range(i + 1):
+                left = cov[i, j] - factor[i, :j] @ factor[j, :j]
+                factor[i, j] = np.sqrt(max(left, floors[i] ** 2)) if i == j else left / factor[j, j]
+    return (np.linalg.solve(factor, (x - centre).T) ** 2).sum(axis=0)
+
+
+def test_chi_square():
+    s = outliers.Settings()
+    assert normal_share(s.cut, 4) == pytest.approx(0.975, abs=1e-4) and normal_share(5.385, 4) == pytest.approx(0.75, abs=1e-3)
+    assert outliers.chi_square_share(7.0, 6) == pytest.approx(normal_share(7.0, 6), abs=1e-4)
+
+
+@pytest.mark.parametrize("size", [60, 200, 600])
+def test_planted_outliers_and_clean_documents(spark, size):
+    """Of 300 words: repeat-only documents from 10 % to 48 %, line copies from 3 to 13 of 30, symbols; all rejected, clean ones kept."""
+    rng = random.Random(size)
+    plain = lambda n: ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(n)]
+    texts = [" ".join(plain(rng.randint(150, 500))) for _ in range(size)]
+    planted = []
+    for share in (10, 14, 20, 25, 30, 36, 42, 48):
+        run = plain(3 * share // 2)
+        planted.append(" ".join(run + plain(300 - 2 * len(run)) + run))
+    for copies in (3, 5, 8, 11, 13):
+        lines = [" ".join(plain(10)) for _ in range(30 - copies)]
+        planted.append("\n".join(lines + lines[:1] * copies))
+    planted.append(" ".join(w if k % 4 else "#" + w for k, w in enumerate(plain(300))))
+    stats = [brute_statistics(t) for t in texts + planted]
+    docs = frame(spark, texts + planted).selectExpr("*", "1 AS a", "2 AS n", "3 AS v0", "'x' AS kept")
+    rows = {r.doc_id: r for r in outliers.judge(docs).collect()}
+    assert rows[0].a == 1 and rows[0].v0 == 3
+    assert not any(rows[i].kept for i in range(size, len(stats)))
+    assert np.mean([rows[i].kept for i in range(size)]) >= 0.97
+    ids = [i for i, x in enumerate(stats) if not x[5]]
+    x = np.array([[np.log(c / n), np.log1p(1000 * m / c), np.log1p(1000 * d / n), np.log1p(100 * w / n)] for n, c, m, d, w, _ in (stats[i] for i in ids)])
     s = outliers.Settings()
-    rows = {r.doc_id: r for r in outliers.judge(docs, s).collect()}
-    assert len(rows) == 240 and rows[0].a == 1 and rows[0].v0 == 3
-    stats = {i: brute_statistics(t) for i, t in enumerate(texts)}
-    for group in (0, 1):
-        ids = [i for i in rows if i % 2 == group and not stats[i][5]]
-        x = np.array([
-            [np.log(stats[i][1] / stats[i][0]), np.log1p(1000 * stats[i][2] / stats[i][1]), np.log1p(1000 * stats[i][3] / stats[i][0]), np.log1p(100 * stats[i][4] / stats[i][0])]
-            for i in ids
-        ])
-        x = np.floor(x * 256 + 0.5)
-        floor = np.diag((np.array(s.floors) * 256) ** 2)
-        centre, cov = np.sort(x, axis=0)[(len(x) + 1) // 2 - 1], floor
-        for _ in range(s.steps):
-            d2 = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov), x - centre)
-            bins = np.floor(64 * np.log2(1 + d2) + 1e-9)
-            edge = np.sort(bins)[int(np.ceil(s.share * len(x))) - 1]
-            near = x[bins <= edge]
-            centre = near.mean(axis=0)
-            cov = near.T @ near / len(near) - np.outer(centre, centre) + floor
-        d2 = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov), x - centre)
-        for i, want in zip(ids, d2, strict=True):
-            assert rows[i].d2 == pytest.approx(want, rel=1e-6, abs=1e-6)
-            assert rows[i].kept == (want <= s.cut)
-    assert all(not rows[i].kept for i in rows if i % 12 == 0)
-    assert all(rows[i].kept for i in rows if i % 12)
+    want = brute_mcd(x, np.array(s.floors), s.share) <= 11.1433
+    assert np.mean([rows[i].kept == w for i, w in zip(ids, want, strict=True)]) >= 0.99
 
 
 def test_outlier_edges(spark):
@@ -224,8 +292,14 @@ def test_shards(spark, tmp_path):
     assert {r.law for r in rows} == {"rows"} and {r.grown_shard for r in rows} == {None}
     assert sharding.shards(docs.limit(0)).count() == 0
     assert sorted(r.shard for r in sharding.shards(docs.limit(3)).collect()) == [0, 2, 5]
-    kept = sharding.write_shards(frame(spark, [t for t in texts.values()]), f"{tmp_path}/s").collect()
-    assert sum(r.rows for r in kept) == len(texts)
+    same = frame(spark, ["one text"] * 80 + [f"text {k}" for k in range(80)], ids=[None] * 40 + [7] * 40 + list(range(80))).selectExpr("*", "1 AS slot", "2 AS _row")
+    kept = sharding.write_shards(same, f"{tmp_path}/s").collect()
+    assert sorted(r.rows for r in kept) == [20] * 8
+    written = spark.read.parquet(f"{tmp_path}/s").collect()
+    assert sorted((r.shard, r.slot) for r in written) == [(s, i) for s in range(8) for i in range(20)]
+    placed = [r.curve for r in sorted(written, key=lambda r: (r.shard, r.slot))]
+    assert placed == sorted(placed) and all(r["_row"] == 2 for r in written)
+    assert sharding.write_shards(docs.limit(0), f"{tmp_path}/none").count() == 0
 
 
 def test_shards_of_an_empty_schema(spark):

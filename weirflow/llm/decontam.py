@@ -56,17 +56,13 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = 10, doc_id: s
     """
     added = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     kept = docs.select(*[c for c in docs.columns if c not in added])
-    windows = item_windows(items, length).persist()
-    try:
-        sizes = sorted(r.length for r in windows.select("length").distinct().collect())
-        small = windows.select("length", "mark", "window").distinct().limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
-    finally:
-        windows.unpersist()
+    windows = stored(item_windows(items, length), "windows")
+    sizes = sorted(r.length for r in windows.select("length").distinct().collect())
+    small = windows.select("length", "mark", "window").distinct().limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
     if not sizes:
         none = [F.lit(0).cast("bigint").alias("n_hit"), F.lit(0).cast("bigint").alias("n_items"), F.sha2(F.lit(""), 256).alias("items_sha256")]
         return kept.select("*", F.size(words(F.col(text))).cast("bigint").alias("n_words"), *none, F.lit(False).alias("contaminated"))
     marks = windows.select("length", "mark", "window").distinct()
-    marks = F.broadcast(marks) if small else marks
     # one row more than there are words carries the number of words, so that one reading of the texts gives both
     tokens = _hashed(kept.select(row_key(doc_id, text).alias("k"), words(F.col(text)).alias("w"))).drop("w")
     places = tokens.withColumn("at", F.explode(F.expr("sequence(0, n)")))
@@ -74,8 +70,13 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = 10, doc_id: s
     last = "array(named_struct('length', 0, 'mark', CAST(NULL AS BIGINT)))"
     starts = places.withColumn("win", F.explode(F.expr(f"CASE WHEN at = n THEN {last} ELSE array({each}) END")))
     found = starts.select("k", "n", "h", "at", F.col("win.length").alias("length"), F.col("win.mark").alias("mark"))
-    joined = found.where("at = n OR mark IS NOT NULL").join(marks, ["length", "mark"], "left")
-    hits = joined.where("at = n OR (window IS NOT NULL AND slice(h, at + 1, length) = window)").select("k", "n", "at", "length", "window")
+    if small:
+        joined = found.where("at = n OR mark IS NOT NULL").join(F.broadcast(marks), ["length", "mark"], "left")
+        hits = joined.where("at = n OR (window IS NOT NULL AND slice(h, at + 1, length) = window)").select("k", "n", "at", "length", "window")
+    else:  # places are shuffled with the hashes of their own window only, and the rows that carry the number of words not at all
+        spans = found.where("mark IS NOT NULL").select("k", "n", "at", "length", "mark", F.expr("slice(h, at + 1, length)").alias("span"))
+        hits = spans.join(marks, ["length", "mark"]).where("span = window").select("k", "n", "at", "length", "window")
+        hits = hits.unionByName(tokens.select("k", "n", F.col("n").alias("at"), F.lit(0).alias("length"), F.lit(None).cast("array<bigint>").alias("window")))
     return _summed(kept, stored(hits, "hits"), windows, doc_id, text)
 
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import held_out, text_slices, to_batch, wider
+from weirflow.llm.common import held_out, stored, text_slices, to_batch, wider
 
 UNKNOWN = "und"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -24,16 +24,28 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass(frozen=True)
 class Settings:
-    """Bounds of the training sample (documents and landmarks of each language, number of languages) and of the kernel."""
+    """Bounds of the training sample and of the kernel. Every language is learned, however many there are.
+
+    train_docs, landmarks: most of one language. all_docs, all_landmarks: of all languages together, shared out evenly; a language keeps at
+    least least_docs documents and one landmark.
+    """
 
     train_docs: int = 400
     landmarks: int = 48
-    languages: int = 200
+    all_docs: int = 12_800
+    all_landmarks: int = 1_536
+    least_docs: int = 8
     orders: tuple[int, ...] = (1, 2, 3)
     buckets: int = 1 << 14
     ridge: float = 1e-3
     batch_docs: int = 256
 
+    def docs_of(self, languages: int) -> int:
+        return max(self.least_docs, min(self.train_docs, self.all_docs // languages))
+
+    def landmarks_of(self, languages: int) -> int:
+        return max(1, min(self.landmarks, self.all_landmarks // languages))
+
 
 @dataclass(frozen=True)
 class Model:
@@ -74,7 +86,7 @@ def kernel(present: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
 def solve(present: np.ndarray, labels: np.ndarray, landmark_rows: np.ndarray, s: Settings) -> np.ndarray:
     """Weights (landmarks + 1 offset, languages) of one-versus-rest ridge regression in the Nyström space."""
     landmarks = present[landmark_rows].astype(np.float32)
-    cross = kernel(present, landmarks).astype(float)
+    cross = np.concatenate([kernel(present[a : a + 1024], landmarks) for a in range(0, len(present), 1024)]).astype(float)
     inner = cross[landmark_rows]
     values, vectors = np.linalg.eigh((inner + inner.T) / 2)
     keep = values > 1e-6 * values.max()
@@ -90,20 +102,22 @@ def solve(present: np.ndarray, labels: np.ndarray, landmark_rows: np.ndarray, s:
 def fit(docs: DataFrame, settings: Settings | None = None) -> Model | None:
     """The model from a bounded sample: of each language, the training rows with the smallest hash of their id.
 
-    Rows with a null language, a null text or no letter teach nothing. Beyond ``languages`` different values, the most frequent
-    are learned. None if there is nothing to learn from. Only hashed presence bits of the sample reach the driver.
+    Rows with a null language, a null text or no letter teach nothing and take no place in the sample. Every other language is learned.
+    None if there is nothing to learn from. Only hashed presence bits of the sample reach the driver.
     """
     s = settings or Settings()
-    known = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang").where(F.col("lang").isNotNull() & ~held_out("doc_id"))
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(s.languages).collect()
-    if not sizes:
-        return None
-    names = sorted(r.lang for r in sizes)
+    usable = F.col("lang").isNotNull() & ~held_out("doc_id") & F.col("text").rlike("\\p{L}")
+    known = docs.where(usable).select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang")
     # first within 64 parts of a language, so that no task gets more than 64 * train_docs rows of a frequent one
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     parts = Window.partitionBy("lang", F.pmod(F.xxhash64("doc_id"), F.lit(64))).orderBy(*order)
-    nearly = known.where(F.col("lang").isin(names)).withColumn("_rank", F.row_number().over(parts)).where(F.col("_rank") <= s.train_docs)
-    ranked = nearly.withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("_rank") <= s.train_docs)
+    nearly = known.withColumn("_rank", F.row_number().over(parts)).where(F.col("_rank") <= s.train_docs)
+    nearly = stored(nearly.select("doc_id", "lang"), "languages")
+    languages = nearly.select("lang").distinct().count()
+    if not languages:
+        return None
+    first = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    ranked = nearly.withColumn("_rank", first).where(F.col("_rank") <= s.docs_of(languages))
     ids = [(r.doc_id, r.lang) for r in ranked.collect()]
     chosen = docs.sparkSession.createDataFrame(ids, "doc_id bigint, lang string")
     sample = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "text").where("text IS NOT NULL").join(F.broadcast(chosen), ["doc_id", "lang"])
@@ -125,7 +139,7 @@ def fit(docs: DataFrame, settings: Settings | None = None) -> Model | None:
     names = sorted({r.lang for r in rows})
     labels = np.array([names.index(r.lang) for r in rows])
     bits = np.unpackbits(np.array([np.frombuffer(r.bits, np.uint8) for r in rows]), axis=1).astype(bool)
-    landmark_rows = np.concatenate([np.flatnonzero(labels == k)[: s.landmarks] for k in range(len(names))])
+    landmark_rows = np.concatenate([np.flatnonzero(labels == k)[: s.landmarks_of(len(names))] for k in range(len(names))])
     weights = solve(bits, labels, landmark_rows, s)
     return Model(tuple(names), np.packbits(bits[landmark_rows], axis=1), weights.astype(np.float32), s)
 

@@ -1,8 +1,13 @@
 """Quality rules with robust multivariate outliers, in DataFrame expressions only.
 
 Every document gets a vector of transformed statistics. For each language and source the minimum covariance determinant estimate is
-found by concentration steps: keep the share of documents nearest to the present centre, take their mean and covariance, repeat. A
-document is rejected when its squared Mahalanobis distance from its group's estimate is above the cut.
+found by concentration steps: keep the share of documents nearest to the present centre, take their mean and covariance, scaled to be
+consistent for normal data, and repeat until no group's estimate changes. A document is rejected when its squared Mahalanobis distance from
+its group's estimate is above the chi-square quantile of the confidence, with as many degrees of freedom as there are statistics.
+
+Most documents have no symbol, repeated line or repeated word at all, so the spread of the nearest documents is often zero there. The floors
+are lower bounds of the standard deviations (not added to them): with them alone a document goes from about 0.64 % symbols, 0.64 repeated
+lines a hundred words or 7.8 % repeated words on.
 
 Vectors are rounded to integers, so sums over any order of rows are exact and results do not depend on partitioning. The nearest share
 is found from counts per distance bin, never by sorting a group.
@@ -10,6 +15,7 @@ is found from counts per distance bin, never by sorting a group.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,13 +33,39 @@ _ROW_BITS = 30
 
 @dataclass(frozen=True)
 class Settings:
-    """share: of a group that the estimate rests on; floors: least standard deviation of each statistic; cut: largest squared distance."""
+    """share: of a group that the estimate rests on; floors: least standard deviation of each statistic; confidence: of the cut.
+
+    steps: most concentration steps; they end before that, since every one makes the determinant smaller.
+    """
 
     share: float = 0.75
-    steps: int = 4
+    steps: int = 40
     smallest_group: int = 50
-    floors: tuple[float, ...] = (0.08, 0.6, 1.0, 1.0)
-    cut: float = 30.0
+    floors: tuple[float, ...] = (0.05, 0.6, 0.6, 0.65)
+    confidence: float = 0.975
+
+    @property
+    def cut(self) -> float:
+        return chi_square(self.confidence, len(DIMS))
+
+    @property
+    def consistency(self) -> float:
+        """What the covariance of the nearest ``share`` of normal data is short of."""
+        return self.share / chi_square_share(chi_square(self.share, len(DIMS)), len(DIMS) + 2)
+
+
+def chi_square_share(x: float, degrees: int) -> float:
+    """Share of a chi-square distribution of an even number of degrees up to ``x``."""
+    return 1 - math.exp(-x / 2) * sum((x / 2) ** k / math.factorial(k) for k in range(degrees // 2))
+
+
+def chi_square(share: float, degrees: int) -> float:
+    """Quantile, by bisection."""
+    low, high = 0.0, 1000.0
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if chi_square_share(middle, degrees) < share else (low, middle)
+    return low
 
 
 def words(text: Column) -> Column:
@@ -104,14 +136,14 @@ def _medians(usable: DataFrame) -> DataFrame:
 
 
 def _root(cov, floors: tuple[float, ...]) -> dict[str, Column]:
-    """Lower Cholesky factor l{i}{j} of the covariance ``cov(i, j)`` plus the squared floors on its diagonal."""
+    """Lower Cholesky factor l{i}{j} of the covariance ``cov(i, j)``, its diagonal not below the floors."""
     low: dict[tuple[int, int], Column] = {}
     for i in range(len(DIMS)):
         for j in range(i + 1):
             rest = cov(i, j)
             for k in range(j):
                 rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            low[i, j] = F.sqrt(F.greatest(rest, F.lit(0.0)) + F.lit((floors[i] * SCALE) ** 2)) if i == j else rest / F.col(f"l{j}{j}")
+            low[i, j] = F.sqrt(F.greatest(rest, F.lit((floors[i] * SCALE) ** 2))) if i == j else rest / F.col(f"l{j}{j}")
     return {f"l{i}{j}": c for (i, j), c in low.items()}
 
 
@@ -127,7 +159,7 @@ def _distance(frame: DataFrame) -> DataFrame:
 
 
 def estimates(usable: DataFrame, s: Settings) -> DataFrame:
-    """Minimum covariance determinant estimate per group (a, b): centre c*, factor l*, and scale, the median distance over its normal value."""
+    """Minimum covariance determinant estimate per group (a, b): centre c* and factor l*."""
     size = len(DIMS)
     start = _medians(usable)
     for i in range(size):
@@ -148,11 +180,15 @@ def estimates(usable: DataFrame, s: Settings) -> DataFrame:
             *[F.sum(d).cast("double").alias(f"s{i}") for i, d in enumerate(DIMS)],
             *[F.sum(F.col(DIMS[i]) * F.col(DIMS[j])).cast("double").alias(f"p{i}{j}") for i, j in pairs],
         )
-        cov = lambda i, j: F.col(f"p{i}{j}") / F.col("n") - F.col(f"c{i}") * F.col(f"c{j}")
+        cov = lambda i, j: s.consistency * (F.col(f"p{i}{j}") / F.col("n") - F.col(f"c{i}") * F.col(f"c{j}"))
         fitted = sums.withColumns({f"c{i}": F.col(f"s{i}") / F.col("n") for i in range(size)})
         for name, column in _root(cov, s.floors).items():
             fitted = fitted.withColumn(name, column)
-        now = stored(fitted.select("a", "b", *[f"c{i}" for i in range(size)], *[f"l{i}{j}" for i, j in pairs]), "mcd")
+        names = [*[f"c{i}" for i in range(size)], *[f"l{i}{j}" for i, j in pairs]]
+        before, now = now, stored(fitted.select("a", "b", *names), "mcd")
+        changed = now.join(before.select("a", "b", *[F.col(x).alias(f"{x}_") for x in names]), ["a", "b"])
+        if changed.where(" OR ".join(f"{x} <> {x}_" for x in names)).isEmpty():
+            return now
     return now
 
 

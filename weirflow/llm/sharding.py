@@ -83,6 +83,12 @@ def ranked(frame: DataFrame, order: list[str], name: str = "rank") -> DataFrame:
     return table.join(F.broadcast(offsets), "_p").withColumn(name, F.col("_before") + row).drop("_p", "_m", "_before")
 
 
+def _runs(total: int, count: int) -> tuple[Column, Column]:
+    """Shard of a row by its rank, and the rank at which the shard begins: ceil(shard * total / count). Decimals, so that no product overflows."""
+    shard = F.expr(f"CAST(CAST(rank AS DECIMAL(20, 0)) * {count} div {max(1, total)} AS INT)")
+    return shard, F.expr(f"(CAST(shard AS DECIMAL(20, 0)) * {total} + {count - 1}) div {count}")
+
+
 def shards(docs: DataFrame, count: int = 8) -> DataFrame:
     """doc_id, size, text_crc32, lang, source, curve, law, shard, slot, grown_shard: shards of row numbers at most one apart.
 
@@ -97,9 +103,7 @@ def shards(docs: DataFrame, count: int = 8) -> DataFrame:
     )
     placed = ranked(curve(slim, ["_c0", "_c1", "_c2"]), ["curve", "doc_id", "text_crc32", "size"])
     total = placed.count()
-    # shard k begins at row ceil(k * total / count); decimals, so that no product overflows
-    shard = F.expr(f"CAST(CAST(rank AS DECIMAL(20, 0)) * {count} div {max(1, total)} AS INT)")
-    begin = F.expr(f"(CAST(shard AS DECIMAL(20, 0)) * {total} + {count - 1}) div {count}")
+    shard, begin = _runs(total, count)
     return placed.withColumn("shard", shard).withColumn("slot", F.col("rank") - begin).select(
         "doc_id", "size", "text_crc32", "lang", "source", "curve", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
@@ -108,14 +112,22 @@ def shards(docs: DataFrame, count: int = 8) -> DataFrame:
 def write_shards(docs: DataFrame, path: str, count: int = 8) -> DataFrame:
     """Writes ``docs`` as Parquet under path/shard=k in curve order and returns, per shard, rows and the range of every dimension.
 
-    A reader prunes shards with that table, and row groups inside a shard by Parquet's own ranges, since rows follow the curve.
+    Sizes differ by one row at most, whatever rows are repeated or lack an id: every single row is ranked, texts and all, and keeps its place
+    (columns curve and slot) to the written file. A reader prunes shards with the table, and row groups inside a shard by Parquet's own
+    ranges, since rows follow the curve. An empty table writes no shard.
     """
-    key = [F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1)), F.crc32(F.coalesce("text", F.lit("")))]
-    where = shards(docs, count).groupBy("doc_id", "text_crc32", "curve").agg(F.min("shard").alias("shard"))
-    named = docs.withColumns({"_i": key[0], "_t": key[1]})
-    other = where.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1)).alias("_i"), F.col("text_crc32").alias("_t"), "curve", "shard").dropDuplicates(["_i", "_t"])
-    joined = named.join(other, ["_i", "_t"]).drop("_i", "_t")
-    joined.repartitionByRange("shard", "curve", "doc_id").sortWithinPartitions("shard", "curve", "doc_id").write.partitionBy("shard").parquet(path)
+    text = F.coalesce("text", F.lit(""))
+    rest = [c for c in docs.columns if c not in ("curve", "shard", "slot")]
+    order = {"_size": (F.octet_length(text) + 1).cast("bigint"), "_crc": F.crc32(text)}
+    cells = {"_c0": of_category(F.col("lang")), "_c1": of_category(F.col("source")), "_c2": of_size(F.octet_length(text))}
+    packed = docs.select(F.struct(*rest).alias("_row"), F.col("doc_id").alias("_id"), *[c.alias(n) for n, c in (order | cells).items()])
+    placed = ranked(curve(packed, list(cells)), ["curve", "_id", "_crc", "_size"])
+    total = placed.count()
+    shard, begin = _runs(total, count)
+    laid = placed.withColumn("shard", shard).withColumn("slot", F.col("rank") - begin).select("_row.*", "curve", "shard", "slot")
+    laid.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    if not total:
+        return laid.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"))
     written = docs.sparkSession.read.parquet(path)
     ranges = [f(c).alias(f"{n}_{c}") for c in ("lang", "source", "doc_id") for n, f in (("min", F.min), ("max", F.max))]
     return written.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"), F.min(F.octet_length("text")).alias("min_size"), F.max(F.octet_length("text")).alias("max_size"), *ranges)
