@@ -24,7 +24,6 @@ ODD = [
 @pytest.fixture(scope="module")
 def library():
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return t
 
 

@@ -96,12 +96,13 @@ class WordEncoder:
     """The library's ids of whole texts, with the words of late remembered.
 
     Between two visible characters the byte-level pre-tokenizer starts a token at a single blank and makes a single line feed a token,
-    so the parts between them can be encoded on their own. A text with any other white space is encoded as a whole.
+    so the parts between them can be encoded on their own. A text with any other white space, or with the string of an added token, which
+    the library turns into that token, is encoded as a whole.
     """
 
     def __init__(self, json: str):
         self.library = Tokenizer.from_str(json)
-        self.library.encode_special_tokens = True
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values() if t.content]
         vocabulary = self.library.get_vocab()
         self.width = 2 if len(vocabulary) <= 1 << 16 else 4
         self.begins = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
@@ -137,6 +138,11 @@ class WordEncoder:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        special = {k for k, t in enumerate(texts) if any(a in t for a in self.added)}
+        if special:
+            rest = iter(self.encode([t for k, t in enumerate(texts) if k not in special]))
+            at_once = iter(self._ids([texts[k] for k in sorted(special)]))
+            return [next(at_once if k in special else rest) for k in range(len(texts))]
         lines = [[line.split(" ") for line in t.split("\n")] for t in texts]
         heads = [[parts.pop(0) for parts in text] for text in lines]
         first = self.bare.learn(set().union(*heads))
