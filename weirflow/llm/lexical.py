@@ -53,7 +53,7 @@ def terms_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def _packed(*arrays: np.ndarray) -> bytes:
     """Arrays with bytes of equal weight together, compressed."""
     head = np.array([len(a) for a in arrays], dtype="<u8").tobytes()
-    return zstandard.compress(head + b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() for a in arrays), 1)
+    return zstandard.compress(head + b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays), 1)
 
 
 def _unpacked(blob: bytes, *dtypes: str) -> list[np.ndarray]:
@@ -62,7 +62,7 @@ def _unpacked(blob: bytes, *dtypes: str) -> list[np.ndarray]:
     at, out = 8 * len(dtypes), []
     for n, dtype in zip(sizes, dtypes, strict=True):
         width = np.dtype(dtype).itemsize * n
-        planes = np.frombuffer(data[at : at + width], dtype=np.uint8).reshape(-1, n)
+        planes = np.frombuffer(data[at : at + width], dtype=np.uint8).reshape(np.dtype(dtype).itemsize, n)
         out.append(np.ascontiguousarray(planes.T).view(dtype).reshape(-1))
         at += width
     return out
