@@ -42,7 +42,7 @@ class Settings:
     """percent: least similarity of a link, of 100; node: records of a small node, which are compared exhaustively; group_shingles: of a block of whole sets."""
 
     percent: int = 85
-    node: int = 1024
+    node: int = 4096
     group_shingles: int = 2 << 20
 
 
@@ -113,15 +113,15 @@ def _links(records: DataFrame, sets, s: Settings) -> DataFrame:
         placed = members.join(roots, "rec", "left").withColumn("root", F.coalesce("root", "rec"))
         nodes = placed.groupBy("node").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("r0"), F.max("root").alias("r1"))
         mixed = nodes.where("r0 <> r1").select("node", "m")
-        here = stored(placed.join(mixed, "node").join(records.select(*carried, "least"), "rec"), "mixed")
+        here = stored(placed.join(mixed, "node"), "mixed")
         few = here if level == LEVELS else here.where(F.col("m") <= s.node)
-        found = found.union(stored(compared(few.drop("least"), records, whole, s.percent, s.node, s.group_shingles), "links"))
+        found = found.union(stored(compared(few.join(records.select(*carried), "rec"), records, whole, s.percent, s.node, s.group_shingles), "links"))
         if level == LEVELS:
             break
         great = here.where(F.col("m") > s.node)
         if great.isEmpty():
             break
-        members = great.select("rec", F.explode(F.expr(_children(level + 1))).alias("node"))
+        members = great.join(records.select("rec", "least"), "rec").select("rec", F.explode(F.expr(_children(level + 1))).alias("node"))
     return components(edges.union(found))
 
 
