@@ -240,10 +240,47 @@ def test_bitmap(spark, rows_of):
     assert rows_of(union) == rows_of(bitmap)
     probe = spark.createDataFrame([(1000,), (7,), (2**40,)], "v bigint")
     assert rows_of(aggregate.bitmap_contains(bitmap, probe, "v")) == [(1000, True), (1099511627776, False), (7, False)]
-    ranked = {r["v"]: r["rank"] for r in aggregate.bitmap_rank_select(values, "v").collect()}
+    ranked = {r["v"]: r["rank"] for r in aggregate.bitmap_rank_select(bitmap, "v").collect()}
     assert ranked[2] == 2 and [v for v, r in ranked.items() if r == 3 + 1] == [1000]
 
 
+def test_bitmap_rank_and_select(spark, split_rows):
+    """Edges of bytes and buckets, zero, and places outside of every bucket; also with the buckets scanned in blocks."""
+    elements = sorted({0, 1, 7, 8, 9, 32767, 32768, 32769, 65536, 65537, 10**6, *range(40_000, 40_100, 3)})
+    bitmap = aggregate.bitmap_build(spark.createDataFrame([(x,) for x in elements], "v bigint"), "v")
+    probes = [0, 1, 2, 7, 8, 9, 32766, 32767, 32768, 32769, 39_999, 40_050, 65536, 65537, 70_000, 10**6, 10**9, None]
+    table = spark.createDataFrame([(x,) for x in probes], "p bigint")
+    numbers = spark.createDataFrame([(i,) for i in [*range(len(elements)), len(elements), 10**9, None]], "i bigint")
+    for limit in (1_000_000, 3):
+        split_rows(limit)
+        rank = {r.p: r["rank"] for r in aggregate.bitmap_rank(bitmap, table, "p").collect()}
+        assert rank == {p: None if p is None else sum(e <= p for e in elements) for p in probes}
+        found = {r.i: r.selected for r in aggregate.bitmap_select(bitmap, numbers, "i").collect()}
+        assert found == {i: e for i, e in enumerate(elements)} | {len(elements): None, 10**9: None, None: None}
+    assert {r.p: r["rank"] for r in aggregate.bitmap_rank(bitmap.limit(0), table, "p").collect()} == {p: None if p is None else 0 for p in probes}
+
+
+@pytest.mark.parametrize("text", ["1.2.3", "300.1.1.1", "1.2.3.4.5", "", "a.b.c.d", "1..2.3", "-1.2.3.4", "256.0.0.0"])
+def test_wrong_ipv4(spark, text):
+    with pytest.raises(Exception, match="not an IPv4 address"):
+        spark.createDataFrame([(text,)], "t string").select(fn.ipv4_to_number("t")).collect()
+
+
+@pytest.mark.parametrize("text", ["1:2", "1:2:3:4:5:6:7:8:9", "1::2::3", "12345::", "g::", "1:2:3:4:5:6:7:8::", "", ":"])
+def test_wrong_ipv6(spark, text):
+    with pytest.raises(Exception, match="not an IPv6 address"):
+        spark.createDataFrame([(text,)], "t string").select(fn.ipv6_to_hex("t")).collect()
+
+
+def test_addresses(spark):
+    import ipaddress
+
+    sixes = ["::", "::1", "2001:DB8::8a2e:370:7334", "1:2:3:4:5:6:7:8", "fe80::", "1:2:3:4:5:6:7::"]
+    rows = spark.createDataFrame([(t,) for t in [*sixes, None]], "t string").select("t", fn.ipv6_to_hex("t").alias("h")).collect()
+    assert {r.t: r.h for r in rows} == {t: f"{int(ipaddress.IPv6Address(t)):032x}" for t in sixes} | {None: None}
+    assert spark.createDataFrame([(None,)], "t string").select(fn.ipv4_to_number("t").alias("n")).first().n is None
+
+
 def test_keyed_fold(spark, rows_of):
     df = spark.createDataFrame([("a", 3), ("b", 5), ("a", 9), ("a", 1)], "k string, v bigint").repartition(4)
     assert rows_of(aggregate.keyed_fold(df, ["k"], "v", max, "bigint")) == [("a", 9), ("b", 5)]

@@ -69,3 +69,19 @@ def test_hot_key_is_cut_into_bounded_blocks(spark):
     assert sizes.agg(F.max("count")).first()[0] <= 600
     # keys below the limit are not cut
     assert frame._df.where(f"k <> 'hot' AND {o._BLOCK} <> 0").isEmpty()
+
+
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_ties_of_the_first_column_are_cut(spark, keys):
+    """10,000 rows with few first values: blocks of at most twice the limit, and the same running values."""
+    df = spark.range(10_000).select(F.lit("hot").alias("k"), F.when(F.col("id") % 4 == 0, F.lit(None)).otherwise(F.col("id") % 2).alias("seq"), F.concat(F.lit("n"), F.col("id")).alias("name"), "id")
+    frame = o.ordered(df, keys, ["seq", "name"], 100)
+    sizes = [r["count"] for r in frame._df.groupBy(o._BLOCK).count().collect()]
+    assert max(sizes) <= 200 and sum(sizes) == 10_000
+    got = {r.id: (r.n, r.s, r.p) for r in frame.scan(n=o.running_count(), s=o.running_sum("id"), p=o.previous("id")).frame.collect()}
+    order = sorted(range(10_000), key=lambda i: (-1 if i % 4 == 0 else i % 2, f"n{i}"))
+    total, want = 0, {}
+    for n, i in enumerate(order):
+        total += i
+        want[i] = (n + 1, total, order[n - 1] if n else None)
+    assert got == want

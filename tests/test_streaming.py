@@ -1,5 +1,7 @@
 """Streaming forms give what the batch forms give, over several micro-batches and restarts."""
 
+import os
+import random
 import time
 
 import pytest
@@ -13,7 +15,7 @@ from weirflow.operators import aggregate, eventtime, state
 from weirflow.plans.registry import arrival
 from weirflow.session import load, scratch_path
 from weirflow.sinks.keyvalue import KeyValueTable, kv_upsert_client
-from weirflow.sources import files, generator, messages
+from weirflow.sources import files, generator, messages, watched
 from weirflow.streaming import pipelines, processors
 
 ORDERED_SLICES = 3
@@ -231,19 +233,60 @@ def test_client_opened_once_per_partition(spark):
     assert files_read.count() == 20 and files_read.select("f").distinct().count() == 4
 
 
-def test_follow_file(spark):
+def _take(lines, out, place):
+    """What one start of the query adds to ``out``."""
+    spark = lines.sparkSession
+    before = len(spark.read.schema(lines.schema).parquet(out).collect()) if os.path.exists(out) else 0
+    lines.writeStream.format("parquet").option("path", out).option("checkpointLocation", place).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(lines.schema).parquet(out), before
+
+
+def test_follow_file_over_restarts(spark, tmp_path):
+    """Nothing before the path exists, all of it after each change, nothing again without one."""
+    path, out, place = f"{tmp_path}/f", f"{tmp_path}/out", f"{tmp_path}/cp"
+    lines = files.stream_follow_file(spark, path)
+    want = 0
+    for text, again in ((None, 0), ("1 a\n", 1), (None, 0), ("2 b\n3 c", 3), (None, 0)):
+        if text:
+            os.makedirs(path, exist_ok=True)
+            with open(f"{path}/{len(os.listdir(path))}.txt", "w") as f:
+                f.write(text)
+        found, before = _take(lines, out, place)
+        want += again
+        assert found.count() == want and before == want - again
+    assert sorted(r[0] for r in found.collect()) == ["1 a", "1 a", "2 b", "3 c"]
+
+
+def test_follow_file_while_running(spark, tmp_path):
     path = scratch_path(spark, "followed")
     seen = []
-    query = files.stream_follow_file(spark, path, lambda df, _: seen.append(sorted(r[0] for r in df.collect())), "200 milliseconds")
+    keep = lambda df, _: seen.append(sorted(r[0] for r in df.collect()))
+    place = str(tmp_path / "cp")
+    query = files.stream_follow_file(spark, path).writeStream.foreachBatch(keep).option("checkpointLocation", place).trigger(processingTime="200 milliseconds").start()
     try:
         spark.createDataFrame([("1 a",)], "v string").write.text(path)
-        _wait(lambda: len(seen) >= 1 and seen[-1] == ["1 a"])
+        _wait(lambda: seen and seen[-1] == ["1 a"])
         spark.createDataFrame([("2 b",)], "v string").write.mode("append").text(path)
         _wait(lambda: seen[-1] == ["1 a", "2 b"])
     finally:
         query.stop()
 
 
+def test_ranges_of_a_file_give_every_line_once(tmp_path, monkeypatch):
+    rng = random.Random(1)
+    lines = ["x" * rng.choice([0, 1, 5, 40]) + str(k) for k in range(200)]
+    path = tmp_path / "a.txt"
+    for end in ("", "\n"):
+        path.write_text("\n".join(lines) + end)
+        reader = watched._FollowReader(str(path))
+        for size in (1, 7, 64, 10_000):
+            monkeypatch.setattr(watched, "RANGE_BYTES", size)
+            monkeypatch.setattr(watched, "READ_BYTES", 13)
+            parts = reader.partitions(reader.initialOffset(), reader.latestOffset())
+            got = [x for part in parts for batch in reader.read(part) for x in batch.column("value").to_pylist()]
+            assert got == lines, (end, size)
+
+
 def _wait(done, seconds=30):
     end = time.time() + seconds
     while not done():
@@ -265,14 +308,17 @@ def test_generator(spark, rows_of):
     assert rows_of(spark.read.schema(want.schema).parquet(target)) == rows_of(want)
 
 
-def test_replay_source_latest_skips_what_was_there(spark):
-    path = scratch_path(spark, "messages")
+def test_latest_is_the_first_start(spark, tmp_path):
+    """What was there at the first start is skipped, also by a start that finds nothing; what comes while the query is down is not."""
+    path, out, place = f"{tmp_path}/m", f"{tmp_path}/out", f"{tmp_path}/cp"
     row = spark.createDataFrame([("t", 0, 1, "a", b"k", b"v")], "topic string, partition int, offset bigint, tag string, key binary, value binary")
     row = row.withColumn("timestamp", F.current_timestamp())
-    row.write.parquet(path)
-    time.sleep(1.1)
     latest = messages.replay_source(spark, path, start="latest")
-    time.sleep(1.1)
-    row.withColumn("offset", F.lit(2).cast("bigint")).write.mode("append").parquet(path)
-    out = pipelines.run_to_table(latest)
-    assert [r["offset"] for r in out.collect()] == [2]
+    for offset in (1, 2, 3):
+        row.withColumn("offset", F.lit(offset).cast("bigint")).write.mode("append").parquet(path)
+        found, _ = _take(latest, out, place)
+    found, before = _take(latest, out, place)
+    assert sorted(r["offset"] for r in found.collect()) == [2, 3] and before == 2
+    got = found.where("offset = 2").first()
+    want = spark.read.parquet(path).where("offset = 2").first()
+    assert (got.timestamp, bytes(got.key)) == (want.timestamp, bytes(want.key))

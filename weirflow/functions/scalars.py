@@ -134,8 +134,13 @@ def nested_field(col: Column | str, field: str) -> Column:
 
 
 def ipv4_to_number(col: Column | str) -> Column:
-    parts = F.transform(F.split(_c(col), "\\."), lambda p: p.cast("long"))
-    return F.aggregate(parts, F.lit(0).cast("long"), lambda acc, p: acc * 256 + p)
+    """Number of an IPv4 text of exactly four parts from 0 to 255; any other text is an error, null stays null."""
+    c = _c(col)
+    byte = "(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+    parts = F.transform(F.split(c, "\\."), lambda p: p.cast("long"))
+    number = F.aggregate(parts, F.lit(0).cast("long"), lambda acc, p: acc * 256 + p)
+    wrong = F.raise_error(F.concat(F.lit("not an IPv4 address: "), c)).cast("long")
+    return F.when(c.isNull(), F.lit(None).cast("long")).when(c.rlike(f"^({byte}\\.){{3}}{byte}$"), number).otherwise(wrong)
 
 
 def number_to_ipv4(col: Column | str) -> Column:
@@ -145,14 +150,24 @@ def number_to_ipv4(col: Column | str) -> Column:
 
 
 def ipv6_to_hex(col: Column | str) -> Column:
-    """32 hex digits of an IPv6 text; ``::`` is filled with zero groups."""
+    """32 hex digits of an IPv6 text of eight groups; ``::`` stands for one or more groups of zero. Any other text is an error, null stays null."""
     c = F.lower(_c(col))
     halves = F.split(c, "::")
     groups = lambda h: F.filter(F.split(h, ":"), lambda g: g != "")
-    head, tail = groups(halves[0]), F.when(F.size(halves) > 1, groups(F.get(halves, F.lit(1)))).otherwise(F.array().cast("array<string>"))
+    short = F.size(halves) == 2
+    head, tail = groups(halves[0]), F.when(short, groups(F.get(halves, F.lit(1)))).otherwise(F.array().cast("array<string>"))
     missing = F.lit(8) - F.size(head) - F.size(tail)
-    all_groups = F.concat(head, F.array_repeat(F.lit("0"), missing), tail)
-    return F.array_join(F.transform(all_groups, lambda g: F.lpad(g, 4, "0")), "")
+    all_groups = F.concat(head, F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0))), tail)
+    digits = F.array_join(F.transform(all_groups, lambda g: F.lpad(g, 4, "0")), "")
+    part = "[0-9a-f]{1,4}(:[0-9a-f]{1,4})*"
+    right = c.rlike(f"^(({part})?::({part})?|{part})$") & F.when(short, missing >= 1).otherwise(missing == 0)
+    return F.when(c.isNull(), F.lit(None).cast("string")).when(right, digits).otherwise(F.raise_error(F.concat(F.lit("not an IPv6 address: "), c)))
+
+
+def hex_to_ipv6(col: Column | str) -> Column:
+    """Eight groups without leading zeros of 32 hex digits."""
+    group = lambda i: F.regexp_replace(F.substring(_c(col), 4 * i + 1, 4), "^0{1,3}", "")
+    return F.concat_ws(":", *[group(i) for i in range(8)])
 
 
 def yyyymm(col: Column | str) -> Column:

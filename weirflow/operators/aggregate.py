@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from weirflow.functions import states
-from weirflow.operators.ordering import ordered, running_count, running_sum
+from weirflow.operators.ordering import latest, ordered, running_count, running_sum
 from weirflow.operators.reshape import flat_map_split
 
 
@@ -232,8 +232,8 @@ def bitmap_build(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFra
     """Integer set as bitmap rows ``(keys, bucket, bits)``; values are non-negative longs.
 
     One row covers 32768 neighbouring values, so a set never sits in one row.  Made
-    for dense ids; for ids scattered over a wide range a table of distinct values
-    (:func:`bitmap_rank_select` starts from one) is smaller.
+    for dense ids; for ids scattered over a wide range a table of distinct values is
+    smaller.
     """
     v = F.col(value).cast("long")
     return df.groupBy(*keys, F.bitmap_bucket_number(v).alias("bucket")).agg(
@@ -265,7 +265,63 @@ def bitmap_contains(bitmap: DataFrame, probe: DataFrame, value: str, name: str =
     return joined.withColumn(name, hit).drop("_wf_bucket", "_wf_pos", "bucket", "bits")
 
 
-def bitmap_rank_select(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Distinct values with ``rank`` = number of elements <= value; ``select(i)`` is the row with rank i+1."""
-    distinct = df.select(*keys, F.col(value).cast("long").alias(value)).distinct()
-    return ordered(distinct, keys, [value]).scan(rank=running_count()).frame
+def _placed_buckets(bitmap: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Buckets with ``_wf_n``, their elements, and ``_wf_before``, the elements of the buckets before: one running sum over buckets, not values."""
+    sized = bitmap.withColumn("_wf_n", F.bitmap_count("bits"))
+    return ordered(sized, keys, ["bucket"]).scan(_wf_before=running_sum("_wf_n", inclusive=False)).frame
+
+
+def _first_bits(k: str) -> str:
+    """SQL of the number of set bits among the first ``k`` of ``bits``."""
+    whole = f"bitmap_count(substring(bits, 1, CAST(({k}) DIV 8 AS INT)))"
+    byte = f"CAST(conv(hex(substring(bits, CAST(({k}) DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)"
+    return f"({whole} + coalesce(bit_count({byte} & (shiftleft(1, CAST(({k}) % 8 AS INT)) - 1)), 0))"
+
+
+def bitmap_rank(bitmap: DataFrame, probe: DataFrame, value: str, keys: Sequence[str] = (), name: str = "rank") -> DataFrame:
+    """Number of elements up to each probe value, from stored bitmaps: the bucket's elements before, and a popcount inside one bucket.
+
+    A value beyond or between the buckets gets the elements of the buckets before it; null, and keys without a bitmap, get null and 0.
+    """
+    v = F.col(value).cast("long")
+    named = [f"_wf_k{i}" for i in range(len(keys))]
+    placed = _placed_buckets(bitmap, keys).select(*[F.col(k).alias(n) for k, n in zip(keys, named, strict=True)], F.col("bucket").alias("_wf_b"), "bits", "_wf_n", "_wf_before")
+    # every value meets the last bucket that is not after its own: an as-of join of values and buckets by one scan over both
+    own = probe.withColumns({"_wf_at": F.bitmap_bucket_number(v), "_wf_pos": F.bitmap_bit_position(v), "_wf_side": F.lit(1), "_wf_row": F.monotonically_increasing_id()})
+    buckets = placed.select(
+        *[F.col(n).alias(k) for k, n in zip(keys, named, strict=True)], F.col("_wf_b").alias("_wf_at"), F.lit(0).alias("_wf_side"), F.lit(-1).cast("bigint").alias("_wf_row"),
+        F.struct(F.col("_wf_b").alias("b"), F.col("bits").alias("bits"), (F.col("_wf_before") + F.col("_wf_n")).alias("upto"), F.col("_wf_before").alias("before")).alias("_wf_set"),
+    )
+    both = own.withColumn("_wf_set", F.lit(None)).unionByName(buckets, allowMissingColumns=True)
+    met = ordered(both, keys, ["_wf_at", "_wf_side", "_wf_row"]).scan(_wf_met=latest("_wf_set")).frame.where("_wf_side = 1")
+    inside = met.withColumn("bits", F.col("_wf_met.bits"))
+    rank = f"""CASE WHEN _wf_at IS NULL THEN NULL WHEN _wf_met IS NULL THEN 0L WHEN _wf_met.b < _wf_at THEN _wf_met.upto
+               ELSE _wf_met.before + {_first_bits('_wf_pos + 1')} END"""
+    return inside.withColumn(name, F.expr(rank)).select(*probe.columns, name)
+
+
+def bitmap_select(bitmap: DataFrame, probe: DataFrame, index: str, keys: Sequence[str] = (), name: str = "selected") -> DataFrame:
+    """The element at each probe index, from 0, of stored bitmaps; null beyond the last one. A binary search of popcounts inside one bucket."""
+    placed = _placed_buckets(bitmap, keys)
+    at = F.col(index).cast("long")
+    own = probe.withColumns({"_wf_at": at, "_wf_side": F.lit(1), "_wf_row": F.monotonically_increasing_id()})
+    buckets = placed.select(
+        *keys, F.col("_wf_before").alias("_wf_at"), F.lit(0).alias("_wf_side"), F.lit(-1).cast("bigint").alias("_wf_row"),
+        F.struct(F.col("bucket").alias("b"), F.col("bits").alias("bits"), F.col("_wf_n").alias("n"), F.col("_wf_before").alias("before")).alias("_wf_set"),
+    )
+    both = own.withColumn("_wf_set", F.lit(None)).unionByName(buckets, allowMissingColumns=True)
+    met = ordered(both, keys, ["_wf_at", "_wf_side", "_wf_row"]).scan(_wf_met=latest("_wf_set")).frame.where("_wf_side = 1")
+    inside = met.withColumn("bits", F.col("_wf_met.bits")).withColumn("_wf_left", F.col("_wf_at") - F.col("_wf_met.before"))
+    # the greatest number of first bits with no more than _wf_left set ones: the element's bit comes next
+    found = f"aggregate(sequence(14, 0, -1), 0, (lo, s) -> CASE WHEN {_first_bits('lo + shiftleft(1, s)')} <= _wf_left THEN lo + shiftleft(1, s) ELSE lo END)"
+    value = f"CASE WHEN _wf_left >= 0 AND _wf_left < _wf_met.n THEN CASE WHEN _wf_met.b = 0 THEN 0L ELSE (_wf_met.b - 1) * 32768 + 1 + {found} END END"
+    return inside.withColumn(name, F.expr(value).cast("long")).select(*probe.columns, name)
+
+
+def bitmap_rank_select(bitmap: DataFrame, name: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Elements of stored bitmaps with ``rank`` = number of elements <= value; ``select(i)`` is the row with rank i+1."""
+    bit = "CAST(conv(hex(substring(bits, p DIV 8 + 1, 1)), 16, 10) AS INT) & shiftleft(1, p % 8)"
+    places = F.expr(f"filter(sequence(0, 8 * octet_length(bits) - 1), p -> ({bit}) <> 0)")
+    each = _placed_buckets(bitmap, keys).select(*keys, "bucket", "_wf_before", F.posexplode(places).alias("_wf_i", "_wf_p"))
+    value = F.when(F.col("bucket") == 0, F.lit(0)).otherwise((F.col("bucket") - 1) * 32768 + 1 + F.col("_wf_p"))  # zero has a bucket of its own
+    return each.select(*keys, value.cast("long").alias(name), (F.col("_wf_before") + F.col("_wf_i") + 1).alias("rank"))

@@ -22,6 +22,7 @@ from dataclasses import dataclass
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 SPLIT_ROWS_CONF = "spark.weirflow.splitRows"
 DEFAULT_SPLIT_ROWS = 4_000_000
@@ -30,6 +31,7 @@ DEFAULT_SPLIT_ROWS = 4_000_000
 MAX_PARTS = 10_000
 BROADCAST_ROWS = 1_000_000
 SAMPLE_PER_PART = 1_000
+TUPLES_PER_PART = 60
 _BLOCK = "_wf_block"
 
 
@@ -86,7 +88,7 @@ def as_number(df: DataFrame, name: str) -> Column:
 
 
 def _cut_points(df: DataFrame, order: str, parts: int, rows: int) -> list[float]:
-    """Values that cut ``df`` into about ``parts`` equal pieces (at most ``parts`` numbers).
+    """Values that cut ``df`` into about ``parts`` equal pieces (at most ``parts`` numbers); a value with many rows comes several times.
 
     They only decide where blocks begin, so like a range partitioner they are read
     off a sample; any values give the same result.
@@ -99,14 +101,59 @@ def _cut_points(df: DataFrame, order: str, parts: int, rows: int) -> list[float]
     found = seen.select(
         F.percentile_approx(as_number(df, order), probs, max(10_000, 10 * parts)).alias("p")
     ).first()["p"]
-    return sorted({float(x) for x in found or []})
+    return sorted(float(x) for x in found or [])
 
 
-def _with_bucket(df: DataFrame, order: str, cuts: list[float], name: str, of: Column | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class Cuts:
+    """Where blocks begin: numbers of the first order column, or (``rows``, of ``schema``) whole order tuples where its values are too few."""
+
+    numbers: tuple[float, ...] = ()
+    rows: tuple = ()
+    schema: StructType | None = None
+
+    def __len__(self) -> int:
+        return len(self.rows) or len(self.numbers)
+
+
+def _cuts(df: DataFrame, order: Sequence[str], parts: int, rows: int) -> Cuts:
+    """About ``parts`` equal pieces. A value that alone fills two pieces shows as equal cut points: then the whole tuple is cut on."""
+    numbers = _cut_points(df, order[0], parts, rows)
+    wide = len(set(numbers)) < len(numbers) or parts > 1 and not numbers
+    if not wide or len(order) == 1:
+        return Cuts(tuple(sorted(set(numbers))))
+    # a bounded sample is sorted in one task, as a range partitioner does on the driver; any cuts give the same result
+    wanted = TUPLES_PER_PART * parts
+    seen = df.sample(min(1.0, wanted / rows), seed=1) if rows > 4 * wanted else df
+    at = F.struct(*order)
+    if rows <= 4 * wanted:
+        seen = seen.orderBy(F.xxhash64(*order)).limit(wanted)
+    sample = seen.agg(F.sort_array(F.collect_list(at)).alias("s"))
+    picks = F.expr(f"array_distinct(transform(sequence(1, {parts - 1}), i -> get(s, CAST(i * size(s) div {parts} AS INT))))")
+    found = [r for r in (sample.select(picks.alias("p")).first()["p"] or []) if r is not None]
+    return Cuts(rows=tuple(tuple(r) for r in found), schema=df.select(*order).schema)
+
+
+def _tuple_bucket(df: DataFrame, order: Sequence[str], cuts: Cuts, name: str, of: Column | None) -> DataFrame:
+    """Block number from 1 by binary search in the sorted cut tuples, at most MAX_PARTS of them."""
+    steps = len(cuts).bit_length()
+    table = df.sparkSession.createDataFrame([([*cuts.rows],)], StructType([StructField("_wf_cuts", ArrayType(cuts.schema))]))
+    at = f"struct({', '.join(f'`{c}`' for c in order)})"
+    probe = "lo + shiftleft(1, s) - 1"
+    ahead = f"CASE WHEN {probe} < size(_wf_cuts) AND get(_wf_cuts, {probe}) <= _wf_tuple THEN lo + shiftleft(1, s) ELSE lo END"
+    found = F.expr(f"aggregate(sequence({steps - 1}, 0, -1), 0, (lo, s) -> {ahead})") + 1
+    # one row of bounded size
+    joined = df.withColumn("_wf_tuple", F.expr(at)).join(F.broadcast(table))
+    return joined.withColumn(name, found if of is None else F.when(of, found)).drop("_wf_tuple", "_wf_cuts")
+
+
+def _with_bucket(df: DataFrame, order: Sequence[str], cuts: Cuts, name: str, of: Column | None = None) -> DataFrame:
     """Block number from 1; rows where ``of`` is not true get none."""
-    if not cuts:
+    if not len(cuts):
         return df.withColumn(name, F.lit(1))
-    splits = [float("-inf"), *cuts, float("inf")]
+    if cuts.rows:
+        return _tuple_bucket(df, order, cuts, name, of)
+    splits, order = [float("-inf"), *cuts.numbers, float("inf")], order[0]
     # nulls come first, as in a window's order
     number = F.coalesce(as_number(df, order).cast("double"), F.lit(float("-inf")))
     numbered = df.withColumn("_wf_order", number if of is None else F.when(of, number))
@@ -180,8 +227,8 @@ def ordered(
 ) -> Ordered:
     """Prepare ``df`` for scans per ``keys`` in ``order``.
 
-    ``order[0]`` must be a number or a point in time and is what blocks are cut
-    on; further columns break ties; nulls come first.  Runs a counting job over the
+    ``order[0]`` must be a number or a point in time; blocks are cut on it, and on
+    the whole order where one of its values holds too many rows; nulls come first.  Runs a counting job over the
     key columns, and a few more small ones when there is something to split.
     """
     limit = split_rows_of(df, split_rows)
@@ -190,9 +237,9 @@ def ordered(
         rows = df.count()
         cores = df.sparkSession.sparkContext.defaultParallelism
         parts = min(MAX_PARTS, max(cores, -(-rows // limit)))
-        cuts = _cut_points(df, order[0], parts, max(rows, 1))
+        cuts = _cuts(df, order, parts, max(rows, 1))
         # numbered from 0: the block is the partition number, which windows over it recognize
-        tagged = _with_bucket(df, order[0], cuts, _BLOCK).withColumn(_BLOCK, F.col(_BLOCK) - 1)
+        tagged = _with_bucket(df, order, cuts, _BLOCK).withColumn(_BLOCK, F.col(_BLOCK) - 1)
         blocks = len(cuts) + 1
         # one block per task, whatever the session's number of shuffle partitions
         return Ordered(tagged, keys, order, blocks, lambda d: d.repartitionById(blocks, F.col(_BLOCK)))
@@ -215,8 +262,8 @@ def ordered(
         on = on & F.col(k).eqNullSafe(F.col(f"_wf_h_{i}"))
     flagged = df.join(F.broadcast(hot), on, "left").drop(*[f"_wf_h_{i}" for i in range(len(keys))])
     parts = min(MAX_PARTS, max(2, -(-hot_rows // limit)))
-    cuts = _cut_points(flagged.where("_wf_hot"), order[0], parts, hot_rows)
-    cut = _with_bucket(flagged, order[0], cuts, "_wf_cut", F.col("_wf_hot"))
+    cuts = _cuts(flagged.where("_wf_hot"), order, parts, hot_rows)
+    cut = _with_bucket(flagged, order, cuts, "_wf_cut", F.col("_wf_hot"))
     tagged = cut.withColumn(
         _BLOCK, F.when(F.col("_wf_hot"), F.col("_wf_cut")).otherwise(F.lit(0))
     ).drop("_wf_hot", "_wf_cut")

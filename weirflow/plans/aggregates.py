@@ -188,4 +188,19 @@ def bitmap_contains(spark, sf_dir):
     WITH d AS (SELECT DISTINCT event_type, user_id FROM events)
     SELECT event_type, user_id, CAST(row_number() OVER (PARTITION BY event_type ORDER BY user_id) AS BIGINT) AS rank FROM d""")
 def bitmap_rank_select(spark, sf_dir):
-    return ops.bitmap_rank_select(events(spark, sf_dir, "event_type", "user_id"), "user_id", ["event_type"])
+    bitmap = ops.bitmap_build(events(spark, sf_dir, "event_type", "user_id"), "user_id", ["event_type"])
+    return ops.bitmap_rank_select(bitmap, "user_id", ["event_type"])
+
+
+@query("bitmap_rank_of", """
+    WITH d AS (SELECT DISTINCT event_type, user_id FROM events), o AS (SELECT event_id, event_type, event_id % 2000 AS probe FROM events)
+    SELECT event_id, CAST((SELECT count(*) FROM d WHERE d.event_type = o.event_type AND user_id <= probe) AS BIGINT) AS rank,
+           (SELECT user_id FROM (SELECT event_type, user_id, row_number() OVER (PARTITION BY event_type ORDER BY user_id) AS r FROM d) s
+            WHERE s.event_type = o.event_type AND r = probe + 1) AS selected FROM o""")
+def bitmap_rank_of(spark, sf_dir):
+    """Rank and element of given numbers in stored bitmaps."""
+    df = events(spark, sf_dir)
+    bitmap = ops.bitmap_build(df, "user_id", ["event_type"])
+    probe = df.select("event_id", "event_type", (F.col("event_id") % 2000).alias("probe"))
+    ranked = ops.bitmap_rank(bitmap, probe, "probe", ["event_type"])
+    return ops.bitmap_select(bitmap, ranked, "probe", ["event_type"]).select("event_id", "rank", "selected")

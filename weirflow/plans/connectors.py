@@ -41,14 +41,15 @@ def stream_text_lines(spark, sf_dir):
 @query("stream_follow_file", """
     SELECT conv_id, CAST(count(*) * (2 - conv_id % 2) AS BIGINT) AS times FROM conversations GROUP BY conv_id""")
 def stream_follow_file(spark, sf_dir):
-    """A folder that changes once: its whole content comes again, so the first lines are seen twice."""
-    path, seen = scratch_path(spark, "followed"), scratch_path(spark, "followed-out")
-    ids = load(spark, sf_dir, "conversations").select("conv_id")
-    follower = files.FileFollower(spark, path)
-    for rest in (0, 1):
-        ids.where(F.col("conv_id") % 2 == rest).select(F.col("conv_id").cast("string")).write.mode("append").text(path)
-        follower.poll().write.mode("append").parquet(seen)
-    return spark.read.parquet(seen).groupBy(F.col("value").cast("bigint").alias("conv_id")).agg(F.count(F.lit(1)).alias("times"))
+    """A folder that changes once: its whole content comes again, so the first lines are seen twice; a start without a change adds nothing."""
+    path, seen, place = (scratch_path(spark, x) for x in ("followed", "followed-out", "followed-checkpoint"))
+    ids = load(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string"))
+    lines = files.stream_follow_file(spark, path)
+    for rest in (0, 1, None):
+        if rest is not None:
+            ids.where(F.col("conv_id").cast("bigint") % 2 == rest).write.mode("append").text(path)
+        lines.writeStream.format("parquet").option("path", seen).option("checkpointLocation", place).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("value string").parquet(seen).groupBy(F.col("value").cast("bigint").alias("conv_id")).agg(F.count(F.lit(1)).alias("times"))
 
 
 @query("read_csv_typed", "SELECT c_custkey, c_name, c_acctbal, c_acctbal > 5000 AS rich FROM customer")
@@ -97,7 +98,10 @@ def message_sink(spark, sf_dir):
 
 def _message_folder(spark, sf_dir):
     """Events as stored messages: topic, tag = type, key = user, value = JSON body."""
-    path = scratch_path(spark, "messages")
+    return _written(spark, sf_dir, scratch_path(spark, "messages"))
+
+
+def _written(spark, sf_dir, path):
     text = lambda c: F.encode(F.col(c).cast("string"), "UTF-8")
     events(spark, sf_dir).select(
         F.lit("events").alias("topic"), (F.col("user_id") % 4).cast("int").alias("partition"), F.col("event_id").alias("offset"),
@@ -117,6 +121,18 @@ def message_source(spark, sf_dir):
     return run_to_table(stream.select("offset", "tag", text("key"), text("value")))
 
 
+@query("message_source_latest", "SELECT event_id AS \"offset\", event_type AS tag FROM events WHERE event_id % 3 > 0")
+def message_source_latest(spark, sf_dir):
+    """Started when a third of the messages is there, stopped, and started again after each further third: the first is never given."""
+    whole, folder, out, place = (scratch_path(spark, x) for x in ("all", "messages", "latest", "latest-checkpoint"))
+    _written(spark, sf_dir, whole)
+    stream = messages.replay_source(spark, folder, "events", "latest").select("offset", "tag")
+    for rest in (0, 1, 2):
+        spark.read.parquet(whole).where(F.col("offset") % 3 == rest).write.mode("append").parquet(folder)
+        stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", place).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("offset bigint, tag string").parquet(out)
+
+
 @query("ingest_messages_to_table", "SELECT CAST(props->>'$.k' AS BIGINT) AS k FROM events")
 def ingest_messages_to_table(spark, sf_dir):
     stream = messages.replay_source(spark, _message_folder(spark, sf_dir), with_key=False)

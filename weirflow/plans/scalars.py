@@ -107,6 +107,17 @@ def fn_nested(spark, sf_dir):
     return d.select("event_key", F.inline("dept_info"))
 
 
+@query("fn_ipv6", """
+    SELECT event_id, '20010db8' || lpad(lower(to_hex(user_id % 65536)), 4, '0') || repeat('0', 12) || lpad(lower(to_hex(event_id)), 8, '0') AS hex,
+           '2001:db8:' || lower(to_hex(user_id % 65536)) || ':0:0:0:' || lower(to_hex(event_id // 65536)) || ':' || lower(to_hex(event_id % 65536)) AS ip FROM events""")
+def fn_ipv6(spark, sf_dir):
+    """Addresses with zero groups left out to 32 digits, and these to eight groups."""
+    part = lambda e: F.lower(F.hex(F.expr(e)))
+    text = F.concat(F.lit("2001:DB8:"), part("user_id % 65536"), F.lit("::"), part("event_id div 65536"), F.lit(":"), part("event_id % 65536"))
+    digits = fn.ipv6_to_hex(text)
+    return events(spark, sf_dir).select("event_id", digits.alias("hex"), fn.hex_to_ipv6(digits).alias("ip"))
+
+
 @query("fn_ipv4", """
     SELECT event_id, CAST(user_id % 256 AS BIGINT) * 16777216 + (event_id % 256) * 65536 + (event_id % 7) * 256 + 9 AS num,
            CAST(user_id % 256 AS VARCHAR) || '.' || CAST(event_id % 256 AS VARCHAR) || '.' || CAST(event_id % 7 AS VARCHAR) || '.9' AS ip FROM events""")

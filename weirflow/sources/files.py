@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+
+from weirflow.session import ship_package
+from weirflow.sources import watched
 
 
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -92,42 +94,11 @@ def replay_in_order(df: DataFrame, order: Sequence[str], path: str, slice_rows:
     return path
 
 
-class FileFollower:
-    """Gives the whole content of a path again each time it has changed."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path, self._seen = spark, path, None
-
-    def _stamp(self):
-        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(jvm_path):
-            return None
-        return sorted((s.getPath().toString(), s.getModificationTime(), s.getLen()) for s in fs.listStatus(jvm_path))
-
-    def poll(self) -> DataFrame | None:
-        """Content as lines when it changed since the last call, else nothing."""
-        stamp = self._stamp()
-        if stamp is None or stamp == self._seen:
-            return None
-        self._seen = stamp
-        return self.spark.read.text(self.path)
+def stream_follow_file(spark: SparkSession, path: str) -> DataFrame:
+    """Unbounded lines: the whole content of ``path`` (a file or a folder) each time it has changed.
 
-
-def stream_follow_file(
-    spark: SparkSession, path: str, handler: Callable[[DataFrame, int], None], every: str = "1 second"
-) -> StreamingQuery:
-    """Look at ``path`` at a fixed pace and hand its whole content over whenever it changed.
-
-    The file source only picks up new files, so the pace comes from a rate source
-    and the content from a batch read.
+    What was seen last is the stream's offset, so a restarted query gives nothing again until the path changes. A batch that is repeated
+    after a failure reads the content as it is then, because an overwritten file can't be read as it was.
     """
-    follower = FileFollower(spark, path)
-
-    def tick(_, batch_id: int) -> None:
-        content = follower.poll()
-        if content is not None:
-            handler(content, batch_id)
-
-    beat = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
-    return beat.writeStream.foreachBatch(tick).trigger(processingTime=every).start()
+    watched.register(ship_package(spark))
+    return spark.readStream.format(watched.FollowSource.name()).option("path", path).load()

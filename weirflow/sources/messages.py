@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from weirflow.session import ship_package
+from weirflow.sources import watched
+
 ENVELOPE = (
     "topic string, partition int, offset bigint, tag string, key binary, value binary, timestamp timestamp"
 )
-# Fixed value: messages pulled or pushed together.
-BATCH_MESSAGES = 32
 
 
 def message_source(
@@ -63,15 +64,17 @@ def replay_source(
 ) -> DataFrame:
     """Messages kept as parquet files in the envelope, as a stream or a batch.
 
-    ``latest`` skips the files present at the start (streams only).
+    ``latest`` skips the files present when the query was first started (streams only): the place is the stream's first offset, kept in its
+    checkpoint, so a restart continues there. It takes all new files in a batch.
     """
-    if streaming:
+    if streaming and start == "latest":
+        watched.register(ship_package(spark))
+        df = spark.readStream.format(watched.NewFilesSource.name()).schema(ENVELOPE).option("path", folder).option("start", start).load()
+    elif streaming:
         reader = spark.readStream.schema(ENVELOPE).format("parquet")
         if files_per_batch:
             reader = reader.option("maxFilesPerTrigger", files_per_batch)
         df = reader.load(folder)
-        if start == "latest":
-            df = df.where(F.col("_metadata.file_modification_time") > F.lit(_now(spark)))
     else:
         df = spark.read.schema(ENVELOPE).parquet(folder)
     if start == "timestamp":
@@ -81,10 +84,6 @@ def replay_source(
     return select_messages(df, tag, with_key)
 
 
-def _now(spark: SparkSession):
-    return spark.sql("SELECT current_timestamp()").first()[0]
-
-
 def select_messages(envelope: DataFrame, tag: str | None, with_key: bool) -> DataFrame:
     """Tag filter (``a || b`` names several, ``*`` or nothing means all) and choice of key+value or value only."""
     df = envelope
