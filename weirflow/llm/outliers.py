@@ -2,7 +2,7 @@
 
 Every document gets a vector of transformed statistics. For each language and source the minimum covariance determinant estimate is
 found by concentration steps: keep the share of documents nearest to the present centre, take their mean and covariance, scaled to be
-consistent for normal data, and repeat until the group's estimate does not change. A document is rejected when its squared Mahalanobis distance from
+consistent for normal data, and repeat until the group's estimate moves by less than TOLERANCE of the least floor. A document is rejected when its squared Mahalanobis distance from
 its group's estimate is above the chi-square quantile of the confidence, with as many degrees of freedom as there are statistics.
 
 Most documents have no symbol, repeated line or repeated word at all, so the spread of the nearest documents is often zero there. The floors
@@ -29,6 +29,7 @@ SCALE = 256
 DIMS = ("v0", "v1", "v2", "v3")
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 _ROW_BITS = 30
+TOLERANCE = 0.02
 
 
 @dataclass(frozen=True)
@@ -188,7 +189,7 @@ def estimates(usable: DataFrame, s: Settings) -> DataFrame:
             fitted = fitted.withColumn(name, column)
         names = [*[f"c{i}" for i in range(size)], *[f"l{i}{j}" for i, j in pairs]]
         before = now.select("a", "b", *[F.col(x).alias(f"{x}_") for x in names])
-        moved = F.expr(" OR ".join(f"{x} <> {x}_" for x in names)).alias("_moved")
+        moved = F.expr(" OR ".join(f"abs({x} - {x}_) > {TOLERANCE * min(s.floors) * SCALE}" for x in names)).alias("_moved")
         fresh = stored(fitted.select("a", "b", *names).join(before, ["a", "b"]).select("a", "b", *names, moved), "mcd")
         ended = fresh.where(~F.col("_moved")).drop("_moved")
         settled = ended if settled is None else settled.union(ended)
