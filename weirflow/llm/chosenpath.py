@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import stored, text_slices
+from weirflow.llm.common import stored, text_slices, within
 from weirflow.llm.components import components
 from weirflow.llm.hashing import mix, shingles
 from weirflow.llm.setlinks import BITS, WORDS, compared, may_be_near, parities, verified
@@ -100,11 +100,11 @@ def _links(records: DataFrame, sets, s: Settings) -> DataFrame:
     paths = records.select("rec", F.explode(F.expr(_children(1))).alias("node"))
     shared = paths.groupBy("node").agg(F.count(F.lit(1)).alias("m"), F.min("rec").alias("hub")).where("m > 1")
     met = stored(paths.join(shared, "node"), "met")
-    whole = stored(sets(met.select("rec").distinct()), "sets")
     # every record against the first of each of its nodes
     stars = met.where("rec <> hub").select(F.col("hub").alias("a"), F.col("rec").alias("b")).distinct()
     p, q = records.select(F.col("rec").alias("a"), *carried).alias("p"), records.select(F.col("rec").alias("b"), *carried).alias("q")
-    likely = stars.join(p, "a").join(q, "b").where(may_be_near("p", "q", s.percent)).select("a", "b")
+    likely = stored(stars.join(p, "a").join(q, "b").where(may_be_near("p", "q", s.percent)).select("a", "b"), "likely")
+    whole = sets(likely.select(F.explode(F.array("a", "b")).alias("rec")).distinct())
     edges = stored(verified(likely, whole, s.percent), "near")
     roots = components(edges).select(F.col("node").alias("rec"), "root")
     members = met.select("node", "rec")
@@ -115,7 +115,7 @@ def _links(records: DataFrame, sets, s: Settings) -> DataFrame:
         mixed = nodes.where("r0 <> r1").select("node", "m")
         here = stored(placed.join(mixed, "node"), "mixed")
         few = here if level == LEVELS else here.where(F.col("m") <= s.node)
-        found = found.union(stored(compared(few.join(records.select(*carried), "rec"), records, whole, s.percent, s.node, s.group_shingles), "links"))
+        found = found.union(stored(compared(few.join(records.select(*carried), "rec"), records, sets, s.percent, s.node, s.group_shingles), "links"))
         if level == LEVELS:
             break
         great = here.where(F.col("m") > s.node)
@@ -144,9 +144,9 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
     records = stored(first.withColumn("rec", F.monotonically_increasing_id()), "first")
 
     def sets(wanted: DataFrame) -> DataFrame:
-        owners = records.join(wanted, "rec").select("rec", F.col("row._wf_id").alias("_wf_id"), F.col("row._wf_h").alias("_wf_h"))
-        texts = keyed.join(owners, ["_wf_id", "_wf_h"]).dropDuplicates(["rec"]).select("rec", "text")
-        return texts.mapInArrow(_sets, "rec bigint, all array<bigint>")
+        owners = stored(records.select("rec", "row.*").join(wanted, "rec"), "owners")
+        texts = within(keyed, owners, ["_wf_id", "_wf_h"]).join(owners, ["_wf_id", "_wf_h"]).dropDuplicates(["_wf_id", "_wf_h"])
+        return stored(texts.select("rec", "text").mapInArrow(_sets, "rec bigint, all array<bigint>"), "sets")
 
     roots = _links(records, sets, s)
     placed = records.join(roots.select(F.col("node").alias("rec"), "root"), "rec", "left").withColumn("root", F.coalesce("root", "rec"))

@@ -33,6 +33,24 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+PAGE_BITS, PAGES = 1 << 15, 1 << 14
+
+
+def within(df: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of ``df`` whose ``on`` is in ``wanted``, and a few others: what a later join on ``on`` would drop need not be shuffled to it.
+
+    ``wanted`` becomes a bitmap of 16 to 32 bits a row, at most PAGES * PAGE_BITS / 8 bytes (64 MB), which is broadcast in pages. Beyond 2^25
+    rows it lets ever more of the others pass. Null counts as a value.
+    """
+    pages = min(PAGES, 1 << (16 * wanted.count() // PAGE_BITS).bit_length())
+    cell = F.pmod(F.xxhash64(*on), F.lit(pages * PAGE_BITS))
+    page, bit = (cell / PAGE_BITS).cast("int"), (cell % PAGE_BITS).cast("bigint")
+    marks = wanted.select(page.alias("_wf_page"), bit.alias("_wf_bit")).groupBy("_wf_page").agg(F.bitmap_construct_agg("_wf_bit").alias("_wf_marks"))
+    placed = df.select("*", page.alias("_wf_page"), bit.alias("_wf_bit")).join(F.broadcast(marks), "_wf_page")
+    byte = "CAST(conv(hex(substring(_wf_marks, CAST(_wf_bit DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)"
+    return placed.where(f"getbit({byte}, CAST(_wf_bit % 8 AS INT)) = 1").select(*df.columns)
+
+
 def held_out(doc_id: str | Column) -> Column:
     """Rows no model may learn from: crc32 of the id as text leaves 1 modulo 3; a null id is held out too."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -6,7 +6,7 @@ linked if 100 * intersection >= percent * union.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -115,10 +115,10 @@ def _dealt(rows: DataFrame, key: list[str], blocks: str) -> DataFrame:
     return other.select(g.alias("g"), *[c for c in rows.columns if c not in {"g", *key}])
 
 
-def compared(members: DataFrame, records: DataFrame, sets: DataFrame, percent: int, block: int, group_shingles: int) -> DataFrame:
+def compared(members: DataFrame, records: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int, block: int, group_shingles: int) -> DataFrame:
     """a, b: links between records of one node (node, m, rec, root, n, b0 to b7; m rows a node) that lie in different components.
 
-    Signatures are compared first; only records that may be near another one are sent on with their whole sets. A task holds one group: two
+    Signatures are compared first; only records that may be near another one are sent on with their whole sets, which ``sets`` gives. A task holds one group: two
     blocks of about ``block`` records, or of about ``group_shingles`` shingles in the second step. It sends on at most one row per record.
     """
     groups = _dealt(members, ["node"], f"ceil(m / {block})").repartition("g").sortWithinPartitions("g")
@@ -126,5 +126,5 @@ def compared(members: DataFrame, records: DataFrame, sets: DataFrame, percent: i
     full = some.join(records.select("rec", "n", *BITS), "rec")
     sizes = full.groupBy("g").agg(F.sum("n").alias("_size"))
     dealt = _dealt(full.join(sizes, "g").withColumnRenamed("g", "_g"), ["_g"], f"ceil(_size / {group_shingles})").drop("_size")
-    whole = dealt.join(sets, "rec").repartition("g").sortWithinPartitions("g")
+    whole = dealt.join(sets(some.select("rec").distinct()), "rec").repartition("g").sortWithinPartitions("g")
     return whole.mapInArrow(lambda b: _confirmed(b, percent), "a bigint, b bigint")
