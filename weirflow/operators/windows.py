@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import math
 from collections.abc import Sequence
 
@@ -77,15 +76,21 @@ def sliding_top_bottom(df: DataFrame, ts: str, key: str, value: str, seq: str, s
         {"v": F.max_by("_l.v", "_l.s")},
         [key],
     )
+    top, low = extremes(key)
+    out = last.groupBy("window_start", "window_end").agg(top.alias("t"), low.alias("b"))
+    return out.select("window_start", "window_end", *named_extremes(key))
+
+
+def extremes(key: str) -> tuple[Column, Column]:
+    """Aggregates of the rows (``key``, ``v``) with the largest and the smallest value."""
     unknown = F.col("v").isNull()
     top = F.min_by(F.struct(key, "v"), F.struct(unknown, -F.col("v"), F.col(key)))
-    low = F.min_by(F.struct(key, "v"), F.struct(unknown, F.col("v"), F.col(key)))
-    out = last.groupBy("window_start", "window_end").agg(top.alias("t"), low.alias("b"))
-    return out.select(
-        "window_start", "window_end",
-        F.col(f"t.{key}").alias("fastest"), F.col("t.v").alias("fastest_value"),
-        F.col(f"b.{key}").alias("slowest"), F.col("b.v").alias("slowest_value"),
-    )
+    return top, F.min_by(F.struct(key, "v"), F.struct(unknown, F.col("v"), F.col(key)))
+
+
+def named_extremes(key: str) -> list[Column]:
+    names = {"fastest": f"t.{key}", "fastest_value": "t.v", "slowest": f"b.{key}", "slowest_value": "b.v"}
+    return [F.col(c).alias(n) for n, c in names.items()]
 
 
 def count_window(
@@ -153,8 +158,7 @@ def session_window(
     return out.select(*keys, F.col("session_start").alias("window_start"), end.alias("window_end"), *aggs)
 
 
-def session_window_stream(df: DataFrame, ts: str, gap: str, aggs: dict[str, Column], keys: Sequence[str] = ()) -> DataFrame:
-    """Streaming form.  Spark needs a key, so the un-keyed form groups on a constant as well."""
-    by = list(keys) or ["_wf_all"]
-    out = df.withColumn("_wf_all", F.lit(1)).groupBy(*by, F.session_window(ts, gap).alias("_wf_w")).agg(*[c.alias(n) for n, c in aggs.items()])
+def session_window_stream(df: DataFrame, ts: str, gap: str, aggs: dict[str, Column], keys: Sequence[str]) -> DataFrame:
+    """Streaming form per key; :func:`weirflow.streaming.processors.merged_sessions_stream` is the one for hot keys and for none."""
+    out = df.groupBy(*keys, F.session_window(ts, gap).alias("_wf_w")).agg(*[c.alias(n) for n, c in aggs.items()])
     return out.select(*keys, F.col("_wf_w.start").alias("window_start"), F.col("_wf_w.end").alias("window_end"), *aggs)

@@ -8,7 +8,8 @@ from weirflow.operators import enrich as ops
 from weirflow.plans.aggregates import event_stream
 from weirflow.plans.registry import events, query
 from weirflow.session import load, scratch_path
-from weirflow.streaming.pipelines import lookup_refreshing
+from weirflow.streaming.pipelines import lookup_refreshing, run_to_table
+from weirflow.streaming.processors import config_lookup_stream
 
 
 def _asked(key):
@@ -71,11 +72,23 @@ def lookup_config_stream(spark, sf_dir):
     return out.select("event_id", "label")
 
 
+@query("lookup_config_in_stream", """
+    SELECT event_id, label FROM (
+      SELECT event_id, event_type, coalesce(nullif(last_value(CASE WHEN event_type = 'signup' THEN props->>'$.k' END IGNORE NULLS)
+        OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), ''), 'not found city') AS label FROM events)
+    WHERE event_type <> 'signup'""")
+def lookup_config_in_stream(spark, sf_dir):
+    """Lookups and configuration in one stream, in event order."""
+    rows = event_stream(spark, sf_dir, ["ts", "event_id"]).withColumns(
+        {"cfg": F.col("event_type") == "signup", "city": F.get_json_object("props", "$.k")})
+    return run_to_table(config_lookup_stream(rows, "user_id", "ts", "event_id", "cfg", "city", "1 day")).select("event_id", "label")
+
+
 @query("lookup_connected", f"""
     WITH {CONFIG_SQL}
     SELECT 1 AS side, r.event_id AS seq, coalesce(c.city, 'not found') AS answer
     FROM r LEFT JOIN e c ON c.event_id = r.cfg WHERE r.event_type <> 'signup'
-    UNION ALL SELECT 2, event_id, CAST(user_id AS VARCHAR) || ' ' || city || '加载完毕...' FROM e WHERE event_type = 'signup'""")
+    UNION ALL SELECT 2, event_id, CAST(user_id AS VARCHAR) || ' ' || city || '{ops.LOADED}' FROM e WHERE event_type = 'signup'""")
 def lookup_connected(spark, sf_dir):
     asked = events(spark, sf_dir, "event_id", "user_id", "event_type").where("event_type <> 'signup'").drop("event_type")
     return ops.lookup_connected(asked, _config(spark, sf_dir), "user_id", "event_id", "id", "cfg_seq", "city")

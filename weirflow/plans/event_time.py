@@ -8,7 +8,7 @@ from weirflow.operators import eventtime as ops
 from weirflow.plans.aggregates import event_stream
 from weirflow.plans.registry import ARRIVAL_SQL, arrival, bucket_sql, events, query
 from weirflow.session import scratch_path
-from weirflow.streaming.pipelines import LateRouter
+from weirflow.streaming.pipelines import LateRouter, RefiringWindows
 
 # sizes for rows minutes apart: 1 h windows, 30 min delay, 1 h lateness
 SIZE_S, DELAY_S, LATE_S = 3600, 1800, 3600
@@ -115,17 +115,27 @@ def time_lag_watermark(spark, sf_dir):
     return ops.classify(ops.assign_window(trace, "ts", "1 hour")).select("event_id", "wm", "cls")
 
 
-@query("allowed_lateness_refire", f"""
+REFIRE_SQL = f"""
     WITH {_bounded(DELAY_S)},
     c AS (SELECT *, {_cls_sql(LATE_S)} AS cls FROM t),
     n AS (SELECT *, count(*) OVER (PARTITION BY event_type, window_start ORDER BY arrival, event_id) AS cnt FROM c
           WHERE cls <> 'too_late' AND window_end <= (SELECT max(wm_after) FROM t))
     SELECT event_type, window_start, window_end, CAST(max(cnt) AS BIGINT) AS cnt, 'on_time' AS cls FROM n WHERE cls = 'on_time' GROUP BY 1, 2, 3
-    UNION ALL SELECT event_type, window_start, window_end, CAST(cnt AS BIGINT), cls FROM n WHERE cls = 'refire'""")
+    UNION ALL SELECT event_type, window_start, window_end, CAST(cnt AS BIGINT), cls FROM n WHERE cls = 'refire'"""
+
+
+@query("allowed_lateness_refire", REFIRE_SQL)
 def allowed_lateness_refire(spark, sf_dir):
     return ops.allowed_lateness_refire(_bounded_trace(spark, sf_dir, DELAY_S), ["event_type"], ORDER, LATE_S, _final(spark, sf_dir, DELAY_S))
 
 
+@query("allowed_lateness_refire_stream", REFIRE_SQL)
+def allowed_lateness_refire_stream(spark, sf_dir):
+    windows = RefiringWindows(spark, scratch_path(spark, "refired"), "ts", ["event_type"], ORDER, "1 hour", DELAY_S, LATE_S)
+    windows.attach(event_stream(spark, sf_dir, ORDER), scratch_path(spark, "refired-checkpoint")).awaitTermination()
+    return windows.firings().withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
 LATE_SQL = f"WITH {_bounded(DELAY_S)} SELECT event_id, window_start FROM t WHERE {_cls_sql(LATE_S)} = 'too_late'"
 
 

@@ -9,7 +9,7 @@ from weirflow.plans.aggregates import event_stream
 from weirflow.plans.registry import bucket_sql, events, query, row_count
 from weirflow.session import load
 from weirflow.streaming import processors
-from weirflow.streaming.pipelines import event_time_counts, run_to_keys, run_to_table, sliding_panes_stream
+from weirflow.streaming.pipelines import event_time_counts, run_to_keys, run_to_table, sliding_panes_stream, sliding_top_bottom_stream
 
 HOUR = 3600
 CENTS_SQL = "CAST(round(value * 100) AS BIGINT)"
@@ -58,14 +58,17 @@ def sliding_avg_keyed(spark, sf_dir):
     return ops.sliding_avg(_cents(spark, sf_dir), "ts", "cents", "30 minutes", "10 minutes", ["user_id"])
 
 
-@query("sliding_top_bottom_all", """
+TOP_BOTTOM_SQL = """
     WITH x AS (SELECT *, unnest(generate_series(epoch_us(ts) // 600000000 * 600000000,
                  epoch_us(ts) // 600000000 * 600000000 - 1200000000, -600000000)) AS w,
                CAST(round(value * 100) AS BIGINT) AS cents FROM events),
     l AS (SELECT w, user_id, arg_max(cents, event_id) AS v FROM x GROUP BY 1, 2)
     SELECT make_timestamp(w) AS window_start, make_timestamp(w + 1800000000) AS window_end,
       first(user_id ORDER BY v DESC, user_id) AS fastest, max(v) AS fastest_value,
-      first(user_id ORDER BY v, user_id) AS slowest, min(v) AS slowest_value FROM l GROUP BY w""")
+      first(user_id ORDER BY v, user_id) AS slowest, min(v) AS slowest_value FROM l GROUP BY w"""
+
+
+@query("sliding_top_bottom_all", TOP_BOTTOM_SQL)
 def sliding_top_bottom_all(spark, sf_dir):
     return ops.sliding_top_bottom(_cents(spark, sf_dir), "ts", "user_id", "cents", "event_id", "30 minutes", "10 minutes")
 
@@ -190,13 +193,32 @@ def session_window_keyed(spark, sf_dir):
     return ops.session_window(df, "ts", ["event_id"], 720 * 60, session_aggs(), ["user_id"])
 
 
+def _closing(spark, sf_dir, step):
+    """A last row that closes all windows before it; its own window stays open and is not emitted."""
+    return load(spark, sf_dir, "events").agg((F.max("ts") + F.expr(f"INTERVAL {step}")).alias("ts"), F.lit(-1).cast("bigint").alias("event_id"))
+
+
+def _naive(df):
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+def session_parts():
+    return {"cnt": (row_count(), "sum"), "first_id": (F.min("event_id"), "min")}
+
+
 @query("session_window_all_stream", _session_sql("", 10))
 def session_window_all_stream(spark, sf_dir):
-    # a last row a day later closes the open session; its own session stays open and is not emitted
-    last = load(spark, sf_dir, "events").agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"), F.lit(-1).cast("bigint").alias("event_id"))
-    rows = event_stream(spark, sf_dir, ["ts", "event_id"], last).select("ts", "event_id")
-    sessions = ops.session_window_stream(rows.withWatermark("ts", "0 seconds"), "ts", "10 minutes", session_aggs())
-    out = run_to_table(sessions)
-    ntz = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
-    return out.withColumns(ntz)
+    rows = event_stream(spark, sf_dir, ["ts", "event_id"], _closing(spark, sf_dir, "1 DAY")).select("ts", "event_id")
+    return _naive(run_to_table(processors.merged_sessions_stream(rows, "ts", "0 seconds", 600, session_parts())))
+
+
+@query("session_window_keyed_stream", _session_sql("user_id", 720))
+def session_window_keyed_stream(spark, sf_dir):
+    rows = event_stream(spark, sf_dir, ["ts", "event_id"], _closing(spark, sf_dir, "3 DAYS")).select("user_id", "ts", "event_id")
+    return _naive(run_to_table(processors.merged_sessions_stream(rows, "ts", "0 seconds", 720 * 60, session_parts(), ["user_id"])))
+
 
+@query("sliding_top_bottom_all_stream", TOP_BOTTOM_SQL)
+def sliding_top_bottom_all_stream(spark, sf_dir):
+    rows = event_stream(spark, sf_dir, ["ts", "event_id"], _closing(spark, sf_dir, "1 DAY")).withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
+    return _naive(run_to_table(sliding_top_bottom_stream(rows, "ts", "0 seconds", "user_id", "cents", "event_id", "30 minutes", "10 minutes")))

@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from weirflow.operators import eventtime
 from weirflow.operators.enrich import LOADED, NOT_FOUND, NOT_FOUND_CITY, lookup_static
-from weirflow.operators.windows import pane_micros, time_window
+from weirflow.operators.ordering import ordered, running_count
+from weirflow.operators.windows import extremes, named_extremes, pane_micros, time_window
 from weirflow.session import ROCKSDB_PROVIDER, scratch_path
 from weirflow.sinks.keyvalue import KeyValueTable
 
@@ -50,10 +51,29 @@ def sliding_panes_stream(
     stream: DataFrame, ts: str, delay: str, size: str, slide: str, partial: dict[str, Column], final: dict[str, Column], keys: Sequence[str] = ()
 ) -> DataFrame:
     """Sliding windows through panes, append mode: rows are reduced to panes, only closed panes are copied into their windows."""
+    out = _windows_of_panes(stream, ts, delay, size, slide, partial, final, keys)
+    return out.select(*keys, F.col("_wf_w.start").alias("window_start"), F.col("_wf_w.end").alias("window_end"), *final)
+
+
+def _windows_of_panes(
+    stream: DataFrame, ts: str, delay: str, size: str, slide: str, partial: dict[str, Column], final: dict[str, Column], keys: Sequence[str]
+) -> DataFrame:
     pane = f"{pane_micros(size, slide)} microseconds"
     panes = stream.withWatermark(ts, delay).groupBy(*keys, F.window(ts, pane).alias("_wf_p")).agg(*[c.alias(n) for n, c in partial.items()])
-    out = panes.groupBy(*keys, F.window("_wf_p", size, slide).alias("_wf_w")).agg(*[c.alias(n) for n, c in final.items()])
-    return out.select(*keys, F.col("_wf_w.start").alias("window_start"), F.col("_wf_w.end").alias("window_end"), *final)
+    return panes.groupBy(*keys, F.window("_wf_p", size, slide).alias("_wf_w")).agg(*[c.alias(n) for n, c in final.items()])
+
+
+def sliding_top_bottom_stream(stream: DataFrame, ts: str, delay: str, key: str, value: str, seq: str, size: str, slide: str) -> DataFrame:
+    """Append-mode twin of :func:`weirflow.operators.windows.sliding_top_bottom`.
+
+    State is the last value per key and pane, then per key and window, then the two extremes per window; each level is
+    combined before its shuffle and dropped by the watermark.
+    """
+    panes = {"_l": F.max_by(F.struct(F.col(value).alias("v"), F.col(seq).alias("s")), seq)}
+    last = _windows_of_panes(stream, ts, delay, size, slide, panes, {"v": F.max_by("_l.v", "_l.s")}, [key])
+    top, low = extremes(key)
+    out = last.groupBy("_wf_w").agg(top.alias("t"), low.alias("b"))
+    return out.select(F.col("_wf_w.start").alias("window_start"), F.col("_wf_w.end").alias("window_end"), *named_extremes(key))
 
 
 def allowed_lateness_stream(stream: DataFrame, ts: str, delay_seconds: int, lateness_seconds: int, size: str, keys: Sequence[str]) -> DataFrame:
@@ -105,6 +125,54 @@ class LateRouter:
         return self.spark.read.option("basePath", base).parquet(f"{base}/batch=*").drop("batch")
 
 
+class RefiringWindows(LateRouter):
+    """Window counts in versions on a stream: a window fires when the watermark passes its end, and again for every accepted late row.
+
+    Besides the tagged rows each micro-batch leaves its firings and the counts of the windows that can still change, in folders of
+    its id.  Counts of windows past their lateness are not carried on, so what a batch reads is bounded by the open windows.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, ts: str, keys: Sequence[str], order: Sequence[str], size: str, delay_seconds: float, lateness_seconds: float
+    ):
+        super().__init__(spark, path, ts, order, size, delay_seconds, lateness_seconds)
+        self.keys = list(keys)
+        self.by = [*self.keys, "window_start", "window_end"]
+
+    def _counts(self, batch_id: int, like: DataFrame) -> DataFrame:
+        if batch_id == 0:
+            return like.select(*self.by, F.lit(0).cast("bigint").alias("held"), F.lit(False).alias("fired")).limit(0)
+        return self.spark.read.parquet(f"{self.path}/counts/batch={batch_id - 1}")
+
+    def handle(self, batch: DataFrame, batch_id: int) -> None:
+        super().handle(batch, batch_id)
+        rows = self.spark.read.parquet(f"{self.path}/rows/batch={batch_id}").where("cls <> 'too_late'")
+        held = self._counts(batch_id, rows)
+        wm = F.lit(self.spark.read.parquet(f"{self.path}/state/batch={batch_id}").first()["wm"]).cast("timestamp")
+        came = rows.groupBy(*self.by).agg(F.count_if(F.col("cls") == "on_time").alias("on_time"), F.count(F.lit(1)).alias("came"))
+        same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in self.by]
+        both = held.alias("a").join(came.alias("b"), same, "full").select(
+            *[F.coalesce(f"a.{c}", f"b.{c}").alias(c) for c in self.by], F.coalesce("held", F.lit(0)).alias("before"),
+            F.coalesce("fired", F.lit(False)).alias("had"), F.coalesce("on_time", F.lit(0)).alias("on_time"), F.coalesce("came", F.lit(0)).alias("came"))
+        before = F.col("before") + F.col("on_time")
+        now = ~F.col("had") & (before > 0) & F.coalesce(F.col("window_end") <= wm, F.lit(False))
+        windows = f"{self.path}/windows/batch={batch_id}"
+        both.withColumn("fires", now).write.mode("overwrite").parquet(windows)
+        both = self.spark.read.parquet(windows)
+        first = both.where("fires").select(*self.by, before.alias("cnt"), F.lit("on_time").alias("cls"))
+        numbered = ordered(rows.select(*dict.fromkeys([*self.by, *self.order, "cls"])), self.by, self.order).scan(_wf_n=running_count()).frame
+        late = numbered.where("cls = 'refire'").alias("b").join(both.alias("a"), same)
+        again = late.select(*[F.col(f"b.{c}").alias(c) for c in self.by], (F.col("before") + F.col("_wf_n")).alias("cnt"), F.col("b.cls").alias("cls"))
+        first.unionByName(again).write.mode("overwrite").parquet(f"{self.path}/firings/batch={batch_id}")
+        over = F.coalesce(F.col("window_end") + F.make_dt_interval(secs=F.lit(self.lateness)) <= wm, F.lit(False))
+        left = both.where(~over).select(*self.by, (F.col("before") + F.col("came")).alias("held"), (F.col("had") | F.col("fires")).alias("fired"))
+        left.write.mode("overwrite").parquet(f"{self.path}/counts/batch={batch_id}")
+
+    def firings(self) -> DataFrame:
+        base = f"{self.path}/firings"
+        return self.spark.read.option("basePath", base).parquet(f"{base}/batch=*").drop("batch")
+
+
 def per_source_watermark(streams: Sequence[DataFrame], ts: str, delay: str) -> DataFrame:
     """One watermark per input, the smallest counts (``spark.sql.streaming.multipleWatermarkPolicy=min``)."""
     marked = [s.withWatermark(ts, delay) for s in streams]

@@ -10,14 +10,17 @@ key may be hot.
 
 from __future__ import annotations
 
+import json
+from bisect import bisect_right
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from weirflow.operators.enrich import NOT_FOUND_CITY
 from weirflow.operators.state import DELAY_SECONDS, JUMP, SPEED_LIMIT
 from weirflow.session import ROCKSDB_PROVIDER
 
@@ -247,3 +250,148 @@ def overspeed_timer_stream(stream: DataFrame, key: str, value: str, ts: str, lim
         outputMode="Append",
         timeMode="ProcessingTime" if clock else "EventTime",
     )
+
+
+# spelled out, because workers have no session to parse type strings with
+OPEN_SESSION = T.StructType([T.StructField(n, T.LongType()) for n in ("first", "last", "due")]).add("aggs", T.StringType())
+VERSION = T.StructType([T.StructField("us", T.LongType()), T.StructField("seq", T.LongType()), T.StructField("value", T.StringType())])
+VERSIONS = T.StructType([T.StructField("v", T.ArrayType(VERSION))])
+MERGES: dict[str, Callable] = {"sum": lambda a, b: a + b, "min": min, "max": max}
+
+
+class _MergeCells(StatefulProcessor):
+    """Joins closed cells of a key to sessions.  Cells come in event-time order over the batches; state is the one open session."""
+
+    def __init__(self, gap_us: int, merges: dict[str, str], out: Sequence[str]):
+        self.gap_us, self.merges, self.out = gap_us, merges, list(out)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", OPEN_SESSION)
+
+    def _merged(self, a: dict, b: dict) -> dict:
+        return {n: MERGES[how](a[n], b[n]) if n in a and n in b else a.get(n, b.get(n)) for n, how in self.merges.items() if n in a or n in b}
+
+    def _due(self, last: int) -> int:
+        # end of the cell in which a row could still join: by then the watermark has let that cell through
+        return ((last + self.gap_us) // self.gap_us + 1) * self.gap_us // 1000 + 1
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        # one row per cell, so at most one per gap of event time
+        frames = [b for b in rows if not b.empty]
+        if not frames:
+            yield pd.DataFrame()
+            return
+        cells = pd.concat(frames, ignore_index=True).sort_values("first")
+        stored = tuple(self.open.get()) if self.open.exists() else None
+        now, done = (stored[0], stored[1], json.loads(stored[3])) if stored else None, []
+        for first, last, aggs in cells[["first", "last", "aggs"]].itertuples(index=False, name=None):
+            aggs = json.loads(aggs)
+            if now and first - now[1] <= self.gap_us:
+                now = (now[0], max(now[1], last), self._merged(now[2], aggs))
+                continue
+            if now:
+                done.append((*key, now[0], now[1], json.dumps(now[2])))
+            now = (first, last, aggs)
+        due = self._due(now[1])
+        if stored and stored[2] != due:
+            self.handle.deleteTimer(stored[2])
+        if not stored or stored[2] != due:
+            self.handle.registerTimer(due)
+        self.open.update((int(now[0]), int(now[1]), due, json.dumps(now[2])))
+        yield pd.DataFrame(done, columns=self.out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        stored = tuple(self.open.get()) if self.open.exists() else None
+        if not stored or stored[2] > expiredTimerInfo.getExpiryTimeInMs():
+            yield pd.DataFrame()
+            return
+        self.open.clear()
+        yield pd.DataFrame([(*key, stored[0], stored[1], stored[3])], columns=self.out)
+
+    def close(self) -> None:
+        pass
+
+
+def merged_sessions_stream(
+    stream: DataFrame, ts: str, delay: str, gap_seconds: int, aggs: dict[str, tuple[Column, str]], keys: Sequence[str] = ()
+) -> DataFrame:
+    """Session windows in append mode in two levels, without a key as well.
+
+    Rows are aggregated to cells of one gap first, by as many tasks as there are cells: rows of one cell always share a session.  Only
+    closed cells go on to the sessions, one row per key and gap of event time however many rows there are.  ``aggs`` gives
+    each aggregate with the way its parts are merged (``sum``, ``min`` or ``max``; values that JSON keeps in order).  Rows without a
+    time belong to no session.
+    """
+    use_rocksdb(stream)
+    gap_us = gap_seconds * 1_000_000
+    by = list(keys) or ["all"]
+    marked = stream.withWatermark(ts, delay)
+    marked = marked if keys else marked.withColumn("all", F.lit(1))
+    cells = marked.groupBy(*by, F.window(ts, f"{gap_us} microseconds").alias("cell")).agg(
+        F.unix_micros(F.min(ts)).alias("first"), F.unix_micros(F.max(ts)).alias("last"), *[c.alias(f"agg_{n}") for n, (c, _) in aggs.items()])
+    parts = T.StructType([T.StructField(n, cells.schema[f"agg_{n}"].dataType) for n in aggs])
+    inner = [f"k{i}" for i in range(len(by))]
+    slim = cells.select(
+        *[F.col(k).alias(i) for k, i in zip(by, inner)], F.window_time("cell").alias("at"), "first", "last",
+        F.to_json(F.struct(*[F.col(f"agg_{n}").alias(n) for n in aggs])).alias("aggs"))
+    schema = T.StructType([T.StructField(i, cells.schema[k].dataType) for k, i in zip(by, inner)]).add("first", T.LongType()).add("last", T.LongType()).add("aggs", T.StringType())
+    out = slim.groupBy(*inner).transformWithStateInPandas(
+        statefulProcessor=_MergeCells(gap_us, {n: how for n, (_, how) in aggs.items()}, schema.names),
+        outputStructType=schema, outputMode="Append", timeMode="EventTime")
+    merged = out.withColumn("aggs", F.from_json("aggs", parts))
+    return merged.select(
+        *[F.col(i).alias(k) for k, i in zip(keys, inner)], F.timestamp_micros("first").alias("window_start"),
+        F.timestamp_micros(F.col("last") + gap_us).alias("window_end"), *[F.col(f"aggs.{n}").alias(n) for n in aggs])
+
+
+class _VersionedLookup(StatefulProcessor):
+    """Answers lookups of a key from its versions of the configuration, by binary search in event order."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.versions = handle.getValueState("versions", VERSIONS)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        frames = [b for b in rows if not b.empty]
+        if not frames:
+            yield pd.DataFrame()
+            return
+        batch = pd.concat(frames, ignore_index=True)
+        held = {(v[0], v[1]): v[2] for v in self.versions.get()[0]} if self.versions.exists() else {}
+        config = batch[batch["cfg"] & batch["value"].notna()]
+        if not config.empty:
+            held.update({(us, seq): value for us, seq, value in config[["us", "seq", "value"]].sort_values("value").itertuples(index=False, name=None)})
+        order = sorted(held)
+        asked = batch[~batch["cfg"]]
+        answers = []
+        for us, seq in asked[["us", "seq"]].itertuples(index=False, name=None):
+            at = bisect_right(order, (us, seq))
+            answers.append((*key, seq, held[order[at - 1]] if at else None))
+        if not config.empty:
+            # rows at or before the watermark are not let in any more: of the versions up to it the newest is enough
+            old = bisect_right(order, (timerValues.getCurrentWatermarkInMs() * 1000, float("inf")))
+            self.versions.update(([(int(us), int(seq), held[us, seq]) for us, seq in order[max(old - 1, 0):]],))
+        yield pd.DataFrame(answers, columns=["key", "seq", "label"])
+
+    def close(self) -> None:
+        pass
+
+
+def config_lookup_stream(
+    stream: DataFrame, key: str, ts: str, seq: str, is_config: str, value: str, delay: str, default: str = NOT_FOUND_CITY, name: str = "label"
+) -> DataFrame:
+    """As-of lookup inside a stream that carries lookups and configuration.
+
+    A lookup gets the newest value of its key at or before it in the order (``ts``, ``seq``), among the configuration rows that arrived up to
+    its micro-batch; both may be late by ``delay``.  Of two values at one place the greater counts; a null value changes nothing,
+    an empty one gives the default.  Spark's watermark starts at the epoch, so rows up to 1970 are late.  State per key: the versions above the watermark and one below.
+    """
+    use_rocksdb(stream)
+    slim = stream.withWatermark(ts, delay).select(
+        F.col(key).alias("key"), F.col(ts).alias("at"), F.unix_micros(ts).alias("us"), F.col(seq).cast("bigint").alias("seq"),
+        F.coalesce(F.col(is_config), F.lit(False)).alias("cfg"), F.col(value).cast("string").alias("value"))
+    kind = stream.schema[key].dataType.simpleString()
+    out = slim.where("at IS NOT NULL").groupBy("key").transformWithStateInPandas(
+        statefulProcessor=_VersionedLookup(), outputStructType=T.StructType.fromDDL(f"key {kind}, seq bigint, label string"),
+        outputMode="Append", timeMode="EventTime")
+    return out.select(F.col("key").alias(key), F.col("seq").alias(seq), F.coalesce(F.nullif("label", F.lit("")), F.lit(default)).alias(name))
