@@ -189,3 +189,36 @@ def test_key_filters_reach_the_files(spark):
     for key in ("row_get", "scan_prefix", "scan_range", "reverse_time_rowkey"):
         plan = QUERIES[key](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
         assert "PushedFilters: [" in plan and "rowkey" in plan.split("PushedFilters: [")[1].split("]")[0], key
+
+
+@pytest.mark.parametrize("broken", ["CREATE TABLE", "RECOVER PARTITIONS", "RENAME TO .*__old", "__new RENAME", "DROP TABLE", None])
+def test_drop_column_broken_off(spark, table, monkeypatch, broken):
+    """Whichever statement fails, the rows are the old or the new ones, and the next call finishes the rewrite."""
+    import re
+
+    name = table([(1, "a", "x"), (2, "a", None), (3, None, "z")], "id int, loc string, note string")
+    maintenance.detach_partition(spark, name, "loc", "a")
+    maintenance.insert(spark.createDataFrame([(5, "b", "y")], "id int, loc string, note string"), name)
+    run = spark.sql
+
+    def failing(text, *args, **kwargs):
+        if broken and re.search(broken, text):
+            raise RuntimeError("broken off")
+        return run(text, *args, **kwargs)
+
+    if broken:
+        monkeypatch.setattr(spark, "sql", failing)
+        with pytest.raises(RuntimeError):
+            maintenance.drop_column(spark, name, "note", "loc", ["id"])
+        monkeypatch.undo()
+        there = [t for t in (name, name + maintenance.OLD) if spark.catalog.tableExists(t)]
+        assert rows(spark.table(there[0]).select("id", "loc")) == [(3, None), (5, "b")]
+        maintenance.finish_rewrite(spark, name)
+        assert rows(spark.table(name).select("id", "loc")) == [(3, None), (5, "b")]
+    if "note" in spark.table(name).columns:
+        maintenance.drop_column(spark, name, "note", "loc", ["id"])
+    assert spark.table(name).columns == ["id", "loc"] and rows(spark.table(name)) == [(3, None), (5, "b")]
+    assert not any(spark.catalog.tableExists(name + mark) for mark in (maintenance.NEW, maintenance.OLD))
+    maintenance.add_column(spark, name, "note", "string")
+    maintenance.attach_partition(spark, name, "loc", "a")
+    assert rows(spark.table(name).where("loc = 'a'").select("id")) == [(1,), (2,)]

@@ -224,20 +224,48 @@ def _declared(field) -> str:
 def drop_column(spark: SparkSession, table: str, name: str, partition: str, order: Sequence[str] = ()) -> None:
     """Remove a column and its data; defaults and comments of the others stay.
 
-    The rows are staged as they read now, the table is declared again without the column, and its partitions are written from the
-    stage, so that a column added later under the same name starts empty.
+    The rows are written once, as they read now, to a folder beside the old one, so that a column added later under the same name
+    starts empty.  The table that reads it is complete before it takes the place of the old one (``finish_rewrite``).
     """
+    finish_rewrite(spark, table)
     base = _location(spark, table)
     fields = [f for f in spark.table(table).schema if f.name != name]
-    stage = scratch_path(spark, "stage")
-    spark.table(table).drop(name).write.parquet(stage)
-    rows = spark.read.schema(spark.table(table).drop(name).schema).parquet(stage)
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"CREATE TABLE {table} ({', '.join(map(_declared, fields))}) USING parquet PARTITIONED BY ({partition}) LOCATION '{base}'")
-    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-    _overwrite(spark, table, rows.select(*spark.table(table).columns), order or [fields[0].name], partition)
-    fs, folder = _fs(spark, stage)
+    beside = f"{base}-{uuid.uuid4().hex}"
+    laid_out(spark.table(table).drop(name), [partition], order or [fields[0].name]).write.partitionBy(partition).parquet(beside)
+    new = f"{table}{NEW}"
+    spark.sql(f"CREATE TABLE {new} ({', '.join(map(_declared, fields))}) USING parquet PARTITIONED BY ({partition}) LOCATION '{beside}'")
+    spark.sql(f"ALTER TABLE {new} RECOVER PARTITIONS")
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}{OLD}")
+    finish_rewrite(spark, table)
+
+
+NEW, OLD = "__new", "__old"
+
+
+def finish_rewrite(spark: SparkSession, table: str) -> None:
+    """Bring a rewrite to its end, also one that broke off.
+
+    A rewritten table waits under the name with ``NEW`` until the one it replaces has been renamed to the name with ``OLD``.  Broken off
+    before that renaming, the old table is in place and the new one goes; after it, the new one takes the name and the old one goes.
+    Detached partitions move along.  Nothing to do when neither name exists.
+    """
+    new, old, has = f"{table}{NEW}", f"{table}{OLD}", spark.catalog.tableExists
+    if has(new) and has(table):
+        _discard(spark, new)
+    elif has(new):
+        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    if has(old) and has(table):
+        fs, aside = _fs(spark, f"{_location(spark, old)}/{DETACHED}")
+        _, target = _fs(spark, f"{_location(spark, table)}/{DETACHED}")
+        if fs.exists(aside) and not fs.rename(aside, target):
+            raise OSError(f"cannot move the detached partitions of {table}")
+        _discard(spark, old)
+
+
+def _discard(spark: SparkSession, table: str) -> None:
+    fs, folder = _fs(spark, _location(spark, table))
     fs.delete(folder, True)
+    spark.sql(f"DROP TABLE {table}")
 
 
 def comment_column(spark: SparkSession, table: str, name: str, comment: str) -> None:
