@@ -89,3 +89,11 @@ def test_windows_fire_again_for_late_rows(spark):
     assert seconds(made.firings(), "window_start", "cnt", "cls") == got
     # (0, 10) can't change any more, so its count is not carried on
     assert seconds(spark.read.parquet(f"{made.path}/counts/batch=2"), "window_start", "held") == [(10, 2), (30, 1)]
+
+
+def test_window_with_late_rows_only_never_fires_on_time(spark):
+    schema = "k string, seq bigint, ts bigint"
+    batches = [[("a", 0, 15)], [("b", 1, 3)], [("a", 2, 16)], [("b", 3, 4), ("a", 4, 50)]]
+    made = pipelines.RefiringWindows(spark, scratch_path(spark, "refired"), "ts", ["k"], ["seq"], "10 seconds", 0, 20)
+    made.attach(fed(spark, batches, schema), scratch_path(spark, "cp")).awaitTermination()
+    assert seconds(made.firings(), "k", "window_start", "cnt", "cls") == [("a", 10, 2, "on_time"), ("b", 0, 1, "refire"), ("b", 0, 2, "refire")]

@@ -155,9 +155,10 @@ class RefiringWindows(LateRouter):
             *[F.coalesce(f"a.{c}", f"b.{c}").alias(c) for c in self.by], F.coalesce("held", F.lit(0)).alias("before"),
             F.coalesce("fired", F.lit(False)).alias("had"), F.coalesce("on_time", F.lit(0)).alias("on_time"), F.coalesce("came", F.lit(0)).alias("came"))
         before = F.col("before") + F.col("on_time")
-        now = ~F.col("had") & (before > 0) & F.coalesce(F.col("window_end") <= wm, F.lit(False))
+        # a window that is closed never fires first again, also where all its rows came late
+        closed = F.coalesce(F.col("window_end") <= wm, F.lit(False))
         windows = f"{self.path}/windows/batch={batch_id}"
-        both.withColumn("fires", now).write.mode("overwrite").parquet(windows)
+        both.withColumns({"fires": ~F.col("had") & closed & (before > 0), "closed": closed}).write.mode("overwrite").parquet(windows)
         both = self.spark.read.parquet(windows)
         first = both.where("fires").select(*self.by, before.alias("cnt"), F.lit("on_time").alias("cls"))
         numbered = ordered(rows.select(*dict.fromkeys([*self.by, *self.order, "cls"])), self.by, self.order).scan(_wf_n=running_count()).frame
@@ -165,7 +166,7 @@ class RefiringWindows(LateRouter):
         again = late.select(*[F.col(f"b.{c}").alias(c) for c in self.by], (F.col("before") + F.col("_wf_n")).alias("cnt"), F.col("b.cls").alias("cls"))
         first.unionByName(again).write.mode("overwrite").parquet(f"{self.path}/firings/batch={batch_id}")
         over = F.coalesce(F.col("window_end") + F.make_dt_interval(secs=F.lit(self.lateness)) <= wm, F.lit(False))
-        left = both.where(~over).select(*self.by, (F.col("before") + F.col("came")).alias("held"), (F.col("had") | F.col("fires")).alias("fired"))
+        left = both.where(~over).select(*self.by, (F.col("before") + F.col("came")).alias("held"), F.col("closed").alias("fired"))
         left.write.mode("overwrite").parquet(f"{self.path}/counts/batch={batch_id}")
 
     def firings(self) -> DataFrame:
