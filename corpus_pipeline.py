@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import decontam, pieces, quality, shingledup, windowdedup
+from weirflow.llm import decontam, nearcopies, pieces, quality, windowdedup
 from weirflow.llm.common import stored
 from weirflow.llm.queries import piece_model
 from weirflow.session import load
@@ -20,8 +20,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, that with the smallest id, of each component of texts with a five-word shingle similarity of 0.8 or more."""
-    return shingledup.representatives(docs.select(*COLUMNS))
+    """Keeps one document, that with the smallest id, of each component of near copies: SimHash pairs within a ball and pairs
+    further apart, all with a five-word shingle similarity of 0.8 or more."""
+    return nearcopies.representatives(docs.select(*COLUMNS))
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,8 +36,8 @@ def small(df: DataFrame, rows: int) -> DataFrame:
 PAGE_BITS, PAGES = 1 << 15, 1 << 14
 
 
-def within(df: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
-    """Rows of ``df`` whose ``on`` is in ``wanted``, and a few others: what a later join on ``on`` would drop need not be shuffled to it.
+def marked(df: DataFrame, wanted: DataFrame, on: list[str], name: str) -> DataFrame:
+    """``df`` with the boolean column ``name``: true for all rows whose ``on`` is in ``wanted``, and for a few others.
 
     ``wanted`` becomes a bitmap of 16 to 32 bits a row, at most PAGES * PAGE_BITS / 8 bytes (64 MB), which is broadcast in pages. Beyond 2^25
     rows it lets ever more of the others pass. Null counts as a value.
@@ -46,9 +46,14 @@ def within(df: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
     cell = F.pmod(F.xxhash64(*on), F.lit(pages * PAGE_BITS))
     page, bit = (cell / PAGE_BITS).cast("int"), (cell % PAGE_BITS).cast("bigint")
     marks = wanted.select(page.alias("_wf_page"), bit.alias("_wf_bit")).groupBy("_wf_page").agg(F.bitmap_construct_agg("_wf_bit").alias("_wf_marks"))
-    placed = df.select("*", page.alias("_wf_page"), bit.alias("_wf_bit")).join(F.broadcast(marks), "_wf_page")
+    placed = df.select("*", page.alias("_wf_page"), bit.alias("_wf_bit")).join(F.broadcast(marks), "_wf_page", "left")
     byte = "CAST(conv(hex(substring(_wf_marks, CAST(_wf_bit DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)"
-    return placed.where(f"getbit({byte}, CAST(_wf_bit % 8 AS INT)) = 1").select(*df.columns)
+    return placed.select(*df.columns, F.expr(f"coalesce(getbit({byte}, CAST(_wf_bit % 8 AS INT)) = 1, false)").alias(name))
+
+
+def within(df: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of ``df`` whose ``on`` is in ``wanted``, and a few others: what a later join on ``on`` would drop need not be shuffled to it."""
+    return marked(df, wanted, on, "_wf_in").where("_wf_in").select(*df.columns)
 
 
 def held_out(doc_id: str | Column) -> Column:
