@@ -8,7 +8,7 @@ from fixtures import EDGE, by_id, frame, words_of
 from test_shingledup import brute_kept, planted
 
 import corpus_pipeline
-from weirflow.llm import chosenpath, nearcopies, simhash
+from weirflow.llm import chosenpath, nearcopies, simhash, windowdedup
 
 
 def test_fingerprints_by_majority():
@@ -49,3 +49,14 @@ def test_near_copies_edges(spark):
     alone = frame(spark, ["only one", "another text"], ids=[None, None])
     assert sorted(r.text for r in nearcopies.representatives(alone.union(alone)).collect()) == ["another text", "only one"]
     assert len(by_id(nearcopies.representatives(frame(spark, EDGE)), "text")) == 4
+
+
+def test_only_rows_that_change_are_shuffled_with_their_texts(spark):
+    rng = random.Random(8)
+    texts = [" ".join(words_of(rng, 300, "abcdefgh", 6)) for _ in range(30)]
+    docs = frame(spark, [*texts, texts[0], texts[1] + " x"])
+    for out in (windowdedup.deduplicate(docs), nearcopies.representatives(docs)):
+        assert "Union" in out._jdf.queryExecution().optimizedPlan().toString()  # of rows as they are and of those joined
+    cut = by_id(windowdedup.deduplicate(docs.union(docs)), "n_removed", "kept")
+    assert [i for i, (n, _) in sorted(cut.items()) if n] == [30, 31] and cut[30] == (300, "") and cut[31][1] == "x"
+    assert windowdedup.deduplicate(docs.union(docs)).count() == 64

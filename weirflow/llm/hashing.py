@@ -80,7 +80,7 @@ def _blocks(buffer: np.ndarray, blank: np.ndarray, size: int):
         start = end
 
 
-def words_of(texts: list[bytes], block: int = 1 << 20, breaks: np.ndarray = _BLANK) -> Words:
+def words_of(texts: list[bytes], block: int = 1 << 17, breaks: np.ndarray = _BLANK) -> Words:
     """Words of ``texts`` with their hashes, worked out block by block so that memory stays a small multiple of the texts.
 
     ``breaks`` marks the bytes between words, the line feed among them.

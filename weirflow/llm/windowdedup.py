@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import text_slices, wider
+from weirflow.llm.common import marked, stored, text_slices, wider
 from weirflow.llm.countmin import CHUNK_BYTES, Shape, Sieve, Sketch, sketch
 from weirflow.llm.hashing import words_of
 
@@ -31,8 +31,29 @@ class Settings:
     shape: Shape = Shape()
 
 
+PIECE_BYTES = 1 << 20
+
+
+def _windows(texts: list[bytes], width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """``Words.windows`` of ``texts``, about PIECE_BYTES of whole texts at a time: the arrays they are made from are much greater than the result."""
+    first = size = 0
+    for i, text in enumerate(texts):
+        size += len(text) + 1
+        if size >= PIECE_BYTES or i + 1 == len(texts):
+            owner, at, k1, k2 = words_of(texts[first : i + 1]).windows(width)
+            yield owner + np.int32(first), at, k1, k2
+            first, size = i + 1, 0
+
+
+_NONE = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+
+
+def _joined(parts: Iterable[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+    return [np.concatenate(c) for c in zip(_NONE, *parts, strict=True)]
+
+
 def _keys(width: int):
-    return lambda texts: words_of(texts).windows(width)[2:]
+    return lambda texts: tuple(_joined(_windows(texts, width))[2:])
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -95,11 +116,10 @@ def _candidates(batches: Iterable[pa.RecordBatch], parts: Sketch, s: Settings, b
     """Blocks of windows to group exactly, by bucket of their key, and windows that this chunk settles by itself."""
     sieve = Sieve(parts, s.shape)
     for part, texts in text_slices(batches, limit=CHUNK_BYTES):
-        owner, at, k1, k2 = words_of([t.encode("utf-8", "replace") for t in texts]).windows(s.width)
-        found = sieve.repeated(k1, k2)
-        if not len(found):
+        windows = _windows([t.encode("utf-8", "replace") for t in texts], s.width)
+        owner, at, k1, k2 = _joined(tuple(c[found] for c in w) for w in windows for found in [sieve.repeated(*w[2:])])
+        if not len(owner):
             continue
-        owner, at, k1, k2 = owner[found], at[found], k1[found], k2[found]
         ids, hashes = part.column("id").to_numpy(), part.column("h").to_numpy()
         # by key, then id, then row and place: the first row of a key is the only one that another chunk may still remove
         order = np.lexsort((at, owner, ids[owner], k2, k1))
@@ -207,16 +227,19 @@ def deduplicate(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
 
     Earlier: in a row with a smaller doc_id, or before in the same row; windows are judged on the input. Rows under one doc_id do not
     remove each other's windows; a null doc_id comes before all others. A null text has no words and kept is empty; texts shorter than a
-    window keep all words. Columns of these names in ``docs`` are replaced; an empty table stays empty.
+    window keep all words. Columns of these names in ``docs`` are replaced; an empty table stays empty. Only rows that lose words, and a
+    few others, are shuffled with their texts.
     """
     s = settings or Settings()
     added = ("n_words", "n_removed", "kept")
     rest = [c for c in docs.columns if c not in added]
     docs = docs.select(*rest)
-    late = repeated_windows(docs.select("doc_id", "text"), s)
+    late = stored(repeated_windows(docs.select("doc_id", "text"), s), "windows")
     key = [F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_FIRST_ID)).alias("_wf_id"), F.xxhash64("text").alias("_wf_h")]
     found = late.select(F.col("id").alias("_wf_id"), F.col("h").alias("_wf_h"), F.col("ats").alias("_wf_ats"))
-    joined = docs.select("*", *key).join(found, ["_wf_id", "_wf_h"], "left").select(*rest, "_wf_ats")
+    sifted = marked(docs.select("*", *key), found, ["_wf_id", "_wf_h"], "_wf_cut")
+    whole = sifted.where("NOT _wf_cut").select(*rest, F.lit(None).cast("binary").alias("_wf_ats"))
+    joined = whole.union(sifted.where("_wf_cut").join(found, ["_wf_id", "_wf_h"], "left").select(*rest, "_wf_ats"))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches):
