@@ -9,6 +9,7 @@ from test_shingledup import brute_kept, planted
 
 import corpus_pipeline
 from weirflow.llm import chosenpath, nearcopies, simhash, windowdedup
+from weirflow.session import load
 
 
 def test_fingerprints_by_majority():
@@ -60,3 +61,14 @@ def test_only_rows_that_change_are_shuffled_with_their_texts(spark):
     cut = by_id(windowdedup.deduplicate(docs.union(docs)), "n_removed", "kept")
     assert [i for i, (n, _) in sorted(cut.items()) if n] == [30, 31] and cut[30] == (300, "") and cut[31][1] == "x"
     assert windowdedup.deduplicate(docs.union(docs)).count() == 64
+
+
+def test_workers_get_small_batches_unless_the_user_says_otherwise(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(name)
+    load(spark, "/root/testdata/sf0.001", "documents")
+    assert spark.conf.get(name) == "8000000"
+    spark.conf.set(name, "1000000")
+    load(spark, "/root/testdata/sf0.001", "documents")
+    assert spark.conf.get(name) == "1000000"
+    spark.conf.unset(name)

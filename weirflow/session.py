@@ -13,7 +13,7 @@ ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
 # bytes of rows that Python workers get at a time; at Spark's default a worker and its executor hold 10,000 whole texts each
-BATCH_BYTES_CONF, BATCH_BYTES_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8000000"
+BATCH_BYTES_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8000000"
 
 
 def build_session(app: str = "weirflow", master: str | None = None, cores: int | None = None) -> SparkSession:
@@ -72,7 +72,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    if spark.conf.get(BATCH_BYTES_CONF, None) == BATCH_BYTES_DEFAULT:
+    if spark.conf.get(BATCH_BYTES_CONF, None) is None:  # not set by the user
         spark.conf.set(BATCH_BYTES_CONF, BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
