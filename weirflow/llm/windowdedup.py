@@ -1,8 +1,9 @@
-"""Substring de-duplication over word windows with a count-min prefilter.
+"""Substring de-duplication over word windows with a prefilter of anchors.
 
-First pass: every task counts the hashes of its windows in a sketch of fixed size and the sketches are added up slice by slice. A
-counter is never less than the true count, so no repeated window is lost. Second pass: only windows whose counters all say "twice" are
-grouped exactly, by 96 bits of hash, to find the smallest document that has them.
+The anchor of a window is the least hash of the shorter runs of words in it, so equal windows have equal anchors at equal places, and
+neighbours mostly share theirs. First pass: anchors that occur at two places or more are found exactly and set bits of a filter
+(``repeats``). Second pass: only windows whose anchor passes the filter are grouped exactly, by 96 bits of hash, to find the smallest
+document that has them.
 A task settles what it can among its own texts first, so a window sends one row per chunk of text however often it occurs.
 """
 
@@ -19,13 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.llm.common import marked, stored, text_slices, wider
-from weirflow.llm.countmin import CHUNK_BYTES, Shape, Sieve, Sketch, sketch
-from weirflow.llm.hashing import words_of
+from weirflow.llm.countmin import CHUNK_BYTES, Shape
+from weirflow.llm.hashing import Words, mix, rolled, words_of
+from weirflow.llm.repeats import Filter, Repeated, found_twice
 
 
 @dataclass(frozen=True)
 class Settings:
-    """width: words of a window; shape: of the sketch. With a sketch too small for the data results stay the same, at more shuffle."""
+    """width: words of a window; shape: of the filter. With a filter too small for the data results stay the same, at more shuffle."""
 
     width: int = 20
     shape: Shape = Shape()
@@ -34,17 +36,35 @@ class Settings:
 PIECE_BYTES = 1 << 20
 
 
-def _windows(texts: list[bytes], width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """``Words.windows`` of ``texts``, about PIECE_BYTES of whole texts at a time: the arrays they are made from are much greater than the result."""
+RUN_BASE = 0x9E3779B97F4A7C15
+
+
+def _pieces(texts: list[bytes]) -> Iterator[tuple[int, Words]]:
+    """Words of about PIECE_BYTES of whole texts at a time, and the first of these texts: the arrays made from them are much greater than the result."""
     first = size = 0
     for i, text in enumerate(texts):
         size += len(text) + 1
         if size >= PIECE_BYTES or i + 1 == len(texts):
-            owner, at, k1, k2 = words_of(texts[first : i + 1]).windows(width)
-            yield owner + np.int32(first), at, k1, k2
+            yield first, words_of(texts[first : i + 1])
             first, size = i + 1, 0
 
 
+def _anchors(found: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The anchor of every window, in the order of ``Words.windows``, and whether it lies at another place than that of the window before."""
+    run = max(1, width // 2)
+    hashes = mix(rolled(found.h1, run, RUN_BASE))
+    least, done, span = hashes, 1, width - run + 1
+    while done < span and len(least):
+        step = min(done, span - done)
+        least, done = np.minimum(least[:-step], least[step:]), done + step
+    at = np.flatnonzero(found.text[: len(least)] == found.text[width - 1 :]) if len(least) else np.zeros(0, dtype=np.int64)
+    owner, anchor = found.text[at], least[at]
+    moved = np.ones(len(at), dtype=bool)
+    # an anchor that is the first run of a window is not in the next one: an equal hash there is another place
+    moved[1:] = (anchor[1:] != anchor[:-1]) | (hashes[at[:-1]] == anchor[:-1]) | (owner[1:] != owner[:-1])
+    return anchor, moved
+
+
 _NONE = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
 
 
@@ -53,7 +73,24 @@ def _joined(parts: Iterable[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
 
 
 def _keys(width: int):
-    return lambda texts: tuple(_joined(_windows(texts, width))[2:])
+    def keys(texts: list[bytes]) -> np.ndarray:
+        anchors = (_anchors(found, width) for _, found in _pieces(texts))
+        return np.concatenate([np.zeros(0, np.uint64), *(a[moved] for a, moved in anchors)])
+
+    return keys
+
+
+def _passing(texts: list[bytes], width: int, sieve: Filter) -> list[np.ndarray]:
+    """Text, first word and two hashes of the windows whose anchors may be repeated."""
+
+    def parts() -> Iterator[tuple[np.ndarray, ...]]:
+        for first, found in _pieces(texts):
+            anchor, moved = _anchors(found, width)
+            keep = sieve.repeated(anchor[moved])[np.cumsum(moved) - 1]
+            owner, at, k1, k2 = (c[keep] for c in found.windows(width))
+            yield owner + np.int32(first), at, k1, k2
+
+    return _joined(parts())
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -112,12 +149,11 @@ _SENT = ["bucket", "late", "block"]
 _SENT_SCHEMA = "bucket int, late boolean, block binary"
 
 
-def _candidates(batches: Iterable[pa.RecordBatch], parts: Sketch, s: Settings, buckets: int) -> Iterator[pa.RecordBatch]:
+def _candidates(batches: Iterable[pa.RecordBatch], repeated: Repeated, s: Settings, buckets: int) -> Iterator[pa.RecordBatch]:
     """Blocks of windows to group exactly, by bucket of their key, and windows that this chunk settles by itself."""
-    sieve = Sieve(parts, s.shape)
+    sieve = Filter(repeated)
     for part, texts in text_slices(batches, limit=CHUNK_BYTES):
-        windows = _windows([t.encode("utf-8", "replace") for t in texts], s.width)
-        owner, at, k1, k2 = _joined(tuple(c[found] for c in w) for w in windows for found in [sieve.repeated(*w[2:])])
+        owner, at, k1, k2 = _passing([t.encode("utf-8", "replace") for t in texts], s.width, sieve)
         if not len(owner):
             continue
         ids, hashes = part.column("id").to_numpy(), part.column("h").to_numpy()
@@ -186,8 +222,7 @@ _FIRST_ID = -(1 << 63)
 def repeated_windows(docs: DataFrame, s: Settings) -> DataFrame:
     """id, h (key of a row) and ``ats``, packed first words of its windows that start earlier elsewhere."""
     spark = docs.sparkSession
-    parts = sketch(docs, _keys(s.width), s.shape)
-    shipped = spark.sparkContext.broadcast(parts)
+    shipped = spark.sparkContext.broadcast(found_twice(docs, _keys(s.width), s.shape))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_FIRST_ID)).alias("id"), F.xxhash64("text").alias("h"), "text")
     sent = keyed.mapInArrow(lambda b: _candidates(b, shipped.value, s, buckets), _SENT_SCHEMA)
