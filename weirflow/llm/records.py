@@ -20,6 +20,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +34,7 @@ BLANK = "Ġ"  # fixed value: how byte-level vocabularies write a blank
 MASK_DELTA = 0xA282EAD8  # fixed value of the masked checksum format
 ENTRY = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("width", "u1"), ("offset", "<u8"), ("tokens", "<u4")])
 READ_BYTES = 8 << 20
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 JOINED_WORDS = 500
 _HEAD = struct.Struct("<QI")
 _CHECK = struct.Struct("<I")
@@ -65,27 +66,11 @@ def unframe(data: memoryview, at: int = 0) -> tuple[memoryview, int]:
     return payload, end + 4
 
 
-class _Recent:
-    """Ids by word, in two generations, so that frequent words stay; None for a word that cannot be encoded on its own."""
-
-    def __init__(self, encode, limit: int):
-        self.encode, self.limit = encode, limit
-        self.young: dict[str, bytes | None] = {}
-        self.old: dict[str, bytes | None] = {}
-
-    def learn(self, words: set[str]) -> dict[str, bytes | None]:
-        if len(self.young) > self.limit:
-            self.old, self.young = self.young, {}
-        new = []
-        for w in words - self.young.keys():
-            if w in self.old:
-                self.young[w] = self.old[w]
-            elif w and _visible(w[0]) and _visible(w[-1]):
-                new.append(w)
-            else:
-                self.young[w] = None
-        self.young.update(zip(new, self.encode(new), strict=True))
-        return self.young
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of runs that begin at ``starts``, one after the other."""
+    at = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    at += np.arange(len(at))
+    return at
 
 
 def _visible(char: str) -> bool:
@@ -93,7 +78,7 @@ def _visible(char: str) -> bool:
 
 
 class WordEncoder:
-    """The library's ids of whole texts, with the words of late remembered.
+    """The library's ids of whole texts, with each different word of a batch encoded once and the words of late remembered.
 
     Between two visible characters the byte-level pre-tokenizer starts a token at a single blank and makes a single line feed a token,
     so the parts between them can be encoded on their own. A text with any other white space, or with the string of an added token, which
@@ -105,37 +90,45 @@ class WordEncoder:
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values() if t.content]
         vocabulary = self.library.get_vocab()
         self.width = 2 if len(vocabulary) <= 1 << 16 else 4
-        self.begins = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.begins, self.feeds = (np.zeros(max(vocabulary.values()) + 1, dtype=bool) for _ in range(2))
         self.begins[[i for t, i in vocabulary.items() if t.startswith(BLANK)]] = True
-        self.feed = self._ids(["\n"])[0]
-        self.after_blank = _Recent(self._after_blank, CACHED_WORDS)
-        self.bare = _Recent(self._bare, CACHED_WORDS // 4)
+        self.feeds[np.frombuffer(self._ids(["\n"])[0], dtype=f"<u{self.width}")[0]] = True
+        self.words = pa.array([], pa.large_string())
+        self.alone, self.known = np.zeros(0, dtype=bool), np.zeros(0, dtype=f"<u{self.width}")
+        self.starts, self.sizes = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         coded = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=f"<u{self.width}").tobytes() for e in coded]
 
-    def _joined(self, words: list[str], between: str) -> list[tuple[bytes, np.ndarray]]:
-        """Ids of many words as a few texts: one call costs less than one a word."""
-        texts = [between.join(words[a : a + JOINED_WORDS]) for a in range(0, len(words), JOINED_WORDS)]
-        return [(raw, np.frombuffer(raw, dtype=f"<u{self.width}")) for raw in self._ids([(between + t if between == " " else t) for t in texts])]
-
-    def _after_blank(self, words: list[str]) -> list[bytes]:
-        """Ids of words with a blank before each: a token that begins with a blank begins a word."""
-        out: list[bytes] = []
-        for raw, ids in self._joined(words, " "):
-            edges = (np.flatnonzero(self.begins[ids]) * self.width).tolist()
-            out += [raw[a:b] for a, b in zip(edges, [*edges[1:], len(raw)], strict=True)]
-        return out
-
-    def _bare(self, words: list[str]) -> list[bytes]:
-        """Ids of words on lines of their own: a line feed's token stands between two of them."""
-        out: list[bytes] = []
-        feed = np.frombuffer(self.feed, dtype=f"<u{self.width}")[0]
-        for raw, ids in self._joined(words, "\n"):
-            ends = (np.flatnonzero(ids == feed) * self.width).tolist()
-            out += [raw[a:b] for a, b in zip([0, *[e + self.width for e in ends]], [*ends, len(raw)], strict=True)]
-        return out
+    def _joined(self, words: pa.Array, before: str) -> np.ndarray:
+        """Ids of many words, each with ``before`` in front, as a few texts: one call costs less than one a word."""
+        edges = pa.array([*range(0, len(words), JOINED_WORDS), len(words)], pa.int64())
+        texts = pc.binary_join(pa.LargeListArray.from_arrays(edges, words), pa.scalar(before, pa.large_string())).to_pylist()
+        return np.frombuffer(b"".join(self._ids([before + t for t in texts])), dtype=f"<u{self.width}")
+
+    def _coded(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of parts of texts, those at the start of a line with its line feed: whether they can be encoded on their own, the ids of all that can, and where a
+        part's ids begin and how many it has.
+
+        A token that begins with a blank begins a word, and a line feed's token a line.
+        """
+        head = pc.starts_with(parts, "\n").to_numpy(zero_copy_only=False)
+        words = pc.ascii_ltrim(parts, "\n")
+        alone = pc.and_(pc.ascii_is_printable(words), pc.greater(pc.binary_length(words), 0)).to_numpy(zero_copy_only=False).copy()
+        other = np.flatnonzero(~alone)
+        alone[other] = [bool(w) and _visible(w[0]) and _visible(w[-1]) for w in words.take(pa.array(other)).to_pylist()]
+        starts, sizes, known, before = np.zeros(len(parts), dtype=np.int64), np.zeros(len(parts), dtype=np.int64), [], 0
+        for some, mark, begins in ((alone & ~head, " ", self.begins), (alone & head, "\n", self.feeds)):
+            at = np.flatnonzero(some)
+            ids = self._joined(words.take(pa.array(at)), mark)
+            first = np.flatnonzero(begins[ids])
+            if len(first) != len(at):
+                raise ValueError("the tokenizer does not begin a token at every blank or line feed")
+            starts[at], sizes[at] = before + first, np.diff(first, append=len(ids))
+            known.append(ids)
+            before += len(ids)
+        return alone, np.concatenate(known), starts, sizes
 
     def encode(self, texts: list[str]) -> list[bytes]:
         special = {k for k, t in enumerate(texts) if any(a in t for a in self.added)}
@@ -143,21 +136,40 @@ class WordEncoder:
             rest = iter(self.encode([t for k, t in enumerate(texts) if k not in special]))
             at_once = iter(self._ids([texts[k] for k in sorted(special)]))
             return [next(at_once if k in special else rest) for k in range(len(texts))]
-        lines = [[line.split(" ") for line in t.split("\n")] for t in texts]
-        heads = [[parts.pop(0) for parts in text] for text in lines]
-        first = self.bare.learn(set().union(*heads))
-        rest = self.after_blank.learn(set().union(*(parts for text in lines for parts in text)))
-        out, whole = [], []
-        for k, (own, text) in enumerate(zip(heads, lines, strict=True)):
-            try:
-                out.append(self.feed.join([first[h] + b"".join(map(rest.__getitem__, parts)) for h, parts in zip(own, text, strict=True)]))
-            except TypeError:  # a part that has no encoding of its own
-                out.append(b"")
-                whole.append(k)
+        # every part stands after a blank or, at the start of a line, after a line feed, which it keeps
+        parts = pc.split_pattern(pa.array(["\n" + t.replace("\n", " \n") for t in texts], pa.large_string()), " ")
+        found = parts.flatten().dictionary_encode()
+        part, edges = self._learnt(found.dictionary)[found.indices.to_numpy()], parts.offsets.to_numpy()
+        sizes = self.sizes[part]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        raw = self.known[_runs(self.starts[part], sizes)].tobytes()
+        bounds = (ends[edges] * self.width).tolist()
+        # without the line feed that was put before the text
+        out = [raw[a + self.width : b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        lacking = np.concatenate([[0], np.cumsum(~self.alone[part])])[edges]
+        whole = np.flatnonzero(np.diff(lacking)).tolist()
         for k, ids in zip(whole, self._ids([texts[k] for k in whole]), strict=True):
             out[k] = ids
         return out
 
+    def _learnt(self, parts: pa.Array) -> np.ndarray:
+        """Where the different ``parts`` are remembered; those not yet known are encoded. When there are too many, those that are not among ``parts`` are forgotten."""
+        place = pc.index_in(parts, value_set=self.words).fill_null(-1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(place < 0)
+        if len(self.words) + len(new) > CACHED_WORDS:
+            kept = place[place >= 0]
+            place[place >= 0] = np.arange(len(kept))
+            self.words, self.alone, self.sizes = self.words.take(pa.array(kept)), self.alone[kept], self.sizes[kept]
+            self.known = self.known[_runs(self.starts[kept], self.sizes)]
+            self.starts = np.cumsum(self.sizes) - self.sizes
+        added = parts.take(pa.array(new))
+        alone, known, starts, sizes = self._coded(added)
+        place[new] = len(self.words) + np.arange(len(new))
+        self.words, self.alone = pa.concat_arrays([self.words, added]), np.concatenate([self.alone, alone])
+        self.starts, self.sizes = np.concatenate([self.starts, starts + len(self.known)]), np.concatenate([self.sizes, sizes])
+        self.known = np.concatenate([self.known, known])
+        return place
+
 
 _ENCODERS: dict[int, WordEncoder] = {}
 
