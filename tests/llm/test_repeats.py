@@ -52,3 +52,15 @@ def test_anchor_that_comes_back_in_a_periodic_text_counts_again(spark):
                 gone |= set(range(k, k + 6))
             seen.add(window)
         assert got[i] == (len(words), len(gone))
+
+
+def test_filter_of_few_repeated_keys_is_small(spark):
+    """However great its bound is: it was 2^20 bits here, whatever was in it, and 64 MB in every worker with the default shape."""
+    keys = lambda texts: np.array([int(w) for t in texts for w in t.split()], dtype=np.uint64)
+    texts = [" ".join(str(100 * k + i) for i in range(110)) for k in range(20)]
+    found = found_twice(frame(spark, texts), keys, Shape(cells=1 << 19, rows=2, slices=8))
+    assert found.slices * found.size <= 2 * 32 * 2 * 190
+    sieve = Filter(found)
+    twice = np.array([100 * k + i for k in range(1, 20) for i in range(10)], dtype=np.uint64)
+    assert sieve.repeated(twice).all()
+    assert sieve.repeated(np.arange(10**9, 10**9 + 20_000, dtype=np.uint64)).mean() < 0.02

@@ -92,6 +92,18 @@ def text_slices(batches: Iterable[pa.RecordBatch], limit: int = SLICE_BYTES) ->
         free_memory()
 
 
+def byte_slices(batches: Iterable[pa.RecordBatch], limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """As ``text_slices``, with the texts as UTF-8 and no strings made of them."""
+    try:
+        for batch in batches:
+            for a, b in slices(batch, limit=limit):
+                part = batch.slice(a, b - a)
+                yield part, part.column("text").cast(pa.binary()).fill_null(b"").to_pylist()
+    finally:
+        batch = part = None
+        free_memory()
+
+
 def free_memory() -> None:
     """Workers wait for their next task with what the allocators kept of this one; hand that back."""
     gc.collect()

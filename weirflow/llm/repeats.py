@@ -17,11 +17,13 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from weirflow.llm.common import text_slices
-from weirflow.llm.countmin import CHUNK_BYTES, Shape
+from weirflow.llm.common import byte_slices
+from weirflow.llm.countmin import Shape
 from weirflow.llm.hashing import mix
 
 KEY_BITS = 40
+CHUNK_BYTES = 4 << 20
+SPARE = 32
 _KEY_BYTES = KEY_BITS // 8
 Keys = Callable[[list[bytes]], np.ndarray]
 
@@ -82,8 +84,8 @@ def _low_bits(slices: int) -> int:
 def _sent(batches: Iterable[pa.RecordBatch], keys: Keys, slices: int) -> Iterator[pa.RecordBatch]:
     """The different keys of each chunk of texts by slice, and those of them that the chunk has twice."""
     bounds = np.arange(slices + 1, dtype=np.uint64) << np.uint64(_low_bits(slices))
-    for _, texts in text_slices(batches, limit=CHUNK_BYTES):
-        found, counts = np.unique(_cut(keys([t.encode("utf-8", "replace") for t in texts])), return_counts=True)
+    for _, texts in byte_slices(batches, limit=CHUNK_BYTES):
+        found, counts = np.unique(_cut(keys(texts)), return_counts=True)
         edges = np.searchsorted(found, bounds).tolist()
         parts = [(k, found[a:b], counts[a:b]) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
         yield pa.RecordBatch.from_arrays(
@@ -102,16 +104,30 @@ def _twice(batches: Iterable[pa.RecordBatch], empty: Repeated) -> Iterator[pa.Re
         bits = np.zeros(empty.size, dtype=bool)
         for row in range(empty.rows):
             bits[empty.places(again, row)] = True
-        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([zstandard.compress(np.packbits(bits).tobytes(), 1)], pa.binary())], names=["slice", "bits"])
+        blob = zstandard.compress(np.packbits(bits).tobytes(), 1)
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([int(bits.sum())]), pa.array([blob], pa.binary())], names=["slice", "n", "bits"])
+
+
+def _folded(blob: bytes, size: int) -> bytes:
+    """Bits of a slice cut to ``size``: places are the lowest bits of a hash, so the parts of a greater slice lie on each other."""
+    bits = np.frombuffer(zstandard.decompress(blob), dtype=np.uint8)
+    return zstandard.compress(np.bitwise_or.reduce(bits.reshape(-1, size // 8), axis=0).tobytes(), 1)
 
 
 def found_twice(docs: DataFrame, keys: Keys, shape: Shape) -> Repeated:
-    """Filter of the ``keys`` that every whole ``text`` together gives twice or more; rows * cells / 8 bytes come to the driver at most."""
+    """Filter of the ``keys`` that every whole ``text`` together gives twice or more; rows * cells / 8 bytes come to the driver at most.
+
+    It is folded as long as SPARE bits are left for each one that is set, so that few repeated keys take little memory of the tasks.
+    """
     slices, size = shape.slices, shape.rows * shape.cells // shape.slices
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while slices < tasks and size > 8:
         slices, size = 2 * slices, size // 2
     empty = Repeated([], slices, size, shape.rows)
     sent = docs.select("text").mapInArrow(lambda b: _sent(b, keys, slices), "slice int, once binary, twice binary")
-    merged = sent.repartition("slice").sortWithinPartitions("slice").mapInArrow(lambda b: _twice(b, empty), "slice int, bits binary")
-    return Repeated([(r.slice, bytes(r.bits)) for r in merged.collect()], slices, size, shape.rows)
+    merged = sent.repartition("slice").sortWithinPartitions("slice").mapInArrow(lambda b: _twice(b, empty), "slice int, n bigint, bits binary")
+    parts = [(r.slice, r.n, bytes(r.bits)) for r in merged.collect()]
+    least = max(8, SPARE * sum(n for _, n, _ in parts) // slices)
+    while size // 2 >= least:
+        size //= 2
+    return Repeated([(part, _folded(blob, size)) for part, _, blob in parts], slices, size, shape.rows)

@@ -19,10 +19,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import marked, stored, text_slices, wider
-from weirflow.llm.countmin import CHUNK_BYTES, Shape
+from weirflow.llm.common import byte_slices, marked, stored, text_slices, wider
+from weirflow.llm.countmin import Shape
 from weirflow.llm.hashing import Words, mix, rolled, words_of
-from weirflow.llm.repeats import Filter, Repeated, found_twice
+from weirflow.llm.repeats import CHUNK_BYTES, Filter, Repeated, found_twice
 
 
 @dataclass(frozen=True)
@@ -33,7 +33,7 @@ class Settings:
     shape: Shape = Shape()
 
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 
 RUN_BASE = 0x9E3779B97F4A7C15
@@ -152,8 +152,8 @@ _SENT_SCHEMA = "bucket int, late boolean, block binary"
 def _candidates(batches: Iterable[pa.RecordBatch], repeated: Repeated, s: Settings, buckets: int) -> Iterator[pa.RecordBatch]:
     """Blocks of windows to group exactly, by bucket of their key, and windows that this chunk settles by itself."""
     sieve = Filter(repeated)
-    for part, texts in text_slices(batches, limit=CHUNK_BYTES):
-        owner, at, k1, k2 = _passing([t.encode("utf-8", "replace") for t in texts], s.width, sieve)
+    for part, texts in byte_slices(batches, limit=CHUNK_BYTES):
+        owner, at, k1, k2 = _passing(texts, s.width, sieve)
         if not len(owner):
             continue
         ids, hashes = part.column("id").to_numpy(), part.column("h").to_numpy()
