@@ -33,6 +33,15 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def by_shuffle(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` marked for a shuffle join; where its counted ``rows`` of a few numbers are within the bound, Spark may choose.
+
+    Spark sizes rows of an explode or of Python by the rows they come from, and files by their compressed bytes. Left to choose, it sends
+    tables by way of the driver that are many times its limit.
+    """
+    return df if rows is not None and rows <= BROADCAST_ROWS else df.hint("merge")
+
+
 PAGE_BITS, PAGES = 1 << 15, 1 << 14
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import stored
+from weirflow.llm.common import by_shuffle, stored
 
 MAX_ROUNDS = 60
 
@@ -18,23 +18,25 @@ def components(edges: DataFrame) -> DataFrame:
     in one task.
     """
     now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    rows = now.count()
     for _ in range(MAX_ROUNDS):
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("low")).withColumn("low", F.least("a", "low"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        large = both.where("b > a").join(by_shuffle(least, 2 * rows), "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         # large: every greater neighbour of a node now points to the node's least neighbour
         below = large.union(least.where("low < a").select("a", F.col("low").alias("b"))).where("a <> b").distinct()
         low = below.groupBy("a").agg(F.min("b").alias("low"))
-        small = below.join(low, "a").where("b <> low").select("b", "low").union(low.select("a", "low")).toDF("a", "b")
+        small = below.join(by_shuffle(low, 2 * rows), "a").where("b <> low").select("b", "low").union(low.select("a", "low")).toDF("a", "b")
         after = stored(small.distinct(), "edges")
-        if _settled(after):
+        rows = after.count()
+        if _settled(after, rows):
             return after.select(F.col("a").alias("node"), F.col("b").alias("root")).union(after.select("b", "b").distinct())
         now = after
     raise RuntimeError(f"no components after {MAX_ROUNDS} rounds")
 
 
-def _settled(edges: DataFrame) -> bool:
+def _settled(edges: DataFrame, rows: int) -> bool:
     """True if every node points to one root and no root points anywhere: the edges are stars around the smallest node."""
     several = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1)
-    chained = edges.join(edges.select(F.col("a").alias("b")).distinct(), "b", "left_semi").limit(1)
+    chained = edges.join(by_shuffle(edges.select(F.col("a").alias("b")).distinct(), rows), "b", "left_semi").limit(1)
     return several.isEmpty() and chained.isEmpty()

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import stored, text_slices, wider
+from weirflow.llm.common import by_shuffle, stored, text_slices, wider
 from weirflow.llm.components import components
 
 SHINGLE = 4
@@ -107,7 +107,7 @@ def links(fps: DataFrame) -> DataFrame:
     many = shared.where(F.col("n") > CROWD).select("fp").distinct()
     ball = _ball(many)
     least = ball.groupBy("v").agg(F.min("fp").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    stars = ball.join(least, "v").select(F.col("fp").alias("a"), "b").where("a <> b").distinct()
+    stars = ball.join(by_shuffle(least), "v").select(F.col("fp").alias("a"), "b").where("a <> b").distinct()
     return close.union(stars)
 
 
@@ -122,10 +122,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     marked = stored(fingerprints(docs.select(*rest, "text")).drop("text"), "fingerprints")
     fps = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "fp")
     roots = components(links(fps.select("fp")))
-    placed = fps.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    placed = fps.join(by_shuffle(roots), F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     lowest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     named = placed.join(lowest, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select(*rest, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return marked.join(by_shuffle(named), "fp").select(*rest, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def representatives(docs: DataFrame) -> DataFrame:
