@@ -30,3 +30,11 @@ def test_balls_of_a_crowded_variant(spark, monkeypatch):
     with broadcasts_below(spark, "4m"):
         found = edges_of(spark, [*values, *near])
     assert {v for v, n in zip(values, near) if frozenset((v, n)) in found} == set(values[:5])
+
+
+def test_variants_of_fingerprints(spark):
+    rng = random.Random(4)
+    values = [rng.getrandbits(64) for _ in range(4000)]
+    with broadcasts_below(spark, "2m"):
+        found = edges_of(spark, [*values, values[7] ^ 0b11 ^ (3 << 40), values[9] ^ 1])
+    assert found == {frozenset((values[7], values[7] ^ 0b11 ^ (3 << 40))), frozenset((values[9], values[9] ^ 1))}

@@ -97,7 +97,7 @@ def links(fps: DataFrame) -> DataFrame:
     sides = fps.select("fp", F.explode(half).alias("s")).select("fp", "s.side", "s.part")
     near = _variants(sides, "part", flips(32, RADIUS // 4))
     sizes = near.groupBy("side", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = stored(near.join(sizes, ["side", "v"]).select("side", "v", "fp", "n"), "variants")
+    shared = stored(near.join(by_shuffle(sizes), ["side", "v"]).select("side", "v", "fp", "n"), "variants")
     few = shared.where(F.col("n") <= CROWD)
     groups = few.groupBy("side", "v").agg(F.array_sort(F.collect_list("fp")).alias("all")).select("side", "v", "all", F.posexplode("all").alias("i", "a"))
     # a pair meets at up to 33 variants: it counts at the smaller of its two midpoints, or at the half itself if that is equal
