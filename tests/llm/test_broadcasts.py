@@ -3,7 +3,9 @@
 import random
 from contextlib import contextmanager
 
-from weirflow.llm import simhash
+from fixtures import by_id, frame, words_of
+
+from weirflow.llm import nearcopies, simhash
 
 
 @contextmanager
@@ -38,3 +40,12 @@ def test_variants_of_fingerprints(spark):
     with broadcasts_below(spark, "2m"):
         found = edges_of(spark, [*values, values[7] ^ 0b11 ^ (3 << 40), values[9] ^ 1])
     assert found == {frozenset((values[7], values[7] ^ 0b11 ^ (3 << 40))), frozenset((values[9], values[9] ^ 1))}
+
+
+def test_paths_of_near_copies(spark):
+    rng = random.Random(5)
+    texts = [" ".join(words_of(rng, 8, "abcdefgh", 6)) for _ in range(16000)]
+    base = words_of(rng, 60, "abcdefgh", 6)
+    with broadcasts_below(spark, "2m"):
+        out = by_id(nearcopies.representatives(frame(spark, [*texts, " ".join(base), " ".join([*base, "one"]), texts[3]])), "text")
+    assert sorted(out) == list(range(16001))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import stored, text_slices, within
+from weirflow.llm.common import by_shuffle, stored, text_slices, within
 from weirflow.llm.components import components
 from weirflow.llm.hashing import mix, shingles
 from weirflow.llm.setlinks import BITS, WORDS, compared, may_be_near, parities, verified
@@ -123,18 +123,18 @@ def links(records: DataFrame, sets: Callable[[DataFrame], DataFrame], s: Setting
     carried = ["rec", "n", *BITS]
     paths = records.select("rec", F.explode(F.expr(_children(1, s.trees))).alias("node"))
     shared = paths.groupBy("node").agg(F.count(F.lit(1)).alias("m"), F.min("rec").alias("hub")).where("m > 1")
-    met = stored(paths.join(shared, "node"), "met")
+    met = stored(paths.join(by_shuffle(shared), "node"), "met")
     stars = met.where("rec <> hub").select(F.col("hub").alias("a"), F.col("rec").alias("b"))
     stars = (stars if pairs is None else stars.union(pairs.select(F.least("a", "b"), F.greatest("a", "b")))).distinct()
     p, q = records.select(F.col("rec").alias("a"), *carried).alias("p"), records.select(F.col("rec").alias("b"), *carried).alias("q")
-    likely = stored(stars.join(p, "a").join(q, "b").where(may_be_near("p", "q", s.percent)).select("a", "b"), "likely")
+    likely = stored(stars.join(by_shuffle(p), "a").join(by_shuffle(q), "b").where(may_be_near("p", "q", s.percent)).select("a", "b"), "likely")
     whole = sets(likely.select(F.explode(F.array("a", "b")).alias("rec")).distinct())
     edges = stored(verified(likely, whole, s.percent), "near")
     roots = components(edges).select(F.col("node").alias("rec"), "root")
     members = met.select("node", "rec")
     found = spark.createDataFrame([], "a bigint, b bigint")
     for level in range(1, LEVELS + 1):
-        placed = members.join(roots, "rec", "left").withColumn("root", F.coalesce("root", "rec"))
+        placed = members.join(by_shuffle(roots), "rec", "left").withColumn("root", F.coalesce("root", "rec"))
         nodes = placed.groupBy("node").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("r0"), F.max("root").alias("r1"))
         mixed = nodes.where("r0 <> r1").select("node", "m")
         here = stored(placed.join(mixed, "node"), "mixed")
@@ -174,8 +174,8 @@ def whole_sets(records: DataFrame, texts: DataFrame) -> Callable[[DataFrame], Da
     """Gives rec, all (the whole set) of the records in its argument, from the texts of their first rows."""
 
     def sets(wanted: DataFrame) -> DataFrame:
-        owners = stored(records.select("rec", "row.*").join(wanted, "rec"), "owners")
-        found = within(texts, owners, ["_wf_id", "_wf_h"]).join(owners, ["_wf_id", "_wf_h"]).dropDuplicates(["_wf_id", "_wf_h"])
+        owners = stored(records.select("rec", "row.*").join(by_shuffle(wanted), "rec"), "owners")
+        found = within(texts, owners, ["_wf_id", "_wf_h"]).join(by_shuffle(owners), ["_wf_id", "_wf_h"]).dropDuplicates(["_wf_id", "_wf_h"])
         return stored(found.select("rec", "text").mapInArrow(_sets, "rec bigint, all array<bigint>"), "sets")
 
     return sets

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import row_key, stored
+from weirflow.llm.common import by_shuffle, row_key, stored
 
 GRAM = 5
 BROADCAST_WINDOWS = 500_000
@@ -75,7 +75,7 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = 10, doc_id: s
         hits = joined.where("at = n OR (window IS NOT NULL AND slice(h, at + 1, length) = window)").select("k", "n", "at", "length", "window")
     else:  # places are shuffled with the hashes of their own window only, and the rows that carry the number of words not at all
         spans = found.where("mark IS NOT NULL").select("k", "n", "at", "length", "mark", F.expr("slice(h, at + 1, length)").alias("span"))
-        hits = spans.join(marks, ["length", "mark"]).where("span = window").select("k", "n", "at", "length", "window")
+        hits = spans.join(by_shuffle(marks), ["length", "mark"]).where("span = window").select("k", "n", "at", "length", "window")
         hits = hits.unionByName(tokens.select("k", "n", F.col("n").alias("at"), F.lit(0).alias("length"), F.lit(None).cast("array<bigint>").alias("window")))
     return _summed(kept, stored(hits, "hits"), windows, doc_id, text)
 

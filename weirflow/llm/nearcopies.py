@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from weirflow.llm import simhash
 from weirflow.llm.chosenpath import Settings, distinct_sets, keyed, links, row_key, set_rows, whole_sets
-from weirflow.llm.common import marked, stored
+from weirflow.llm.common import by_shuffle, marked, stored
 
 SIMILAR = Settings(percent=80, trees=5)
 KEY = ["_wf_id", "_wf_h"]
@@ -23,10 +23,10 @@ KEY = ["_wf_id", "_wf_h"]
 def ball_pairs(records: DataFrame) -> DataFrame:
     """a, b: records of equal fingerprints, each with the first of them, and the first ones of fingerprints that ball hashing links."""
     fps = stored(records.groupBy("fp").agg(F.min("rec").alias("hub")), "fp")
-    equal = records.select("fp", "rec").join(fps, "fp").where("rec <> hub").select(F.col("hub").alias("a"), F.col("rec").alias("b"))
+    equal = records.select("fp", "rec").join(by_shuffle(fps), "fp").where("rec <> hub").select(F.col("hub").alias("a"), F.col("rec").alias("b"))
     near = simhash.links(fps.select("fp")).toDF("p", "q")
     of = lambda name: fps.select(F.col("fp").alias(name), F.col("hub").alias(f"{name}_hub"))
-    return stored(equal.union(near.join(of("p"), "p").join(of("q"), "q").select("p_hub", "q_hub")), "ball")
+    return stored(equal.union(near.join(by_shuffle(of("p")), "p").join(by_shuffle(of("q")), "q").select("p_hub", "q_hub")), "ball")
 
 
 def representatives(docs: DataFrame, settings: Settings = SIMILAR) -> DataFrame:
@@ -40,10 +40,10 @@ def representatives(docs: DataFrame, settings: Settings = SIMILAR) -> DataFrame:
     records = distinct_sets(rows)
     worded = records.where("n > 0")
     roots = links(worded, whole_sets(records, texts), settings, ball_pairs(worded))
-    placed = records.select("rec", "row").join(roots.select(F.col("node").alias("rec"), "root"), "rec", "left").withColumn("root", F.coalesce("root", "rec"))
+    placed = records.select("rec", "row").join(by_shuffle(roots.select(F.col("node").alias("rec"), "root")), "rec", "left").withColumn("root", F.coalesce("root", "rec"))
     kept = stored(placed.groupBy("root").agg(F.min("row").alias("row")).select("row.*"), "kept")
-    times = rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("times")).join(kept.withColumn("stays", F.lit(True)), KEY, "left")
+    times = rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("times")).join(by_shuffle(kept.withColumn("stays", F.lit(True))), KEY, "left")
     changed = stored(times.where("stays IS NULL OR times > 1").select(*KEY, F.coalesce("stays", F.lit(False)).alias("stays")), "changed")
     sifted = marked(docs.select("*", *row_key()), changed, KEY, "_wf_changed")
-    decided = sifted.where("_wf_changed").join(changed, KEY, "left").where("coalesce(stays, true)").dropDuplicates(KEY)
+    decided = sifted.where("_wf_changed").join(by_shuffle(changed), KEY, "left").where("coalesce(stays, true)").dropDuplicates(KEY)
     return sifted.where("NOT _wf_changed").select(*docs.columns).union(decided.select(*docs.columns))

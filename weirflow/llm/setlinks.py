@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import stored
+from weirflow.llm.common import by_shuffle, stored
 
 WORDS = 8
 BITS = [f"b{k}" for k in range(WORDS)]
@@ -38,7 +38,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("rec").alias("a"), F.col("all").alias("x"))
     right = sets.select(F.col("rec").alias("b"), F.col("all").alias("y"))
     near = f"{100 + percent} * size(array_intersect(x, y)) >= {percent} * (CAST(size(x) AS BIGINT) + size(y))"
-    return pairs.join(left, "a").join(right, "b").where(near).select("a", "b")
+    return pairs.join(by_shuffle(left), "a").join(by_shuffle(right), "b").where(near).select("a", "b")
 
 
 def _grouped(batches: Iterable[pa.RecordBatch], work) -> Iterator[pa.RecordBatch]:
@@ -123,8 +123,8 @@ def compared(members: DataFrame, records: DataFrame, sets: Callable[[DataFrame],
     """
     groups = _dealt(members, ["node"], f"ceil(m / {block})").repartition("g").sortWithinPartitions("g")
     some = stored(groups.mapInArrow(lambda b: _candidates(b, percent), "g bigint, rec bigint, root bigint"), "candidates")
-    full = some.join(records.select("rec", "n", *BITS), "rec")
+    full = some.join(by_shuffle(records.select("rec", "n", *BITS)), "rec")
     sizes = full.groupBy("g").agg(F.sum("n").alias("_size"))
     dealt = _dealt(full.join(sizes, "g").withColumnRenamed("g", "_g"), ["_g"], f"ceil(_size / {group_shingles})").drop("_size")
-    whole = dealt.join(sets(some.select("rec").distinct()), "rec").repartition("g").sortWithinPartitions("g")
+    whole = dealt.join(by_shuffle(sets(some.select("rec").distinct())), "rec").repartition("g").sortWithinPartitions("g")
     return whole.mapInArrow(lambda b: _confirmed(b, percent), "a bigint, b bigint")

@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import byte_slices, marked, stored, text_slices, wider
+from weirflow.llm.common import by_shuffle, byte_slices, marked, stored, text_slices, wider
 from weirflow.llm.countmin import Shape
 from weirflow.llm.hashing import Words, mix, rolled, words_of
 from weirflow.llm.repeats import CHUNK_BYTES, Filter, Repeated, found_twice
@@ -274,7 +274,7 @@ def deduplicate(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     found = late.select(F.col("id").alias("_wf_id"), F.col("h").alias("_wf_h"), F.col("ats").alias("_wf_ats"))
     sifted = marked(docs.select("*", *key), found, ["_wf_id", "_wf_h"], "_wf_cut")
     whole = sifted.where("NOT _wf_cut").select(*rest, F.lit(None).cast("binary").alias("_wf_ats"))
-    joined = whole.union(sifted.where("_wf_cut").join(found, ["_wf_id", "_wf_h"], "left").select(*rest, "_wf_ats"))
+    joined = whole.union(sifted.where("_wf_cut").join(by_shuffle(found), ["_wf_id", "_wf_h"], "left").select(*rest, "_wf_ats"))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches):
