@@ -252,22 +252,37 @@ def overspeed_timer_stream(stream: DataFrame, key: str, value: str, ts: str, lim
     )
 
 
+# keys that share a call and a state: a call per key costs a processor far more than the few rows of the key. Part of the state's layout
+BUCKETS = 1024
 # spelled out, because workers have no session to parse type strings with
-OPEN_SESSION = T.StructType([T.StructField(n, T.LongType()) for n in ("first", "last", "due")]).add("aggs", T.StringType())
+HELD = T.StructType([T.StructField("held", T.StringType())])
+_MICROS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 VERSION = T.StructType([T.StructField("us", T.LongType()), T.StructField("seq", T.LongType()), T.StructField("value", T.StringType())])
 VERSIONS = T.StructType([T.StructField("v", T.ArrayType(VERSION))])
 MERGES: dict[str, Callable] = {"sum": lambda a, b: a + b, "min": min, "max": max}
 
 
+def _keys_as_text(keys: Sequence[str]) -> Column:
+    return F.to_json(F.struct(*keys), _MICROS)
+
+
+def _bucket(text: str) -> Column:
+    return F.pmod(F.xxhash64(text), F.lit(BUCKETS)).cast("int")
+
+
+def _held(state) -> dict:
+    return json.loads(state.get()[0]) if state.exists() else {}
+
+
 class _MergeCells(StatefulProcessor):
-    """Joins closed cells of a key to sessions.  Cells come in event-time order over the batches; state is the one open session."""
+    """Joins closed cells of the keys of a bucket to sessions.  Cells come in event-time order over the batches; state is the open session of each key."""
 
     def __init__(self, gap_us: int, merges: dict[str, str], out: Sequence[str]):
         self.gap_us, self.merges, self.out = gap_us, merges, list(out)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getValueState("open", OPEN_SESSION)
+        self.open = handle.getValueState("open", HELD)
 
     def _merged(self, a: dict, b: dict) -> dict:
         return {n: MERGES[how](a[n], b[n]) if n in a and n in b else a.get(n, b.get(n)) for n, how in self.merges.items() if n in a or n in b}
@@ -276,38 +291,50 @@ class _MergeCells(StatefulProcessor):
         # end of the cell in which a row could still join: by then the watermark has let that cell through
         return ((last + self.gap_us) // self.gap_us + 1) * self.gap_us // 1000 + 1
 
+    def _keep(self, held: dict) -> int:
+        """Stores the open sessions; gives the time when the first of them is over."""
+        due = min(self._due(now[1]) for now in held.values())
+        self.open.update((json.dumps({"due": due, "open": held}),))
+        return due
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # one row per cell, so at most one per gap of event time
+        # one row per cell, so at most one per key and gap of event time
         frames = [b for b in rows if not b.empty]
         if not frames:
             yield pd.DataFrame()
             return
         cells = pd.concat(frames, ignore_index=True).sort_values("first")
-        stored = tuple(self.open.get()) if self.open.exists() else None
-        now, done = (stored[0], stored[1], json.loads(stored[3])) if stored else None, []
-        for first, last, aggs in cells[["first", "last", "aggs"]].itertuples(index=False, name=None):
-            aggs = json.loads(aggs)
+        stored = _held(self.open)
+        held, done = stored.get("open", {}), []
+        for k, first, last, aggs in zip(*(cells[c].tolist() for c in ("key", "first", "last", "aggs")), strict=True):
+            aggs, now = json.loads(aggs), held.get(k)
             if now and first - now[1] <= self.gap_us:
-                now = (now[0], max(now[1], last), self._merged(now[2], aggs))
+                held[k] = [now[0], max(now[1], last), self._merged(now[2], aggs)]
                 continue
             if now:
-                done.append((*key, now[0], now[1], json.dumps(now[2])))
-            now = (first, last, aggs)
-        due = self._due(now[1])
-        if stored and stored[2] != due:
-            self.handle.deleteTimer(stored[2])
-        if not stored or stored[2] != due:
+                done.append((k, now[0], now[1], json.dumps(now[2])))
+            held[k] = [first, last, aggs]
+        due = self._keep(held)
+        if stored and stored["due"] != due:
+            self.handle.deleteTimer(stored["due"])
+        if not stored or stored["due"] != due:
             self.handle.registerTimer(due)
-        self.open.update((int(now[0]), int(now[1]), due, json.dumps(now[2])))
         yield pd.DataFrame(done, columns=self.out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        stored = tuple(self.open.get()) if self.open.exists() else None
-        if not stored or stored[2] > expiredTimerInfo.getExpiryTimeInMs():
+        stored, at = _held(self.open), expiredTimerInfo.getExpiryTimeInMs()
+        if not stored or stored["due"] > at:
             yield pd.DataFrame()
             return
-        self.open.clear()
-        yield pd.DataFrame([(*key, stored[0], stored[1], stored[3])], columns=self.out)
+        # the sessions that are over, not only the first of them: a timer is expired once the watermark is above it
+        over = max(at + 1, timerValues.getCurrentWatermarkInMs())
+        done = [(k, now[0], now[1], json.dumps(now[2])) for k, now in stored["open"].items() if self._due(now[1]) < over]
+        held = {k: now for k, now in stored["open"].items() if self._due(now[1]) >= over}
+        if held:
+            self.handle.registerTimer(self._keep(held))
+        else:
+            self.open.clear()
+        yield pd.DataFrame(done, columns=self.out)
 
     def close(self) -> None:
         pass
@@ -332,16 +359,17 @@ def merged_sessions_stream(
         F.unix_micros(F.min(ts)).alias("first"), F.unix_micros(F.max(ts)).alias("last"), *[c.alias(f"agg_{n}") for n, (c, _) in aggs.items()])
     parts = T.StructType([T.StructField(n, cells.schema[f"agg_{n}"].dataType) for n in aggs])
     inner = [f"k{i}" for i in range(len(by))]
+    named = T.StructType([T.StructField(i, cells.schema[k].dataType) for k, i in zip(by, inner)])
     slim = cells.select(
-        *[F.col(k).alias(i) for k, i in zip(by, inner)], F.window_time("cell").alias("at"), "first", "last",
-        F.to_json(F.struct(*[F.col(f"agg_{n}").alias(n) for n in aggs])).alias("aggs"))
-    schema = T.StructType([T.StructField(i, cells.schema[k].dataType) for k, i in zip(by, inner)]).add("first", T.LongType()).add("last", T.LongType()).add("aggs", T.StringType())
-    out = slim.groupBy(*inner).transformWithStateInPandas(
+        _keys_as_text([F.col(k).alias(i) for k, i in zip(by, inner)]).alias("key"), F.window_time("cell").alias("at"), "first", "last",
+        F.to_json(F.struct(*[F.col(f"agg_{n}").alias(n) for n in aggs])).alias("aggs")).withColumn("bucket", _bucket("key"))
+    schema = T.StructType().add("key", T.StringType()).add("first", T.LongType()).add("last", T.LongType()).add("aggs", T.StringType())
+    out = slim.groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=_MergeCells(gap_us, {n: how for n, (_, how) in aggs.items()}, schema.names),
         outputStructType=schema, outputMode="Append", timeMode="EventTime")
-    merged = out.withColumn("aggs", F.from_json("aggs", parts))
+    merged = out.withColumns({"aggs": F.from_json("aggs", parts), "key": F.from_json("key", named, _MICROS)})
     return merged.select(
-        *[F.col(i).alias(k) for k, i in zip(keys, inner)], F.timestamp_micros("first").alias("window_start"),
+        *[F.col(f"key.{i}").alias(k) for k, i in zip(keys, inner)], F.timestamp_micros("first").alias("window_start"),
         F.timestamp_micros(F.col("last") + gap_us).alias("window_end"), *[F.col(f"aggs.{n}").alias(n) for n in aggs])
 
 
