@@ -26,3 +26,15 @@ def test_sessions_of_many_keys_share_calls(spark, monkeypatch):
     first = [(k, k, k + 20 if k % 3 == 0 else k + 10, 1 + (k % 3 == 0), k) for k in range(60)]
     assert got == sorted([*first, *((k, 500, 510, 1, 7) for k in range(0, 60, 2)), (-1, 501, 511, 1, 2)])
     assert 0 < n < 30
+
+
+def test_lookups_of_many_keys_share_calls(spark, monkeypatch):
+    monkeypatch.setattr(processors, "BUCKETS", 2, raising=False)
+    ids = [None, *range(60)]
+    batches = [[(k, 10, 1, True, f"a{k}") for k in ids], [(k, t, t, False, None) for k in ids for t in (9, 11, 20)], [(k, 15, 15, True, f"b{k}") for k in ids[::2]] + [(k, 20, 21, False, None) for k in ids]]
+    stream = fed(spark, batches, "id bigint, ts bigint, seq bigint, cfg boolean, city string")
+    out, n = drained(processors.config_lookup_stream(stream, "id", "ts", "seq", "cfg", "city", "1 minute", "none"))
+    late = {k: f"b{k}" for k in ids[::2]}
+    want = {(k, s): v for k in ids for s, v in ((9, "none"), (11, f"a{k}"), (20, f"a{k}"), (21, late.get(k, f"a{k}")))}
+    assert {(r["id"], r["seq"]): r["label"] for r in out.collect()} == want
+    assert 0 < n < 30

@@ -257,8 +257,6 @@ BUCKETS = 1024
 # spelled out, because workers have no session to parse type strings with
 HELD = T.StructType([T.StructField("held", T.StringType())])
 _MICROS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
-VERSION = T.StructType([T.StructField("us", T.LongType()), T.StructField("seq", T.LongType()), T.StructField("value", T.StringType())])
-VERSIONS = T.StructType([T.StructField("v", T.ArrayType(VERSION))])
 MERGES: dict[str, Callable] = {"sum": lambda a, b: a + b, "min": min, "max": max}
 
 
@@ -374,10 +372,10 @@ def merged_sessions_stream(
 
 
 class _VersionedLookup(StatefulProcessor):
-    """Answers lookups of a key from its versions of the configuration, by binary search in event order."""
+    """Answers lookups of the keys of a bucket from their versions of the configuration, by binary search in event order."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.versions = handle.getValueState("versions", VERSIONS)
+        self.versions = handle.getValueState("versions", HELD)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         frames = [b for b in rows if not b.empty]
@@ -385,20 +383,28 @@ class _VersionedLookup(StatefulProcessor):
             yield pd.DataFrame()
             return
         batch = pd.concat(frames, ignore_index=True)
-        held = {(v[0], v[1]): v[2] for v in self.versions.get()[0]} if self.versions.exists() else {}
-        config = batch[batch["cfg"] & batch["value"].notna()]
-        if not config.empty:
-            held.update({(us, seq): value for us, seq, value in config[["us", "seq", "value"]].sort_values("value").itertuples(index=False, name=None)})
-        order = sorted(held)
-        asked = batch[~batch["cfg"]]
-        answers = []
-        for us, seq in asked[["us", "seq"]].itertuples(index=False, name=None):
+        # of each key: places (us, seq) in order, and their values
+        held = {k: ([*map(tuple, order)], values) for k, (order, values) in _held(self.versions).items()}
+        config, fresh = batch[batch["cfg"] & batch["value"].notna()].sort_values("value"), {}
+        for k, us, seq, value in zip(*(config[c].tolist() for c in ("key", "us", "seq", "value")), strict=True):
+            fresh.setdefault(k, {})[(int(us), int(seq))] = value
+        for k, changes in fresh.items():
+            merged = dict(zip(*held.get(k, ([], [])), strict=True)) | changes
+            order = sorted(merged)
+            held[k] = order, [merged[at] for at in order]
+        asked, answers = batch[~batch["cfg"]], []
+        for k, us, seq in zip(*(asked[c].tolist() for c in ("key", "us", "seq")), strict=True):
+            order, values = held.get(k, ([], []))
             at = bisect_right(order, (us, seq))
-            answers.append((*key, seq, held[order[at - 1]] if at else None))
-        if not config.empty:
+            answers.append((k, seq, values[at - 1] if at else None))
+        if fresh:
             # rows at or before the watermark are not let in any more: of the versions up to it the newest is enough
-            old = bisect_right(order, (timerValues.getCurrentWatermarkInMs() * 1000, float("inf")))
-            self.versions.update(([(int(us), int(seq), held[us, seq]) for us, seq in order[max(old - 1, 0):]],))
+            passed = (timerValues.getCurrentWatermarkInMs() * 1000, float("inf"))
+            for k in fresh:
+                order, values = held[k]
+                first = max(bisect_right(order, passed) - 1, 0)
+                held[k] = order[first:], values[first:]
+            self.versions.update((json.dumps(held),))
         yield pd.DataFrame(answers, columns=["key", "seq", "label"])
 
     def close(self) -> None:
@@ -416,10 +422,11 @@ def config_lookup_stream(
     """
     use_rocksdb(stream)
     slim = stream.withWatermark(ts, delay).select(
-        F.col(key).alias("key"), F.col(ts).alias("at"), F.unix_micros(ts).alias("us"), F.col(seq).cast("bigint").alias("seq"),
-        F.coalesce(F.col(is_config), F.lit(False)).alias("cfg"), F.col(value).cast("string").alias("value"))
-    kind = stream.schema[key].dataType.simpleString()
-    out = slim.where("at IS NOT NULL").groupBy("key").transformWithStateInPandas(
-        statefulProcessor=_VersionedLookup(), outputStructType=T.StructType.fromDDL(f"key {kind}, seq bigint, label string"),
+        _keys_as_text([F.col(key).alias("k")]).alias("key"), F.col(ts).alias("at"), F.unix_micros(ts).alias("us"), F.col(seq).cast("bigint").alias("seq"),
+        F.coalesce(F.col(is_config), F.lit(False)).alias("cfg"), F.col(value).cast("string").alias("value")).withColumn("bucket", _bucket("key"))
+    named = T.StructType([T.StructField("k", stream.schema[key].dataType)])
+    out = slim.where("at IS NOT NULL").groupBy("bucket").transformWithStateInPandas(
+        statefulProcessor=_VersionedLookup(), outputStructType=T.StructType.fromDDL("key string, seq bigint, label string"),
         outputMode="Append", timeMode="EventTime")
-    return out.select(F.col("key").alias(key), F.col("seq").alias(seq), F.coalesce(F.nullif("label", F.lit("")), F.lit(default)).alias(name))
+    return out.select(
+        F.from_json("key", named, _MICROS)["k"].alias(key), F.col("seq").alias(seq), F.coalesce(F.nullif("label", F.lit("")), F.lit(default)).alias(name))
